@@ -42,9 +42,10 @@ def date_spine(spark: SparkSession, start, end) -> DataFrame:
     The row count is fixed by the two bounds (days between them), so the
     result is a bounded dimension that may be broadcast.
     """
-    days = spark.range(1).select(
-        F.explode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"),
-                             F.expr("interval 1 day"))).alias("day_date"))
+    s, e = dt.date.fromisoformat(str(start)), dt.date.fromisoformat(str(end))
+    n = (e - s).days + 1
+    days = spark.range(0, n, 1, max(1, min(8, n // 4096 + 1))).select(
+        F.date_add(F.lit(s.isoformat()).cast("date"), F.col("id").cast("int")).alias("day_date"))
     return with_calendar_attributes(days)
 
 

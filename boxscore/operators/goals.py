@@ -68,10 +68,10 @@ def load_goals(settings: DataFrame, domain_map: DataFrame, service: str, svc_cde
     return out
 
 
-def goal_keys(scored: DataFrame) -> DataFrame:
+def goal_keys(scored: DataFrame, extra: list[str] | None = None) -> DataFrame:
     """The distinct goal keys of an answer stage (a small aggregate)."""
     return scored.select("rec_fy", "service_line", "epic_department_id", "goal_epic_department_id",
-                         "domain_goals").distinct()
+                         "domain_goals", *(extra or [])).distinct()
 
 
 def resolve_goals(scored: DataFrame, goals: DataFrame, service_line: str,
@@ -83,8 +83,11 @@ def resolve_goals(scored: DataFrame, goals: DataFrame, service_line: str,
     'All Service Lines' row for loaded years; then DISTINCT.
     With ``group_col`` (G1b) an extra arm gives each (line, group) the
     line's 'All Units' goal under the group's name.
+
+    Every arm reads one distinct-keys aggregate of the answers, so the
+    answer stage is scanned once for all of them.
     """
-    keys = goal_keys(scored)
+    keys = goal_keys(scored, [group_col] if group_col else None)
     specific = goals.where(F.col("epic_department_id") != ALL_UNITS).select(
         F.col("goal_fiscal_yr").alias("rec_fy"), F.col("epic_department_id").alias("goal_epic_department_id"),
         F.col("domain").alias("domain_goals"), "goal")
@@ -92,14 +95,16 @@ def resolve_goals(scored: DataFrame, goals: DataFrame, service_line: str,
         F.col("goal_fiscal_yr").alias("rec_fy"), F.col("domain").alias("domain_goals"), "goal")
     on = ["rec_fy", "goal_epic_department_id", "domain_goals"]
     cols = ["rec_fy", "service_line", "goal_epic_department_id", "domain_goals", "goal"]
+    dept_keys = keys.select("rec_fy", "service_line", "epic_department_id", "goal_epic_department_id",
+                            "domain_goals").distinct()
 
-    a = keys.join(specific, on, "inner").select(cols)
-    b = (keys.join(specific.select(*on), on, "left_anti")
+    a = dept_keys.join(specific, on, "inner").select(cols)
+    b = (dept_keys.join(specific.select(*on), on, "left_anti")
          .join(line_all, ["rec_fy", "domain_goals"], "left").select(cols))
-    c = (scored.select("rec_fy", "service_line", "domain_goals").distinct()
+    c = (keys.select("rec_fy", "service_line", "domain_goals").distinct()
          .join(line_all, ["rec_fy", "domain_goals"], "left")
          .select("rec_fy", "service_line", F.lit(ALL_UNITS).alias("goal_epic_department_id"), "domain_goals", "goal"))
-    years = scored.select(F.col("rec_fy").alias("goal_fiscal_yr")).distinct()
+    years = keys.select(F.col("rec_fy").alias("goal_fiscal_yr")).distinct()
     d = (goals.where((F.col("epic_department_id") == ALL_UNITS) & (F.col("service_line") == ALL_SERVICE_LINES))
          .join(years, "goal_fiscal_yr", "left_semi")
          .select(F.col("goal_fiscal_yr").alias("rec_fy"), F.lit(ALL_SERVICE_LINES).alias("service_line"),
@@ -107,7 +112,7 @@ def resolve_goals(scored: DataFrame, goals: DataFrame, service_line: str,
     out = a.unionByName(b).unionByName(c).unionByName(d)
     if group_col is not None:
         out = out.withColumn(group_col, F.lit(None).cast("string"))
-        g = (scored.select("rec_fy", "service_line", group_col, "domain_goals").distinct()
+        g = (keys.select("rec_fy", "service_line", group_col, "domain_goals").distinct()
              .join(line_all, ["rec_fy", "domain_goals"], "left")
              .select("rec_fy", "service_line", F.lit(ALL_UNITS).alias("goal_epic_department_id"),
                      "domain_goals", "goal", group_col))

@@ -32,3 +32,162 @@ def q_score_summary(inp: Inputs) -> DataFrame:
 @register("q_unit_extract")
 def q_unit_extract(inp: Inputs) -> DataFrame:
     return extract.unit_extract(inp, DEFAULT)
+
+
+# ---------------------------------------------------------------------------
+# Scans, sources, filters (S*, F*)
+# ---------------------------------------------------------------------------
+import datetime as _dt  # noqa: E402
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from boxscore.functions import calendar as C  # noqa: E402
+from boxscore.functions import labels as V  # noqa: E402
+from boxscore.functions import scoring as S  # noqa: E402
+from boxscore.operators import filters as Fl  # noqa: E402
+from boxscore.operators import goals as G  # noqa: E402
+from boxscore.operators import windows as W  # noqa: E402
+from boxscore.sources import lookups as L  # noqa: E402
+
+
+@register("q_scan_responses")
+def q_scan_responses(inp):
+    return inp.responses.select("survey_id", "question_id", "received_date", "value")
+
+
+@register("q_age_per_survey")
+def q_age_per_survey(inp):
+    return W.max_answer(inp.responses, L.AGE_QUESTION, "age")
+
+
+@register("q_domain_translation")
+def q_domain_translation(inp):
+    dm = L.domain_translation(inp.spark).select(F.col("goals_domain").alias("__gd"), F.col("domain").alias("__td"))
+    s = inp.goal_settings
+    return (s.join(dm, s["domain"] == dm["__gd"], "left")
+            .select("service", "goal_yr", "department_id", "unit", "domain",
+                    F.coalesce("__td", "domain").alias("domain_goals")))
+
+
+@register("q_goals_conformed")
+def q_goals_conformed(inp):
+    return inp.child_goals.unionByName(inp.adult_goals)
+
+
+@register("q_date_spine")
+def q_date_spine(inp):
+    return C.spine_over(inp.responses, "received_date", "discharge_date")
+
+
+@register("q_filter_questions")
+def q_filter_questions(inp):
+    # the list repeats ids, as the reference's does; repeats change nothing
+    return Fl.for_questions(inp.responses, [1, 2, 3, 4, 5, 2, 3]).select("survey_id", "question_id", "value")
+
+
+@register("q_filter_received")
+def q_filter_received(inp):
+    return Fl.received_between(inp.responses, DEFAULT.start, DEFAULT.end).select(
+        "survey_id", "question_id", "received_date")
+
+
+@register("q_filter_designator")
+def q_filter_designator(inp):
+    r = inp.responses.select("survey_id", "question_id",
+                             Fl.designator_prefix(F.col("survey_designator")).alias("designator"))
+    return Fl.designator_ok(r, "PC")
+
+
+@register("q_default_window")
+def q_default_window(inp):
+    d = inp.responses.select(F.col("received_date").alias("as_of")).distinct()
+    ws, we = C.default_window_cols(F.col("as_of"))
+    rs, re_ = C.default_report_window_cols(F.col("as_of"))
+    return d.select("as_of", ws.alias("window_start"), we.alias("window_end"),
+                    rs.alias("report_start"), re_.alias("report_end"))
+
+
+@register("q_filter_either_date")
+def q_filter_either_date(inp):
+    return Fl.received_or_discharged_since(inp.responses, "2000-01-01").select(
+        "survey_id", "question_id", "received_date", "discharge_date")
+
+
+@register("q_filter_known_dept")
+def q_filter_known_dept(inp):
+    return Fl.known_department(inp.responses).select("survey_id", "question_id", "department_key")
+
+
+@register("q_filter_service")
+def q_filter_service(inp):
+    return Fl.for_service(inp.responses, "IN").select("survey_id", "question_id", "service_code")
+
+
+@register("q_filter_recent")
+def q_filter_recent(inp):
+    return Fl.discharged_within(inp.responses, 366, _dt.date(2001, 8, 1)).select(
+        "survey_id", "question_id", "discharge_date")
+
+
+def _ruled(inp):
+    r = inp.responses.select("survey_id", "question_id", "value")
+    return S.with_rules(r, inp.rules, extra=["domain"])
+
+
+@register("q_reportable_domains")
+def q_reportable_domains(inp):
+    r = _ruled(inp).select("survey_id", "question_id", S.goal_domain().alias("domain_goals"))
+    return Fl.reportable_domains(r)
+
+
+@register("q_question_catalog")
+def q_question_catalog(inp):
+    q = inp.questions
+    f = inp.responses.select("question_id", "service_code").join(q, "question_id", "left")
+    return (f.where(F.col("varname").isin("CH_1", "CH_2", "CH_3", "AGE", "UNIT"))
+            .select("question_id", "varname", "question_text", "service_code").distinct())
+
+
+@register("q_top_box")
+def q_top_box(inp):
+    v = F.col("value")
+    return _ruled(inp).select("survey_id", "question_id", S.as_text(v).alias("value"),
+                              S.top_box(v).alias("top_box"), S.answered(v).alias("val_count"))
+
+
+@register("q_top_box_label")
+def q_top_box_label(inp):
+    return _ruled(inp).select("question_id", S.top_box_label().alias("top_box_response")).distinct()
+
+
+@register("q_response_group")
+def q_response_group(inp):
+    g = S.response_group(F.col("value"), F.col("question_id"), L.AGE_QUESTION)
+    return (_ruled(inp).groupBy("question_id", "value", g.alias("value_resp_grp"))
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
+@register("q_goal_domain")
+def q_goal_domain(inp):
+    return (_ruled(inp).groupBy("question_id", "domain", S.goal_domain().alias("domain_goals"))
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
+@register("q_patient_attributes")
+def q_patient_attributes(inp):
+    surveys = inp.responses.select("survey_id", "patient_key", "received_date").distinct()
+    age = W.max_answer(inp.responses, L.AGE_QUESTION, "pat_age_survey_answer")
+    p = surveys.join(inp.patients, "patient_key", "left").join(age, "survey_id", "left")
+    return p.select("survey_id", "patient_key", "received_date",
+                    V.full_name(F.col("last_name"), F.col("first_name")).alias("pat_name"),
+                    V.age_years(F.col("birth_date"), F.lit(DEFAULT.as_of).cast("date")).alias("pat_age"),
+                    V.age_years(F.col("birth_date"), F.col("received_date")).alias("pat_age_survey_recvd"),
+                    "pat_age_survey_answer",
+                    V.peds_flag(F.col("pat_age_survey_answer")).alias("peds"),
+                    V.sex_label(F.col("sex")).alias("pat_sex"))
+
+
+@register("q_period_label")
+def q_period_label(inp):
+    d = inp.responses.select(F.col("received_date").alias("event_date")).distinct()
+    return d.select("event_date", C.period_label(F.col("event_date")).alias("rpt_prd"))

@@ -6,7 +6,7 @@ from __future__ import annotations
 from boxscore.plans.config import DEFAULT
 from boxscore.plans.summaries import window_years
 from oracle.fixtures import with_views
-from oracle.stages import extract_result, extract_views
+from oracle.stages import age, band_case, extract_result, extract_views, five_case, peds, rpt_prd, sex
 
 ORACLE: dict[str, str] = {}
 
@@ -37,3 +37,65 @@ LEFT JOIN (SELECT DISTINCT rec_fy, goal_epic_department_id, service_line, domain
 WHERE s.rec_fy IN (SELECT DISTINCT fyear_num FROM calendar
                    WHERE day_date BETWEEN DATE '{DEFAULT.start}' AND DATE '{DEFAULT.end}')
   AND s.rec_fy IN ({', '.join(str(y) for y in window_years(DEFAULT))})""", _EXT)
+
+
+def _v(body: str) -> str:
+    return with_views(body, _EXT)
+
+
+ORACLE["q_scan_responses"] = _v("SELECT survey_id, question_id, received_date, value FROM responses")
+ORACLE["q_age_per_survey"] = _v("""SELECT survey_id, CAST(MAX(value) AS VARCHAR) AS age FROM responses
+WHERE question_id = 6 AND account_key > 0 GROUP BY survey_id""")
+ORACLE["q_domain_translation"] = _v("""SELECT g.service, g.goal_yr, g.department_id, g.unit, g.domain,
+       COALESCE(t.domain, g.domain) AS domain_goals
+FROM goal_settings g LEFT JOIN domain_translation t ON t.goals_domain = g.domain""")
+ORACLE["q_goals_conformed"] = _v("SELECT * FROM child_goals UNION ALL SELECT * FROM adult_goals")
+ORACLE["q_date_spine"] = _v("""SELECT c.* FROM calendar c,
+  (SELECT least(min(received_date), min(discharge_date)) AS lo,
+          greatest(max(received_date), max(discharge_date)) AS hi FROM responses) b
+WHERE c.day_date BETWEEN b.lo AND b.hi""")
+ORACLE["q_filter_questions"] = _v("""SELECT survey_id, question_id, value FROM responses
+WHERE question_id IN (1, 2, 3, 4, 5, 2, 3)""")
+ORACLE["q_filter_received"] = _v(f"""SELECT survey_id, question_id, received_date FROM responses
+WHERE received_date BETWEEN DATE '{DEFAULT.start}' AND DATE '{DEFAULT.end}'""")
+ORACLE["q_filter_designator"] = _v("""SELECT survey_id, question_id, substring(survey_designator, 1, 2) AS designator
+FROM responses WHERE substring(survey_designator, 1, 2) IS NULL OR substring(survey_designator, 1, 2) = 'PC'""")
+ORACLE["q_default_window"] = _v("""SELECT as_of,
+       CAST(date_trunc('month', as_of - INTERVAL 24 MONTH) AS DATE) AS window_start,
+       last_day(as_of) AS window_end,
+       make_date(CAST(CASE WHEN month(as_of) >= 7 THEN year(as_of) + 1 ELSE year(as_of) END AS INTEGER) - 1, 7, 1) AS report_start,
+       CAST(as_of - INTERVAL 1 DAY AS DATE) AS report_end
+FROM (SELECT DISTINCT received_date AS as_of FROM responses)""")
+ORACLE["q_filter_either_date"] = _v("""SELECT survey_id, question_id, received_date, discharge_date FROM responses
+WHERE received_date >= DATE '2000-01-01' OR discharge_date >= DATE '2000-01-01'""")
+ORACLE["q_filter_known_dept"] = _v("SELECT survey_id, question_id, department_key FROM responses WHERE department_key > 0")
+ORACLE["q_filter_service"] = _v("SELECT survey_id, question_id, service_code FROM responses WHERE service_code IN ('IN')")
+ORACLE["q_filter_recent"] = _v("""SELECT survey_id, question_id, discharge_date FROM responses
+WHERE datediff('day', discharge_date, DATE '2001-08-01') <= 366""")
+_RULED = "(SELECT r.survey_id, r.question_id, r.value, x.* EXCLUDE (question_id) FROM responses r LEFT JOIN rules x ON x.question_id = r.question_id)"
+ORACLE["q_reportable_domains"] = _v(f"""SELECT survey_id, question_id, COALESCE(domain_override, domain) AS domain_goals
+FROM {_RULED} WHERE COALESCE(domain_override, domain) IS NOT NULL
+  AND COALESCE(domain_override, domain) NOT IN ('Meals', 'Overall Assessment', 'Pediatric ICU/CCU', 'Personal Issues')""")
+ORACLE["q_question_catalog"] = _v("""SELECT DISTINCT r.question_id, q.varname, q.question_text, r.service_code
+FROM responses r LEFT JOIN questions q ON q.question_id = r.question_id
+WHERE q.varname IN ('CH_1', 'CH_2', 'CH_3', 'AGE', 'UNIT')""")
+ORACLE["q_top_box"] = _v(f"""SELECT survey_id, question_id, CAST(value AS VARCHAR) AS value,
+       CASE WHEN list_contains(top_values, value) THEN 1 ELSE 0 END AS top_box,
+       CASE WHEN value IS NOT NULL THEN 1 ELSE 0 END AS val_count FROM {_RULED}""")
+ORACLE["q_top_box_label"] = _v(f"""SELECT DISTINCT question_id, CASE WHEN scale IS NOT NULL THEN top_label END AS top_box_response
+FROM {_RULED}""")
+ORACLE["q_response_group"] = _v(f"""SELECT question_id, value,
+       CASE WHEN scale = '0-10' THEN {band_case('value')} WHEN question_id = 6 THEN value ELSE {five_case('value')} END AS value_resp_grp,
+       COUNT(*) AS n
+FROM {_RULED} GROUP BY ALL""")
+ORACLE["q_goal_domain"] = _v(f"""SELECT question_id, domain, COALESCE(domain_override, domain) AS domain_goals, COUNT(*) AS n
+FROM {_RULED} GROUP BY ALL""")
+ORACLE["q_patient_attributes"] = _v(f"""SELECT s.survey_id, s.patient_key, s.received_date,
+       p.last_name || ', ' || p.first_name AS pat_name,
+       {age('p.birth_date', f"DATE '{DEFAULT.as_of}'")} AS pat_age,
+       {age('p.birth_date', 's.received_date')} AS pat_age_survey_recvd,
+       a.age AS pat_age_survey_answer, {peds('a.age')} AS peds, {sex('p.sex')} AS pat_sex
+FROM (SELECT DISTINCT survey_id, patient_key, received_date FROM responses) s
+LEFT JOIN patients p ON p.patient_key = s.patient_key
+LEFT JOIN ages a ON a.survey_id = s.survey_id""")
+ORACLE["q_period_label"] = _v(f"""SELECT DISTINCT received_date AS event_date, {rpt_prd('received_date')} AS rpt_prd FROM responses""")
