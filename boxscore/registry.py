@@ -191,3 +191,111 @@ def q_patient_attributes(inp):
 def q_period_label(inp):
     d = inp.responses.select(F.col("received_date").alias("event_date")).distinct()
     return d.select("event_date", C.period_label(F.col("event_date")).alias("rpt_prd"))
+
+
+# ---------------------------------------------------------------------------
+# Windows, departments, joins (W*, J*, R*)
+# ---------------------------------------------------------------------------
+from boxscore.operators import departments as D  # noqa: E402
+from boxscore.operators import joins as J  # noqa: E402
+from boxscore.plans import lines  # noqa: E402
+
+
+@register("q_unit_spread")
+def q_unit_spread(inp):
+    r = inp.responses.select("survey_id", "question_id", "value")
+    return W.spread_attribute(r, L.UNIT_QUESTION, "unit", L.NULL_UNIT)
+
+
+@register("q_unit_per_survey")
+def q_unit_per_survey(inp):
+    r = inp.responses.select("survey_id", "question_id", "value")
+    attr = r.where(F.col("question_id") == L.UNIT_QUESTION).select("survey_id", F.col("value").alias("unit"))
+    return J.attach_survey_attribute(r, attr)
+
+
+@register("q_first_encounter")
+def q_first_encounter(inp):
+    return W.first_encounter(inp.encounters)
+
+
+@register("q_latest_designator")
+def q_latest_designator(inp):
+    return W.latest_designator(inp.designator_log)
+
+
+@register("q_unit_recode")
+def q_unit_recode(inp):
+    unit = W.survey_attribute(inp.responses, L.UNIT_QUESTION, "unit", L.NULL_UNIT)
+    return D.recode(unit, "unit", L.unit_aliases(inp.spark), "der_unit")
+
+
+@register("q_dept_translation")
+def q_dept_translation(inp):
+    return extract.survey_departments(inp, extract.filtered_answers(inp, DEFAULT), DEFAULT)
+
+
+@register("q_dept_by_unit")
+def q_dept_by_unit(inp):
+    s = lines.survey_unit_departments(inp, DEFAULT)
+    return s.select("survey_id", "unit", "der_unit", "mapped_department_id", "dep_department_key").distinct()
+
+
+@register("q_resolve_department")
+def q_resolve_department(inp):
+    s = lines.survey_unit_departments(inp, DEFAULT)
+    return s.select("survey_id", "department_key", "unit", "der_unit", "goal_unit", "enc_department_key",
+                    "dep_department_key", "resolved_department_key", "goal_department_key",
+                    "goal_resolved_department_key")
+
+
+@register("q_department_group")
+def q_department_group(inp):
+    s = extract.survey_departments(inp, extract.filtered_answers(inp, DEFAULT), DEFAULT)
+    return J.with_group(s, L.department_groups(inp.spark)).select(
+        "survey_id", "epic_department_id", "group_id", "group_name")
+
+
+def _survey_goal_keys(inp):
+    """Distinct goal keys from the survey-department stage and the answered
+    questions' goal domains (no answer-level detail needed)."""
+    a = extract.filtered_answers(inp, DEFAULT)
+    doms = S.with_rules(a.select("survey_id", "question_id"), inp.rules, extra=["domain"]).select(
+        "survey_id", S.goal_domain().alias("domain_goals"))
+    s = extract.survey_departments(inp, a, DEFAULT)
+    return (s.join(doms, "survey_id").select(
+        "rec_fy", F.lit(DEFAULT.service_line).alias("service_line"), "epic_department_id",
+        "goal_epic_department_id", "domain_goals").distinct())
+
+
+def _specific(inp):
+    return inp.child_goals.where(F.col("epic_department_id") != L.ALL_UNITS).select(
+        F.col("goal_fiscal_yr").alias("rec_fy"), F.col("epic_department_id").alias("goal_epic_department_id"),
+        F.col("domain").alias("domain_goals"), "goal")
+
+
+@register("q_goal_anti")
+def q_goal_anti(inp):
+    return J.without_specific_goal(_survey_goal_keys(inp), _specific(inp),
+                                   ["rec_fy", "goal_epic_department_id", "domain_goals"])
+
+
+@register("q_goal_specific")
+def q_goal_specific(inp):
+    return J.with_specific_goal(_survey_goal_keys(inp), _specific(inp),
+                                ["rec_fy", "goal_epic_department_id", "domain_goals"])
+
+
+@register("q_goal_all_lines")
+def q_goal_all_lines(inp):
+    s = extract.survey_departments(inp, extract.filtered_answers(inp, DEFAULT), DEFAULT)
+    g = inp.child_goals.where(F.col("service_line") == L.ALL_SERVICE_LINES)
+    return J.in_loaded_years(g, s)
+
+
+@register("q_zip_domains")
+def q_zip_domains(inp):
+    doms = S.with_rules(inp.responses.select("question_id"), inp.rules, extra=["domain"]).select(
+        S.goal_domain().alias("response_domain")).where(F.col("response_domain").isNotNull())
+    goals = inp.child_goals.select(F.col("domain").alias("goal_domain"))
+    return J.zip_sorted(doms, "response_domain", goals, "goal_domain")

@@ -174,3 +174,13 @@ def unit_aliases(spark: SparkSession) -> DataFrame:
 
 def department_groups(spark: SparkSession) -> DataFrame:
     return lookup(spark, DEPARTMENT_GROUPS, "department_id string, group_id int, group_name string")
+
+# Goal-department overrides (R2): unit whose goals sit under another
+# department key; surveys without a unit from one department.
+GOAL_UNIT_KEYS = {"U2": 40}
+GOAL_NO_UNIT_KEYS = {7: 8}
+GOAL_UNIT_ALIASES = UNIT_ALIASES + [("U2", "U3")]
+
+
+def goal_unit_aliases(spark: SparkSession) -> DataFrame:
+    return lookup(spark, GOAL_UNIT_ALIASES, "unit_name string, current_unit string")

@@ -52,7 +52,7 @@ class Inputs:
     def responses(self) -> DataFrame:
         """Answer fact, one row per survey x question (EAV)."""
         li = self.table("lineitem", ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-                                     "l_quantity", "l_returnflag", "l_shipdate"])
+                                     "l_quantity", "l_returnflag"])
         od = self.table("orders", ["o_orderkey", "o_custkey", "o_orderdate"])
         q = F.col("l_quantity").cast("int")
         ln = F.col("l_linenumber")
@@ -77,7 +77,7 @@ class Inputs:
             F.col("l_orderkey").alias("account_key"),
             F.col("o_custkey").alias("patient_key"),
             F.when(F.col("l_partkey") % 5 == 0, "IN").otherwise("PD").alias("service_code"),
-            F.col("l_shipdate").cast("date").alias("received_date"),
+            F.date_add(discharge, (F.col("o_orderkey") % 45).cast("int")).alias("received_date"),
             discharge.alias("discharge_date"),
             fiscal_year(discharge).alias("fy"),
             value.alias("value"),

@@ -41,7 +41,7 @@ SELECT l.l_orderkey AS survey_id,
        l.l_orderkey AS account_key,
        o.o_custkey AS patient_key,
        CASE WHEN l.l_partkey % 5 = 0 THEN 'IN' ELSE 'PD' END AS service_code,
-       CAST(l.l_shipdate AS DATE) AS received_date,
+       CAST(o.o_orderdate AS DATE) + CAST(o.o_orderkey % 45 AS INTEGER) AS received_date,
        CAST(o.o_orderdate AS DATE) AS discharge_date,
        CAST(CASE WHEN month(o.o_orderdate) >= 7 THEN year(o.o_orderdate) + 1 ELSE year(o.o_orderdate) END AS INTEGER) AS fy,
        CASE

@@ -99,3 +99,72 @@ FROM (SELECT DISTINCT survey_id, patient_key, received_date FROM responses) s
 LEFT JOIN patients p ON p.patient_key = s.patient_key
 LEFT JOIN ages a ON a.survey_id = s.survey_id""")
 ORACLE["q_period_label"] = _v(f"""SELECT DISTINCT received_date AS event_date, {rpt_prd('received_date')} AS rpt_prd FROM responses""")
+
+# -- windows, departments, joins ----------------------------------------------
+ORACLE["q_unit_spread"] = _v("""SELECT survey_id, question_id, value,
+       MAX(CASE WHEN question_id = 7 THEN COALESCE(value, 'Null Unit') END) OVER (PARTITION BY survey_id) AS unit
+FROM responses""")
+ORACLE["q_unit_per_survey"] = _v("""SELECT r.survey_id, r.question_id, r.value, u.unit
+FROM responses r LEFT JOIN (SELECT DISTINCT survey_id, value AS unit FROM responses WHERE question_id = 7) u
+  ON u.survey_id = r.survey_id""")
+ORACLE["q_first_encounter"] = _v("""SELECT account_key, department_key AS enc_department_key FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY account_key ORDER BY appt_dtm, encounter_id) AS seq FROM encounters)
+WHERE seq = 1""")
+ORACLE["q_latest_designator"] = _v("""SELECT survey_id, value, log_id, load_dtm FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY survey_id, value ORDER BY load_dtm DESC, log_id DESC) AS seq
+  FROM designator_log) WHERE seq = 1""")
+ORACLE["q_unit_recode"] = _v("""SELECT u.survey_id, u.unit, COALESCE(a.current_unit, u.unit) AS der_unit
+FROM (SELECT survey_id, MAX(COALESCE(value, 'Null Unit')) AS unit FROM responses WHERE question_id = 7 GROUP BY survey_id) u
+LEFT JOIN unit_aliases a ON a.unit_name = u.unit""")
+ORACLE["q_dept_translation"] = _v("""SELECT DISTINCT survey_id, department_id AS epic_department_id,
+       department_name AS epic_department_name, goal_department_id AS goal_epic_department_id, rec_fy, unit
+FROM resp_epic_id""")
+
+_SUD = {
+    "enc_first": """SELECT account_key, department_key AS enc_department_key FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY account_key ORDER BY appt_dtm, encounter_id) AS seq FROM encounters) WHERE seq = 1""",
+    "sud_base": """SELECT DISTINCT r.survey_id, r.account_key, r.department_key, e.enc_department_key, r.unit,
+       CASE r.unit WHEN 'U4' THEN 'U3' WHEN 'U7' THEN 'U6' ELSE r.unit END AS der_unit,
+       CASE r.unit WHEN 'U4' THEN 'U3' WHEN 'U7' THEN 'U6' WHEN 'U2' THEN 'U3' ELSE r.unit END AS goal_unit
+FROM resp_unit r LEFT JOIN enc_first e ON e.account_key = r.account_key""",
+    "sud_mapped": """SELECT b.*, COALESCE(o.department_id, m.department_id) AS mapped_department_id
+FROM sud_base b LEFT JOIN unit_mapping m ON m.unit_name = b.der_unit LEFT JOIN unit_overrides o ON o.unit_name = b.unit""",
+    "sud": """SELECT x.*,
+       CASE WHEN x.department_key IS NOT NULL AND x.department_key > 0 THEN x.department_key
+            WHEN x.der_unit IS NULL THEN x.enc_department_key
+            WHEN x.der_unit <> 'U5' THEN x.dep_department_key ELSE x.enc_department_key END AS resolved_department_key,
+       CASE WHEN x.goal_department_key IS NOT NULL AND x.goal_department_key > 0 THEN x.goal_department_key
+            WHEN x.goal_unit IS NULL THEN x.enc_department_key
+            WHEN x.goal_unit <> 'U5' THEN x.dep_department_key ELSE x.enc_department_key END AS goal_resolved_department_key
+FROM (SELECT m.*, d.department_key AS dep_department_key,
+             CASE WHEN m.unit = 'U2' THEN 40 WHEN m.unit IS NULL AND m.department_key = 7 THEN 8
+                  ELSE m.department_key END AS goal_department_key
+      FROM sud_mapped m LEFT JOIN departments d ON d.department_id = m.mapped_department_id) x""",
+}
+_EXT.update(_SUD)
+ORACLE["q_dept_by_unit"] = _v("SELECT DISTINCT survey_id, unit, der_unit, mapped_department_id, dep_department_key FROM sud")
+ORACLE["q_resolve_department"] = _v("""SELECT survey_id, department_key, unit, der_unit, goal_unit, enc_department_key,
+       dep_department_key, resolved_department_key, goal_department_key, goal_resolved_department_key FROM sud""")
+ORACLE["q_department_group"] = _v("""SELECT s.survey_id, s.epic_department_id, COALESCE(g.group_id, 0) AS group_id,
+       COALESCE(g.group_name, 'Other') AS group_name
+FROM (SELECT DISTINCT survey_id, department_id AS epic_department_id, department_name, goal_department_id, rec_fy, unit
+      FROM resp_epic_id) s LEFT JOIN dept_groups g ON g.department_id = s.epic_department_id""")
+_KEYS = f"""(SELECT DISTINCT e.rec_fy, '{DEFAULT.service_line}' AS service_line, e.department_id AS epic_department_id,
+        e.goal_department_id AS goal_epic_department_id, COALESCE(x.domain_override, x.domain) AS domain_goals
+  FROM resp_epic_id e JOIN answers_f a ON a.survey_id = e.survey_id LEFT JOIN rules x ON x.question_id = a.question_id)"""
+ORACLE["q_goal_anti"] = _v(f"""SELECT k.* FROM {_KEYS} k
+LEFT JOIN (SELECT * FROM child_goals WHERE epic_department_id <> 'All Units') g
+  ON g.goal_fiscal_yr = k.rec_fy AND g.epic_department_id = k.goal_epic_department_id AND g.domain = k.domain_goals
+WHERE g.epic_department_id IS NULL""")
+ORACLE["q_goal_specific"] = _v(f"""SELECT k.*, g.goal FROM {_KEYS} k
+LEFT JOIN (SELECT * FROM child_goals WHERE epic_department_id <> 'All Units') g
+  ON g.goal_fiscal_yr = k.rec_fy AND g.epic_department_id = k.goal_epic_department_id AND g.domain = k.domain_goals
+WHERE g.epic_department_id IS NOT NULL""")
+ORACLE["q_goal_all_lines"] = _v("""SELECT * FROM child_goals WHERE service_line = 'All Service Lines'
+  AND goal_fiscal_yr IN (SELECT DISTINCT rec_fy FROM resp_epic_id)""")
+ORACLE["q_zip_domains"] = _v("""SELECT a.idx, a.response_domain, b.goal_domain FROM
+  (SELECT ROW_NUMBER() OVER (ORDER BY response_domain) AS idx, response_domain FROM
+     (SELECT DISTINCT COALESCE(x.domain_override, x.domain) AS response_domain FROM responses r
+      LEFT JOIN rules x ON x.question_id = r.question_id WHERE COALESCE(x.domain_override, x.domain) IS NOT NULL)) a
+JOIN (SELECT ROW_NUMBER() OVER (ORDER BY goal_domain) AS idx, goal_domain FROM
+     (SELECT DISTINCT domain AS goal_domain FROM child_goals)) b ON a.idx = b.idx""")
