@@ -14,13 +14,20 @@ from pyspark.sql import functions as F
 from boxscore.sources.lookups import ALL_GROUPS, ALL_SERVICE_LINES, ALL_UNITS
 
 
-def explode_levels(df: DataFrame, levels: list[dict[str, Column]]) -> DataFrame:
+def explode_levels(df: DataFrame, levels: list[dict[str, Column]],
+                   conds: list[Column | None] | None = None) -> DataFrame:
     """Emit one copy of each row per level; each level dict gives the
-    overriding expressions for some columns (others keep their value)."""
+    overriding expressions for some columns (others keep their value).
+    ``conds`` optionally restricts a level to rows where its condition holds."""
     names = sorted({k for lv in levels for k in lv})
     structs = [F.struct(*[(lv.get(n, F.col(n))).alias(n) for n in names]) for lv in levels]
+    if conds:
+        structs = [s if c is None else F.when(c, s) for s, c in zip(structs, conds)]
+        arr = F.filter(F.array(*structs), lambda x: x.isNotNull())
+    else:
+        arr = F.array(*structs)
     rest = [c for c in df.columns if c not in names]
-    return (df.select(*rest, F.explode(F.array(*structs)).alias("__lv"))
+    return (df.select(*rest, F.explode(arr).alias("__lv"))
             .select(*rest, *[F.col(f"__lv.{n}").alias(n) for n in names]))
 
 
@@ -38,12 +45,14 @@ def rollup_units(df: DataFrame, own_goal: str = "goal", all_goal: str = "goal_al
     return out.drop(all_goal) if all_goal != "goal" else out
 
 
-def rollup_lines(df: DataFrame, own_goal: str = "goal", all_goal: str = "goal_all_lines") -> DataFrame:
-    """Each row plus an 'All Service Lines' copy."""
+def rollup_lines(df: DataFrame, own_goal: str = "goal", all_goal: str = "goal_all_lines",
+                 copy_if: Column | None = None) -> DataFrame:
+    """Each row plus an 'All Service Lines' copy (only where ``copy_if``
+    holds, when given - e.g. rows matched on both report dates)."""
     out = explode_levels(df, [
         {"service_line": F.col("service_line"), "goal": F.col(own_goal)},
         {"service_line": label_if_survey(ALL_SERVICE_LINES), "goal": F.col(all_goal)},
-    ])
+    ], conds=[None, copy_if] if copy_if is not None else None)
     return out.drop(all_goal) if all_goal != "goal" else out
 
 

@@ -69,10 +69,9 @@ def survey_departments(inp: Inputs, answers: DataFrame, cfg: ExtractConfig = DEF
     return rows.join(unit, "survey_id", "left").distinct()
 
 
-def scored_answers(inp: Inputs, cfg: ExtractConfig = DEFAULT) -> DataFrame:
-    """The scored, enriched answer stage (one row per answer x survey
-    department row), before goals and the date spine."""
-    answers = filtered_answers(inp, cfg)
+def answer_detail(inp: Inputs, answers: DataFrame, cfg: ExtractConfig = DEFAULT) -> DataFrame:
+    """Answer-level enrichment: question (inner), self-reported age, account,
+    patient, physician, attributes and the V1-V9 columns."""
     age = max_answer(inp.responses.select("survey_id", "question_id", "account_key", "value"),
                      cfg.age_question, "pat_age_survey_answer")
     attrs = inp.rules.select("question_id", "domain", "question_text", "question_text_alias")
@@ -101,6 +100,14 @@ def scored_answers(inp: Inputs, cfg: ExtractConfig = DEFAULT) -> DataFrame:
         "pat_age_survey_answer",
         V.sex_label(F.col("sex")).alias("pat_sex"),
     )
+    return a
+
+
+def scored_answers(inp: Inputs, cfg: ExtractConfig = DEFAULT) -> DataFrame:
+    """The scored, enriched answer stage (one row per answer x survey
+    department row), before goals and the date spine."""
+    answers = filtered_answers(inp, cfg)
+    a = answer_detail(inp, answers, cfg)
     surveys = survey_departments(inp, answers, cfg)
     out = a.join(surveys, "survey_id", "left")
     return out.select(

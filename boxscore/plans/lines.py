@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from boxscore.operators import departments as D
 from boxscore.operators.windows import first_encounter, survey_attribute
 from boxscore.plans.config import DEFAULT, ExtractConfig
-from boxscore.plans.extract import filtered_answers
+from boxscore.plans.extract import ANSWER_COLS, filtered_answers
 from boxscore.sources import lookups as L
 from boxscore.sources.tables import Inputs
 
@@ -34,3 +34,157 @@ def survey_unit_departments(inp: Inputs, cfg: ExtractConfig = DEFAULT, answers:
         goal_own.alias("goal_department_key"),
         D.resolve_department(goal_own, F.col("goal_unit"), dep_k, enc_k, L.CLOSED_UNIT).alias("goal_resolved_department_key"),
     )
+
+
+# ---------------------------------------------------------------------------
+# Service-line extracts
+# ---------------------------------------------------------------------------
+from dataclasses import replace  # noqa: E402
+
+from boxscore.functions import labels as V  # noqa: E402
+from boxscore.operators.aggregations import sub_service_line  # noqa: E402
+from boxscore.operators.goals import flat_goals  # noqa: E402
+from boxscore.operators.joins import without_flagged  # noqa: E402
+from boxscore.operators.report_dates import dual_date  # noqa: E402
+from boxscore.operators.rollups import rollup_lines, rollup_units, suffix_shared  # noqa: E402
+from boxscore.plans.extract import answer_detail, finish  # noqa: E402
+
+LINE_CFG = replace(DEFAULT, event_type="CHCAHPS", date_mode="full")
+ADULT_CFG = replace(DEFAULT, event_type="Inpatient HCAHPS", date_mode="full")
+CLINIC_CFG = replace(DEFAULT, event_type="Outpatient CGCAHPS", date_mode="full")
+CHILD_CFG = replace(DEFAULT, event_type="Child HCAHPS", date_mode="full")
+ADULT_GOAL_YEAR = 1998
+FLAT_GOAL = "0.750"
+
+
+def line_locations(inp: Inputs, resolved: DataFrame, unknown_label: str = L.UNKNOWN) -> DataFrame:
+    """Department -> location master -> service line (V12), sub service
+    line (A2), clinic label (V11) for each resolved department key."""
+    deps = inp.departments.select(F.col("department_key").alias("resolved_department_key"),
+                                  F.col("department_id").alias("epic_department_id"),
+                                  F.col("department_name").alias("epic_department_name"))
+    lm = inp.location_master.select(F.col("department_id").alias("epic_department_id"),
+                                    F.col("department_name").alias("loc_name"), "service_line_id",
+                                    F.col("service_line").alias("loc_service_line"))
+    mdm = sub_service_line(inp.location_master).withColumnRenamed("department_id", "epic_department_id")
+    x = resolved.join(deps, "resolved_department_key", "left").join(lm, "epic_department_id", "left") \
+        .join(mdm, "epic_department_id", "left")
+    return x.select(
+        "*",
+        V.service_line(F.col("loc_service_line")).alias("service_line"),
+        V.clinic_label2(F.col("loc_name"), F.col("epic_department_id"), F.col("epic_department_name"),
+                        F.col("epic_department_id"), unknown=unknown_label).alias("clinic"),
+    ).drop("loc_name", "loc_service_line")
+
+
+def line_scored(inp: Inputs, cfg: ExtractConfig = LINE_CFG, unknown_label: str = L.UNKNOWN) -> DataFrame:
+    """SVC stage: scored answers whose department comes from the R1 cascade."""
+    answers = filtered_answers(inp, cfg)
+    a = answer_detail(inp, answers, cfg)
+    sud = survey_unit_departments(inp, cfg, answers).select("survey_id", "resolved_department_key", "unit")
+    per_survey = line_locations(inp, sud.distinct(), unknown_label)
+    return a.join(per_survey, "survey_id", "left").distinct()
+
+
+def line_goals(inp: Inputs, df: DataFrame) -> DataFrame:
+    """Line-level ('All Units') and 'All Service Lines' goals by the answer's
+    fiscal year (SVC joins on the answer's FY)."""
+    g = inp.adult_goals.where(F.col("epic_department_id") == L.ALL_UNITS)
+    line = g.where(F.col("service_line") != L.ALL_SERVICE_LINES).select(
+        F.col("goal_fiscal_yr").alias("fy"), "service_line", F.col("domain").alias("domain_goals"), "goal")
+    all_lines = g.where(F.col("service_line") == L.ALL_SERVICE_LINES).select(
+        F.col("goal_fiscal_yr").alias("fy"), F.col("domain").alias("domain_goals"),
+        F.col("goal").alias("goal_all_lines"))
+    return (df.join(line, ["fy", "service_line", "domain_goals"], "left")
+            .join(all_lines, ["fy", "domain_goals"], "left"))
+
+
+def line_extract(inp: Inputs, cfg: ExtractConfig = LINE_CFG, unknown_label: str = L.UNKNOWN) -> DataFrame:
+    """Service-line extract. The own arm reports on both spines (full
+    outer, both limited to the window); the 'All Service Lines' copy keeps
+    rows matched on both dates (inner). Clinics seen in several lines get
+    a ' - line' suffix (not on the roll-up rows)."""
+    staged = line_goals(inp, line_scored(inp, cfg, unknown_label))
+    spined = dual_date(staged, inp.calendar, cfg.start, cfg.end, mode="full", discharge_start=cfg.start)
+    both = F.col("survey_id").isNotNull() & F.col("event_date_disch").isNotNull()
+    rolled = rollup_lines(spined, copy_if=both)
+    rolled = suffix_shared(rolled, exclude_col="service_line", exclude=L.ALL_SERVICE_LINES,
+                           skip_value_col="service_line", skip_value=L.ALL_SERVICE_LINES)
+    return finish(rolled.withColumn("event_fy", F.col("event_fy")), cfg)
+
+
+def adult_scored(inp: Inputs, cfg: ExtractConfig = ADULT_CFG, service: str = "IN") -> DataFrame:
+    """HSV stage: inpatient answers, unit per survey (J12, recoded V15),
+    service line by unit mapping with the special-unit / missing-unit rules
+    (V19)."""
+    r = inp.responses.select(*ANSWER_COLS).where(F.col("service_code") == service)
+    r = r.where(F.col("question_id").isin(*cfg.questions))
+    a = answer_detail(inp, r, cfg)
+    units = (inp.responses.where(F.col("question_id") == cfg.unit_question)
+             .select("survey_id", F.col("value").alias("unit")).distinct())
+    units = D.recode(units, "unit", L.unit_aliases(inp.spark), "unit").distinct()
+    mp = F.broadcast(L.unit_mapping(inp.spark).select(F.col("unit_name").alias("__u"),
+                                                      F.col("service_line").alias("__line")))
+    units = units.join(mp, units["unit"] == mp["__u"], "left")
+    units = units.select(
+        "survey_id",
+        V.unit_or_other(F.col("unit"), [L.ADULT_SPECIAL_UNIT], L.CHILD_SERVICE_LINE,
+                        F.coalesce(F.col("__line"), F.lit(L.OTHER))).alias("service_line"),
+        F.coalesce(F.col("unit"), F.lit(L.OTHER)).alias("unit"))
+    return a.join(units, "survey_id", "left").distinct()
+
+
+def adult_extract(inp: Inputs, cfg: ExtractConfig = ADULT_CFG, drop_flagged: bool = False,
+                  with_goals: bool = True) -> DataFrame:
+    """P4 (by line) / P5 (flagged surveys removed, no goals): full outer on
+    the whole calendar, line goal by (line, domain) for the goal year, and
+    an 'All Service Lines' copy."""
+    s = adult_scored(inp, cfg)
+    if drop_flagged:
+        s = without_flagged(s, inp.responses, inp.questions, L.FLAG_VARNAME, L.FLAG_VALUE)
+    if with_goals:
+        g = inp.adult_goals.where((F.col("epic_department_id") == L.ALL_UNITS)
+                                  & (F.col("goal_fiscal_yr") == ADULT_GOAL_YEAR))
+        line = g.where(F.col("service_line") != L.ALL_SERVICE_LINES).select(
+            "service_line", F.col("domain").alias("domain_goals"), "goal")
+        all_lines = g.where(F.col("service_line") == L.ALL_SERVICE_LINES).select(
+            F.col("domain").alias("domain_goals"), F.col("goal").alias("goal_all_lines"))
+        s = s.join(line, ["service_line", "domain_goals"], "left").join(all_lines, ["domain_goals"], "left")
+    else:
+        s = s.withColumn("goal", F.lit(None).cast("decimal(4,3)")).withColumn(
+            "goal_all_lines", F.lit(None).cast("decimal(4,3)"))
+    spined = dual_date(s, inp.calendar, "1990-01-01", "2030-12-31", mode="full")
+    rolled = rollup_lines(spined)
+    out = rolled.withColumn("unit", F.when(F.col("unit") == L.ADULT_DISPLAY_RECODE[0], F.lit(L.ADULT_DISPLAY_RECODE[1]))
+                            .otherwise(F.col("unit")))
+    return adult_finish(out, cfg)
+
+
+def adult_finish(df: DataFrame, cfg: ExtractConfig) -> DataFrame:
+    return df.select(
+        F.lit(cfg.event_type).alias("event_type"), "survey_id", "account_key", "rpt_prd", "event_date",
+        "event_date_disch", "question_id", "varname", "question_text_alias", "domain", "domain_goals",
+        F.col("received_date").alias("recvd_date"), "discharge_date", F.col("mrn").alias("patient_id"),
+        "pat_name", "pat_sex", "pat_dob", "pat_age", "pat_age_survey_recvd", "pat_age_survey_answer",
+        V.peds_flag(F.col("pat_age_survey_answer")).alias("peds"), "npi", "phys_name", "phys_dept", "phys_div",
+        "goal", "unit", "service_line", "value", "value_resp_grp", "top_box", "val_count", "quarter_name",
+        "month_short_name")
+
+
+def child_extract(inp: Inputs, cfg: ExtractConfig = CHILD_CFG) -> DataFrame:
+    """Child survey by service line with synthetic flat goals (G3) per
+    (line, unit, domain), full outer spine and an 'All Service Lines' copy."""
+    s = line_scored(inp, cfg)
+    fg = flat_goals(s, FLAT_GOAL)
+    all_fg = (s.select("domain_goals").distinct()
+              .withColumn("goal_all_lines", F.lit(FLAT_GOAL).cast("decimal(4,3)")))
+    staged = s.join(fg, ["service_line", "unit", "domain_goals"], "left").join(all_fg, "domain_goals", "left")
+    spined = dual_date(staged, inp.calendar, cfg.start, cfg.end, mode="full", discharge_start=cfg.start)
+    rolled = suffix_shared(rollup_lines(spined), exclude_col="service_line", exclude=L.ALL_SERVICE_LINES,
+                           skip_value_col="service_line", skip_value=L.ALL_SERVICE_LINES)
+    return finish(rolled, cfg)
+
+
+def clinic_extract(inp: Inputs, cfg: ExtractConfig = CLINIC_CFG) -> DataFrame:
+    """Outpatient clinics by service line; unnamed clinics read 'Other'."""
+    return line_extract(inp, cfg, unknown_label=L.OTHER)

@@ -299,3 +299,36 @@ def q_zip_domains(inp):
         S.goal_domain().alias("response_domain")).where(F.col("response_domain").isNotNull())
     goals = inp.child_goals.select(F.col("domain").alias("goal_domain"))
     return J.zip_sorted(doms, "response_domain", goals, "goal_domain")
+
+
+# ---------------------------------------------------------------------------
+# Extract variants
+# ---------------------------------------------------------------------------
+@register("q_unit_extract_group")
+def q_unit_extract_group(inp):
+    return extract.unit_extract_groups(inp, DEFAULT)
+
+
+@register("q_line_extract")
+def q_line_extract(inp):
+    return lines.line_extract(inp, lines.LINE_CFG)
+
+
+@register("q_adult_extract")
+def q_adult_extract(inp):
+    return lines.adult_extract(inp, lines.ADULT_CFG)
+
+
+@register("q_without_flagged")
+def q_without_flagged(inp):
+    return lines.adult_extract(inp, lines.ADULT_CFG, drop_flagged=True, with_goals=False)
+
+
+@register("q_child_extract")
+def q_child_extract(inp):
+    return lines.child_extract(inp, lines.CHILD_CFG)
+
+
+@register("q_clinic_extract")
+def q_clinic_extract(inp):
+    return lines.clinic_extract(inp, lines.CLINIC_CFG)

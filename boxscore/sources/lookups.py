@@ -184,3 +184,10 @@ GOAL_UNIT_ALIASES = UNIT_ALIASES + [("U2", "U3")]
 
 def goal_unit_aliases(spark: SparkSession) -> DataFrame:
     return lookup(spark, GOAL_UNIT_ALIASES, "unit_name string, current_unit string")
+
+# Adult extract: unit reported under the child line whatever the mapping
+# says (V19), display recode of one unit label, and the flagged sample.
+ADULT_SPECIAL_UNIT = "U6"
+ADULT_DISPLAY_RECODE = ("U0", "U0-SSU")
+FLAG_VARNAME = "CH_4"
+FLAG_VALUE = "No"
