@@ -27,14 +27,17 @@ def answered(value: Column) -> Column:
     return F.when(value.isNotNull(), 1).otherwise(0)
 
 
-def top_box(value: Column, top_values: Column = F.col("top_values")) -> Column:
+def top_box(value: Column, top_values: Column | None = None) -> Column:
     """V1: 1 when the answer is one of the scale's top answers; else 0
     (NULL answers and unscaled questions included)."""
+    top_values = F.col("top_values") if top_values is None else top_values
     return F.coalesce(F.array_contains(top_values, value).cast("int"), F.lit(0))
 
 
-def top_box_label(scale: Column = F.col("scale"), label: Column = F.col("top_label")) -> Column:
+def top_box_label(scale: Column | None = None, label: Column | None = None) -> Column:
     """V2: the expected best answer; NULL when the question has no scale."""
+    scale = F.col("scale") if scale is None else scale
+    label = F.col("top_label") if label is None else label
     return F.when(scale.isNotNull(), label)
 
 
@@ -46,13 +49,14 @@ def _case(value: Column, pairs, default: Column | None = None) -> Column:
 
 
 def response_group(value: Column, question_id: Column, age_question: int,
-                   scale: Column = F.col("scale")) -> Column:
+                   scale: Column | None = None) -> Column:
     """V3: five-level response group.
 
     0-10 ratings are banded (unlisted answers -> NULL); the age answer is
     passed through; any other answer of 1..5 gets its label, else the raw
     answer.
     """
+    scale = F.col("scale") if scale is None else scale
     band = None
     for label, answers in RATING_BANDS:
         cond = value.isin(*answers)
@@ -63,8 +67,10 @@ def response_group(value: Column, question_id: Column, age_question: int,
             .otherwise(five))
 
 
-def goal_domain(domain: Column = F.col("domain"), override: Column = F.col("domain_override")) -> Column:
+def goal_domain(domain: Column | None = None, override: Column | None = None) -> Column:
     """V5: questions with their own goal report under the override domain."""
+    domain = F.col("domain") if domain is None else domain
+    override = F.col("domain_override") if override is None else override
     return F.coalesce(override, domain)
 
 

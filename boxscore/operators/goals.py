@@ -143,10 +143,17 @@ def parse_unit_label(df: DataFrame, col: str = "unit") -> DataFrame:
     )
 
 
-def load_goals_legacy(goals_old: DataFrame, year: int) -> DataFrame:
-    """Older goal loads: one year, split into unit rows (parsed label),
-    the line's 'All Units' rows and 'All Service Lines' rows."""
-    g = parse_unit_label(goals_old.where(F.col("goal_yr") == year))
+def load_goals_legacy(goals_old: DataFrame, year: int | None = None,
+                      domain_map: DataFrame | None = None) -> DataFrame:
+    """Older goal loads: one year (or all), split into unit rows (parsed
+    label), the line's 'All Units' rows and 'All Service Lines' rows; goal-file
+    domain names translated when a map is given."""
+    g = goals_old if year is None else goals_old.where(F.col("goal_yr") == year)
+    if domain_map is not None:
+        dm = F.broadcast(domain_map.select(F.col("goals_domain").alias("__gd"), F.col("domain").alias("__td")))
+        g = g.join(dm, g["domain"] == dm["__gd"], "left").withColumn("domain", F.coalesce("__td", "domain")) \
+             .drop("__gd", "__td")
+    g = parse_unit_label(g)
     units = g.where((F.col("unit") != ALL_UNITS) & (F.col("service_line") != ALL_SERVICE_LINES))
     lines = g.where((F.col("unit") == ALL_UNITS) & (F.col("service_line") != ALL_SERVICE_LINES))
     all_lines = g.where(F.col("service_line") == ALL_SERVICE_LINES)

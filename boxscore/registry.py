@@ -332,3 +332,146 @@ def q_child_extract(inp):
 @register("q_clinic_extract")
 def q_clinic_extract(inp):
     return lines.clinic_extract(inp, lines.CLINIC_CFG)
+
+
+# ---------------------------------------------------------------------------
+# Goals, roll-ups, report dates (G*, U*, J7, J8)
+# ---------------------------------------------------------------------------
+from boxscore.operators import aggregations as A  # noqa: E402
+from boxscore.operators import report_dates as RD  # noqa: E402
+from boxscore.operators import rollups as U  # noqa: E402
+
+
+@register("q_goal_cascade")
+def q_goal_cascade(inp):
+    return extract.unit_extract_parts(inp, DEFAULT)[1]
+
+
+@register("q_goal_cascade_group")
+def q_goal_cascade_group(inp):
+    return extract.unit_extract_parts(inp, DEFAULT, groups=True)[1]
+
+
+def _unit_domains(inp):
+    a = extract.filtered_answers(inp, DEFAULT)
+    unit = W.survey_attribute(a, L.UNIT_QUESTION, "unit", L.NULL_UNIT)
+    d = S.with_rules(a.select("survey_id", "question_id", "fy"), inp.rules, extra=["domain"])
+    return d.join(unit, "survey_id", "left").select(
+        "survey_id", "question_id", "fy", "unit", S.goal_domain().alias("domain_goals"))
+
+
+@register("q_flat_goals")
+def q_flat_goals(inp):
+    k = _unit_domains(inp).withColumn("service_line", F.lit(DEFAULT.service_line))
+    return G.flat_goals(k, "0.750", year=2000)
+
+
+@register("q_parse_unit_label")
+def q_parse_unit_label(inp):
+    return G.parse_unit_label(inp.goals_old).select("unit", "epic_department_id", "epic_department_name").distinct()
+
+
+@register("q_goals_legacy")
+def q_goals_legacy(inp):
+    return G.load_goals_legacy(inp.goals_old, 1998)
+
+
+def _legacy_keys(inp):
+    a = extract.filtered_answers(inp, DEFAULT)
+    s = extract.survey_departments(inp, a, DEFAULT)
+    doms = S.with_rules(a.select("survey_id", "question_id"), inp.rules, extra=["domain"]).select(
+        "survey_id", S.goal_domain().alias("domain_goals"))
+    lm = inp.location_master.select(F.col("department_id").alias("epic_department_id"), "service_line")
+    return (s.join(doms, "survey_id").join(lm, "epic_department_id", "left")
+            .select("rec_fy", "service_line", F.col("epic_department_id").alias("goal_unit"), "domain_goals")
+            .distinct())
+
+
+@register("q_goal_legacy")
+def q_goal_legacy(inp):
+    goals = G.load_goals_legacy(inp.goals_old, None, L.domain_translation(inp.spark))
+    return G.resolve_goals_legacy(_legacy_keys(inp), goals)
+
+
+@register("q_goal_mapping")
+def q_goal_mapping(inp):
+    return G.goal_mapping(extract.unit_extract_parts(inp, DEFAULT)[2])
+
+
+@register("q_vocabulary_diff")
+def q_vocabulary_diff(inp):
+    resp = S.with_rules(inp.responses.select("question_id"), inp.rules, extra=["domain"]).select(
+        S.goal_domain().alias("d"))
+    return G.vocabulary_diff(resp, "d", inp.goal_settings, "domain")
+
+
+@register("q_rollup_units")
+def q_rollup_units(inp):
+    staged = extract.unit_extract_parts(inp, DEFAULT)[2]
+    return U.rollup_units(staged.select("survey_id", "question_id", "clinic", "domain_goals", "goal",
+                                        "goal_all_units"))
+
+
+def _line_frame(inp):
+    """Answers with the unit-mapped service line, goal domain and fiscal year."""
+    k = _unit_domains(inp)
+    mp = L.unit_mapping(inp.spark).select(F.col("unit_name").alias("unit"), "service_line")
+    return k.join(F.broadcast(mp), "unit", "left").withColumn(
+        "service_line", F.coalesce("service_line", F.lit(L.OTHER)))
+
+
+@register("q_rollup_lines")
+def q_rollup_lines(inp):
+    k = _line_frame(inp)
+    g = inp.adult_goals.where(F.col("epic_department_id") == L.ALL_UNITS)
+    line = g.where(F.col("service_line") != L.ALL_SERVICE_LINES).select(
+        F.col("goal_fiscal_yr").alias("fy"), "service_line", F.col("domain").alias("domain_goals"), "goal")
+    alll = g.where(F.col("service_line") == L.ALL_SERVICE_LINES).select(
+        F.col("goal_fiscal_yr").alias("fy"), F.col("domain").alias("domain_goals"), F.col("goal").alias("goal_all_lines"))
+    staged = k.join(line, ["fy", "service_line", "domain_goals"], "left").join(alll, ["fy", "domain_goals"], "left")
+    return U.rollup_lines(staged.select("survey_id", "question_id", "fy", "service_line", "domain_goals", "goal",
+                                        "goal_all_lines"))
+
+
+@register("q_rollup_groups")
+def q_rollup_groups(inp):
+    staged = extract.unit_extract_parts(inp, DEFAULT, groups=True)[2]
+    return U.rollup_groups(staged.select("survey_id", "question_id", "clinic", "group_name", "domain_goals",
+                                         "goal", "goal_all_units"))
+
+
+def _dual(inp, mode, discharge_start=None):
+    a = extract.filtered_answers(inp, DEFAULT)
+    a = S.with_rules(a.select("survey_id", "question_id", "received_date", "discharge_date", "value"), inp.rules)
+    a = a.select("survey_id", "question_id", "received_date", "discharge_date", S.top_box(F.col("value")).alias("top_box"))
+    out = RD.dual_date(a, inp.calendar, DEFAULT.start, DEFAULT.end, mode=mode, discharge_start=discharge_start)
+    return out.select("survey_id", "question_id", "received_date", "discharge_date", "top_box", "rpt_prd",
+                      "event_date", "event_fy", "quarter_name", "month_short_name", "event_date_disch")
+
+
+@register("q_dual_date_left")
+def q_dual_date_left(inp):
+    return _dual(inp, "left")
+
+
+@register("q_dual_date_full")
+def q_dual_date_full(inp):
+    return _dual(inp, "full", DEFAULT.start)
+
+
+@register("q_dual_date_inner")
+def q_dual_date_inner(inp):
+    return _dual(inp, "inner", DEFAULT.start)
+
+
+@register("q_shared_clinic_suffix")
+def q_shared_clinic_suffix(inp):
+    a = extract.filtered_answers(inp, DEFAULT)
+    s = extract.survey_departments(inp, a, DEFAULT).select(
+        "survey_id", "unit", V.clinic_label(F.col("epic_department_name"), F.col("epic_department_id")).alias("clinic"))
+    mp = L.unit_mapping(inp.spark).select(F.col("unit_name").alias("unit"), "service_line")
+    f = s.join(F.broadcast(mp), "unit", "left").select("clinic", "service_line").distinct()
+    shared = A.spans_many(f.where(F.col("clinic") != L.ALL_UNITS), "clinic", "service_line")
+    out = U.suffix_shared(f.withColumn("clinic_label", F.col("clinic")), key="clinic_label", of="service_line",
+                          exclude_col="clinic_label")
+    return out.join(shared.select("clinic", "n_distinct"), "clinic", "left")

@@ -168,3 +168,118 @@ ORACLE["q_zip_domains"] = _v("""SELECT a.idx, a.response_domain, b.goal_domain F
       LEFT JOIN rules x ON x.question_id = r.question_id WHERE COALESCE(x.domain_override, x.domain) IS NOT NULL)) a
 JOIN (SELECT ROW_NUMBER() OVER (ORDER BY goal_domain) AS idx, goal_domain FROM
      (SELECT DISTINCT domain AS goal_domain FROM child_goals)) b ON a.idx = b.idx""")
+
+# -- goals, roll-ups, report dates -----------------------------------------------
+_LINE = f"'{DEFAULT.service_line}'"
+_PARSE = """CASE WHEN unit = 'All Units' OR instr(unit, '[') = 0 THEN NULL ELSE substring(unit, instr(unit, '[') + 1, 8) END AS epic_department_id,
+       CASE WHEN unit = 'All Units' OR instr(unit, '[') = 0 THEN NULL ELSE substring(unit, 1, instr(unit, '[') - 2) END AS epic_department_name"""
+_EXT.update({
+    "unit_by_survey": "SELECT survey_id, MAX(COALESCE(value, 'Null Unit')) AS unit FROM answers_f WHERE question_id = 7 GROUP BY survey_id",
+    "unit_domains": """SELECT a.survey_id, a.question_id, a.fy, u.unit, COALESCE(x.domain_override, x.domain) AS domain_goals
+FROM answers_f a LEFT JOIN unit_by_survey u ON u.survey_id = a.survey_id LEFT JOIN rules x ON x.question_id = a.question_id""",
+    "legacy_all": f"""SELECT g.svc_cde, g.goal_yr, g.service_line, g.unit, COALESCE(t.domain, g.domain) AS domain, g.goal, {_PARSE}
+FROM goals_old g LEFT JOIN domain_translation t ON t.goals_domain = g.domain""",
+    "legacy_1998": f"SELECT *, {_PARSE} FROM goals_old WHERE goal_yr = 1998",
+    "line_all_goal": f"""SELECT rec_fy, domain_goals, CASE WHEN goal = 0.0 THEN CAST(NULL AS DECIMAL(4,3)) ELSE goal END AS goal
+FROM goals_stage WHERE service_line = {_LINE} AND goal_epic_department_id = 'All Units'""",
+    "scored_g": """SELECT s.*, COALESCE(g.group_id, 0) AS group_id, COALESCE(g.group_name, 'Other') AS group_name
+FROM scored s LEFT JOIN dept_groups g ON g.department_id = s.epic_department_id""",
+    "dd_src": """SELECT a.survey_id, a.question_id, a.received_date, a.discharge_date,
+       CASE WHEN list_contains(x.top_values, a.value) THEN 1 ELSE 0 END AS top_box
+FROM answers_f a LEFT JOIN rules x ON x.question_id = a.question_id""",
+})
+ORACLE["q_goal_cascade"] = _v("SELECT * FROM goals_stage")
+ORACLE["q_goal_cascade_group"] = _v(f"""SELECT DISTINCT * FROM (
+  SELECT rec_fy, service_line, goal_epic_department_id, domain_goals, goal, CAST(NULL AS VARCHAR) AS group_name FROM goals_stage
+  UNION ALL
+  SELECT k.rec_fy, k.service_line, 'All Units', k.domain_goals, ga.goal, k.group_name
+  FROM (SELECT DISTINCT rec_fy, service_line, group_name, domain_goals FROM scored_g) k
+  LEFT JOIN (SELECT * FROM child_goals WHERE epic_department_id = 'All Units') ga
+    ON ga.goal_fiscal_yr = k.rec_fy AND ga.service_line = {_LINE} AND ga.domain = k.domain_goals)""")
+ORACLE["q_flat_goals"] = _v(f"""SELECT DISTINCT {_LINE} AS service_line, unit, domain_goals,
+       CAST(0.750 AS DECIMAL(4,3)) AS goal, 2000 AS goal_fiscal_yr FROM unit_domains""")
+ORACLE["q_parse_unit_label"] = _v(f"SELECT DISTINCT unit, {_PARSE} FROM goals_old")
+_LEG_COLS = "svc_cde, goal_yr AS goal_fiscal_yr, service_line, unit, epic_department_id, epic_department_name, domain, CAST(goal AS DECIMAL(4,3)) AS goal"
+ORACLE["q_goals_legacy"] = _v(f"""
+SELECT {_LEG_COLS}, 'unit' AS level FROM legacy_1998 WHERE unit <> 'All Units' AND service_line <> 'All Service Lines'
+UNION ALL SELECT {_LEG_COLS}, 'line' FROM legacy_1998 WHERE unit = 'All Units' AND service_line <> 'All Service Lines'
+UNION ALL SELECT {_LEG_COLS}, 'all_lines' FROM legacy_1998 WHERE service_line = 'All Service Lines'""")
+_EXT.update({
+    "leg_k": """SELECT DISTINCT e.rec_fy, lm.service_line, e.department_id AS goal_unit,
+                  COALESCE(x.domain_override, x.domain) AS domain_goals
+           FROM resp_epic_id e JOIN answers_f a ON a.survey_id = e.survey_id
+           LEFT JOIN rules x ON x.question_id = a.question_id
+           LEFT JOIN location_master lm ON lm.department_id = e.department_id""",
+    "leg_ug": "SELECT * FROM legacy_all WHERE unit <> 'All Units' AND service_line <> 'All Service Lines'",
+    "leg_lg": "SELECT * FROM legacy_all WHERE unit = 'All Units' AND service_line <> 'All Service Lines'",
+})
+ORACLE["q_goal_legacy"] = _v("""
+SELECT k.*, CAST(ug.goal AS DECIMAL(4,3)) AS goal FROM leg_k k JOIN leg_ug ug
+  ON ug.goal_yr = k.rec_fy AND ug.epic_department_id = k.goal_unit AND ug.domain = k.domain_goals
+UNION ALL
+SELECT k.*, CAST(lg.goal AS DECIMAL(4,3)) FROM leg_k k
+LEFT JOIN leg_lg lg ON lg.goal_yr = k.rec_fy AND lg.service_line = k.service_line AND lg.domain = k.domain_goals
+WHERE NOT EXISTS (SELECT 1 FROM leg_ug ug WHERE ug.goal_yr = k.rec_fy AND ug.epic_department_id = k.goal_unit
+                  AND ug.domain = k.domain_goals)""")
+ORACLE["q_goal_mapping"] = _v("""SELECT DISTINCT rec_fy, service_line, epic_department_id, goal_epic_department_id, domain_goals,
+       CASE WHEN epic_department_id = goal_epic_department_id THEN 'Own'
+            WHEN goal_epic_department_id = 'All Units' THEN 'All Units' ELSE 'Translated' END AS mapping, goal
+FROM scored_goal WHERE goal IS NOT NULL""")
+ORACLE["q_vocabulary_diff"] = _v("""SELECT COALESCE(a.value, b.value) AS value, COALESCE(a.in_a, 0) AS in_a, COALESCE(b.in_b, 0) AS in_b
+FROM (SELECT DISTINCT COALESCE(x.domain_override, x.domain) AS value, 1 AS in_a FROM responses r
+      LEFT JOIN rules x ON x.question_id = r.question_id WHERE COALESCE(x.domain_override, x.domain) IS NOT NULL) a
+FULL OUTER JOIN (SELECT DISTINCT domain AS value, 1 AS in_b FROM goal_settings WHERE domain IS NOT NULL) b ON a.value = b.value""")
+ORACLE["q_rollup_units"] = _v("""SELECT survey_id, question_id, clinic, domain_goals, goal FROM scored_goal
+UNION ALL
+SELECT s.survey_id, s.question_id, CASE WHEN s.survey_id IS NOT NULL THEN 'All Units' END, s.domain_goals, ga.goal
+FROM scored s LEFT JOIN line_all_goal ga ON ga.rec_fy = s.rec_fy AND ga.domain_goals = s.domain_goals""")
+ORACLE["q_rollup_groups"] = _v("""
+SELECT s.survey_id, s.question_id, s.clinic, s.group_name, s.domain_goals, g.goal FROM scored_g s
+LEFT JOIN (SELECT DISTINCT rec_fy, goal_epic_department_id, service_line, domain_goals, goal
+           FROM goals_stage WHERE goal_epic_department_id <> 'All Units') g
+  ON g.rec_fy = s.rec_fy AND g.goal_epic_department_id = s.goal_epic_department_id
+ AND g.service_line = s.service_line AND g.domain_goals = s.domain_goals
+UNION ALL
+SELECT s.survey_id, s.question_id, CASE WHEN s.survey_id IS NOT NULL THEN 'All Units' END, s.group_name, s.domain_goals, ga.goal
+FROM scored_g s LEFT JOIN line_all_goal ga ON ga.rec_fy = s.rec_fy AND ga.domain_goals = s.domain_goals
+UNION ALL
+SELECT s.survey_id, s.question_id, CASE WHEN s.survey_id IS NOT NULL THEN 'All Units' END,
+       CASE WHEN s.survey_id IS NOT NULL THEN 'All Groups' END, s.domain_goals, ga.goal
+FROM scored_g s LEFT JOIN line_all_goal ga ON ga.rec_fy = s.rec_fy AND ga.domain_goals = s.domain_goals""")
+_EXT["line_frame"] = "SELECT d.*, COALESCE(m.service_line, 'Other') AS service_line FROM unit_domains d LEFT JOIN unit_mapping m ON m.unit_name = d.unit"
+ORACLE["q_rollup_lines"] = _v("""
+SELECT f.survey_id, f.question_id, f.fy, f.service_line, f.domain_goals, g.goal FROM line_frame f
+LEFT JOIN (SELECT * FROM adult_goals WHERE epic_department_id = 'All Units' AND service_line <> 'All Service Lines') g
+  ON g.goal_fiscal_yr = f.fy AND g.service_line = f.service_line AND g.domain = f.domain_goals
+UNION ALL
+SELECT f.survey_id, f.question_id, f.fy, CASE WHEN f.survey_id IS NOT NULL THEN 'All Service Lines' END, f.domain_goals, g.goal
+FROM line_frame f
+LEFT JOIN (SELECT * FROM adult_goals WHERE epic_department_id = 'All Units' AND service_line = 'All Service Lines') g
+  ON g.goal_fiscal_yr = f.fy AND g.domain = f.domain_goals""")
+
+
+def _dd(dis_lo: str | None, where: str) -> str:
+    lo = f"day_date >= DATE '{dis_lo}' AND " if dis_lo else ""
+    return _v(f"""SELECT s.survey_id, s.question_id, s.received_date, s.discharge_date, s.top_box,
+       {rpt_prd('rec.day_date')} AS rpt_prd, rec.day_date AS event_date, rec.fyear_num AS event_fy,
+       rec.quarter_name, rec.month_short_name, dis.day_date AS event_date_disch
+FROM (SELECT * FROM calendar WHERE day_date >= DATE '{DEFAULT.start}' AND day_date <= DATE '{DEFAULT.end}') rec
+LEFT JOIN dd_src s ON rec.day_date = s.received_date
+FULL OUTER JOIN (SELECT * FROM calendar WHERE {lo}day_date <= DATE '{DEFAULT.end}') dis ON dis.day_date = s.discharge_date
+{where}""")
+
+
+_WIN = f"BETWEEN DATE '{DEFAULT.start}' AND DATE '{DEFAULT.end}'"
+ORACLE["q_dual_date_left"] = _dd(None, f"WHERE rec.day_date {_WIN}")
+ORACLE["q_dual_date_full"] = _dd(DEFAULT.start, "")
+ORACLE["q_dual_date_inner"] = _dd(DEFAULT.start, f"WHERE dis.day_date {_WIN} AND rec.day_date {_WIN}")
+_EXT["clinic_lines"] = """SELECT DISTINCT s.clinic, m.service_line FROM
+  (SELECT DISTINCT survey_id, unit, CASE WHEN department_name IS NOT NULL THEN department_name || ' [' || trim(department_id) || ']'
+                                         ELSE 'Unknown [' || trim(department_id) || ']' END AS clinic FROM resp_epic_id) s
+  LEFT JOIN unit_mapping m ON m.unit_name = s.unit"""
+_EXT["shared_cl"] = """SELECT clinic, COUNT(DISTINCT service_line) AS n_distinct FROM clinic_lines WHERE clinic <> 'All Units'
+GROUP BY clinic HAVING COUNT(DISTINCT service_line) > 1"""
+ORACLE["q_shared_clinic_suffix"] = _v("""SELECT f.clinic, f.service_line,
+       CASE WHEN f.clinic IN (SELECT clinic FROM shared_cl) THEN f.clinic || ' - ' || f.service_line ELSE f.clinic END AS clinic_label,
+       sh.n_distinct
+FROM clinic_lines f LEFT JOIN shared_cl sh ON sh.clinic = f.clinic""")
