@@ -188,3 +188,56 @@ def child_extract(inp: Inputs, cfg: ExtractConfig = CHILD_CFG) -> DataFrame:
 def clinic_extract(inp: Inputs, cfg: ExtractConfig = CLINIC_CFG) -> DataFrame:
     """Outpatient clinics by service line; unnamed clinics read 'Other'."""
     return line_extract(inp, cfg, unknown_label=L.OTHER)
+
+
+# ---------------------------------------------------------------------------
+# Reporting-table loads
+# ---------------------------------------------------------------------------
+from boxscore.functions.calendar import period_label  # noqa: E402
+from boxscore.sources.tables import FIXED_LOAD_DTM  # noqa: E402
+
+
+def response_summary(inp: Inputs, cfg: ExtractConfig = DEFAULT, load_dtm: str = FIXED_LOAD_DTM) -> DataFrame:
+    """Distinct (department, domain, question, day) rows with clinic and
+    service-line labels. Known departments only; questions without a domain
+    are dropped."""
+    from boxscore.operators.filters import known_department
+    a = known_department(filtered_answers(inp, cfg))
+    unit = survey_attribute(a, cfg.unit_question, "unit", L.NULL_UNIT)
+    cal = inp.calendar.select(F.col("day_date").alias("received_date"), "quarter_name", "month_short_name")
+    deps = inp.departments.select("department_key", "department_id", "department_name")
+    dom = inp.rules.select("question_id", "domain").where(F.col("domain").isNotNull())
+    rows = (a.select("survey_id", "question_id", "department_key", "received_date", "discharge_date")
+            .join(F.broadcast(cal), "received_date", "inner")
+            .join(deps, "department_key", "left")
+            .join(F.broadcast(dom), "question_id", "inner")
+            .join(unit, "survey_id", "left")
+            .select("department_id", "department_name", "unit", "domain", "question_id",
+                    period_label(F.col("received_date")).alias("rpt_prd"),
+                    F.col("received_date").alias("event_date"), F.col("discharge_date").alias("event_date_disch"),
+                    "quarter_name", "month_short_name")
+            .distinct())
+    out = rows.select(
+        V.service_line_display(F.lit(cfg.service_line), F.lit(cfg.sub_service_line)).alias("service_line"),
+        V.clinic_label(F.col("department_name"), F.col("department_id")).alias("clinic"),
+        F.col("department_id").alias("epic_department_id"), "domain", "question_id", "rpt_prd", "event_date",
+        "event_date_disch", "quarter_name", "month_short_name")
+    return out.withColumn("load_dtm", F.lit(load_dtm).cast("timestamp"))
+
+
+def locations(inp: Inputs, cfg: ExtractConfig = DEFAULT, load_dtm: str = FIXED_LOAD_DTM,
+              external: bool = False) -> DataFrame:
+    """Picklist of (service line, clinic, department) from the
+    resolved department of each survey; P10 labels clinics by the
+    department's external name (V18)."""
+    sud = survey_unit_departments(inp, cfg).select("survey_id", "resolved_department_key", "unit").distinct()
+    loc = line_locations(inp, sud)
+    if external:
+        ext = inp.departments.select(F.col("department_id").alias("epic_department_id"), "external_name",
+                                     F.col("department_name").alias("dept_name"))
+        loc = loc.join(ext, "epic_department_id", "left").withColumn(
+            "clinic", F.concat(V.external_name(F.col("external_name"), F.col("dept_name")),
+                               F.lit(" ["), F.col("epic_department_id"), F.lit("]")))
+    return (loc.where(F.col("epic_department_id").isNotNull())
+            .select("service_line", "clinic", "epic_department_id").distinct()
+            .withColumn("load_dtm", F.lit(load_dtm).cast("timestamp")))

@@ -475,3 +475,175 @@ def q_shared_clinic_suffix(inp):
     out = U.suffix_shared(f.withColumn("clinic_label", F.col("clinic")), key="clinic_label", of="service_line",
                           exclude_col="clinic_label")
     return out.join(shared.select("clinic", "n_distinct"), "clinic", "left")
+
+
+# ---------------------------------------------------------------------------
+# Labels, enrichment, reports, audits, benchmarks (V*, J1/J2, A*, P8-P15)
+# ---------------------------------------------------------------------------
+from boxscore.operators import benchmarks as B  # noqa: E402
+from boxscore.plans.summaries import with_month  # noqa: E402
+
+
+@register("q_star_enrich")
+def q_star_enrich(inp):
+    r = inp.responses.select("survey_id", "question_id", "account_key", "patient_key", "physician_key")
+    r = J.with_question(r, inp.questions.select("question_id", "varname"))
+    r = J.enrich(r, [(inp.accounts, "account_key"), (inp.patients, "patient_key"), (inp.physicians, "physician_key")])
+    return r.select("survey_id", "question_id", "varname", "mrn", "last_name", "first_name", "display_name", "npi")
+
+
+def _dept_frame(inp):
+    keys = inp.responses.select("department_key").distinct()
+    d = keys.join(inp.departments, "department_key", "left")
+    lm = inp.location_master.select("department_id", F.col("department_name").alias("loc_name"), "service_line",
+                                    "sub_service_line")
+    return d.join(lm, "department_id", "left")
+
+
+@register("q_clinic_label")
+def q_clinic_label(inp):
+    d = _dept_frame(inp)
+    return d.select("department_key", "department_id",
+                    V.clinic_label(F.col("department_name"), F.col("department_id")).alias("clinic"),
+                    V.clinic_label2(F.col("loc_name"), F.col("department_id"), F.col("department_name"),
+                                    F.col("department_id")).alias("clinic_master"),
+                    V.clinic_label2(F.col("loc_name"), F.col("department_id"), F.col("department_name"),
+                                    F.col("department_id"), unknown=L.OTHER).alias("clinic_outpatient"))
+
+
+@register("q_service_line")
+def q_service_line(inp):
+    d = _dept_frame(inp).drop("sub_service_line")
+    sub = A.sub_service_line(inp.location_master)
+    x = d.join(sub, "department_id", "left").select(
+        "department_key", "department_id", V.service_line(F.col("service_line")).alias("service_line"),
+        "sub_service_line")
+    return x.withColumn("service_line_display", V.service_line_display(F.col("service_line"), F.col("sub_service_line")))
+
+
+@register("q_sub_service_line")
+def q_sub_service_line(inp):
+    return A.sub_service_line(inp.location_master)
+
+
+@register("q_response_summary")
+def q_response_summary(inp):
+    return lines.response_summary(inp, DEFAULT)
+
+
+@register("q_locations")
+def q_locations(inp):
+    return lines.locations(inp, DEFAULT)
+
+
+@register("q_location_external")
+def q_location_external(inp):
+    return lines.locations(inp, DEFAULT, external=True)
+
+
+@register("q_goal_by_line")
+def q_goal_by_line(inp):
+    k = _line_frame(inp)
+    g = inp.adult_goals.where((F.col("epic_department_id") == L.ALL_UNITS)
+                              & (F.col("service_line") != L.ALL_SERVICE_LINES))
+    return J.attach_goal(k, g, {"fy": "goal_fiscal_yr", "service_line": "service_line", "domain_goals": "domain"})
+
+
+@register("q_goal_by_unit")
+def q_goal_by_unit(inp):
+    a = extract.filtered_answers(inp, DEFAULT)
+    s = extract.survey_departments(inp, a, DEFAULT)
+    doms = S.with_rules(a.select("survey_id", "question_id"), inp.rules, extra=["domain"]).select(
+        "survey_id", "question_id", S.goal_domain().alias("domain_goals"))
+    k = s.join(doms, "survey_id").select("survey_id", "question_id", "rec_fy", "epic_department_id", "domain_goals")
+    g = G.load_goals_legacy(inp.goals_old, None, L.domain_translation(inp.spark)).where(F.col("level") == "unit")
+    return J.attach_goal(k, g, {"rec_fy": "goal_fiscal_yr", "epic_department_id": "epic_department_id",
+                                "domain_goals": "domain"})
+
+
+@register("q_assignment_audit")
+def q_assignment_audit(inp):
+    a = extract.filtered_answers(inp, DEFAULT)
+    sud = lines.survey_unit_departments(inp, DEFAULT, a)
+    tb = S.with_rules(a.select("survey_id", "question_id", "value"), inp.rules).select(
+        "survey_id", S.top_box(F.col("value")).alias("top_box"))
+    x = tb.join(sud, "survey_id", "inner")
+    return A.assignment_audit(x, ["department_key", "enc_department_key", "dep_department_key",
+                                  "resolved_department_key", "unit", "der_unit"])
+
+
+@register("q_surveys_by_unit")
+def q_surveys_by_unit(inp):
+    a = extract.filtered_answers(inp, DEFAULT)
+    unit = W.survey_attribute(a, L.UNIT_QUESTION, "unit", L.NULL_UNIT)
+    return A.surveys_by(a.join(unit, "survey_id", "left"), ["service_code", "department_key", "unit"])
+
+
+def _scored(inp):
+    return extract.scored_answers(inp, DEFAULT)
+
+
+@register("q_clinic_year_check")
+def q_clinic_year_check(inp):
+    s = Fl.probe(_scored(inp), question_id=2)
+    return s.groupBy("clinic", "rec_fy").agg(F.count(F.lit(1)).alias("n"),
+                                             F.sum("top_box").cast("bigint").alias("top_box"))
+
+
+@register("q_report_dimension")
+def q_report_dimension(inp):
+    s = Fl.for_fiscal_years(Fl.reportable_domains(_scored(inp)), min_year=1997)
+    return A.distinct_rows(s, ["rec_fy", "service_line", "clinic", "domain_goals", "question_id",
+                               "question_text_alias"])
+
+
+@register("q_value_distribution")
+def q_value_distribution(inp):
+    return A.value_distribution(_scored(inp), ["clinic", "question_id"])
+
+
+REPORT_KEYS = ["event_fy", "month_short_name", "quarter_name", "service_line", "clinic", "unit",
+               "epic_department_id", "domain_goals", "question_id", "varname", "question_text_alias", "goal"]
+
+
+@register("q_response_report")
+def q_response_report(inp):
+    ext = Fl.reportable_domains(extract.unit_extract(inp, DEFAULT))
+    return A.response_report(ext, REPORT_KEYS)
+
+
+@register("q_question_summary")
+def q_question_summary(inp):
+    s = Fl.reportable_domains(with_month(inp, _scored(inp)))
+    keys = ["rec_fy", "month_num", "month_short_name", "clinic", "question_id", "question_text_alias", "domain_goals"]
+    return A.response_report(s, keys).drop("rec_fy")
+
+
+MONTH_KEYS = ["group_name", "clinic", "domain_goals", "question_id", "month_short_name", "month_key"]
+
+
+def _monthly(inp):
+    staged = extract.unit_extract_parts(inp, DEFAULT, groups=True)[2]
+    cal = inp.calendar.select(F.col("day_date").alias("received_date"), "month_short_name", "month_key")
+    return B.monthly_percent(staged.join(F.broadcast(cal), "received_date", "left"), MONTH_KEYS)
+
+
+@register("q_monthly_percent")
+def q_monthly_percent(inp):
+    return _monthly(inp)
+
+
+@register("q_rescore")
+def q_rescore(inp):
+    return B.rescore_percent(_monthly(inp), ["group_name", "clinic", "domain_goals", "question_id"])
+
+
+@register("q_percentile_bands")
+def q_percentile_bands(inp):
+    return B.latest_bands(inp.percentile_ranks)
+
+
+@register("q_percentile_lookup")
+def q_percentile_lookup(inp):
+    m = _monthly(inp).where(F.col("question_id") == 2)
+    return B.band_lookup(m, B.latest_bands(inp.percentile_ranks))

@@ -239,6 +239,25 @@ class Inputs:
                           svc_cde="IN", all_units_label="All Units", service_line=None,
                           all_lines_arm=False, load_dtm=FIXED_LOAD_DTM)
 
+    @cached_property
+    def percentile_ranks(self) -> DataFrame:
+        """Benchmark bands per scored question and fiscal-year period found in
+        the fact: six bands (0, four inner edges that move with the year, 100)."""
+        periods = (self.responses.select("question_id", "fy").distinct()
+                   .join(F.broadcast(self.rules.where(F.col("scale").isNotNull())
+                                     .select("question_id", "domain", "question_text_alias")), "question_id"))
+        b = periods.select("*", F.explode(F.sequence(F.lit(0), F.lit(5))).alias("band"))
+        band, fy = F.col("band"), F.col("fy")
+        value = (F.when(band == 0, F.lit(0)).when(band == 5, F.lit(100))
+                 .otherwise(band * 20 + (fy % 3) * 5 - 5))
+        return b.select(
+            value.cast("decimal(4,1)").alias("value"), "domain",
+            F.col("question_id").cast("string").alias("question_id"),
+            (band * 20).cast("int").alias("percentile_rank"),
+            F.make_date(fy - 1, F.lit(7), F.lit(1)).alias("period_begin"),
+            F.make_date(fy, F.lit(6), F.lit(30)).alias("period_end"),
+            "question_text_alias")
+
     @cached_property
     def goals_old(self) -> DataFrame:
         """Old-shape goal rows: unit label 'Name [id]' or 'All Units'."""

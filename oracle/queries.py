@@ -6,7 +6,8 @@ from __future__ import annotations
 from boxscore.plans.config import DEFAULT
 from boxscore.plans.summaries import window_years
 from oracle.fixtures import with_views
-from oracle.stages import age, band_case, extract_result, extract_views, five_case, peds, rpt_prd, sex
+from oracle.fixtures import _q
+from oracle.stages import age, band_case, extract_result, extract_views, five_case, line_display, peds, rpt_prd, sex
 
 ORACLE: dict[str, str] = {}
 
@@ -283,3 +284,141 @@ ORACLE["q_shared_clinic_suffix"] = _v("""SELECT f.clinic, f.service_line,
        CASE WHEN f.clinic IN (SELECT clinic FROM shared_cl) THEN f.clinic || ' - ' || f.service_line ELSE f.clinic END AS clinic_label,
        sh.n_distinct
 FROM clinic_lines f LEFT JOIN shared_cl sh ON sh.clinic = f.clinic""")
+
+# -- labels, enrichment, reports, audits, benchmarks ---------------------------------
+from boxscore.sources.tables import FIXED_LOAD_DTM  # noqa: E402
+
+
+def _pct(t: str, n: str) -> str:
+    return (f"CAST(CASE WHEN {n} = 0 THEN NULL ELSE CAST((200000000 * {t} + {n}) // (2 * {n}) AS DECIMAL(18,0)) "
+            f"* CAST(0.000001 AS DECIMAL(7,6)) END AS DECIMAL(12,6))")
+
+
+def _clinic2(loc, lid, name, did, unknown="Unknown"):
+    return (f"CASE WHEN {loc} IS NOT NULL AND {loc} <> 'Unknown' THEN {loc} || ' [' || {lid} || ']' "
+            f"WHEN {name} IS NOT NULL THEN {name} || ' [' || {did} || ']' ELSE '{unknown} [' || {did} || ']' END")
+
+
+def _clinic(name, did):
+    return (f"CASE WHEN {name} IS NOT NULL THEN {name} || ' [' || trim({did}) || ']' "
+            f"ELSE 'Unknown [' || trim({did}) || ']' END")
+
+
+_V12 = "CASE WHEN {0} IS NULL OR {0} = 'Unknown' THEN 'Other' ELSE {0} END"
+_F8 = "domain_goals IS NOT NULL AND domain_goals NOT IN ('Meals', 'Overall Assessment', 'Pediatric ICU/CCU', 'Personal Issues')"
+_LOAD = f"CAST('{FIXED_LOAD_DTM}' AS TIMESTAMP)"
+
+_EXT.update({
+    "dept_frame": """SELECT k.department_key, d.department_id, d.department_name, d.external_name,
+       lm.department_name AS loc_name, lm.service_line, lm.sub_service_line
+FROM (SELECT DISTINCT department_key FROM responses) k
+LEFT JOIN departments d ON d.department_key = k.department_key
+LEFT JOIN location_master lm ON lm.department_id = d.department_id""",
+    "sub_sl": """SELECT department_id, MAX(CASE WHEN sub_service_line = 'Unknown' OR sub_service_line IS NULL THEN NULL
+                                  ELSE sub_service_line END) AS sub_service_line
+FROM location_master GROUP BY department_id""",
+    "rs_a": "SELECT * FROM answers_f WHERE department_key > 0",
+    "rs_unit": "SELECT survey_id, MAX(COALESCE(value, 'Null Unit')) AS unit FROM rs_a WHERE question_id = 7 GROUP BY survey_id",
+    "rs_rows": f"""SELECT DISTINCT d.department_id, d.department_name, u.unit, x.domain, a.question_id,
+       {rpt_prd('a.received_date')} AS rpt_prd, a.received_date AS event_date, a.discharge_date AS event_date_disch,
+       c.quarter_name, c.month_short_name
+FROM rs_a a JOIN calendar c ON c.day_date = a.received_date
+LEFT JOIN departments d ON d.department_key = a.department_key
+JOIN rules x ON x.question_id = a.question_id AND x.domain IS NOT NULL
+LEFT JOIN rs_unit u ON u.survey_id = a.survey_id""",
+    "loc_rows": """SELECT s.*, d.department_id AS epic_department_id, d.department_name AS epic_department_name,
+       d.external_name, lm.department_name AS loc_name, lm.service_line AS loc_service_line
+FROM (SELECT DISTINCT survey_id, resolved_department_key, unit FROM sud) s
+LEFT JOIN departments d ON d.department_key = s.resolved_department_key
+LEFT JOIN location_master lm ON lm.department_id = d.department_id""",
+    "mp_src": """SELECT s.*, g.goal, c.month_short_name AS m_short, c.month_key FROM scored_g s
+LEFT JOIN (SELECT DISTINCT rec_fy, goal_epic_department_id, service_line, domain_goals, goal
+           FROM goals_stage WHERE goal_epic_department_id <> 'All Units') g
+  ON g.rec_fy = s.rec_fy AND g.goal_epic_department_id = s.goal_epic_department_id
+ AND g.service_line = s.service_line AND g.domain_goals = s.domain_goals
+LEFT JOIN calendar c ON c.day_date = s.received_date""",
+    "monthly": f"""SELECT group_name, clinic, domain_goals, question_id, m_short AS month_short_name, month_key,
+       COUNT(*) AS n, CAST(SUM(top_box) AS BIGINT) AS top_box, MAX(goal) AS goal, {_pct('SUM(top_box)', 'COUNT(*)')} AS score
+FROM mp_src GROUP BY group_name, clinic, domain_goals, question_id, m_short, month_key""",
+    "ranks": """SELECT CAST(CASE t.band WHEN 0 THEN 0 WHEN 5 THEN 100 ELSE t.band * 20 + (p.fy % 3) * 5 - 5 END AS DECIMAL(4,1)) AS value,
+       x.domain, CAST(p.question_id AS VARCHAR) AS question_id, CAST(t.band * 20 AS INTEGER) AS percentile_rank,
+       make_date(p.fy - 1, 7, 1) AS period_begin, make_date(p.fy, 6, 30) AS period_end, x.question_text_alias
+FROM (SELECT DISTINCT question_id, fy FROM responses) p
+JOIN rules x ON x.question_id = p.question_id AND x.scale IS NOT NULL, range(0, 6) t(band)""",
+    "bands": """SELECT * EXCLUDE (seq) FROM (
+  SELECT r.*, CASE WHEN value = 100.0 THEN CAST(100.1 AS DECIMAL(4,1))
+                   ELSE LEAD(value) OVER (PARTITION BY domain, question_id ORDER BY period_end, value) END AS next_value,
+         ROW_NUMBER() OVER (PARTITION BY domain, question_id, value ORDER BY period_end DESC) AS seq
+  FROM ranks r) WHERE seq = 1""",
+    "ext_rows": extract_result(DEFAULT),
+})
+
+ORACLE["q_star_enrich"] = _v("""SELECT r.survey_id, r.question_id, q.varname, acc.mrn, p.last_name, p.first_name,
+       ph.display_name, ph.npi
+FROM responses r JOIN questions q ON q.question_id = r.question_id
+LEFT JOIN accounts acc ON acc.account_key = r.account_key
+LEFT JOIN patients p ON p.patient_key = r.patient_key
+LEFT JOIN physicians ph ON ph.physician_key = r.physician_key""")
+ORACLE["q_clinic_label"] = _v(f"""SELECT department_key, department_id, {_clinic('department_name', 'department_id')} AS clinic,
+       {_clinic2('loc_name', 'department_id', 'department_name', 'department_id')} AS clinic_master,
+       {_clinic2('loc_name', 'department_id', 'department_name', 'department_id', 'Other')} AS clinic_outpatient
+FROM dept_frame""")
+ORACLE["q_service_line"] = _v(f"""SELECT f.department_key, f.department_id, {_V12.format('f.service_line')} AS service_line,
+       s.sub_service_line, {line_display(_V12.format('f.service_line'), 's.sub_service_line')} AS service_line_display
+FROM dept_frame f LEFT JOIN sub_sl s ON s.department_id = f.department_id""")
+ORACLE["q_sub_service_line"] = _v("SELECT * FROM sub_sl")
+ORACLE["q_response_summary"] = _v(f"""SELECT {line_display(_q(DEFAULT.service_line), _q(DEFAULT.sub_service_line))} AS service_line,
+       {_clinic('department_name', 'department_id')} AS clinic, department_id AS epic_department_id, domain, question_id,
+       rpt_prd, event_date, event_date_disch, quarter_name, month_short_name, {_LOAD} AS load_dtm
+FROM rs_rows""")
+ORACLE["q_locations"] = _v(f"""SELECT DISTINCT {_V12.format('loc_service_line')} AS service_line,
+       {_clinic2('loc_name', 'epic_department_id', 'epic_department_name', 'epic_department_id')} AS clinic,
+       epic_department_id, {_LOAD} AS load_dtm
+FROM loc_rows WHERE epic_department_id IS NOT NULL""")
+ORACLE["q_location_external"] = _v(f"""SELECT DISTINCT {_V12.format('loc_service_line')} AS service_line,
+       CASE WHEN external_name IS NOT NULL AND length(trim(external_name)) > 0 THEN external_name
+            ELSE epic_department_name END || ' [' || epic_department_id || ']' AS clinic,
+       epic_department_id, {_LOAD} AS load_dtm
+FROM loc_rows WHERE epic_department_id IS NOT NULL""")
+ORACLE["q_goal_by_line"] = _v("""SELECT f.*, g.goal FROM line_frame f
+LEFT JOIN (SELECT * FROM adult_goals WHERE epic_department_id = 'All Units' AND service_line <> 'All Service Lines') g
+  ON g.goal_fiscal_yr = f.fy AND g.service_line = f.service_line AND g.domain = f.domain_goals""")
+ORACLE["q_goal_by_unit"] = _v("""SELECT e.survey_id, a.question_id, e.rec_fy, e.department_id AS epic_department_id,
+       COALESCE(x.domain_override, x.domain) AS domain_goals, CAST(ug.goal AS DECIMAL(4,3)) AS goal
+FROM (SELECT DISTINCT survey_id, department_id, department_name, goal_department_id, rec_fy, unit FROM resp_epic_id) e
+JOIN answers_f a ON a.survey_id = e.survey_id
+LEFT JOIN rules x ON x.question_id = a.question_id
+LEFT JOIN leg_ug ug ON ug.goal_yr = e.rec_fy AND ug.epic_department_id = e.department_id
+ AND ug.domain = COALESCE(x.domain_override, x.domain)""")
+ORACLE["q_assignment_audit"] = _v("""SELECT s.department_key, s.enc_department_key, s.dep_department_key,
+       s.resolved_department_key, s.unit, s.der_unit, COUNT(*) AS n, CAST(SUM(t.top_box) AS BIGINT) AS top_box
+FROM dd_src t JOIN sud s ON s.survey_id = t.survey_id
+GROUP BY s.department_key, s.enc_department_key, s.dep_department_key, s.resolved_department_key, s.unit, s.der_unit""")
+ORACLE["q_surveys_by_unit"] = _v("""SELECT a.service_code, a.department_key, u.unit, COUNT(DISTINCT a.survey_id) AS n_surveys
+FROM answers_f a LEFT JOIN unit_by_survey u ON u.survey_id = a.survey_id GROUP BY a.service_code, a.department_key, u.unit""")
+ORACLE["q_clinic_year_check"] = _v("""SELECT clinic, rec_fy, COUNT(*) AS n, CAST(SUM(top_box) AS BIGINT) AS top_box
+FROM scored WHERE question_id = 2 GROUP BY clinic, rec_fy""")
+ORACLE["q_report_dimension"] = _v(f"""SELECT DISTINCT rec_fy, service_line, clinic, domain_goals, question_id, question_text_alias
+FROM scored WHERE {_F8} AND rec_fy >= 1997""")
+ORACLE["q_value_distribution"] = _v("SELECT clinic, question_id, value, COUNT(*) AS n FROM scored GROUP BY clinic, question_id, value")
+ORACLE["q_response_report"] = _v(f"""SELECT event_fy, month_short_name, quarter_name, service_line, clinic, unit,
+       epic_department_id, domain_goals, question_id, varname, question_text_alias, goal,
+       CAST(SUM(top_box) AS BIGINT) AS top_box, CAST(SUM(val_count) AS BIGINT) AS val_count,
+       COUNT(DISTINCT survey_id) AS n_surveys
+FROM ext_rows WHERE {_F8}
+GROUP BY event_fy, month_short_name, quarter_name, service_line, clinic, unit, epic_department_id, domain_goals,
+         question_id, varname, question_text_alias, goal""")
+ORACLE["q_question_summary"] = _v(f"""SELECT month_num, month_short_name, clinic, question_id, question_text_alias, domain_goals,
+       CAST(SUM(top_box) AS BIGINT) AS top_box, CAST(SUM(val_count) AS BIGINT) AS val_count,
+       COUNT(DISTINCT survey_id) AS n_surveys
+FROM (SELECT s.*, c.month_num, c.month_short_name FROM scored s LEFT JOIN calendar c ON c.day_date = s.received_date)
+WHERE {_F8}
+GROUP BY rec_fy, month_num, month_short_name, clinic, question_id, question_text_alias, domain_goals""")
+ORACLE["q_monthly_percent"] = _v("SELECT * FROM monthly")
+ORACLE["q_rescore"] = _v(f"""SELECT group_name, clinic, domain_goals, question_id, CAST(SUM(n) AS BIGINT) AS n,
+       CAST(SUM(top_box) AS BIGINT) AS top_box, {_pct('SUM(top_box)', 'SUM(n)')} AS score
+FROM monthly GROUP BY group_name, clinic, domain_goals, question_id""")
+ORACLE["q_percentile_bands"] = _v("SELECT * FROM bands")
+ORACLE["q_percentile_lookup"] = _v("""SELECT m.*, b.percentile_rank FROM monthly m
+LEFT JOIN bands b ON CAST(b.question_id AS INTEGER) = m.question_id AND m.score >= b.value AND m.score < b.next_value
+WHERE m.question_id = 2""")
