@@ -422,3 +422,14 @@ ORACLE["q_percentile_bands"] = _v("SELECT * FROM bands")
 ORACLE["q_percentile_lookup"] = _v("""SELECT m.*, b.percentile_rank FROM monthly m
 LEFT JOIN bands b ON CAST(b.question_id AS INTEGER) = m.question_id AND m.score >= b.value AND m.score < b.next_value
 WHERE m.question_id = 2""")
+
+# -- extract variants ------------------------------------------------------------
+from boxscore.plans import lines as _lines  # noqa: E402
+from oracle.stages import line_result, line_views  # noqa: E402
+
+_EXT.update(line_views(_lines.LINE_CFG, "Unknown", "svc", "adult"))
+_EXT.update(line_views(_lines.CLINIC_CFG, "Other", "cgs", "adult"))
+_EXT.update(line_views(_lines.CHILD_CFG, "Unknown", "csv", "flat"))
+ORACLE["q_line_extract"] = _v(line_result(_lines.LINE_CFG, "svc"))
+ORACLE["q_clinic_extract"] = _v(line_result(_lines.CLINIC_CFG, "cgs"))
+ORACLE["q_child_extract"] = _v(line_result(_lines.CHILD_CFG, "csv"))
