@@ -87,6 +87,8 @@ def resolve_goals(scored: DataFrame, goals: DataFrame, service_line: str,
     Every arm reads one distinct-keys aggregate of the answers, so the
     answer stage is scanned once for all of them.
     """
+    from boxscore.operators.joins import bounded_broadcast
+    goals = bounded_broadcast(goals)   # a dimension: checked row count, shuffle join beyond it
     keys = goal_keys(scored, [group_col] if group_col else None)
     specific = goals.where(F.col("epic_department_id") != ALL_UNITS).select(
         F.col("goal_fiscal_yr").alias("rec_fy"), F.col("epic_department_id").alias("goal_epic_department_id"),

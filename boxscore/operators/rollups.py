@@ -80,11 +80,19 @@ def shared_clinics(df: DataFrame, key: str = "clinic", of: str = "service_line",
 
 def suffix_shared(df: DataFrame, key: str = "clinic", of: str = "service_line",
                   exclude_col: str = "clinic", exclude: str = ALL_UNITS,
-                  skip_value_col: str | None = None, skip_value: str | None = None) -> DataFrame:
+                  skip_value_col: str | None = None, skip_value: str | None = None,
+                  key_bound: int | None = None) -> DataFrame:
     """J8: 'clinic - line' for clinics that appear in several lines.
-    CASE WHEN clinic IN (subquery) becomes a left join to the (small)
-    distinct list of shared clinics plus a flag."""
+    CASE WHEN clinic IN (subquery) becomes a left join to the distinct list
+    of shared clinics plus a flag. ``key_bound`` is a proven upper bound on
+    that list (clinic labels come from the department dimension, so its
+    row count bounds them); under the broadcast limit the list is
+    broadcast, so the detail rows are never shuffled on the (skewed) clinic
+    key. Without a bound, AQE picks the join from runtime sizes."""
+    from boxscore.operators.joins import BROADCAST_MAX_ROWS
     shared = shared_clinics(df, key, of, exclude_col, exclude).select(F.col(key).alias("__k"), F.lit(True).alias("__shared"))
+    if key_bound is not None and key_bound <= BROADCAST_MAX_ROWS:
+        shared = F.broadcast(shared)
     out = df.join(shared, df[key] == shared["__k"], "left")
     cond = F.col("__shared").isNotNull()
     if skip_value_col is not None:

@@ -118,10 +118,19 @@ def scored_answers(inp: Inputs, cfg: ExtractConfig = DEFAULT) -> DataFrame:
     ).distinct()
 
 
+def stage(df: DataFrame) -> DataFrame:
+    """Keep a stage that feeds several branches (goal keys, both spine
+    branches, roll-up levels). MEMORY_AND_DISK blocks are recomputed from
+    lineage if an executor is lost."""
+    from pyspark import StorageLevel
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def unit_extract_parts(inp: Inputs, cfg: ExtractConfig = DEFAULT, groups: bool = False):
     scored = scored_answers(inp, cfg)
     if groups:
         scored = with_group(scored, L.department_groups(inp.spark))
+    scored = stage(scored)
     goals = resolve_goals(scored, inp.child_goals, cfg.service_line,
                           group_col="group_name" if groups else None)
     own = goals.where(F.col("goal_epic_department_id") != L.ALL_UNITS).select(
@@ -168,7 +177,7 @@ def unit_extract(inp: Inputs, cfg: ExtractConfig = DEFAULT) -> DataFrame:
     _, _, staged = unit_extract_parts(inp, cfg)
     spined = dual_date(staged, inp.calendar, cfg.start, cfg.end, mode=cfg.date_mode)
     rolled = rollup_units(spined)
-    return finish(suffix_shared(rolled), cfg)
+    return finish(suffix_shared(rolled, key_bound=inp.clinic_bound), cfg)
 
 
 def unit_extract_groups(inp: Inputs, cfg: ExtractConfig = DEFAULT) -> DataFrame:
@@ -177,4 +186,4 @@ def unit_extract_groups(inp: Inputs, cfg: ExtractConfig = DEFAULT) -> DataFrame:
     _, _, staged = unit_extract_parts(inp, cfg, groups=True)
     spined = dual_date(staged, inp.calendar, cfg.start, cfg.end, mode=cfg.date_mode)
     rolled = rollup_groups(spined)
-    return finish(suffix_shared(rolled), cfg, extra_cols=("group_id", "group_name"))
+    return finish(suffix_shared(rolled, key_bound=inp.clinic_bound), cfg, extra_cols=("group_id", "group_name"))

@@ -47,7 +47,7 @@ from boxscore.operators.goals import flat_goals  # noqa: E402
 from boxscore.operators.joins import without_flagged  # noqa: E402
 from boxscore.operators.report_dates import dual_date  # noqa: E402
 from boxscore.operators.rollups import rollup_lines, rollup_units, suffix_shared  # noqa: E402
-from boxscore.plans.extract import answer_detail, finish  # noqa: E402
+from boxscore.plans.extract import answer_detail, finish, stage  # noqa: E402
 
 LINE_CFG = replace(DEFAULT, event_type="CHCAHPS", date_mode="full")
 ADULT_CFG = replace(DEFAULT, event_type="Inpatient HCAHPS", date_mode="full")
@@ -83,7 +83,7 @@ def line_scored(inp: Inputs, cfg: ExtractConfig = LINE_CFG, unknown_label: str =
     a = answer_detail(inp, answers, cfg)
     sud = survey_unit_departments(inp, cfg, answers).select("survey_id", "resolved_department_key", "unit")
     per_survey = line_locations(inp, sud.distinct(), unknown_label)
-    return a.join(per_survey, "survey_id", "left").distinct()
+    return stage(a.join(per_survey, "survey_id", "left").distinct())
 
 
 def line_goals(inp: Inputs, df: DataFrame) -> DataFrame:
@@ -109,8 +109,8 @@ def line_extract(inp: Inputs, cfg: ExtractConfig = LINE_CFG, unknown_label: str
     both = F.col("survey_id").isNotNull() & F.col("event_date_disch").isNotNull()
     rolled = rollup_lines(spined, copy_if=both)
     rolled = suffix_shared(rolled, exclude_col="service_line", exclude=L.ALL_SERVICE_LINES,
-                           skip_value_col="service_line", skip_value=L.ALL_SERVICE_LINES)
-    return finish(rolled.withColumn("event_fy", F.col("event_fy")), cfg)
+                           skip_value_col="service_line", skip_value=L.ALL_SERVICE_LINES, key_bound=inp.clinic_bound)
+    return finish(rolled, cfg)
 
 
 def adult_scored(inp: Inputs, cfg: ExtractConfig = ADULT_CFG, service: str = "IN") -> DataFrame:
@@ -131,7 +131,7 @@ def adult_scored(inp: Inputs, cfg: ExtractConfig = ADULT_CFG, service: str = "IN
         V.unit_or_other(F.col("unit"), [L.ADULT_SPECIAL_UNIT], L.CHILD_SERVICE_LINE,
                         F.coalesce(F.col("__line"), F.lit(L.OTHER))).alias("service_line"),
         F.coalesce(F.col("unit"), F.lit(L.OTHER)).alias("unit"))
-    return a.join(units, "survey_id", "left").distinct()
+    return stage(a.join(units, "survey_id", "left").distinct())
 
 
 def adult_extract(inp: Inputs, cfg: ExtractConfig = ADULT_CFG, drop_flagged: bool = False,
@@ -181,7 +181,7 @@ def child_extract(inp: Inputs, cfg: ExtractConfig = CHILD_CFG) -> DataFrame:
     staged = s.join(fg, ["service_line", "unit", "domain_goals"], "left").join(all_fg, "domain_goals", "left")
     spined = dual_date(staged, inp.calendar, cfg.start, cfg.end, mode="full", discharge_start=cfg.start)
     rolled = suffix_shared(rollup_lines(spined), exclude_col="service_line", exclude=L.ALL_SERVICE_LINES,
-                           skip_value_col="service_line", skip_value=L.ALL_SERVICE_LINES)
+                           skip_value_col="service_line", skip_value=L.ALL_SERVICE_LINES, key_bound=inp.clinic_bound)
     return finish(rolled, cfg)
 
 

@@ -37,6 +37,15 @@ def _goal(expr: Column) -> Column:
     return (expr.cast("double") / 100).cast("decimal(4,3)")
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Write a small derived table (e.g. the goal table the goals ETL loads)
+    to the shared checkpoint folder and read it back, cutting its lineage.
+    Uses the session's ``spark.checkpoint.dir``; never a local checkpoint."""
+    from boxscore.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 class Inputs:
     """Lazily built survey tables for one data directory."""
 
@@ -88,6 +97,13 @@ class Inputs:
             .alias("survey_designator"),
         )
 
+    @cached_property
+    def clinic_bound(self) -> int:
+        """Upper bound on distinct clinic labels: one per department row plus
+        the roll-up and 'Unknown' labels (a capped count of the dimension)."""
+        from boxscore.operators.joins import BROADCAST_MAX_ROWS
+        return self.departments.limit(BROADCAST_MAX_ROWS + 1).count() + 8
+
     # -- dimensions -------------------------------------------------------------
     @cached_property
     def departments(self) -> DataFrame:
@@ -228,16 +244,16 @@ class Inputs:
     @cached_property
     def child_goals(self) -> DataFrame:
         from boxscore.operators.goals import load_goals
-        return load_goals(self.goal_settings, L.domain_translation(self.spark), service="CHCAHPS",
-                          svc_cde="PD", all_units_label="All PEDS Units",
-                          service_line=L.CHILD_SERVICE_LINE, load_dtm=FIXED_LOAD_DTM)
+        return materialize(load_goals(self.goal_settings, L.domain_translation(self.spark), service="CHCAHPS",
+                                      svc_cde="PD", all_units_label="All PEDS Units",
+                                      service_line=L.CHILD_SERVICE_LINE, load_dtm=FIXED_LOAD_DTM))
 
     @cached_property
     def adult_goals(self) -> DataFrame:
         from boxscore.operators.goals import load_goals
-        return load_goals(self.goal_settings, L.domain_translation(self.spark), service="HCAHPS",
-                          svc_cde="IN", all_units_label="All Units", service_line=None,
-                          all_lines_arm=False, load_dtm=FIXED_LOAD_DTM)
+        return materialize(load_goals(self.goal_settings, L.domain_translation(self.spark), service="HCAHPS",
+                                      svc_cde="IN", all_units_label="All Units", service_line=None,
+                                      all_lines_arm=False, load_dtm=FIXED_LOAD_DTM))
 
     @cached_property
     def percentile_ranks(self) -> DataFrame:
