@@ -125,13 +125,13 @@ def adult_scored(inp: Inputs, cfg: ExtractConfig = ADULT_CFG, service: str = "IN
     units = D.recode(units, "unit", L.unit_aliases(inp.spark), "unit").distinct()
     mp = F.broadcast(L.unit_mapping(inp.spark).select(F.col("unit_name").alias("__u"),
                                                       F.col("service_line").alias("__line")))
-    units = units.join(mp, units["unit"] == mp["__u"], "left")
-    units = units.select(
-        "survey_id",
-        V.unit_or_other(F.col("unit"), [L.ADULT_SPECIAL_UNIT], L.CHILD_SERVICE_LINE,
-                        F.coalesce(F.col("__line"), F.lit(L.OTHER))).alias("service_line"),
-        F.coalesce(F.col("unit"), F.lit(L.OTHER)).alias("unit"))
-    return stage(a.join(units, "survey_id", "left").distinct())
+    units = units.join(mp, units["unit"] == mp["__u"], "left").select("survey_id", "unit", "__line")
+    # V19 after the join: surveys without a unit answer read 'Other' too
+    x = a.join(units, "survey_id", "left")
+    x = x.withColumn("service_line", V.unit_or_other(F.col("unit"), [L.ADULT_SPECIAL_UNIT], L.CHILD_SERVICE_LINE,
+                                                     F.coalesce(F.col("__line"), F.lit(L.OTHER))))
+    x = x.withColumn("unit", F.coalesce(F.col("unit"), F.lit(L.OTHER))).drop("__line")
+    return stage(x.distinct())
 
 
 def adult_extract(inp: Inputs, cfg: ExtractConfig = ADULT_CFG, drop_flagged: bool = False,

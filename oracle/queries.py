@@ -433,3 +433,11 @@ _EXT.update(line_views(_lines.CHILD_CFG, "Unknown", "csv", "flat"))
 ORACLE["q_line_extract"] = _v(line_result(_lines.LINE_CFG, "svc"))
 ORACLE["q_clinic_extract"] = _v(line_result(_lines.CLINIC_CFG, "cgs"))
 ORACLE["q_child_extract"] = _v(line_result(_lines.CHILD_CFG, "csv"))
+from oracle.stages import adult_views, unit_group_result, unit_group_views  # noqa: E402
+
+_EXT.update(adult_views(_lines.ADULT_CFG, _lines.ADULT_GOAL_YEAR, "ad", False, True))
+_EXT.update(adult_views(_lines.ADULT_CFG, _lines.ADULT_GOAL_YEAR, "fl", True, False))
+_EXT.update(unit_group_views(DEFAULT))
+ORACLE["q_adult_extract"] = _v("SELECT * FROM ad_result")
+ORACLE["q_without_flagged"] = _v("SELECT * FROM fl_result")
+ORACLE["q_unit_extract_group"] = _v(unit_group_result(DEFAULT))
