@@ -53,8 +53,14 @@ def rescore_percent(monthly: DataFrame, keys: list[str]) -> DataFrame:
 
 def band_lookup(scores: DataFrame, bands: DataFrame) -> DataFrame:
     """Score in [value, next_value) for the same question (LEFT join:
-    scores outside every band keep a NULL rank)."""
-    b = bands.select(F.col("question_id").cast("int").alias("__q"), F.col("value").alias("__lo"),
+    scores outside every band keep a NULL rank).
+
+    The equi key (question) has only a handful of values, so a shuffle join
+    would put all scores into a few tasks. The band table is broadcast: its
+    size is bounded by scored questions x fiscal periods x bands (a
+    benchmark import of a few thousand rows), independent of the answers.
+    """
+    b = F.broadcast(bands).select(F.col("question_id").cast("int").alias("__q"), F.col("value").alias("__lo"),
                      F.col("next_value").alias("__hi"), "percentile_rank")
     cond = ((scores["question_id"] == b["__q"]) & (scores["score"] >= b["__lo"]) & (scores["score"] < b["__hi"]))
     return scores.join(b, cond, "left").drop("__q", "__lo", "__hi")

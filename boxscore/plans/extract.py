@@ -78,13 +78,16 @@ def answer_detail(inp: Inputs, answers: DataFrame, cfg: ExtractConfig = DEFAULT)
     accounts = bounded_broadcast(inp.accounts)
     patients = bounded_broadcast(inp.patients)
     phys = bounded_broadcast(inp.physicians)
+    # Join order matters at scale: the account and patient joins (shuffle
+    # joins when those dimensions exceed the broadcast bound) come first; the
+    # survey-keyed joins come last, so the age join here and the survey-level
+    # join in ``scored_answers`` share one hash partitioning on survey_id.
     a = (answers.join(F.broadcast(inp.questions.select("question_id", "varname")), "question_id", "inner")
-         .join(age, "survey_id", "left")
          .join(accounts, "account_key", "left")
          .join(patients, "patient_key", "left")
          .join(phys, "physician_key", "left")
          .join(F.broadcast(attrs), "question_id", "left"))
-    a = score_columns(with_rules(a, inp.rules), cfg.age_question)
+    a = score_columns(with_rules(a, inp.rules), cfg.age_question).join(age, "survey_id", "left")
     as_of = F.lit(cfg.as_of).cast("date")
     a = a.select(
         "survey_id", "account_key", "received_date", "discharge_date", "fy",

@@ -1,0 +1,7 @@
+"""Streaming.
+
+The reference has no streaming workload: every load is a full-batch
+reload (truncate and insert), with no watermark, event-time window or
+state. Nothing is built here; the batch plans in ``boxscore.plans`` are
+what the reference runs.
+"""
