@@ -20,14 +20,19 @@ BROADCAST_MAX_ROWS = 200_000
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Broadcast ``df`` only if it has at most ``max_rows`` rows.
 
-    The check counts at most ``max_rows + 1`` rows (a small job); beyond the
-    bound the frame is returned unchanged and Spark plans a shuffle join.
+    The check counts at most ``max_rows + 1`` rows (a small job, remembered
+    per session and plan); beyond the bound the frame is returned unchanged
+    and Spark plans a shuffle join.
     """
-    import os
-    if os.environ.get("BOXSCORE_NO_BB"):
-        return df
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    key = (id(df.sparkSession), df.semanticHash(), max_rows)
+    if key not in _BOUNDED:
+        _BOUNDED[key] = df.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(df) if _BOUNDED[key] else df
+
+
+# Size-check results per session and plan (a dimension's row count does not
+# change while a session reads the same files).
+_BOUNDED: dict = {}
 
 
 def with_question(df: DataFrame, questions: DataFrame) -> DataFrame:

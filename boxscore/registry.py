@@ -71,7 +71,8 @@ def q_domain_translation(inp):
 
 @register("q_goals_conformed")
 def q_goals_conformed(inp):
-    return inp.child_goals.unionByName(inp.adult_goals)
+    # the ETL itself: computed from the goal settings, not read from the stored tables
+    return inp.load_child_goals().unionByName(inp.load_adult_goals())
 
 
 @register("q_date_spine")
