@@ -83,7 +83,9 @@ def line_scored(inp: Inputs, cfg: ExtractConfig = LINE_CFG, unknown_label: str =
     a = answer_detail(inp, answers, cfg)
     sud = survey_unit_departments(inp, cfg, answers).select("survey_id", "resolved_department_key", "unit")
     per_survey = line_locations(inp, sud.distinct(), unknown_label)
-    return stage(a.join(per_survey, "survey_id", "left").distinct())
+    # persisted: measured faster here (the per-survey location branch is not
+    # shared by exchange reuse between the spine and roll-up branches)
+    return stage(a.join(per_survey, "survey_id", "left").distinct(), persist=True)
 
 
 def line_goals(inp: Inputs, df: DataFrame) -> DataFrame:

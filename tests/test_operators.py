@@ -92,3 +92,10 @@ def test_percentile_band_edges_and_lookup(spark):
     got = sorted((str(r.score), r.percentile_rank) for r in B.band_lookup(scores, B.latest_bands(ranks)).collect())
     # overlapping bands from two periods both match (fan-out kept)
     assert got == [("100.000000", 100), ("55.000000", 0), ("55.000000", 50)]
+
+
+def test_report_orderings(spark):
+    from boxscore.operators.ordering import by_count_within, report_order
+    df = spark.createDataFrame([("Feb", 3), ("Jan", 1), ("Jan", 5), (None, 2)], "m string, n long")
+    assert [r.n for r in report_order(df, ["m", "n"]).collect()] == [2, 3, 1, 5]
+    assert [r.n for r in by_count_within(df, ["m"]).collect()] == [2, 3, 5, 1]
