@@ -43,7 +43,7 @@ def load_goals(settings: DataFrame, domain_map: DataFrame, service: str, svc_cde
                  F.col("domain").alias("raw_domain"),
                  F.coalesce("__td", "domain").alias("domain_goals"),
                  "goal"))
-    ts = (F.lit(load_dtm).cast("timestamp") if load_dtm else F.current_timestamp()).alias("load_dtm")
+    ts = (F.lit(load_dtm).cast("timestamp_ntz") if load_dtm else F.current_timestamp()).alias("load_dtm")
 
     def conform(df: DataFrame, line: Column, unit: Column, dept_id: Column, dept_name: Column) -> DataFrame:
         return df.select(

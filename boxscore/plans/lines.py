@@ -224,7 +224,7 @@ def response_summary(inp: Inputs, cfg: ExtractConfig = DEFAULT, load_dtm: str =
         V.clinic_label(F.col("department_name"), F.col("department_id")).alias("clinic"),
         F.col("department_id").alias("epic_department_id"), "domain", "question_id", "rpt_prd", "event_date",
         "event_date_disch", "quarter_name", "month_short_name")
-    return out.withColumn("load_dtm", F.lit(load_dtm).cast("timestamp"))
+    return out.withColumn("load_dtm", F.lit(load_dtm).cast("timestamp_ntz"))
 
 
 def locations(inp: Inputs, cfg: ExtractConfig = DEFAULT, load_dtm: str = FIXED_LOAD_DTM,
@@ -242,4 +242,4 @@ def locations(inp: Inputs, cfg: ExtractConfig = DEFAULT, load_dtm: str = FIXED_L
                                F.lit(" ["), F.col("epic_department_id"), F.lit("]")))
     return (loc.where(F.col("epic_department_id").isNotNull())
             .select("service_line", "clinic", "epic_department_id").distinct()
-            .withColumn("load_dtm", F.lit(load_dtm).cast("timestamp")))
+            .withColumn("load_dtm", F.lit(load_dtm).cast("timestamp_ntz")))

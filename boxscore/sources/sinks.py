@@ -15,24 +15,24 @@ RESPONSE_SUMMARY_SCHEMA = T.StructType([
     T.StructField("domain", T.StringType()),
     T.StructField("question_id", T.IntegerType()),
     T.StructField("rpt_prd", T.StringType()),
-    T.StructField("event_date", T.TimestampType()),
-    T.StructField("event_date_disch", T.TimestampType()),
+    T.StructField("event_date", T.TimestampNTZType()),
+    T.StructField("event_date_disch", T.TimestampNTZType()),
     T.StructField("quarter_name", T.StringType()),
     T.StructField("month_short_name", T.StringType()),
-    T.StructField("load_dtm", T.TimestampType()),
+    T.StructField("load_dtm", T.TimestampNTZType()),
 ])
 
 LOCATIONS_SCHEMA = T.StructType([
     T.StructField("service_line", T.StringType()),
     T.StructField("clinic", T.StringType()),
     T.StructField("epic_department_id", T.StringType()),
-    T.StructField("load_dtm", T.TimestampType()),
+    T.StructField("load_dtm", T.TimestampNTZType()),
 ])
 
 
 def with_load_time(df: DataFrame, ts: str | None = None) -> DataFrame:
     """Explicit load stamp, or the job's current timestamp."""
-    return df.withColumn("load_dtm", F.lit(ts).cast("timestamp") if ts else F.current_timestamp())
+    return df.withColumn("load_dtm", F.lit(ts).cast("timestamp_ntz") if ts else F.current_timestamp())
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
