@@ -17,6 +17,7 @@ class ExtractConfig:
     age_question: int = L.AGE_QUESTION
     unit_question: int = L.UNIT_QUESTION
     designator_code: str = "PC"
+    designator_source: str = "fact"    # "fact" (own column) or "log" (latest load per survey and value)
     event_type: str = "CHCAHPS"
     service_line_id: int = L.CHILD_SERVICE_LINE_ID
     service_line: str = L.CHILD_SERVICE_LINE

@@ -40,10 +40,24 @@ ANSWER_COLS = ["survey_id", "question_id", "account_key", "patient_key", "servic
 
 
 def filtered_answers(inp: Inputs, cfg: ExtractConfig = DEFAULT) -> DataFrame:
-    """F1 + F2 + F3 over the fact scan."""
-    r = inp.responses.select(*ANSWER_COLS, F.substring("survey_designator", 1, 2).alias("designator"))
-    r = Fl.for_questions(r, cfg.questions)
-    r = Fl.received_between(r, cfg.start, cfg.end)
+    """F1 + F2 + F3 over the fact scan.
+
+    ``designator_source="log"`` takes the designator from the raw load log
+    instead of the fact's own column: the latest load per (survey, value)
+    (W3), so a survey loaded with two designators joins both rows; the
+    duplicates this makes collapse in the stage's DISTINCT."""
+    if cfg.designator_source == "log":
+        from boxscore.operators.windows import latest_designator
+        log = latest_designator(inp.designator_log).select(
+            "survey_id", F.substring("value", 1, 2).alias("designator"))
+        r = inp.responses.select(*ANSWER_COLS)
+        r = Fl.for_questions(r, cfg.questions)
+        r = Fl.received_between(r, cfg.start, cfg.end)
+        r = r.join(log, "survey_id", "left")
+    else:
+        r = inp.responses.select(*ANSWER_COLS, F.substring("survey_designator", 1, 2).alias("designator"))
+        r = Fl.for_questions(r, cfg.questions)
+        r = Fl.received_between(r, cfg.start, cfg.end)
     return Fl.designator_ok(r, cfg.designator_code)
 
 

@@ -648,3 +648,11 @@ def q_percentile_bands(inp):
 def q_percentile_lookup(inp):
     m = _monthly(inp).where(F.col("question_id") == 2)
     return B.band_lookup(m, B.latest_bands(inp.percentile_ranks))
+
+
+@register("q_designator_from_log")
+def q_designator_from_log(inp):
+    """F3 with the warehouse variant's designator source (latest log load)."""
+    from dataclasses import replace
+    cfg = replace(DEFAULT, designator_source="log")
+    return extract.filtered_answers(inp, cfg).select("survey_id", "question_id", "received_date", "designator")

@@ -441,3 +441,11 @@ _EXT.update(unit_group_views(DEFAULT))
 ORACLE["q_adult_extract"] = _v("SELECT * FROM ad_result")
 ORACLE["q_without_flagged"] = _v("SELECT * FROM fl_result")
 ORACLE["q_unit_extract_group"] = _v(unit_group_result(DEFAULT))
+ORACLE["q_designator_from_log"] = _v(f"""SELECT r.survey_id, r.question_id, r.received_date, l.designator
+FROM responses r
+LEFT JOIN (SELECT survey_id, substring(value, 1, 2) AS designator FROM (
+             SELECT *, ROW_NUMBER() OVER (PARTITION BY survey_id, value ORDER BY load_dtm DESC, log_id DESC) AS seq
+             FROM designator_log) WHERE seq = 1) l ON l.survey_id = r.survey_id
+WHERE r.question_id IN (1, 2, 3, 4, 5, 6, 7)
+  AND r.received_date BETWEEN DATE '{DEFAULT.start}' AND DATE '{DEFAULT.end}'
+  AND (l.designator IS NULL OR l.designator = 'PC')""")
