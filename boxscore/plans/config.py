@@ -18,6 +18,9 @@ class ExtractConfig:
     unit_question: int = L.UNIT_QUESTION
     designator_code: str = "PC"
     designator_source: str = "fact"    # "fact" (own column) or "log" (latest load per survey and value)
+    designator_dedup: bool = True      # log source: keep only the latest load per (survey, value)
+    keep_null_designator: bool = True  # NULL designators pass the filter
+    fy_source: str = "calendar"        # REC_FY from the received date's calendar row, or "answer" (fact FY)
     event_type: str = "CHCAHPS"
     service_line_id: int = L.CHILD_SERVICE_LINE_ID
     service_line: str = L.CHILD_SERVICE_LINE

@@ -48,8 +48,8 @@ def filtered_answers(inp: Inputs, cfg: ExtractConfig = DEFAULT) -> DataFrame:
     duplicates this makes collapse in the stage's DISTINCT."""
     if cfg.designator_source == "log":
         from boxscore.operators.windows import latest_designator
-        log = latest_designator(inp.designator_log).select(
-            "survey_id", F.substring("value", 1, 2).alias("designator"))
+        raw = latest_designator(inp.designator_log) if cfg.designator_dedup else inp.designator_log
+        log = raw.select("survey_id", F.substring("value", 1, 2).alias("designator"))
         r = inp.responses.select(*ANSWER_COLS)
         r = Fl.for_questions(r, cfg.questions)
         r = Fl.received_between(r, cfg.start, cfg.end)
@@ -58,7 +58,8 @@ def filtered_answers(inp: Inputs, cfg: ExtractConfig = DEFAULT) -> DataFrame:
         r = inp.responses.select(*ANSWER_COLS, F.substring("survey_designator", 1, 2).alias("designator"))
         r = Fl.for_questions(r, cfg.questions)
         r = Fl.received_between(r, cfg.start, cfg.end)
-    return Fl.designator_ok(r, cfg.designator_code)
+    r = Fl.designator_ok(r, cfg.designator_code)
+    return r if cfg.keep_null_designator else r.where(F.col("designator").isNotNull())
 
 
 def survey_departments(inp: Inputs, answers: DataFrame, cfg: ExtractConfig = DEFAULT) -> DataFrame:
@@ -71,9 +72,11 @@ def survey_departments(inp: Inputs, answers: DataFrame, cfg: ExtractConfig = DEF
     cal = inp.calendar.select(F.col("day_date").alias("received_date"), F.col("fyear_num").alias("rec_fy"))
     deps = bounded_broadcast(inp.departments.select("department_key", "department_id", "department_name"))
     trn = L.department_translation(inp.spark)
-    rows = (answers.select("survey_id", "department_key", "received_date").distinct()
+    rows = (answers.select("survey_id", "department_key", "received_date", "fy").distinct()
             .join(F.broadcast(cal), "received_date", "inner")
             .join(deps, "department_key", "left"))
+    if cfg.fy_source == "answer":
+        rows = rows.withColumn("rec_fy", F.col("fy"))
     rows = rows.join(trn, (rows["rec_fy"] == trn["goal_fiscal_yr"])
                      & (rows["department_id"] == trn["response_department_id"]), "left")
     rows = rows.select("survey_id", F.col("department_id").alias("epic_department_id"),

@@ -99,3 +99,26 @@ def test_report_orderings(spark):
     df = spark.createDataFrame([("Feb", 3), ("Jan", 1), ("Jan", 5), (None, 2)], "m string, n long")
     assert [r.n for r in report_order(df, ["m", "n"]).collect()] == [2, 3, 1, 5]
     assert [r.n for r in by_count_within(df, ["m"]).collect()] == [2, 3, 5, 1]
+
+
+def test_extract_variant_switches(spark):
+    """DWU / DWUC variants: designator from the raw log (with and without
+    the latest-load dedup), NULL designators dropped, answer fiscal year."""
+    import os
+    from dataclasses import replace
+
+    import pytest
+    from boxscore.plans import extract
+    from boxscore.plans.config import DEFAULT
+    from boxscore.sources.tables import Inputs
+    smoke = "/root/testdata/sf0.001"
+    if not os.path.exists(smoke):
+        pytest.skip("no smoke data")
+    inp = Inputs(spark, smoke)
+    base = extract.filtered_answers(inp, replace(DEFAULT, designator_source="log"))
+    raw = extract.filtered_answers(inp, replace(DEFAULT, designator_source="log", designator_dedup=False))
+    strict = extract.filtered_answers(inp, replace(DEFAULT, keep_null_designator=False))
+    assert raw.count() >= base.count()
+    assert strict.where(F.col("designator").isNull()).count() == 0
+    fy = extract.survey_departments(inp, extract.filtered_answers(inp), replace(DEFAULT, fy_source="answer"))
+    assert fy.count() > 0
