@@ -19,7 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 def register(name: str):
     def deco(fn):
-        QUERIES[name] = lambda spark, sf_dir: fn(Inputs(spark, sf_dir))
+        QUERIES[name] = lambda spark, sf_dir: fn(Inputs.for_dir(spark, sf_dir))
         return fn
     return deco
 

@@ -29,6 +29,7 @@ FIXED_LOAD_DTM = "2020-01-01 00:00:00"
 
 _SCANS: dict = {}
 _TABLES: dict = {}
+_INPUTS: dict = {}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, cols: list[str] | None = None) -> DataFrame:
@@ -63,6 +64,15 @@ class Inputs:
         self.spark = spark
         self.sf_dir = sf_dir
 
+    @classmethod
+    def for_dir(cls, spark: SparkSession, sf_dir: str) -> "Inputs":
+        """One set of (lazy, immutable) table definitions per session and
+        data directory, shared by every query - as catalog tables are."""
+        key = (id(spark), sf_dir.rstrip("/"))
+        if key not in _INPUTS:
+            _INPUTS[key] = cls(spark, sf_dir)
+        return _INPUTS[key]
+
     def table(self, name: str, cols: list[str] | None = None) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name, cols)
 
