@@ -21,7 +21,7 @@ class ExtractConfig:
     designator_dedup: bool = True      # log source: keep only the latest load per (survey, value)
     keep_null_designator: bool = True  # NULL designators pass the filter
     fy_source: str = "calendar"        # REC_FY from the received date's calendar row, or "answer" (fact FY)
-    event_type: str = "CHCAHPS"
+    event_type: str = "Child Inpatient Survey"
     service_line_id: int = L.CHILD_SERVICE_LINE_ID
     service_line: str = L.CHILD_SERVICE_LINE
     sub_service_line: str = L.CHILD_SUB_SERVICE_LINE

@@ -49,10 +49,10 @@ from boxscore.operators.report_dates import dual_date  # noqa: E402
 from boxscore.operators.rollups import rollup_lines, rollup_units, suffix_shared  # noqa: E402
 from boxscore.plans.extract import answer_detail, finish, stage  # noqa: E402
 
-LINE_CFG = replace(DEFAULT, event_type="CHCAHPS", date_mode="full")
-ADULT_CFG = replace(DEFAULT, event_type="Inpatient HCAHPS", date_mode="full")
-CLINIC_CFG = replace(DEFAULT, event_type="Outpatient CGCAHPS", date_mode="full")
-CHILD_CFG = replace(DEFAULT, event_type="Child HCAHPS", date_mode="full")
+LINE_CFG = replace(DEFAULT, event_type="Child Inpatient Survey", date_mode="full")
+ADULT_CFG = replace(DEFAULT, event_type="Adult Inpatient Survey", date_mode="full")
+CLINIC_CFG = replace(DEFAULT, event_type="Outpatient Clinic Survey", date_mode="full")
+CHILD_CFG = replace(DEFAULT, event_type="Child Survey by Line", date_mode="full")
 ADULT_GOAL_YEAR = 1998
 FLAT_GOAL = "0.750"
 

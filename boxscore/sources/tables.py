@@ -232,7 +232,7 @@ class Inputs:
         k = F.col("s_suppkey")
         dept = (s.join(n, s.s_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
                 .where(k % 4 == 0).select("*", years).select("*", doms)
-                .select(F.lit("CHCAHPS").alias("service"),
+                .select(F.lit("CHILD_IP").alias("service"),
                         (k + 10000000).cast("string").alias("department_id"),
                         F.col("s_name").alias("department_name"), "goal_yr",
                         F.col("r_name").alias("service_line"), F.lit(None).cast("string").alias("unit"),
@@ -240,24 +240,24 @@ class Inputs:
         yr, di, rk = F.col("goal_yr"), F.col("di"), F.col("r_regionkey")
         regions = r.select("*", years).select("*", doms)
         all_units = (regions.where(rk == 0)
-                     .select(F.lit("CHCAHPS").alias("service"), F.lit(None).cast("string").alias("department_id"),
+                     .select(F.lit("CHILD_IP").alias("service"), F.lit(None).cast("string").alias("department_id"),
                              F.lit(None).cast("string").alias("department_name"), "goal_yr",
                              F.lit(None).cast("string").alias("service_line"),
                              F.lit("All PEDS Units").alias("unit"), "domain",
                              F.when((yr == 1997) & (di == 0), F.lit(0).cast("decimal(4,3)"))
                              .otherwise(_goal(55 + (yr + di * 7) % 40)).alias("goal")))
         retired = (regions.where(rk % 2 == 1)
-                   .select(F.lit("CHCAHPS").alias("service"), F.lit(None).cast("string").alias("department_id"),
+                   .select(F.lit("CHILD_IP").alias("service"), F.lit(None).cast("string").alias("department_id"),
                            F.lit(None).cast("string").alias("department_name"), "goal_yr",
                            F.col("r_name").alias("service_line"), F.lit("Retired unit").alias("unit"),
                            "domain", _goal(F.lit(90)).alias("goal")))
         adult_lines = (regions
-                       .select(F.lit("HCAHPS").alias("service"), F.lit(None).cast("string").alias("department_id"),
+                       .select(F.lit("ADULT_IP").alias("service"), F.lit(None).cast("string").alias("department_id"),
                                F.lit(None).cast("string").alias("department_name"), "goal_yr",
                                F.col("r_name").alias("service_line"), F.lit("All Units").alias("unit"),
                                "domain", _goal(50 + (rk * 7 + yr + di) % 45).alias("goal")))
         adult_all = (regions.where(rk == 0)
-                     .select(F.lit("HCAHPS").alias("service"), F.lit(None).cast("string").alias("department_id"),
+                     .select(F.lit("ADULT_IP").alias("service"), F.lit(None).cast("string").alias("department_id"),
                              F.lit(None).cast("string").alias("department_name"), "goal_yr",
                              F.lit(L.ALL_SERVICE_LINES).alias("service_line"), F.lit("All Units").alias("unit"),
                              "domain", _goal(60 + (yr + di) % 30).alias("goal")))
@@ -275,14 +275,14 @@ class Inputs:
     def load_child_goals(self) -> DataFrame:
         """The child goals ETL (G4) over the goal settings, as a lazy plan."""
         from boxscore.operators.goals import load_goals
-        return load_goals(self.goal_settings, L.domain_translation(self.spark), service="CHCAHPS", svc_cde="PD",
+        return load_goals(self.goal_settings, L.domain_translation(self.spark), service="CHILD_IP", svc_cde="PD",
                           all_units_label="All PEDS Units", service_line=L.CHILD_SERVICE_LINE,
                           load_dtm=FIXED_LOAD_DTM)
 
     def load_adult_goals(self) -> DataFrame:
         """The adult goals ETL (G4): line goals keep the file's service line."""
         from boxscore.operators.goals import load_goals
-        return load_goals(self.goal_settings, L.domain_translation(self.spark), service="HCAHPS", svc_cde="IN",
+        return load_goals(self.goal_settings, L.domain_translation(self.spark), service="ADULT_IP", svc_cde="IN",
                           all_units_label="All Units", service_line=None, all_lines_arm=False,
                           load_dtm=FIXED_LOAD_DTM)
 

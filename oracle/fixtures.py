@@ -136,26 +136,26 @@ VIEWS["goal_years"] = f"SELECT CAST(unnest(range({T.GOAL_YEARS[0]}, {T.GOAL_YEAR
 VIEWS["goal_domains"] = f"SELECT CAST(i - 1 AS INTEGER) AS di, {_DOMAINS_ARR}[i] AS domain FROM range(1, {len(T.SETTINGS_DOMAINS) + 1}) r(i)"
 
 VIEWS["goal_settings"] = f"""
-SELECT 'CHCAHPS' AS service, CAST(s.s_suppkey + 10000000 AS VARCHAR) AS department_id, s.s_name AS department_name,
+SELECT 'CHILD_IP' AS service, CAST(s.s_suppkey + 10000000 AS VARCHAR) AS department_id, s.s_name AS department_name,
        y.goal_yr, r.r_name AS service_line, CAST(NULL AS VARCHAR) AS unit, d.domain,
        {_G.format('50 + (s.s_suppkey * 7 + y.goal_yr + d.di * 3) % 45')} AS goal
 FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey,
      goal_years y, goal_domains d
 WHERE s.s_suppkey % 4 = 0
 UNION ALL
-SELECT 'CHCAHPS', NULL, NULL, y.goal_yr, NULL, 'All PEDS Units', d.domain,
+SELECT 'CHILD_IP', NULL, NULL, y.goal_yr, NULL, 'All PEDS Units', d.domain,
        CASE WHEN y.goal_yr = 1997 AND d.di = 0 THEN CAST(0 AS DECIMAL(4,3))
             ELSE {_G.format('55 + (y.goal_yr + d.di * 7) % 40')} END
 FROM region r, goal_years y, goal_domains d WHERE r.r_regionkey = 0
 UNION ALL
-SELECT 'CHCAHPS', NULL, NULL, y.goal_yr, r.r_name, 'Retired unit', d.domain, {_G.format('90')}
+SELECT 'CHILD_IP', NULL, NULL, y.goal_yr, r.r_name, 'Retired unit', d.domain, {_G.format('90')}
 FROM region r, goal_years y, goal_domains d WHERE r.r_regionkey % 2 = 1
 UNION ALL
-SELECT 'HCAHPS', NULL, NULL, y.goal_yr, r.r_name, 'All Units', d.domain,
+SELECT 'ADULT_IP', NULL, NULL, y.goal_yr, r.r_name, 'All Units', d.domain,
        {_G.format('50 + (r.r_regionkey * 7 + y.goal_yr + d.di) % 45')}
 FROM region r, goal_years y, goal_domains d
 UNION ALL
-SELECT 'HCAHPS', NULL, NULL, y.goal_yr, 'All Service Lines', 'All Units', d.domain,
+SELECT 'ADULT_IP', NULL, NULL, y.goal_yr, 'All Service Lines', 'All Units', d.domain,
        {_G.format('60 + (y.goal_yr + d.di) % 30')}
 FROM region r, goal_years y, goal_domains d WHERE r.r_regionkey = 0"""
 
@@ -181,8 +181,8 @@ def _goal_load(service, svc, label, line_expr, all_lines, load_dtm=T.FIXED_LOAD_
     return "\nUNION ALL\n".join(arms)
 
 
-VIEWS["child_goals"] = _goal_load("CHCAHPS", "PD", "All PEDS Units", _q(L.CHILD_SERVICE_LINE), True)
-VIEWS["adult_goals"] = _goal_load("HCAHPS", "IN", "All Units", "g.service_line", False)
+VIEWS["child_goals"] = _goal_load("CHILD_IP", "PD", "All PEDS Units", _q(L.CHILD_SERVICE_LINE), True)
+VIEWS["adult_goals"] = _goal_load("ADULT_IP", "IN", "All Units", "g.service_line", False)
 
 VIEWS["goals_old"] = f"""
 SELECT 'PD' AS svc_cde, y.goal_yr, r.r_name AS service_line,
