@@ -86,50 +86,68 @@ def survey_departments(inp: Inputs, answers: DataFrame, cfg: ExtractConfig = DEF
     return rows.join(unit, "survey_id", "left").distinct()
 
 
-def answer_detail(inp: Inputs, answers: DataFrame, cfg: ExtractConfig = DEFAULT) -> DataFrame:
-    """Answer-level enrichment: question (inner), self-reported age, account,
-    patient, physician, attributes and the V1-V9 columns."""
+SURVEY_KEYS = ["survey_id", "account_key", "patient_key", "received_date"]
+
+
+def survey_detail(inp: Inputs, answers: DataFrame, cfg: ExtractConfig = DEFAULT) -> DataFrame:
+    """Survey-level enrichment on the distinct survey keys: account (MRN),
+    patient attributes and the self-reported age. Joining the account and
+    patient dimensions here - on a frame of one row per survey, not per
+    answer - means that when those dimensions exceed the broadcast bound only
+    this small frame is shuffled by their keys."""
+    keys = answers.select(*SURVEY_KEYS).distinct()
     age = max_answer(inp.responses.select("survey_id", "question_id", "account_key", "value"),
                      cfg.age_question, "pat_age_survey_answer")
-    attrs = inp.rules.select("question_id", "domain", "question_text", "question_text_alias")
-    accounts = bounded_broadcast(inp.accounts)
-    patients = bounded_broadcast(inp.patients)
+    as_of = F.lit(cfg.as_of).cast("date")
+    s = (keys.join(bounded_broadcast(inp.accounts), "account_key", "left")
+         .join(bounded_broadcast(inp.patients), "patient_key", "left")
+         .join(age, "survey_id", "left"))
+    return s.select(
+        *SURVEY_KEYS, "mrn",
+        V.full_name(F.col("last_name"), F.col("first_name")).alias("pat_name"),
+        F.col("birth_date").alias("pat_dob"),
+        V.age_years(F.col("birth_date"), as_of).alias("pat_age"),
+        V.age_years(F.col("birth_date"), F.col("received_date")).alias("pat_age_survey_recvd"),
+        "pat_age_survey_answer",
+        V.sex_label(F.col("sex")).alias("pat_sex"),
+    )
+
+
+def answer_detail(inp: Inputs, answers: DataFrame, cfg: ExtractConfig = DEFAULT,
+                  survey_extra: DataFrame | None = None) -> DataFrame:
+    """Answer-level enrichment: question (inner), physician, attributes and
+    the V1-V5 columns (broadcast literals and a small dimension, no shuffle),
+    then ONE join to the survey-level frame (patient attributes, age and the
+    caller's survey-keyed columns in ``survey_extra``). The answers are
+    shuffled once, on the survey keys; NULL keys match null-safely, which is
+    the left-join result the reference's separate joins give."""
     phys = bounded_broadcast(inp.physicians)
-    # Join order matters at scale: the account and patient joins (shuffle
-    # joins when those dimensions exceed the broadcast bound) come first; the
-    # survey-keyed joins come last, so the age join here and the survey-level
-    # join in ``scored_answers`` share one hash partitioning on survey_id.
+    attrs = inp.rules.select("question_id", "domain", "question_text", "question_text_alias")
     a = (answers.join(F.broadcast(inp.questions.select("question_id", "varname")), "question_id", "inner")
-         .join(accounts, "account_key", "left")
-         .join(patients, "patient_key", "left")
          .join(phys, "physician_key", "left")
          .join(F.broadcast(attrs), "question_id", "left"))
-    a = score_columns(with_rules(a, inp.rules), cfg.age_question).join(age, "survey_id", "left")
-    as_of = F.lit(cfg.as_of).cast("date")
+    a = score_columns(with_rules(a, inp.rules), cfg.age_question)
     a = a.select(
-        "survey_id", "account_key", "received_date", "discharge_date", "fy",
+        "survey_id", "account_key", "patient_key", "received_date", "discharge_date", "fy",
         F.col("display_name").alias("phys_name"), F.col("dept").alias("phys_dept"),
         F.col("division").alias("phys_div"), "department_key",
         F.col("value").cast("string").alias("value"), "val_count", "domain", "domain_goals", "value_resp_grp",
         "top_box", "top_box_response", "varname", "service_code", "question_id", "question_text",
-        "question_text_alias", "mrn", "npi",
-        V.full_name(F.col("last_name"), F.col("first_name")).alias("pat_name"),
-        F.col("birth_date").alias("pat_dob"),
-        V.age_years(F.col("birth_date"), as_of).alias("pat_age"),
-        V.age_years(F.col("birth_date"), F.col("received_date")).alias("pat_age_survey_recvd"),
-        "pat_age_survey_answer",
-        V.sex_label(F.col("sex")).alias("pat_sex"),
+        "question_text_alias", "npi",
     )
-    return a
+    s = survey_detail(inp, answers, cfg)
+    if survey_extra is not None:
+        s = s.join(survey_extra, "survey_id", "left")
+    s = s.select(*[F.col(c).alias(f"__s_{c}") if c in SURVEY_KEYS else F.col(c) for c in s.columns])
+    cond = [a[k].eqNullSafe(s[f"__s_{k}"]) for k in SURVEY_KEYS]
+    return a.join(s, cond, "left").drop(*[f"__s_{k}" for k in SURVEY_KEYS]).drop("patient_key")
 
 
 def scored_answers(inp: Inputs, cfg: ExtractConfig = DEFAULT) -> DataFrame:
     """The scored, enriched answer stage (one row per answer x survey
     department row), before goals and the date spine."""
     answers = filtered_answers(inp, cfg)
-    a = answer_detail(inp, answers, cfg)
-    surveys = survey_departments(inp, answers, cfg)
-    out = a.join(surveys, "survey_id", "left")
+    out = answer_detail(inp, answers, cfg, survey_extra=survey_departments(inp, answers, cfg))
     return out.select(
         "*",
         *V.with_constants(service_line_id=cfg.service_line_id, service_line=cfg.service_line,

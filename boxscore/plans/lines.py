@@ -80,12 +80,12 @@ def line_locations(inp: Inputs, resolved: DataFrame, unknown_label: str = L.UNKN
 def line_scored(inp: Inputs, cfg: ExtractConfig = LINE_CFG, unknown_label: str = L.UNKNOWN) -> DataFrame:
     """SVC stage: scored answers whose department comes from the R1 cascade."""
     answers = filtered_answers(inp, cfg)
-    a = answer_detail(inp, answers, cfg)
     sud = survey_unit_departments(inp, cfg, answers).select("survey_id", "resolved_department_key", "unit")
     per_survey = line_locations(inp, sud.distinct(), unknown_label)
+    a = answer_detail(inp, answers, cfg, survey_extra=per_survey)
     # persisted: measured faster here (the per-survey location branch is not
     # shared by exchange reuse between the spine and roll-up branches)
-    return stage(a.join(per_survey, "survey_id", "left").distinct(), persist=True)
+    return stage(a.distinct(), persist=True)
 
 
 def line_goals(inp: Inputs, df: DataFrame) -> DataFrame:
@@ -121,7 +121,6 @@ def adult_scored(inp: Inputs, cfg: ExtractConfig = ADULT_CFG, service: str = "IN
     (V19)."""
     r = inp.responses.select(*ANSWER_COLS).where(F.col("service_code") == service)
     r = r.where(F.col("question_id").isin(*cfg.questions))
-    a = answer_detail(inp, r, cfg)
     units = (inp.responses.where(F.col("question_id") == cfg.unit_question)
              .select("survey_id", F.col("value").alias("unit")).distinct())
     units = D.recode(units, "unit", L.unit_aliases(inp.spark), "unit").distinct()
@@ -129,7 +128,7 @@ def adult_scored(inp: Inputs, cfg: ExtractConfig = ADULT_CFG, service: str = "IN
                                                       F.col("service_line").alias("__line")))
     units = units.join(mp, units["unit"] == mp["__u"], "left").select("survey_id", "unit", "__line")
     # V19 after the join: surveys without a unit answer read 'Other' too
-    x = a.join(units, "survey_id", "left")
+    x = answer_detail(inp, r, cfg, survey_extra=units)
     x = x.withColumn("service_line", V.unit_or_other(F.col("unit"), [L.ADULT_SPECIAL_UNIT], L.CHILD_SERVICE_LINE,
                                                      F.coalesce(F.col("__line"), F.lit(L.OTHER))))
     x = x.withColumn("unit", F.coalesce(F.col("unit"), F.lit(L.OTHER))).drop("__line")
