@@ -198,10 +198,12 @@ from boxscore.functions.calendar import period_label  # noqa: E402
 from boxscore.sources.tables import FIXED_LOAD_DTM  # noqa: E402
 
 
-def response_summary(inp: Inputs, cfg: ExtractConfig = DEFAULT, load_dtm: str = FIXED_LOAD_DTM) -> DataFrame:
+def response_summary(inp: Inputs, cfg: ExtractConfig = DEFAULT, load_dtm: str = FIXED_LOAD_DTM,
+                     groups: bool = False) -> DataFrame:
     """Distinct (department, domain, question, day) rows with clinic and
     service-line labels. Known departments only; questions without a domain
-    are dropped."""
+    are dropped. ``groups=True`` is the grouped form: the department's group
+    name (J14, default 'Other') as an extra column."""
     from boxscore.operators.filters import known_department
     a = known_department(filtered_answers(inp, cfg))
     unit = survey_attribute(a, cfg.unit_question, "unit", L.NULL_UNIT)
@@ -223,6 +225,10 @@ def response_summary(inp: Inputs, cfg: ExtractConfig = DEFAULT, load_dtm: str =
         V.clinic_label(F.col("department_name"), F.col("department_id")).alias("clinic"),
         F.col("department_id").alias("epic_department_id"), "domain", "question_id", "rpt_prd", "event_date",
         "event_date_disch", "quarter_name", "month_short_name")
+    if groups:
+        from boxscore.operators.joins import with_group
+        out = with_group(out, L.department_groups(inp.spark)).drop("group_id") \
+            .withColumnRenamed("group_name", "department_group_name")
     return out.withColumn("load_dtm", F.lit(load_dtm).cast("timestamp_ntz"))
 
 

@@ -656,3 +656,8 @@ def q_designator_from_log(inp):
     from dataclasses import replace
     cfg = replace(DEFAULT, designator_source="log")
     return extract.filtered_answers(inp, cfg).select("survey_id", "question_id", "received_date", "designator")
+
+
+@register("q_response_summary_group")
+def q_response_summary_group(inp):
+    return lines.response_summary(inp, DEFAULT, groups=True)

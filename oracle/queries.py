@@ -449,3 +449,8 @@ LEFT JOIN (SELECT survey_id, substring(value, 1, 2) AS designator FROM (
 WHERE r.question_id IN (1, 2, 3, 4, 5, 6, 7)
   AND r.received_date BETWEEN DATE '{DEFAULT.start}' AND DATE '{DEFAULT.end}'
   AND (l.designator IS NULL OR l.designator = 'PC')""")
+ORACLE["q_response_summary_group"] = _v(f"""SELECT {line_display(_q(DEFAULT.service_line), _q(DEFAULT.sub_service_line))} AS service_line,
+       {_clinic('r.department_name', 'r.department_id')} AS clinic, r.department_id AS epic_department_id, r.domain,
+       r.question_id, r.rpt_prd, r.event_date, r.event_date_disch, r.quarter_name, r.month_short_name,
+       COALESCE(g.group_name, 'Other') AS department_group_name, {_LOAD} AS load_dtm
+FROM rs_rows r LEFT JOIN dept_groups g ON g.department_id = r.department_id""")
