@@ -172,17 +172,27 @@ def adult_finish(df: DataFrame, cfg: ExtractConfig) -> DataFrame:
         "month_short_name")
 
 
-def child_extract(inp: Inputs, cfg: ExtractConfig = CHILD_CFG) -> DataFrame:
+def child_extract(inp: Inputs, cfg: ExtractConfig = CHILD_CFG, suffix_col: str = "clinic",
+                  clipped: bool = False) -> DataFrame:
     """Child survey by service line with synthetic flat goals (G3) per
-    (line, unit, domain), full outer spine and an 'All Service Lines' copy."""
+    (line, unit, domain), full outer spine and an 'All Service Lines' copy.
+
+    The test-copy variant (``suffix_col="unit", clipped=True``) suffixes the
+    unit instead of the clinic when it appears in several lines, and keeps
+    the roll-up copy only for rows matched on both report dates."""
     s = line_scored(inp, cfg)
     fg = flat_goals(s, FLAT_GOAL)
     all_fg = (s.select("domain_goals").distinct()
               .withColumn("goal_all_lines", F.lit(FLAT_GOAL).cast("decimal(4,3)")))
     staged = s.join(fg, ["service_line", "unit", "domain_goals"], "left").join(all_fg, "domain_goals", "left")
     spined = dual_date(staged, inp.calendar, cfg.start, cfg.end, mode="full", discharge_start=cfg.start)
-    rolled = suffix_shared(rollup_lines(spined), exclude_col="service_line", exclude=L.ALL_SERVICE_LINES,
-                           skip_value_col="service_line", skip_value=L.ALL_SERVICE_LINES, key_bound=inp.clinic_bound)
+    both = F.col("survey_id").isNotNull() & F.col("event_date_disch").isNotNull()
+    rolled = rollup_lines(spined, copy_if=both if clipped else None)
+    # clinic labels are bounded by the department dimension; unit labels are
+    # survey answers (no proven bound), so their list is left to AQE
+    bound = inp.clinic_bound if suffix_col == "clinic" else None
+    rolled = suffix_shared(rolled, key=suffix_col, exclude_col="service_line", exclude=L.ALL_SERVICE_LINES,
+                           skip_value_col="service_line", skip_value=L.ALL_SERVICE_LINES, key_bound=bound)
     return finish(rolled, cfg)
 
 

@@ -661,3 +661,8 @@ def q_designator_from_log(inp):
 @register("q_response_summary_group")
 def q_response_summary_group(inp):
     return lines.response_summary(inp, DEFAULT, groups=True)
+
+
+@register("q_child_extract_unit_suffix")
+def q_child_extract_unit_suffix(inp):
+    return lines.child_extract(inp, lines.CHILD_CFG, suffix_col="unit", clipped=True)

@@ -454,3 +454,5 @@ ORACLE["q_response_summary_group"] = _v(f"""SELECT {line_display(_q(DEFAULT.serv
        r.question_id, r.rpt_prd, r.event_date, r.event_date_disch, r.quarter_name, r.month_short_name,
        COALESCE(g.group_name, 'Other') AS department_group_name, {_LOAD} AS load_dtm
 FROM rs_rows r LEFT JOIN dept_groups g ON g.department_id = r.department_id""")
+_EXT.update(line_views(_lines.CHILD_CFG, "Unknown", "tcs", "flat", clipped=True))
+ORACLE["q_child_extract_unit_suffix"] = _v(line_result(_lines.CHILD_CFG, "tcs", key="unit"))
