@@ -58,9 +58,21 @@ def goal_department_key(own: Column, unit: Column, unit_keys: dict[str, int],
     return own if expr is None else expr.otherwise(own)
 
 
-def department_audit(assigned: DataFrame, derived: DataFrame, dashboard: DataFrame,
-                     key: str = "survey_id") -> DataFrame:
-    """Assigned vs derived vs dashboard department per survey (distinct
-    rows of each, outer-joined on the survey)."""
-    return (assigned.distinct().join(derived.distinct(), key, "full_outer")
-            .join(dashboard.distinct(), key, "full_outer"))
+def department_audit(df: DataFrame, departments: DataFrame, own: str = "department_key",
+                     mapped: str = "dep_department_key") -> DataFrame:
+    """Per survey, the department the survey was assigned (own key), the
+    department its unit maps to, and the one the dashboard shows (mapped key,
+    else own key), by name - DISTINCT rows for side-by-side review."""
+    names = departments.select("department_key", "department_name")
+
+    def name_of(key_col, alias):
+        n = names.select(F.col("department_key").alias(f"__k_{alias}"), F.col("department_name").alias(alias))
+        return n, F.col(key_col) == F.col(f"__k_{alias}")
+
+    x = df.withColumn("__dash", F.coalesce(F.col(mapped), F.col(own)))
+    for key_col, alias in ((own, "assigned_department_name"), (mapped, "derived_department_name"),
+                           ("__dash", "dashboard_department_name")):
+        n, cond = name_of(key_col, alias)
+        x = x.join(n, cond, "left").drop(f"__k_{alias}")
+    return x.select("survey_id", "unit", "der_unit", "assigned_department_name", "derived_department_name",
+                    "dashboard_department_name").distinct()

@@ -666,3 +666,10 @@ def q_response_summary_group(inp):
 @register("q_child_extract_unit_suffix")
 def q_child_extract_unit_suffix(inp):
     return lines.child_extract(inp, lines.CHILD_CFG, suffix_col="unit", clipped=True)
+
+
+@register("q_department_audit")
+def q_department_audit(inp):
+    sud = lines.survey_unit_departments(inp, DEFAULT)
+    deps = J.bounded_broadcast(inp.departments.select("department_key", "department_name"))
+    return D.department_audit(sud, deps)

@@ -456,3 +456,10 @@ ORACLE["q_response_summary_group"] = _v(f"""SELECT {line_display(_q(DEFAULT.serv
 FROM rs_rows r LEFT JOIN dept_groups g ON g.department_id = r.department_id""")
 _EXT.update(line_views(_lines.CHILD_CFG, "Unknown", "tcs", "flat", clipped=True))
 ORACLE["q_child_extract_unit_suffix"] = _v(line_result(_lines.CHILD_CFG, "tcs", key="unit"))
+ORACLE["q_department_audit"] = _v("""SELECT DISTINCT s.survey_id, s.unit, s.der_unit,
+       a.department_name AS assigned_department_name, d.department_name AS derived_department_name,
+       b.department_name AS dashboard_department_name
+FROM sud s
+LEFT JOIN departments a ON a.department_key = s.department_key
+LEFT JOIN departments d ON d.department_key = s.dep_department_key
+LEFT JOIN departments b ON b.department_key = COALESCE(s.dep_department_key, s.department_key)""")
