@@ -6,12 +6,28 @@ whole given tables.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from boxscore.plans import extract, summaries
+from pyspark.sql import functions as F
+
+from boxscore.functions import calendar as C
+from boxscore.functions import labels as V
+from boxscore.functions import scoring as S
+from boxscore.operators import aggregations as A
+from boxscore.operators import benchmarks as B
+from boxscore.operators import departments as D
+from boxscore.operators import filters as Fl
+from boxscore.operators import goals as G
+from boxscore.operators import joins as J
+from boxscore.operators import report_dates as RD
+from boxscore.operators import rollups as U
+from boxscore.operators import windows as W
+from boxscore.plans import extract, lines, summaries
 from boxscore.plans.config import DEFAULT
+from boxscore.plans.summaries import with_month
+from boxscore.sources import lookups as L
 from boxscore.sources.tables import Inputs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,17 +53,6 @@ def q_unit_extract(inp: Inputs) -> DataFrame:
 # ---------------------------------------------------------------------------
 # Scans, sources, filters (S*, F*)
 # ---------------------------------------------------------------------------
-import datetime as _dt  # noqa: E402
-
-from pyspark.sql import functions as F  # noqa: E402
-
-from boxscore.functions import calendar as C  # noqa: E402
-from boxscore.functions import labels as V  # noqa: E402
-from boxscore.functions import scoring as S  # noqa: E402
-from boxscore.operators import filters as Fl  # noqa: E402
-from boxscore.operators import goals as G  # noqa: E402
-from boxscore.operators import windows as W  # noqa: E402
-from boxscore.sources import lookups as L  # noqa: E402
 
 
 @register("q_scan_responses")
@@ -197,9 +202,6 @@ def q_period_label(inp):
 # ---------------------------------------------------------------------------
 # Windows, departments, joins (W*, J*, R*)
 # ---------------------------------------------------------------------------
-from boxscore.operators import departments as D  # noqa: E402
-from boxscore.operators import joins as J  # noqa: E402
-from boxscore.plans import lines  # noqa: E402
 
 
 @register("q_unit_spread")
@@ -338,9 +340,6 @@ def q_clinic_extract(inp):
 # ---------------------------------------------------------------------------
 # Goals, roll-ups, report dates (G*, U*, J7, J8)
 # ---------------------------------------------------------------------------
-from boxscore.operators import aggregations as A  # noqa: E402
-from boxscore.operators import report_dates as RD  # noqa: E402
-from boxscore.operators import rollups as U  # noqa: E402
 
 
 @register("q_goal_cascade")
@@ -481,8 +480,6 @@ def q_shared_clinic_suffix(inp):
 # ---------------------------------------------------------------------------
 # Labels, enrichment, reports, audits, benchmarks (V*, J1/J2, A*, P8-P15)
 # ---------------------------------------------------------------------------
-from boxscore.operators import benchmarks as B  # noqa: E402
-from boxscore.plans.summaries import with_month  # noqa: E402
 
 
 @register("q_star_enrich")
