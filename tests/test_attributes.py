@@ -57,3 +57,21 @@ def test_latest_designator_is_per_survey_and_value(spark):
                                 "survey_id long, value string, load_dtm timestamp, log_id long")
     got = sorted((r.value, r.log_id) for r in W.latest_designator(log).collect())
     assert got == [("MD01", 3), ("PC01", 2)]
+
+
+def test_hot_survey_aggregate_forms_match_window_forms(spark):
+    """One survey holds most rows (a hot key): the partial-aggregate forms
+    used for W1 and W2 return exactly what the literal window forms do."""
+    from pyspark.sql import Window
+    hot = [(1, q % 7 + 1, str(q % 5)) for q in range(3000)] + [(1, 7, "U9"), (1, 7, None)]
+    rest = [(s, q, str(q)) for s in range(2, 50) for q in range(1, 8)]
+    df = spark.createDataFrame(hot + rest, "survey_id long, question_id int, value string")
+    agg = {(r.survey_id, r.question_id, r.value, r.unit) for r in W.spread_attribute(df, 7).collect()}
+    win = {(r.survey_id, r.question_id, r.value, r.unit) for r in W.spread_attribute_window(df, 7).collect()}
+    assert agg == win
+    enc = spark.createDataFrame([(1, k % 11, dt.datetime(2020, 1, 1) + dt.timedelta(minutes=k % 97), k)
+                                 for k in range(2000)],
+                                "account_key long, department_key long, appt_dtm timestamp, encounter_id long")
+    w = Window.partitionBy("account_key").orderBy("appt_dtm", "encounter_id")
+    first = enc.withColumn("rn", F.row_number().over(w)).where("rn = 1").first().department_key
+    assert W.first_encounter(enc).first().enc_department_key == first
