@@ -122,3 +122,21 @@ def test_extract_variant_switches(spark):
     assert strict.where(F.col("designator").isNull()).count() == 0
     fy = extract.survey_departments(inp, extract.filtered_answers(inp), replace(DEFAULT, fy_source="answer"))
     assert fy.count() > 0
+
+
+def test_bounded_broadcast_falls_back_beyond_bound(spark):
+    """Within the bound the dimension is broadcast; beyond it the join is a
+    shuffle join (automatic broadcasting switched off to see the choice)."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fact = spark.range(0, 1000).withColumnRenamed("id", "k")
+        dim = spark.range(0, 50).withColumnRenamed("id", "k")
+        small = fact.join(J.bounded_broadcast(dim, max_rows=100), "k")
+        big = fact.join(J.bounded_broadcast(dim, max_rows=10), "k")
+        plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan(small)
+        assert "BroadcastHashJoin" not in plan(big) and "SortMergeJoin" in plan(big)
+        assert small.count() == big.count() == 50
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
