@@ -23,6 +23,11 @@ DEFAULT_CONF = {
     # (the survey-level joins feed a DISTINCT that would otherwise pin the
     # hot survey's rows to one task)
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Partition sizing for the cluster: scans split at 128 MB and AQE sizes
+    # post-shuffle partitions toward 128 MB, so task size stays bounded
+    # whatever spark.sql.shuffle.partitions (set high on a cluster) is.
+    "spark.sql.files.maxPartitionBytes": "128m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
