@@ -46,6 +46,7 @@ def main() -> None:
     timings = {}
     for name in names:
         timings[name] = round(statistics.median(run(name) for _ in range(reps)), 3)
+        print(f"{name}: {timings[name]} s", file=sys.stderr, flush=True)
     sf = sf_dir.rsplit("sf", 1)[-1] if "sf" in os.path.basename(sf_dir) else sf_dir
     print(json.dumps({"metric": "headline_queries_total", "value": round(sum(timings.values()), 3),
                       "unit": "sec", "queries": timings, "sf": sf, "cpus": cpus, "reps": reps}))
