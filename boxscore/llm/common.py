@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,3 +51,34 @@ def hex_sha256(data: bytes) -> str:
     import hashlib
 
     return hashlib.sha256(data).hexdigest()
+
+
+def worker_cache(name: str, make):
+    """A value kept for the life of a Python worker, shared by its tasks."""
+    import sys
+    import types
+
+    store = sys.modules.setdefault("_llm_worker_state", types.ModuleType("_llm_worker_state")).__dict__
+    if name not in store:
+        store[name] = make()
+    return store[name]
+
+
+def byte_alphabet() -> dict[str, int]:
+    """Character -> byte of the byte-level vocabularies: printable Latin-1 stands for itself, the rest from U+0100 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in set(plain)]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
+def in_batches(rows: Iterator[tuple], schema: pa.Schema, max_bytes: int = 8 << 20, size_of=None) -> Iterator[pa.RecordBatch]:
+    """Record batches of bounded bytes from rows as tuples."""
+    kept, held = [], 0
+    for row in rows:
+        kept.append(row)
+        held += 64 + (size_of(row) if size_of else 0)
+        if held >= max_bytes:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*kept), schema)], schema=schema)
+            kept, held = [], 0
+    if kept:
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*kept), schema)], schema=schema)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE_CLASS, prepare, text_of
+from .common import SPACE_CLASS, in_batches, prepare, text_of
 
 SPILL_BYTES = 64 << 20
 NO_ID = (1 << 63) - 1
@@ -119,19 +119,6 @@ def terminals(node: Node, prefix: bytes) -> Iterator[tuple[bytes, tuple]]:
         stack.extend((node.children[b], key) for b in sorted(node.children, reverse=True))
 
 
-def in_batches(rows: Iterator[tuple], schema: pa.Schema, max_bytes: int = 8 << 20, size_of=None) -> Iterator[pa.RecordBatch]:
-    """Record batches of bounded bytes from rows as tuples."""
-    kept, held = [], 0
-    for row in rows:
-        kept.append(row)
-        held += 64 + (size_of(row) if size_of else 0)
-        if held >= max_bytes:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*kept), schema)], schema=schema)
-            kept, held = [], 0
-    if kept:
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*kept), schema)], schema=schema)
-
-
 REPS_ARROW = pa.schema([("hash", pa.binary()), ("bytes", pa.int64()), ("text", pa.binary()), ("has_no_id", pa.int32()),
                         ("id", pa.int64()), ("row", pa.int64()), ("size", pa.int64()), ("ties", pa.int64())])
 OWNERS_ARROW = pa.schema([("sha256", pa.string()), ("keep_id", pa.int64()), ("keep_row", pa.int64()),

@@ -2,16 +2,30 @@
 
 from __future__ import annotations
 
-from . import exact_dedup
+from . import bpe, exact_dedup, packing, simhash_pivots
 from .common import documents
 
 
+def op2_simhash(spark, sf_dir):
+    groups = simhash_pivots.near_groups(documents(spark, sf_dir).select("doc_id", "text"))
+    return groups.select("doc_id", simhash_pivots.as_hex("fp").alias("fingerprint"), "component_id")
+
+
+def op4_packing(spark, sf_dir):
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return packing.with_checksum(packing.pack(docs))
+
+
 def op6_exact_dedup(spark, sf_dir):
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return exact_dedup.exact_groups(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op6_exact_dedup,)}
+def op7_bpe(spark, sf_dir):
+    return bpe.round_trip(documents(spark, sf_dir).select("doc_id", "text"))
+
+
+QUERIES = {f.__name__: f for f in (op2_simhash, op4_packing, op6_exact_dedup, op7_bpe)}
 
 ORACLE = {
     "op6_exact_dedup": r"""
