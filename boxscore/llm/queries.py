@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, packing, simhash_pivots
+from . import bpe, exact_dedup, packing, simhash_pivots, toxicity
 from .common import documents
 
 
+def op1_toxicity(spark, sf_dir):
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    return toxicity.toxicity(documents(spark, sf_dir).select("doc_id", "text"), labels)
+
+
 def op2_simhash(spark, sf_dir):
     groups = simhash_pivots.near_groups(documents(spark, sf_dir).select("doc_id", "text"))
     return groups.select("doc_id", simhash_pivots.as_hex("fp").alias("fingerprint"), "component_id")
@@ -25,7 +30,7 @@ def op7_bpe(spark, sf_dir):
     return bpe.round_trip(documents(spark, sf_dir).select("doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash, op4_packing, op6_exact_dedup, op7_bpe)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_simhash, op4_packing, op6_exact_dedup, op7_bpe)}
 
 ORACLE = {
     "op6_exact_dedup": r"""
