@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, packing, simhash_pivots, toxicity
+from . import bpe, exact_dedup, packing, simhash_pivots, substring_dedup, toxicity
 from .common import documents
 
 
@@ -30,11 +30,26 @@ def op7_bpe(spark, sf_dir):
     return bpe.round_trip(documents(spark, sf_dir).select("doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_simhash, op4_packing, op6_exact_dedup, op7_bpe)}
+def op10_substring_dedup(spark, sf_dir):
+    return substring_dedup.removal_digests(documents(spark, sf_dir).select("doc_id", "text"))
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_simhash, op4_packing, op6_exact_dedup, op7_bpe, op10_substring_dedup)}
 
 ORACLE = {
     "op6_exact_dedup": r"""
         WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents),
         h AS (SELECT doc_id, t, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size FROM d)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM h""",
+    "op10_substring_dedup": r"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        s AS (SELECT doc_id, unnest(range(len(w) - 49)) AS s, w FROM d WHERE len(w) >= 50),
+        h AS (SELECT doc_id, s, array_to_string(w[s + 1:s + 50], ' ') AS window_text FROM s),
+        f AS (SELECT window_text, min(doc_id) AS low FROM h GROUP BY 1 HAVING min(doc_id) < max(doc_id)),
+        r AS (SELECT DISTINCT h.doc_id, h.s + o.i AS p FROM h JOIN f USING (window_text), range(50) AS o(i) WHERE h.doc_id > f.low),
+        k AS (SELECT doc_id, unnest(range(len(w))) AS p, unnest(w) AS word FROM d),
+        g AS (SELECT k.doc_id, string_agg(k.word, ' ' ORDER BY k.p) AS kept, count(*) AS n_kept
+              FROM k LEFT JOIN r ON r.doc_id = k.doc_id AND r.p = k.p WHERE r.p IS NULL GROUP BY 1)
+        SELECT d.doc_id, len(d.w) AS n_words, len(d.w) - coalesce(g.n_kept, 0) AS n_removed, sha256(coalesce(g.kept, '')) AS kept_sha256
+        FROM d LEFT JOIN g USING (doc_id)""",
 }
