@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, packing, quality, simhash_pivots, substring_dedup, toxicity
+from . import bpe, exact_dedup, language_model, packing, quality, simhash_pivots, substring_dedup, toxicity
 from .common import documents
 
 
@@ -30,6 +30,10 @@ def op7_bpe(spark, sf_dir):
     return bpe.round_trip(documents(spark, sf_dir).select("doc_id", "text"))
 
 
+def op8_language_model(spark, sf_dir):
+    return language_model.score_texts(documents(spark, sf_dir).select("doc_id", "text"))
+
+
 def op9_quality_rules(spark, sf_dir):
     return quality.quality(documents(spark, sf_dir).select("doc_id", "text", "lang", "source"))
 
@@ -38,7 +42,7 @@ def op10_substring_dedup(spark, sf_dir):
     return substring_dedup.removal_digests(documents(spark, sf_dir).select("doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_simhash, op4_packing, op6_exact_dedup, op7_bpe, op9_quality_rules, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_simhash, op4_packing, op6_exact_dedup, op7_bpe, op8_language_model, op9_quality_rules, op10_substring_dedup)}
 
 ORACLE = {
     "op6_exact_dedup": r"""
