@@ -213,20 +213,21 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, kmer: int = KMER) -> D
     spans = found.where(F.col("kind") == SPAN).select("doc", "tag", "s", "e")
     # nodes of two documents or more, and the edges through them
     nodes = edges.groupBy("node").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high").select("node")
-    shared = stored(edges.join(nodes, "node"))
-    owners = shared.groupBy("node", "content").agg(F.min("doc").alias("owner"))
+    # stored first: Spark splits a hot key only in a join of plain exchanges
+    shared = stored(edges.join(stored(nodes), "node"))
+    owners = stored(shared.groupBy("node", "content").agg(F.min("doc").alias("owner")))
     owned = stored(shared.join(owners, ["node", "content"]).select("node", "content", "doc", "tag", "s", "e", "owner"))
     whole = owned.where("doc > owner").select("doc", "tag", "s", (F.col("e") + window).alias("e"))
     # nodes with several contents, of several documents, are opened
     branching = (owned.groupBy("node").agg(F.min("content").alias("c0"), F.max("content").alias("c1"),
                                            F.min("owner").alias("d0"), F.max("owner").alias("d1"))
                  .where("c0 < c1 and d0 < d1").select("node"))
-    opened = (owned.where("doc = owner").join(branching, "node")
+    opened = (owned.where("doc = owner").join(stored(branching), "node")
               .groupBy("doc", "tag").agg(F.sort_array(F.collect_set(F.struct("s", "e"))).alias("edges")))
     sources = rows.join(opened, ["doc", "tag"]).select("doc", "tag", "text", F.col("edges.s").alias("firsts"), F.col("edges.e").alias("lasts"))
     windows = stored(sources.mapInArrow(lambda b: window_task(b, window), WINDOWS))
     lowest = windows.groupBy("h1", "h2").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high").select("h1", "h2", "low")
-    single = windows.join(lowest, ["h1", "h2"]).where("doc > low").select("doc", "tag", "s", (F.col("s") + window).alias("e"))
+    single = windows.join(stored(lowest), ["h1", "h2"]).where("doc > low").select("doc", "tag", "s", (F.col("s") + window).alias("e"))
     every = spans.unionByName(whole).unionByName(single)
     return (every.groupBy("doc", "tag").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
             .select("doc", "tag", F.col("spans.s").alias("starts"), F.col("spans.e").alias("ends")))
