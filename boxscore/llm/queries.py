@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, language_model, packing, quality, simhash_pivots, substring_dedup, toxicity
+from . import bpe, exact_dedup, html_wrapper, language_model, packing, pii, quality, simhash_pivots, substring_dedup, toxicity
 from .common import documents
 
 
@@ -16,11 +16,20 @@ def op2_simhash(spark, sf_dir):
     return groups.select("doc_id", simhash_pivots.as_hex("fp").alias("fingerprint"), "component_id")
 
 
+def op3_html_wrapper(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
+    return html_wrapper.main_text(pages)
+
+
 def op4_packing(spark, sf_dir):
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return packing.with_checksum(packing.pack(docs))
 
 
+def op5_pii(spark, sf_dir):
+    return pii.find(documents(spark, sf_dir).select("doc_id", "text"))
+
+
 def op6_exact_dedup(spark, sf_dir):
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return exact_dedup.exact_groups(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -42,7 +51,7 @@ def op10_substring_dedup(spark, sf_dir):
     return substring_dedup.removal_digests(documents(spark, sf_dir).select("doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_simhash, op4_packing, op6_exact_dedup, op7_bpe, op8_language_model, op9_quality_rules, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_simhash, op3_html_wrapper, op4_packing, op5_pii, op6_exact_dedup, op7_bpe, op8_language_model, op9_quality_rules, op10_substring_dedup)}
 
 ORACLE = {
     "op6_exact_dedup": r"""
