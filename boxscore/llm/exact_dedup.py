@@ -166,6 +166,26 @@ def normalised(docs: DataFrame):
     return F.regexp_replace(text_of(docs), SPACE_CLASS + "+", " ")
 
 
+def grouped(docs: DataFrame, spill_bytes: int) -> DataFrame:
+    """(doc, keep_id, group_size, kept, text_sha256), doc being the whole input row."""
+    prepare(docs.sparkSession)
+    norm = normalised(docs)
+    own = docs["doc_id"].cast("long")
+    row = F.monotonically_increasing_id()
+    flat = docs.select(own.alias("id"), row.alias("row"), F.xxhash64(norm).alias("hash"), norm.cast("binary").alias("text"))
+    reps = flat.mapInArrow(lambda b: local_tries(b, spill_bytes), REPS)
+    owners = (reps.repartition("hash", "bytes").sortWithinPartitions("hash", "bytes")
+              .mapInArrow(owner_tries, OWNERS)
+              .where("group_size > 1"))
+    rows = docs.select(F.struct("*").alias("doc"), own.alias("own"), F.sha2(norm.cast("binary"), 256).alias("text_sha256"), row.alias("row"))
+    joined = rows.join(owners, rows["text_sha256"] == owners["sha256"], "left")
+    alone = F.col("sha256").isNull()
+    first = F.col("own").eqNullSafe(F.col("keep_id")) & ((F.col("ties") == 1) | (F.col("row") == F.col("keep_row")))
+    return joined.select("doc", F.when(alone, F.col("own")).otherwise(F.col("keep_id")).alias("keep_id"),
+                         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
+                         (alone | first).alias("kept"), "text_sha256")
+
+
 def exact_groups(docs: DataFrame, spill_bytes: int = SPILL_BYTES) -> DataFrame:
     """Every row of ``docs`` with the owner of its text.
 
@@ -174,29 +194,10 @@ def exact_groups(docs: DataFrame, spill_bytes: int = SPILL_BYTES) -> DataFrame:
     after every id. Of rows that repeat the smallest doc_id, the first in
     file order stays. An empty table gives an empty result.
     """
-    prepare(docs.sparkSession)
-    base = docs.drop("keep_id", "group_size", "kept", "text_sha256")
-    norm = normalised(base)
-    flat = base.select(F.col("doc_id").cast("long").alias("id"), F.monotonically_increasing_id().alias("row"),
-                       F.xxhash64(norm).alias("hash"), norm.cast("binary").alias("text"))
-    reps = flat.mapInArrow(lambda b: local_tries(b, spill_bytes), REPS)
-    owners = (reps.repartition("hash", "bytes").sortWithinPartitions("hash", "bytes")
-              .mapInArrow(owner_tries, OWNERS)
-              .where("group_size > 1"))
-    rows = (base.withColumn("text_sha256", F.sha2(norm.cast("binary"), 256))
-            .withColumn("_row", F.monotonically_increasing_id()))
-    owners = owners.select(F.col("sha256").alias("_sha"), F.col("keep_id").alias("_keep"), F.col("keep_row").alias("_keep_row"),
-                           F.col("group_size").alias("_size"), F.col("ties").alias("_ties"))
-    joined = rows.join(owners, rows["text_sha256"] == owners["_sha"], "left")
-    alone = F.col("_sha").isNull()
-    own = F.col("doc_id").cast("long")
-    return (joined
-            .withColumn("keep_id", F.when(alone, own).otherwise(F.col("_keep")))
-            .withColumn("group_size", F.when(alone, F.lit(1)).otherwise(F.col("_size")).cast("long"))
-            .withColumn("kept", alone | (own.eqNullSafe(F.col("_keep")) & ((F.col("_ties") == 1) | (F.col("_row") == F.col("_keep_row")))))
-            .drop("_row", "_sha", "_keep", "_keep_row", "_size", "_ties"))
-
-
-def dedup(docs: DataFrame) -> DataFrame:
+    added = ("keep_id", "group_size", "kept", "text_sha256")
+    return grouped(docs, spill_bytes).select(*(F.col("doc")[c].alias(c) for c in docs.columns if c not in added), *added)
+
+
+def dedup(docs: DataFrame, spill_bytes: int = SPILL_BYTES) -> DataFrame:
     """The rows that own their text, with the columns of ``docs``."""
-    return exact_groups(docs).where("kept").select(*docs.columns)
+    return grouped(docs, spill_bytes).where("kept").select("doc.*")

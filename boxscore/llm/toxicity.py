@@ -283,12 +283,12 @@ def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose score stays below the cutoff, with their columns."""
     model = fit(docs, labels)
     prepare(docs.sparkSession)
+    at = docs.columns.index("text")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = None if model is None else worker_cache(f"toxicity:{hash((model.toxic, model.ordinary, *model.weights))}", lambda: Scorer(model))
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1).to_pylist()
-            keep = [scorer is None or scorer.score(t) < CUTOFF for t in texts]
-            yield batch.filter(pa.array(keep, pa.bool_())).select(range(batch.num_columns - 1))
+            keep = [scorer is None or scorer.score(t) < CUTOFF for t in batch.column(at).to_pylist()]
+            yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return docs.withColumn("_score_text", text_of(docs)).mapInArrow(task, docs.schema)
+    return docs.mapInArrow(task, docs.schema)
