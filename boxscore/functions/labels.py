@@ -62,9 +62,9 @@ def service_line_display(line: Column, sub_line: Column) -> Column:
             .otherwise(line))
 
 
-def external_name(external: Column, name: Column) -> Column:
-    """The department's external name, else its own name."""
-    return F.when(external.isNotNull() & (F.length(F.trim(external)) > 0), external).otherwise(name)
+def external_name(master: Column, master_external: Column, own_external: Column) -> Column:
+    """The master's external name where the master knows the department, else the department's own."""
+    return F.when(master.isNotNull() & (master != "Unknown"), master_external).otherwise(own_external)
 
 
 def unit_or_other(unit: Column, special_units: list[str], special_line: str,

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 TOP_EDGE = "100.1"
+DOMAIN_ROW = "Domain"  # the question id of rank rows for a whole domain
 
 
 def band_edges(ranks: DataFrame) -> DataFrame:
@@ -25,9 +26,10 @@ def band_edges(ranks: DataFrame) -> DataFrame:
 
 
 def latest_bands(ranks: DataFrame) -> DataFrame:
-    """W6 (after W5): keep the newest period per (domain, question, value)."""
+    """W6 (after W5): keep the newest period per (domain, question, value);
+    ranks of whole domains are no question's bands."""
     w = Window.partitionBy("domain", "question_id", "value").orderBy(F.col("period_end").desc())
-    return band_edges(ranks).withColumn("seq", F.row_number().over(w)).where(F.col("seq") == 1).drop("seq")
+    return band_edges(ranks).where(F.col("question_id") != DOMAIN_ROW).withColumn("seq", F.row_number().over(w)).where(F.col("seq") == 1).drop("seq")
 
 
 def monthly_percent(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -55,12 +57,10 @@ def band_lookup(scores: DataFrame, bands: DataFrame) -> DataFrame:
     """Score in [value, next_value) for the same question (LEFT join:
     scores outside every band keep a NULL rank).
 
-    The equi key (question) has only a handful of values, so a shuffle join
-    would put all scores into a few tasks. The band table is broadcast: its
-    size is bounded by scored questions x fiscal periods x bands (a
-    benchmark import of a few thousand rows), independent of the answers.
+    Both sides are small (monthly aggregates and a benchmark import), so the
+    join strategy is left to the runtime sizes AQE sees.
     """
-    b = F.broadcast(bands).select(F.col("question_id").cast("int").alias("__q"), F.col("value").alias("__lo"),
+    b = bands.select(F.col("question_id").try_cast("int").alias("__q"), F.col("value").alias("__lo"),
                      F.col("next_value").alias("__hi"), "percentile_rank")
     cond = ((scores["question_id"] == b["__q"]) & (scores["score"] >= b["__lo"]) & (scores["score"] < b["__hi"]))
     return scores.join(b, cond, "left").drop("__q", "__lo", "__hi")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from boxscore.sources.lookups import ALL_SERVICE_LINES, ALL_UNITS
+from boxscore.sources.lookups import ALL_GROUPS, ALL_SERVICE_LINES, ALL_UNITS
 
 GOAL_TYPE = "decimal(4,3)"
 
@@ -81,14 +81,13 @@ def resolve_goals(scored: DataFrame, goals: DataFrame, service_line: str,
     (a) department-specific goal; (b) keys without one get the line's
     'All Units' goal; (c) the line-level 'All Units' row; (d) the
     'All Service Lines' row for loaded years; then DISTINCT.
-    With ``group_col`` (G1b) an extra arm gives each (line, group) the
-    line's 'All Units' goal under the group's name.
+    With ``group_col`` (G1b) department rows carry their group, the line and
+    all-lines rows read 'All Groups', and an extra arm gives each (line,
+    group) the line's 'All Units' goal under the group's name.
 
     Every arm reads one distinct-keys aggregate of the answers, so the
     answer stage is scanned once for all of them.
     """
-    from boxscore.operators.joins import bounded_broadcast
-    goals = bounded_broadcast(goals)   # a dimension: checked row count, shuffle join beyond it
     keys = goal_keys(scored, [group_col] if group_col else None)
     specific = goals.where(F.col("epic_department_id") != ALL_UNITS).select(
         F.col("goal_fiscal_yr").alias("rec_fy"), F.col("epic_department_id").alias("goal_epic_department_id"),
@@ -96,24 +95,25 @@ def resolve_goals(scored: DataFrame, goals: DataFrame, service_line: str,
     line_all = goals.where((F.col("epic_department_id") == ALL_UNITS) & (F.col("service_line") == service_line)).select(
         F.col("goal_fiscal_yr").alias("rec_fy"), F.col("domain").alias("domain_goals"), "goal")
     on = ["rec_fy", "goal_epic_department_id", "domain_goals"]
-    cols = ["rec_fy", "service_line", "goal_epic_department_id", "domain_goals", "goal"]
+    group = [group_col] if group_col else []
+    all_groups = [F.lit(ALL_GROUPS).alias(group_col)] if group_col else []
+    cols = ["rec_fy", "service_line", "goal_epic_department_id", "domain_goals", "goal", *group]
     dept_keys = keys.select("rec_fy", "service_line", "epic_department_id", "goal_epic_department_id",
-                            "domain_goals").distinct()
+                            "domain_goals", *group).distinct()
 
     a = dept_keys.join(specific, on, "inner").select(cols)
     b = (dept_keys.join(specific.select(*on), on, "left_anti")
          .join(line_all, ["rec_fy", "domain_goals"], "left").select(cols))
-    c = (keys.select("rec_fy", "service_line", "domain_goals").distinct()
-         .join(line_all, ["rec_fy", "domain_goals"], "left")
-         .select("rec_fy", "service_line", F.lit(ALL_UNITS).alias("goal_epic_department_id"), "domain_goals", "goal"))
+    line_keys = keys.select("rec_fy", "service_line", "domain_goals").distinct()
+    c = (line_keys.join(line_all, ["rec_fy", "domain_goals"], "left")
+         .select("rec_fy", "service_line", F.lit(ALL_UNITS).alias("goal_epic_department_id"), "domain_goals", "goal", *all_groups))
     years = keys.select(F.col("rec_fy").alias("goal_fiscal_yr")).distinct()
     d = (goals.where((F.col("epic_department_id") == ALL_UNITS) & (F.col("service_line") == ALL_SERVICE_LINES))
          .join(years, "goal_fiscal_yr", "left_semi")
          .select(F.col("goal_fiscal_yr").alias("rec_fy"), F.lit(ALL_SERVICE_LINES).alias("service_line"),
-                 F.lit(ALL_UNITS).alias("goal_epic_department_id"), F.col("domain").alias("domain_goals"), "goal"))
+                 F.lit(ALL_UNITS).alias("goal_epic_department_id"), F.col("domain").alias("domain_goals"), "goal", *all_groups))
     out = a.unionByName(b).unionByName(c).unionByName(d)
     if group_col is not None:
-        out = out.withColumn(group_col, F.lit(None).cast("string"))
         g = (keys.select("rec_fy", "service_line", group_col, "domain_goals").distinct()
              .join(line_all, ["rec_fy", "domain_goals"], "left")
              .select("rec_fy", "service_line", F.lit(ALL_UNITS).alias("goal_epic_department_id"),
@@ -167,27 +167,59 @@ def load_goals_legacy(goals_old: DataFrame, year: int | None = None,
 
 
 def resolve_goals_legacy(df: DataFrame, goals: DataFrame, unit_col: str = "goal_unit") -> DataFrame:
-    """Answers whose unit is listed get the unit goal (inner arm); the
-    others get their line's 'All Units' goal (anti arm + left join)."""
-    unit_goals = goals.where(F.col("level") == "unit").select(
-        F.col("goal_fiscal_yr").alias("rec_fy"), F.col("epic_department_id").alias(unit_col),
-        F.col("domain").alias("domain_goals"), "goal")
+    """A unit is listed if its line has any goal row for it. Listed units
+    take their unit goal (NULL where the year or domain has none), all others
+    their line's 'All Units' goal; a goal of zero is no goal in either arm."""
+    unit_rows = goals.where(F.col("level") == "unit")
+    unit_goals = unit_rows.select(F.col("goal_fiscal_yr").alias("rec_fy"), "service_line", F.col("epic_department_id").alias(unit_col),
+                                  F.col("domain").alias("domain_goals"), zero_to_null(F.col("goal")).alias("goal"))
     line_goals = goals.where(F.col("level") == "line").select(
-        F.col("goal_fiscal_yr").alias("rec_fy"), "service_line", F.col("domain").alias("domain_goals"), "goal")
-    on = ["rec_fy", unit_col, "domain_goals"]
-    listed = df.join(unit_goals, on, "inner")
-    rest = df.join(unit_goals.select(*on), on, "left_anti").join(line_goals, ["rec_fy", "service_line", "domain_goals"], "left")
+        F.col("goal_fiscal_yr").alias("rec_fy"), "service_line", F.col("domain").alias("domain_goals"),
+        zero_to_null(F.col("goal")).alias("goal"))
+    units = unit_goals.select("service_line", unit_col).distinct()
+    listed = (df.join(units, ["service_line", unit_col], "left_semi")
+              .join(unit_goals, ["rec_fy", "service_line", unit_col, "domain_goals"], "left"))
+    rest = (df.join(units, ["service_line", unit_col], "left_anti")
+            .join(line_goals, ["rec_fy", "service_line", "domain_goals"], "left"))
     return listed.unionByName(rest)
 
 
-def goal_mapping(df: DataFrame) -> DataFrame:
-    """Response department -> goal department report rows with a goal."""
-    return (df.where(F.col("goal").isNotNull())
-            .select("rec_fy", "service_line", "epic_department_id", "goal_epic_department_id", "domain_goals",
-                    F.when(F.col("epic_department_id") == F.col("goal_epic_department_id"), F.lit("Own"))
-                    .when(F.col("goal_epic_department_id") == ALL_UNITS, F.lit("All Units"))
-                    .otherwise(F.lit("Translated")).alias("mapping"), "goal")
-            .distinct())
+def goal_mapping(scored: DataFrame, goals: DataFrame) -> DataFrame:
+    """Response department -> department whose goal it is measured by.
+
+    ``goals`` has one row per goal key with the goal and ``arm``: a key whose
+    goal came from the line reads 'All Units' instead of a department. Keys
+    without a goal are left out; department names come from the answers'
+    departments where they have one."""
+    keys = scored.select("rec_fy", "epic_department_id", "epic_department_name", "goal_epic_department_id", "domain_goals").distinct()
+    names = scored.select(F.col("epic_department_id").alias("goal_epic_department_id"),
+                          F.col("epic_department_name").alias("goal_epic_department_name")).groupBy("goal_epic_department_id") \
+        .agg(F.max("goal_epic_department_name").alias("goal_epic_department_name"))
+    joined = (keys.join(goals.where(F.col("goal").isNotNull()), ["rec_fy", "goal_epic_department_id", "domain_goals"])
+              .join(names, "goal_epic_department_id", "left"))
+    from_line = F.col("arm") == "line"
+    return joined.select(
+        F.col("rec_fy").alias("response_received_fy"), F.col("epic_department_id").alias("response_department_id"),
+        F.col("epic_department_name").alias("response_department_name"),
+        F.when(from_line, F.lit(ALL_UNITS)).otherwise(F.col("goal_epic_department_id")).alias("goals_department_id"),
+        F.when(from_line, F.lit(ALL_UNITS)).otherwise(F.col("goal_epic_department_name")).alias("goals_department_name"),
+        F.col("domain_goals").alias("goals_domain"), "goal").distinct()
+
+
+def goals_by_arm(scored: DataFrame, goals: DataFrame, service_line: str) -> DataFrame:
+    """The goal of each (fiscal year, goal department, domain) of the answers
+    and which arm supplied it: 'department', or 'line' where the department
+    has no goal row of its own."""
+    keys = scored.select("rec_fy", "goal_epic_department_id", "domain_goals").distinct()
+    on = ["rec_fy", "goal_epic_department_id", "domain_goals"]
+    own = goals.where(F.col("epic_department_id") != ALL_UNITS).select(
+        F.col("goal_fiscal_yr").alias("rec_fy"), F.col("epic_department_id").alias("goal_epic_department_id"),
+        F.col("domain").alias("domain_goals"), "goal")
+    line = goals.where((F.col("epic_department_id") == ALL_UNITS) & (F.col("service_line") == service_line)).select(
+        F.col("goal_fiscal_yr").alias("rec_fy"), F.col("domain").alias("domain_goals"), "goal")
+    a = keys.join(own, on).withColumn("arm", F.lit("department"))
+    b = keys.join(own.select(*on), on, "left_anti").join(line, ["rec_fy", "domain_goals"]).withColumn("arm", F.lit("line"))
+    return a.unionByName(b)
 
 
 def vocabulary_diff(a: DataFrame, a_col: str, b: DataFrame, b_col: str) -> DataFrame:

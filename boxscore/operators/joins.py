@@ -1,11 +1,11 @@
-"""Join operators (J1, J2, J5, J6, J8, J9, J11, J12, J13, J14, J15) and the
-size-checked broadcast used for dimensions.
-
-Broadcast policy: only literals and fixed-range calendars are broadcast
-unconditionally. Dimensions read from tables go through
-``bounded_broadcast`` (explicit row-count check, shuffle join beyond it),
-and sides derived from the fact are left to AQE, which broadcasts from
-runtime sizes and otherwise keeps the sort-merge join (with skew splits).
+"""Join operators.
+
+Broadcast policy: literals and calendars (one row per day) are hinted.
+Dimensions read from tables carry no hint: Spark broadcasts them by the byte
+estimate of its own statistics, AQE by runtime sizes, and beyond the
+threshold the join is a shuffle join whose hot keys can be split. A derived
+list that a dimension bounds may be hinted when that dimension's estimate
+fits (``fits_broadcast``). Building a query runs no job.
 """
 
 from __future__ import annotations
@@ -13,26 +13,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Row bound under which a dimension is broadcast (a few tens of MB).
-BROADCAST_MAX_ROWS = 200_000
 
-
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only if it has at most ``max_rows`` rows.
-
-    The check counts at most ``max_rows + 1`` rows (a small job, remembered
-    per session and plan); beyond the bound the frame is returned unchanged
-    and Spark plans a shuffle join.
-    """
-    key = (id(df.sparkSession), df.semanticHash(), max_rows)
-    if key not in _BOUNDED:
-        _BOUNDED[key] = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if _BOUNDED[key] else df
-
-
-# Size-check results per session and plan (a dimension's row count does not
-# change while a session reads the same files).
-_BOUNDED: dict = {}
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether the optimizer's byte estimate of ``df`` is within the session's
+    automatic broadcast threshold. Reads plan statistics only."""
+    limit = int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return 0 <= int(str(size)) <= limit
 
 
 def with_question(df: DataFrame, questions: DataFrame) -> DataFrame:

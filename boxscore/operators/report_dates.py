@@ -28,15 +28,17 @@ SPINE_COLS = ["rpt_prd", "event_date", "event_fy", "quarter_name", "month_short_
 
 
 def received_spine(calendar: DataFrame, start, end) -> DataFrame:
+    """Days of the calendar in [start, end]; a bound of None is open."""
     d = F.col("day_date")
-    return (calendar.where(d.between(F.lit(start).cast("date"), F.lit(end).cast("date")))
-            .select(period_label(d).alias("rpt_prd"), d.alias("event_date"), F.col("fyear_num").alias("event_fy"),
+    days = calendar if start is None else calendar.where(d >= F.lit(start).cast("date"))
+    days = days if end is None else days.where(d <= F.lit(end).cast("date"))
+    return (days.select(period_label(d).alias("rpt_prd"), d.alias("event_date"), F.col("fyear_num").alias("event_fy"),
                     "quarter_name", "month_short_name"))
 
 
 def discharge_spine(calendar: DataFrame, end, start=None) -> DataFrame:
     d = F.col("day_date")
-    c = calendar.where(d <= F.lit(end).cast("date"))
+    c = calendar if end is None else calendar.where(d <= F.lit(end).cast("date"))
     if start is not None:
         c = c.where(d >= F.lit(start).cast("date"))
     return c.select(d.alias("event_date_disch"))

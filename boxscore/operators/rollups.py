@@ -58,11 +58,13 @@ def rollup_lines(df: DataFrame, own_goal: str = "goal", all_goal: str = "goal_al
 
 def rollup_groups(df: DataFrame, own_goal: str = "goal", unit_goal: str = "goal_all_units") -> DataFrame:
     """Unit rows, 'All Units' inside each group, then 'All Units' across
-    'All Groups'."""
+    'All Groups'. The group id is a label too: its roll-up reads 'All Groups'."""
+    own_id = F.col("group_id").cast("string")
     out = explode_levels(df, [
-        {"clinic": F.col("clinic"), "group_name": F.col("group_name"), "goal": F.col(own_goal)},
-        {"clinic": label_if_survey(ALL_UNITS), "group_name": F.col("group_name"), "goal": F.col(unit_goal)},
-        {"clinic": label_if_survey(ALL_UNITS), "group_name": label_if_survey(ALL_GROUPS), "goal": F.col(unit_goal)},
+        {"clinic": F.col("clinic"), "group_id": own_id, "group_name": F.col("group_name"), "goal": F.col(own_goal)},
+        {"clinic": label_if_survey(ALL_UNITS), "group_id": own_id, "group_name": F.col("group_name"), "goal": F.col(unit_goal)},
+        {"clinic": label_if_survey(ALL_UNITS), "group_id": label_if_survey(ALL_GROUPS),
+         "group_name": label_if_survey(ALL_GROUPS), "goal": F.col(unit_goal)},
     ])
     return out.drop(unit_goal) if unit_goal != "goal" else out
 
@@ -81,17 +83,17 @@ def shared_clinics(df: DataFrame, key: str = "clinic", of: str = "service_line",
 def suffix_shared(df: DataFrame, key: str = "clinic", of: str = "service_line",
                   exclude_col: str = "clinic", exclude: str = ALL_UNITS,
                   skip_value_col: str | None = None, skip_value: str | None = None,
-                  key_bound: int | None = None) -> DataFrame:
+                  bounded_by: DataFrame | None = None) -> DataFrame:
     """J8: 'clinic - line' for clinics that appear in several lines.
     CASE WHEN clinic IN (subquery) becomes a left join to the distinct list
-    of shared clinics plus a flag. ``key_bound`` is a proven upper bound on
-    that list (clinic labels come from the department dimension, so its
-    row count bounds them); under the broadcast limit the list is
-    broadcast, so the detail rows are never shuffled on the (skewed) clinic
-    key. Without a bound, AQE picks the join from runtime sizes."""
-    from boxscore.operators.joins import BROADCAST_MAX_ROWS
+    of shared clinics plus a flag. ``bounded_by`` is a dimension
+    that bounds the list (clinic labels come from departments); where its
+    byte estimate fits a broadcast the list is broadcast, so the detail rows
+    are never shuffled on the (skewed) clinic key. Otherwise AQE picks the
+    join from runtime sizes."""
+    from boxscore.operators.joins import fits_broadcast
     shared = shared_clinics(df, key, of, exclude_col, exclude).select(F.col(key).alias("__k"), F.lit(True).alias("__shared"))
-    if key_bound is not None and key_bound <= BROADCAST_MAX_ROWS:
+    if bounded_by is not None and fits_broadcast(bounded_by):
         shared = F.broadcast(shared)
     out = df.join(shared, df[key] == shared["__k"], "left")
     cond = F.col("__shared").isNotNull()

@@ -3,14 +3,16 @@ values (question set, unit question, constants, date mode, goal keys)."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import datetime as dt
+from dataclasses import dataclass
 
+from boxscore.functions.calendar import default_window
 from boxscore.sources import lookups as L
 
 
 @dataclass(frozen=True)
 class ExtractConfig:
-    start: str = "1995-07-01"          # report window (inclusive)
+    start: str = "1995-07-01"          # fixed report window (inclusive); ``rolling`` gives the default one
     end: str = "2001-06-30"
     as_of: str = "2002-01-01"          # 'today' for ages; a parameter, never the clock
     questions: tuple = (1, 2, 3, 4, 5, 6, 7)
@@ -26,7 +28,12 @@ class ExtractConfig:
     service_line: str = L.CHILD_SERVICE_LINE
     sub_service_line: str = L.CHILD_SUB_SERVICE_LINE
     date_mode: str = "left"
-    extra: dict = field(default_factory=dict)
+
+    @classmethod
+    def rolling(cls, as_of: str, **changes) -> "ExtractConfig":
+        """The default window (F4) of an as-of date: 24 months back through the end of its month."""
+        start, end = default_window(dt.date.fromisoformat(as_of))
+        return cls(start=start.isoformat(), end=end.isoformat(), as_of=as_of, **changes)
 
 
 DEFAULT = ExtractConfig()

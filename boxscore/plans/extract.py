@@ -27,7 +27,7 @@ from boxscore.functions import labels as V
 from boxscore.functions.scoring import score_columns, with_rules
 from boxscore.operators import filters as Fl
 from boxscore.operators.goals import resolve_goals, zero_to_null
-from boxscore.operators.joins import bounded_broadcast, with_group
+from boxscore.operators.joins import with_group
 from boxscore.operators.report_dates import dual_date
 from boxscore.operators.rollups import rollup_groups, rollup_units, suffix_shared
 from boxscore.operators.windows import max_answer, survey_attribute
@@ -70,7 +70,7 @@ def survey_departments(inp: Inputs, answers: DataFrame, cfg: ExtractConfig = DEF
     """
     unit = survey_attribute(answers, cfg.unit_question, "unit", L.NULL_UNIT)
     cal = inp.calendar.select(F.col("day_date").alias("received_date"), F.col("fyear_num").alias("rec_fy"))
-    deps = bounded_broadcast(inp.departments.select("department_key", "department_id", "department_name"))
+    deps = inp.departments.select("department_key", "department_id", "department_name")
     trn = L.department_translation(inp.spark)
     rows = (answers.select("survey_id", "department_key", "received_date", "fy").distinct()
             .join(F.broadcast(cal), "received_date", "inner")
@@ -99,8 +99,8 @@ def survey_detail(inp: Inputs, answers: DataFrame, cfg: ExtractConfig = DEFAULT)
     age = max_answer(inp.responses.select("survey_id", "question_id", "account_key", "value"),
                      cfg.age_question, "pat_age_survey_answer")
     as_of = F.lit(cfg.as_of).cast("date")
-    s = (keys.join(bounded_broadcast(inp.accounts), "account_key", "left")
-         .join(bounded_broadcast(inp.patients), "patient_key", "left")
+    s = (keys.join(inp.accounts, "account_key", "left")
+         .join(inp.patients, "patient_key", "left")
          .join(age, "survey_id", "left"))
     return s.select(
         *SURVEY_KEYS, "mrn",
@@ -121,7 +121,7 @@ def answer_detail(inp: Inputs, answers: DataFrame, cfg: ExtractConfig = DEFAULT,
     caller's survey-keyed columns in ``survey_extra``). The answers are
     shuffled once, on the survey keys; NULL keys match null-safely, which is
     the left-join result the reference's separate joins give."""
-    phys = bounded_broadcast(inp.physicians)
+    phys = inp.physicians
     attrs = inp.rules.select("question_id", "domain", "question_text", "question_text_alias")
     a = (answers.join(F.broadcast(inp.questions.select("question_id", "varname")), "question_id", "inner")
          .join(phys, "physician_key", "left")
@@ -156,18 +156,14 @@ def scored_answers(inp: Inputs, cfg: ExtractConfig = DEFAULT) -> DataFrame:
     ).distinct()
 
 
-def stage(df: DataFrame, persist: bool = False) -> DataFrame:
+def stage(df: DataFrame) -> DataFrame:
     """A stage that feeds several branches (goal keys, both spine
     branches, roll-up levels).
 
     Within one action Spark already computes the stage once: the branches
     share identical shuffle exchanges, which AQE's stage cache reuses
     (measured: no run-time gain from persisting, and registering a cache
-    plans the whole query up front). ``persist=True`` keeps it across
-    actions (MEMORY_AND_DISK; lost blocks are recomputed from lineage)."""
-    if persist:
-        from pyspark import StorageLevel
-        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    plans the whole query up front)."""
     return df
 
 
@@ -182,11 +178,11 @@ def unit_extract_parts(inp: Inputs, cfg: ExtractConfig = DEFAULT, groups: bool =
         "rec_fy", "goal_epic_department_id", "service_line", "domain_goals", "goal")
     if groups:
         own = own.distinct()
-    line_all = (goals.where((F.col("service_line") == cfg.service_line)
+    line_rows = goals.where((F.col("service_line") == cfg.service_line)
                             & (F.col("goal_epic_department_id") == L.ALL_UNITS))
-                .select("rec_fy", "domain_goals", zero_to_null(F.col("goal")).alias("goal_all_units")))
     if groups:
-        line_all = line_all.where(F.col("group_name").isNull()) if "group_name" in goals.columns else line_all
+        line_rows = line_rows.where(F.col("group_name") == L.ALL_GROUPS)
+    line_all = line_rows.select("rec_fy", "domain_goals", zero_to_null(F.col("goal")).alias("goal_all_units"))
     staged = (scored.join(own, ["rec_fy", "goal_epic_department_id", "service_line", "domain_goals"], "left")
               .join(line_all, ["rec_fy", "domain_goals"], "left"))
     return scored, goals, staged
@@ -222,7 +218,7 @@ def unit_extract(inp: Inputs, cfg: ExtractConfig = DEFAULT) -> DataFrame:
     _, _, staged = unit_extract_parts(inp, cfg)
     spined = dual_date(staged, inp.calendar, cfg.start, cfg.end, mode=cfg.date_mode)
     rolled = rollup_units(spined)
-    return finish(suffix_shared(rolled, key_bound=inp.clinic_bound), cfg)
+    return finish(suffix_shared(rolled, bounded_by=inp.departments), cfg)
 
 
 def unit_extract_groups(inp: Inputs, cfg: ExtractConfig = DEFAULT) -> DataFrame:
@@ -231,4 +227,4 @@ def unit_extract_groups(inp: Inputs, cfg: ExtractConfig = DEFAULT) -> DataFrame:
     _, _, staged = unit_extract_parts(inp, cfg, groups=True)
     spined = dual_date(staged, inp.calendar, cfg.start, cfg.end, mode=cfg.date_mode)
     rolled = rollup_groups(spined)
-    return finish(suffix_shared(rolled, key_bound=inp.clinic_bound), cfg, extra_cols=("group_id", "group_name"))
+    return finish(suffix_shared(rolled, bounded_by=inp.departments), cfg, extra_cols=("group_id", "group_name"))

@@ -53,7 +53,6 @@ LINE_CFG = replace(DEFAULT, event_type="Child Inpatient Survey", date_mode="full
 ADULT_CFG = replace(DEFAULT, event_type="Adult Inpatient Survey", date_mode="full")
 CLINIC_CFG = replace(DEFAULT, event_type="Outpatient Clinic Survey", date_mode="full")
 CHILD_CFG = replace(DEFAULT, event_type="Child Survey by Line", date_mode="full")
-ADULT_GOAL_YEAR = 1998
 FLAT_GOAL = "0.750"
 
 
@@ -83,9 +82,7 @@ def line_scored(inp: Inputs, cfg: ExtractConfig = LINE_CFG, unknown_label: str =
     sud = survey_unit_departments(inp, cfg, answers).select("survey_id", "resolved_department_key", "unit")
     per_survey = line_locations(inp, sud.distinct(), unknown_label)
     a = answer_detail(inp, answers, cfg, survey_extra=per_survey)
-    # persisted: measured faster here (the per-survey location branch is not
-    # shared by exchange reuse between the spine and roll-up branches)
-    return stage(a.distinct(), persist=True)
+    return stage(a.distinct())
 
 
 def line_goals(inp: Inputs, df: DataFrame) -> DataFrame:
@@ -111,7 +108,7 @@ def line_extract(inp: Inputs, cfg: ExtractConfig = LINE_CFG, unknown_label: str
     both = F.col("survey_id").isNotNull() & F.col("event_date_disch").isNotNull()
     rolled = rollup_lines(spined, copy_if=both)
     rolled = suffix_shared(rolled, exclude_col="service_line", exclude=L.ALL_SERVICE_LINES,
-                           skip_value_col="service_line", skip_value=L.ALL_SERVICE_LINES, key_bound=inp.clinic_bound)
+                           skip_value_col="service_line", skip_value=L.ALL_SERVICE_LINES, bounded_by=inp.departments)
     return finish(rolled, cfg)
 
 
@@ -138,23 +135,17 @@ def adult_scored(inp: Inputs, cfg: ExtractConfig = ADULT_CFG, service: str = "IN
 def adult_extract(inp: Inputs, cfg: ExtractConfig = ADULT_CFG, drop_flagged: bool = False,
                   with_goals: bool = True) -> DataFrame:
     """P4 (by line) / P5 (flagged surveys removed, no goals): full outer on
-    the whole calendar, line goal by (line, domain) for the goal year, and
-    an 'All Service Lines' copy."""
+    the whole calendar, line goal by (line, domain) of the answer's fiscal
+    year, and an 'All Service Lines' copy."""
     s = adult_scored(inp, cfg)
     if drop_flagged:
         s = without_flagged(s, inp.responses, inp.questions, L.FLAG_VARNAME, L.FLAG_VALUE)
     if with_goals:
-        g = inp.adult_goals.where((F.col("epic_department_id") == L.ALL_UNITS)
-                                  & (F.col("goal_fiscal_yr") == ADULT_GOAL_YEAR))
-        line = g.where(F.col("service_line") != L.ALL_SERVICE_LINES).select(
-            "service_line", F.col("domain").alias("domain_goals"), "goal")
-        all_lines = g.where(F.col("service_line") == L.ALL_SERVICE_LINES).select(
-            F.col("domain").alias("domain_goals"), F.col("goal").alias("goal_all_lines"))
-        s = s.join(line, ["service_line", "domain_goals"], "left").join(all_lines, ["domain_goals"], "left")
+        s = line_goals(inp, s)
     else:
         s = s.withColumn("goal", F.lit(None).cast("decimal(4,3)")).withColumn(
             "goal_all_lines", F.lit(None).cast("decimal(4,3)"))
-    spined = dual_date(s, inp.calendar, "1990-01-01", "2030-12-31", mode="full")
+    spined = dual_date(s, inp.calendar, None, None, mode="full")
     rolled = rollup_lines(spined)
     out = rolled.withColumn("unit", F.when(F.col("unit") == L.ADULT_DISPLAY_RECODE[0], F.lit(L.ADULT_DISPLAY_RECODE[1]))
                             .otherwise(F.col("unit")))
@@ -190,9 +181,9 @@ def child_extract(inp: Inputs, cfg: ExtractConfig = CHILD_CFG, suffix_col: str =
     rolled = rollup_lines(spined, copy_if=both if clipped else None)
     # clinic labels are bounded by the department dimension; unit labels are
     # survey answers (no proven bound), so their list is left to AQE
-    bound = inp.clinic_bound if suffix_col == "clinic" else None
+    bound = inp.departments if suffix_col == "clinic" else None
     rolled = suffix_shared(rolled, key=suffix_col, exclude_col="service_line", exclude=L.ALL_SERVICE_LINES,
-                           skip_value_col="service_line", skip_value=L.ALL_SERVICE_LINES, key_bound=bound)
+                           skip_value_col="service_line", skip_value=L.ALL_SERVICE_LINES, bounded_by=bound)
     return finish(rolled, cfg)
 
 
@@ -245,16 +236,18 @@ def response_summary(inp: Inputs, cfg: ExtractConfig = DEFAULT, load_dtm: str =
 def locations(inp: Inputs, cfg: ExtractConfig = DEFAULT, load_dtm: str = FIXED_LOAD_DTM,
               external: bool = False) -> DataFrame:
     """Picklist of (service line, clinic, department) from the
-    resolved department of each survey; P10 labels clinics by the
-    department's external name (V18)."""
+    resolved department of each survey; P10 labels clinics by an external
+    name (V18): the location master's where it knows the department, else
+    the department's own."""
     sud = survey_unit_departments(inp, cfg).select("survey_id", "resolved_department_key", "unit").distinct()
     loc = line_locations(inp, sud)
     if external:
-        ext = inp.departments.select(F.col("department_id").alias("epic_department_id"), "external_name",
-                                     F.col("department_name").alias("dept_name"))
-        loc = loc.join(ext, "epic_department_id", "left").withColumn(
-            "clinic", F.concat(V.external_name(F.col("external_name"), F.col("dept_name")),
-                               F.lit(" ["), F.col("epic_department_id"), F.lit("]")))
-    return (loc.where(F.col("epic_department_id").isNotNull())
-            .select("service_line", "clinic", "epic_department_id").distinct()
+        ext = inp.departments.select(F.col("department_id").alias("epic_department_id"), "external_name")
+        master = inp.location_master.select(F.col("department_id").alias("epic_department_id"),
+                                            F.col("department_name").alias("master_name"),
+                                            F.col("external_name").alias("master_external_name"))
+        loc = (loc.join(ext, "epic_department_id", "left").join(master, "epic_department_id", "left")
+               .withColumn("clinic", V.external_name(F.col("master_name"), F.col("master_external_name"), F.col("external_name"))))
+    # surveys without a resolved department keep their row (NULL department)
+    return (loc.select("service_line", "clinic", "epic_department_id").distinct()
             .withColumn("load_dtm", F.lit(load_dtm).cast("timestamp_ntz")))

@@ -13,8 +13,9 @@ from boxscore.plans.config import DEFAULT, ExtractConfig
 from boxscore.plans.extract import unit_extract_parts
 from boxscore.sources.tables import Inputs
 
+# survey side first, then the department whose goal applies
 SUMMARY_KEYS = ["rec_fy", "month_num", "month_short_name", "unit", "epic_department_id", "epic_department_name",
-                "clinic", "service_line_id", "service_line", "domain_goals"]
+                "goal_epic_department_id", "clinic", "service_line_id", "service_line", "domain_goals"]
 
 
 def with_month(inp: Inputs, df: DataFrame) -> DataFrame:
@@ -37,9 +38,8 @@ def score_summary(inp: Inputs, cfg: ExtractConfig = DEFAULT) -> DataFrame:
     scored, goals, _ = unit_extract_parts(inp, cfg)
     s = Fl.reportable_domains(with_month(inp, scored))
     summ = A.score_summary(s, SUMMARY_KEYS)
-    g = goals.select("rec_fy", F.col("goal_epic_department_id").alias("epic_department_id"), "service_line",
-                     "domain_goals", "goal").distinct()
-    out = summ.join(g, ["rec_fy", "epic_department_id", "service_line", "domain_goals"], "left")
+    g = goals.select("rec_fy", "goal_epic_department_id", "service_line", "domain_goals", "goal").distinct()
+    out = summ.join(g, ["rec_fy", "goal_epic_department_id", "service_line", "domain_goals"], "left")
     cal_years = (inp.calendar.where(F.col("day_date").between(F.lit(cfg.start).cast("date"), F.lit(cfg.end).cast("date")))
                  .select(F.col("fyear_num").alias("rec_fy")))
     out = in_loaded_years(out, cal_years, year_col="rec_fy", df_year_col="rec_fy")

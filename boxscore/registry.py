@@ -395,7 +395,8 @@ def q_goal_legacy(inp):
 
 @register("q_goal_mapping")
 def q_goal_mapping(inp):
-    return G.goal_mapping(extract.unit_extract_parts(inp, DEFAULT)[2])
+    scored = extract.scored_answers(inp, DEFAULT)
+    return G.goal_mapping(scored, G.goals_by_arm(scored, inp.child_goals, DEFAULT.service_line))
 
 
 @register("q_vocabulary_diff")
@@ -436,7 +437,7 @@ def q_rollup_lines(inp):
 @register("q_rollup_groups")
 def q_rollup_groups(inp):
     staged = extract.unit_extract_parts(inp, DEFAULT, groups=True)[2]
-    return U.rollup_groups(staged.select("survey_id", "question_id", "clinic", "group_name", "domain_goals",
+    return U.rollup_groups(staged.select("survey_id", "question_id", "clinic", "group_id", "group_name", "domain_goals",
                                          "goal", "goal_all_units"))
 
 
@@ -668,5 +669,5 @@ def q_child_extract_unit_suffix(inp):
 @register("q_department_audit")
 def q_department_audit(inp):
     sud = lines.survey_unit_departments(inp, DEFAULT)
-    deps = J.bounded_broadcast(inp.departments.select("department_key", "department_name"))
+    deps = inp.departments.select("department_key", "department_name")
     return D.department_audit(sud, deps)

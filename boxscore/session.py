@@ -8,7 +8,6 @@ tests and the local benchmark need.
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -46,19 +45,4 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     builder = builder.config("spark.driver.memory", os.environ.get("BOXSCORE_DRIVER_MEMORY", "8g"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
-
-    On a cluster the launcher sets it to a shared file system; only when it
-    is unset (local tests) do we create a scratch folder of our own.
-    """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="boxscore-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
-    return current

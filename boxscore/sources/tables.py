@@ -13,10 +13,10 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boxscore.functions.calendar import date_spine, fiscal_year
+from boxscore.functions.calendar import fiscal_year, with_calendar_attributes
 from boxscore.sources import lookups as L
 
-# Calendar dimension bounds (the warehouse date table covers these days).
+# Days the calendar dimension has at least; dates of the fact widen it.
 CALENDAR_START = "1990-01-01"
 CALENDAR_END = "2030-12-31"
 
@@ -27,20 +27,9 @@ GOAL_YEARS = (1996, 2002)
 FIXED_LOAD_DTM = "2020-01-01 00:00:00"
 
 
-_SCANS: dict = {}
-_TABLES: dict = {}
-_INPUTS: dict = {}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str, cols: list[str] | None = None) -> DataFrame:
-    """Scan one table with an explicit column list (pruned at the scan).
-    The base relation is resolved once per session and path (file listing
-    and footer schema), then every query projects its own columns."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    if key not in _SCANS:
-        _SCANS[key] = spark.read.parquet(path)
-    df = _SCANS[key]
+    """Scan one table with an explicit column list (pruned at the scan)."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return df.select(*cols) if cols else df
 
 
@@ -48,15 +37,6 @@ def _goal(expr: Column) -> Column:
     return (expr.cast("double") / 100).cast("decimal(4,3)")
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write a small derived table (e.g. the goal table the goals ETL loads)
-    to the shared checkpoint folder and read it back, cutting its lineage.
-    Uses the session's ``spark.checkpoint.dir``; never a local checkpoint."""
-    from boxscore.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 class Inputs:
     """Lazily built survey tables for one data directory."""
 
@@ -66,12 +46,8 @@ class Inputs:
 
     @classmethod
     def for_dir(cls, spark: SparkSession, sf_dir: str) -> "Inputs":
-        """One set of (lazy, immutable) table definitions per session and
-        data directory, shared by every query - as catalog tables are."""
-        key = (id(spark), sf_dir.rstrip("/"))
-        if key not in _INPUTS:
-            _INPUTS[key] = cls(spark, sf_dir)
-        return _INPUTS[key]
+        """The table definitions of a data directory, shared within one query."""
+        return cls(spark, sf_dir)
 
     def table(self, name: str, cols: list[str] | None = None) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name, cols)
@@ -120,13 +96,6 @@ class Inputs:
             .alias("survey_designator"),
         )
 
-    @cached_property
-    def clinic_bound(self) -> int:
-        """Upper bound on distinct clinic labels: one per department row plus
-        the roll-up and 'Unknown' labels (a capped count of the dimension)."""
-        from boxscore.operators.joins import BROADCAST_MAX_ROWS
-        return self.departments.limit(BROADCAST_MAX_ROWS + 1).count() + 8
-
     # -- dimensions -------------------------------------------------------------
     @cached_property
     def departments(self) -> DataFrame:
@@ -149,6 +118,7 @@ class Inputs:
                 .select(
                     (k + 10000000).cast("string").alias("department_id"),
                     F.when(k % 11 == 0, F.lit(None)).otherwise(F.col("s_name")).alias("department_name"),
+                    F.when(k % 7 == 0, F.lit(None)).otherwise(F.concat(F.lit("MASTER "), F.col("s_name"))).alias("external_name"),
                     F.col("r_regionkey").alias("service_line_id"),
                     F.when(k % 9 == 0, F.lit(None)).when(k % 9 == 1, F.lit("Unknown"))
                     .when(k % 9 == 2, F.lit("Therapies")).otherwise(F.col("r_name")).alias("service_line"),
@@ -216,7 +186,15 @@ class Inputs:
 
     @cached_property
     def calendar(self) -> DataFrame:
-        return date_spine(self.spark, CALENDAR_START, CALENDAR_END)
+        """The calendar dimension: its usual days, widened to every date of the
+        fact, so that no answer falls outside. One row per day."""
+        o = self.table("orders", ["o_orderkey", "o_orderdate"])
+        discharge = F.col("o_orderdate").cast("date")
+        dates = o.select(discharge.alias("lo"), F.date_add(discharge, (F.col("o_orderkey") % 45).cast("int")).alias("hi"))
+        bounds = dates.agg(F.least(F.min("lo"), F.lit(CALENDAR_START).cast("date")).alias("lo"),
+                           F.greatest(F.max("hi"), F.lit(CALENDAR_END).cast("date")).alias("hi"))
+        days = bounds.select(F.explode(F.sequence("lo", "hi", F.expr("interval 1 day"))).alias("day_date"))
+        return with_calendar_attributes(days)
 
     # -- goals -----------------------------------------------------------------
     @cached_property
@@ -264,14 +242,6 @@ class Inputs:
         return (dept.select(cols).unionByName(all_units.select(cols)).unionByName(retired.select(cols))
                 .unionByName(adult_lines.select(cols)).unionByName(adult_all.select(cols)))
 
-    def _stored(self, name: str, build) -> DataFrame:
-        """A derived table written once per session and data directory (the
-        goal tables are what the goals ETL loads; extracts only read them)."""
-        key = (id(self.spark), self.sf_dir.rstrip("/"), name)
-        if key not in _TABLES:
-            _TABLES[key] = materialize(build())
-        return _TABLES[key]
-
     def load_child_goals(self) -> DataFrame:
         """The child goals ETL (G4) over the goal settings, as a lazy plan."""
         from boxscore.operators.goals import load_goals
@@ -288,13 +258,13 @@ class Inputs:
 
     @cached_property
     def child_goals(self) -> DataFrame:
-        """The stored child goal table (ETL output, written once)."""
-        return self._stored("child_goals", self.load_child_goals)
+        """The child goal table (a dimension; ETL output as a lazy plan)."""
+        return self.load_child_goals()
 
     @cached_property
     def adult_goals(self) -> DataFrame:
-        """The stored adult goal table (ETL output, written once)."""
-        return self._stored("adult_goals", self.load_adult_goals)
+        """The adult goal table (a dimension; ETL output as a lazy plan)."""
+        return self.load_adult_goals()
 
     @cached_property
     def percentile_ranks(self) -> DataFrame:
@@ -307,13 +277,17 @@ class Inputs:
         band, fy = F.col("band"), F.col("fy")
         value = (F.when(band == 0, F.lit(0)).when(band == 5, F.lit(100))
                  .otherwise(band * 20 + (fy % 3) * 5 - 5))
-        return b.select(
+        rows = b.select(
             value.cast("decimal(4,1)").alias("value"), "domain",
             F.col("question_id").cast("string").alias("question_id"),
             (band * 20).cast("int").alias("percentile_rank"),
             F.make_date(fy - 1, F.lit(7), F.lit(1)).alias("period_begin"),
             F.make_date(fy, F.lit(6), F.lit(30)).alias("period_end"),
             "question_text_alias")
+        # the benchmark file also ranks whole domains; their id is a word
+        whole = rows.select("value", "domain", F.lit("Domain").alias("question_id"), "percentile_rank",
+                            "period_begin", "period_end", F.lit(None).cast("string").alias("question_text_alias")).distinct()
+        return rows.unionByName(whole)
 
     @cached_property
     def goals_old(self) -> DataFrame:

@@ -75,6 +75,7 @@ FROM supplier"""
 VIEWS["location_master"] = """
 SELECT CAST(s.s_suppkey + 10000000 AS VARCHAR) AS department_id,
        CASE WHEN s.s_suppkey % 11 = 0 THEN NULL ELSE s.s_name END AS department_name,
+       CASE WHEN s.s_suppkey % 7 = 0 THEN NULL ELSE 'MASTER ' || s.s_name END AS external_name,
        r.r_regionkey AS service_line_id,
        CASE s.s_suppkey % 9 WHEN 0 THEN NULL WHEN 1 THEN 'Unknown' WHEN 2 THEN 'Therapies' ELSE r.r_name END AS service_line,
        n.n_name || ' OPS' AS operational_service,

@@ -23,17 +23,17 @@ ORACLE["q_unit_extract"] = with_views(extract_result(DEFAULT), _EXT)
 
 ORACLE["q_score_summary"] = with_views(f"""
 SELECT s.*, g.goal FROM (
-  SELECT rec_fy, month_num, month_short_name, unit, epic_department_id, epic_department_name, clinic,
+  SELECT rec_fy, month_num, month_short_name, unit, epic_department_id, epic_department_name, goal_epic_department_id, clinic,
          service_line_id, service_line, domain_goals,
          CAST(SUM(top_box) AS BIGINT) AS top_box, CAST(SUM(val_count) AS BIGINT) AS val_count,
          {_score('SUM(top_box)', 'SUM(val_count)')} AS score, COUNT(*) AS n
   FROM (SELECT x.*, c.month_num, c.month_short_name FROM scored x LEFT JOIN calendar c ON c.day_date = x.received_date)
   WHERE domain_goals IS NOT NULL
     AND domain_goals NOT IN ('Meals', 'Overall Assessment', 'Pediatric ICU/CCU', 'Personal Issues')
-  GROUP BY rec_fy, month_num, month_short_name, unit, epic_department_id, epic_department_name, clinic,
+  GROUP BY rec_fy, month_num, month_short_name, unit, epic_department_id, epic_department_name, goal_epic_department_id, clinic,
            service_line_id, service_line, domain_goals) s
 LEFT JOIN (SELECT DISTINCT rec_fy, goal_epic_department_id, service_line, domain_goals, goal FROM goals_stage) g
-  ON g.rec_fy = s.rec_fy AND g.goal_epic_department_id = s.epic_department_id
+  ON g.rec_fy = s.rec_fy AND g.goal_epic_department_id = s.goal_epic_department_id
  AND g.service_line = s.service_line AND g.domain_goals = s.domain_goals
 WHERE s.rec_fy IN (SELECT DISTINCT fyear_num FROM calendar
                    WHERE day_date BETWEEN DATE '{DEFAULT.start}' AND DATE '{DEFAULT.end}')
@@ -191,7 +191,22 @@ FROM answers_f a LEFT JOIN rules x ON x.question_id = a.question_id""",
 })
 ORACLE["q_goal_cascade"] = _v("SELECT * FROM goals_stage")
 ORACLE["q_goal_cascade_group"] = _v(f"""SELECT DISTINCT * FROM (
-  SELECT rec_fy, service_line, goal_epic_department_id, domain_goals, goal, CAST(NULL AS VARCHAR) AS group_name FROM goals_stage
+  SELECT k.rec_fy, k.service_line, k.goal_epic_department_id, k.domain_goals,
+         CASE WHEN g.domain IS NULL THEN ga.goal ELSE g.goal END AS goal, k.group_name
+  FROM (SELECT DISTINCT rec_fy, service_line, goal_epic_department_id, domain_goals, group_name FROM scored_g) k
+  LEFT JOIN (SELECT * FROM child_goals WHERE epic_department_id <> 'All Units') g
+    ON g.goal_fiscal_yr = k.rec_fy AND g.epic_department_id = k.goal_epic_department_id AND g.domain = k.domain_goals
+  LEFT JOIN (SELECT * FROM child_goals WHERE epic_department_id = 'All Units' AND service_line = {_LINE}) ga
+    ON ga.goal_fiscal_yr = k.rec_fy AND ga.domain = k.domain_goals
+  UNION ALL
+  SELECT k.rec_fy, k.service_line, 'All Units', k.domain_goals, ga.goal, 'All Groups'
+  FROM (SELECT DISTINCT rec_fy, service_line, domain_goals FROM scored_g) k
+  LEFT JOIN (SELECT * FROM child_goals WHERE epic_department_id = 'All Units' AND service_line = {_LINE}) ga
+    ON ga.goal_fiscal_yr = k.rec_fy AND ga.domain = k.domain_goals
+  UNION ALL
+  SELECT g.goal_fiscal_yr, 'All Service Lines', 'All Units', g.domain, g.goal, 'All Groups'
+  FROM child_goals g JOIN (SELECT DISTINCT rec_fy FROM scored) y ON g.goal_fiscal_yr = y.rec_fy
+  WHERE g.epic_department_id = 'All Units' AND g.service_line = 'All Service Lines'
   UNION ALL
   SELECT k.rec_fy, k.service_line, 'All Units', k.domain_goals, ga.goal, k.group_name
   FROM (SELECT DISTINCT rec_fy, service_line, group_name, domain_goals FROM scored_g) k
@@ -215,17 +230,27 @@ _EXT.update({
     "leg_lg": "SELECT * FROM legacy_all WHERE unit = 'All Units' AND service_line <> 'All Service Lines'",
 })
 ORACLE["q_goal_legacy"] = _v("""
-SELECT k.*, CAST(ug.goal AS DECIMAL(4,3)) AS goal FROM leg_k k JOIN leg_ug ug
-  ON ug.goal_yr = k.rec_fy AND ug.epic_department_id = k.goal_unit AND ug.domain = k.domain_goals
+SELECT k.*, NULLIF(CAST(ug.goal AS DECIMAL(4,3)), 0) AS goal FROM leg_k k
+LEFT JOIN leg_ug ug ON ug.goal_yr = k.rec_fy AND ug.service_line = k.service_line
+  AND ug.epic_department_id = k.goal_unit AND ug.domain = k.domain_goals
+WHERE EXISTS (SELECT 1 FROM leg_ug x WHERE x.service_line = k.service_line AND x.epic_department_id = k.goal_unit)
 UNION ALL
-SELECT k.*, CAST(lg.goal AS DECIMAL(4,3)) FROM leg_k k
+SELECT k.*, NULLIF(CAST(lg.goal AS DECIMAL(4,3)), 0) FROM leg_k k
 LEFT JOIN leg_lg lg ON lg.goal_yr = k.rec_fy AND lg.service_line = k.service_line AND lg.domain = k.domain_goals
-WHERE NOT EXISTS (SELECT 1 FROM leg_ug ug WHERE ug.goal_yr = k.rec_fy AND ug.epic_department_id = k.goal_unit
-                  AND ug.domain = k.domain_goals)""")
-ORACLE["q_goal_mapping"] = _v("""SELECT DISTINCT rec_fy, service_line, epic_department_id, goal_epic_department_id, domain_goals,
-       CASE WHEN epic_department_id = goal_epic_department_id THEN 'Own'
-            WHEN goal_epic_department_id = 'All Units' THEN 'All Units' ELSE 'Translated' END AS mapping, goal
-FROM scored_goal WHERE goal IS NOT NULL""")
+WHERE NOT EXISTS (SELECT 1 FROM leg_ug x WHERE x.service_line = k.service_line AND x.epic_department_id = k.goal_unit)""")
+ORACLE["q_goal_mapping"] = _v(f"""SELECT DISTINCT s.rec_fy AS response_received_fy, s.epic_department_id AS response_department_id,
+       s.epic_department_name AS response_department_name,
+       CASE WHEN g.domain IS NULL THEN 'All Units' ELSE s.goal_epic_department_id END AS goals_department_id,
+       CASE WHEN g.domain IS NULL THEN 'All Units' ELSE n.name END AS goals_department_name,
+       s.domain_goals AS goals_domain, CASE WHEN g.domain IS NULL THEN ga.goal ELSE g.goal END AS goal
+FROM scored s
+LEFT JOIN (SELECT * FROM child_goals WHERE epic_department_id <> 'All Units') g
+  ON g.goal_fiscal_yr = s.rec_fy AND g.epic_department_id = s.goal_epic_department_id AND g.domain = s.domain_goals
+LEFT JOIN (SELECT * FROM child_goals WHERE epic_department_id = 'All Units' AND service_line = {_LINE}) ga
+  ON ga.goal_fiscal_yr = s.rec_fy AND ga.domain = s.domain_goals
+LEFT JOIN (SELECT epic_department_id, MAX(epic_department_name) AS name FROM scored GROUP BY 1) n
+  ON n.epic_department_id = s.goal_epic_department_id
+WHERE CASE WHEN g.domain IS NULL THEN ga.goal ELSE g.goal END IS NOT NULL AND s.goal_epic_department_id IS NOT NULL""")
 ORACLE["q_vocabulary_diff"] = _v("""SELECT COALESCE(a.value, b.value) AS value, COALESCE(a.in_a, 0) AS in_a, COALESCE(b.in_b, 0) AS in_b
 FROM (SELECT DISTINCT COALESCE(x.domain_override, x.domain) AS value, 1 AS in_a FROM responses r
       LEFT JOIN rules x ON x.question_id = r.question_id WHERE COALESCE(x.domain_override, x.domain) IS NOT NULL) a
@@ -235,16 +260,17 @@ UNION ALL
 SELECT s.survey_id, s.question_id, CASE WHEN s.survey_id IS NOT NULL THEN 'All Units' END, s.domain_goals, ga.goal
 FROM scored s LEFT JOIN line_all_goal ga ON ga.rec_fy = s.rec_fy AND ga.domain_goals = s.domain_goals""")
 ORACLE["q_rollup_groups"] = _v("""
-SELECT s.survey_id, s.question_id, s.clinic, s.group_name, s.domain_goals, g.goal FROM scored_g s
+SELECT s.survey_id, s.question_id, s.clinic, CAST(s.group_id AS VARCHAR) AS group_id, s.group_name, s.domain_goals, g.goal FROM scored_g s
 LEFT JOIN (SELECT DISTINCT rec_fy, goal_epic_department_id, service_line, domain_goals, goal
            FROM goals_stage WHERE goal_epic_department_id <> 'All Units') g
   ON g.rec_fy = s.rec_fy AND g.goal_epic_department_id = s.goal_epic_department_id
  AND g.service_line = s.service_line AND g.domain_goals = s.domain_goals
 UNION ALL
-SELECT s.survey_id, s.question_id, CASE WHEN s.survey_id IS NOT NULL THEN 'All Units' END, s.group_name, s.domain_goals, ga.goal
+SELECT s.survey_id, s.question_id, CASE WHEN s.survey_id IS NOT NULL THEN 'All Units' END, CAST(s.group_id AS VARCHAR), s.group_name, s.domain_goals, ga.goal
 FROM scored_g s LEFT JOIN line_all_goal ga ON ga.rec_fy = s.rec_fy AND ga.domain_goals = s.domain_goals
 UNION ALL
 SELECT s.survey_id, s.question_id, CASE WHEN s.survey_id IS NOT NULL THEN 'All Units' END,
+       CASE WHEN s.survey_id IS NOT NULL THEN 'All Groups' END,
        CASE WHEN s.survey_id IS NOT NULL THEN 'All Groups' END, s.domain_goals, ga.goal
 FROM scored_g s LEFT JOIN line_all_goal ga ON ga.rec_fy = s.rec_fy AND ga.domain_goals = s.domain_goals""")
 _EXT["line_frame"] = "SELECT d.*, COALESCE(m.service_line, 'Other') AS service_line FROM unit_domains d LEFT JOIN unit_mapping m ON m.unit_name = d.unit"
@@ -327,7 +353,7 @@ LEFT JOIN departments d ON d.department_key = a.department_key
 JOIN rules x ON x.question_id = a.question_id AND x.domain IS NOT NULL
 LEFT JOIN rs_unit u ON u.survey_id = a.survey_id""",
     "loc_rows": """SELECT s.*, d.department_id AS epic_department_id, d.department_name AS epic_department_name,
-       d.external_name, lm.department_name AS loc_name, lm.service_line AS loc_service_line
+       d.external_name, lm.department_name AS loc_name, lm.external_name AS loc_external_name, lm.service_line AS loc_service_line
 FROM (SELECT DISTINCT survey_id, resolved_department_key, unit FROM sud) s
 LEFT JOIN departments d ON d.department_key = s.resolved_department_key
 LEFT JOIN location_master lm ON lm.department_id = d.department_id""",
@@ -340,16 +366,18 @@ LEFT JOIN calendar c ON c.day_date = s.received_date""",
     "monthly": f"""SELECT group_name, clinic, domain_goals, question_id, m_short AS month_short_name, month_key,
        COUNT(*) AS n, CAST(SUM(top_box) AS BIGINT) AS top_box, MAX(goal) AS goal, {_pct('SUM(top_box)', 'COUNT(*)')} AS score
 FROM mp_src GROUP BY group_name, clinic, domain_goals, question_id, m_short, month_key""",
-    "ranks": """SELECT CAST(CASE t.band WHEN 0 THEN 0 WHEN 5 THEN 100 ELSE t.band * 20 + (p.fy % 3) * 5 - 5 END AS DECIMAL(4,1)) AS value,
+    "question_ranks": """SELECT CAST(CASE t.band WHEN 0 THEN 0 WHEN 5 THEN 100 ELSE t.band * 20 + (p.fy % 3) * 5 - 5 END AS DECIMAL(4,1)) AS value,
        x.domain, CAST(p.question_id AS VARCHAR) AS question_id, CAST(t.band * 20 AS INTEGER) AS percentile_rank,
        make_date(p.fy - 1, 7, 1) AS period_begin, make_date(p.fy, 6, 30) AS period_end, x.question_text_alias
 FROM (SELECT DISTINCT question_id, fy FROM responses) p
 JOIN rules x ON x.question_id = p.question_id AND x.scale IS NOT NULL, range(0, 6) t(band)""",
+    "ranks": """SELECT * FROM question_ranks
+UNION ALL SELECT DISTINCT value, domain, 'Domain', percentile_rank, period_begin, period_end, CAST(NULL AS VARCHAR) FROM question_ranks""",
     "bands": """SELECT * EXCLUDE (seq) FROM (
   SELECT r.*, CASE WHEN value = 100.0 THEN CAST(100.1 AS DECIMAL(4,1))
                    ELSE LEAD(value) OVER (PARTITION BY domain, question_id ORDER BY period_end, value) END AS next_value,
          ROW_NUMBER() OVER (PARTITION BY domain, question_id, value ORDER BY period_end DESC) AS seq
-  FROM ranks r) WHERE seq = 1""",
+  FROM ranks r WHERE question_id <> 'Domain') WHERE seq = 1""",
     "ext_rows": extract_result(DEFAULT),
 })
 
@@ -374,12 +402,11 @@ FROM rs_rows""")
 ORACLE["q_locations"] = _v(f"""SELECT DISTINCT {_V12.format('loc_service_line')} AS service_line,
        {_clinic2('loc_name', 'epic_department_id', 'epic_department_name', 'epic_department_id')} AS clinic,
        epic_department_id, {_LOAD} AS load_dtm
-FROM loc_rows WHERE epic_department_id IS NOT NULL""")
+FROM loc_rows""")
 ORACLE["q_location_external"] = _v(f"""SELECT DISTINCT {_V12.format('loc_service_line')} AS service_line,
-       CASE WHEN external_name IS NOT NULL AND length(trim(external_name)) > 0 THEN external_name
-            ELSE epic_department_name END || ' [' || epic_department_id || ']' AS clinic,
+       CASE WHEN loc_name IS NOT NULL AND loc_name <> 'Unknown' THEN loc_external_name ELSE external_name END AS clinic,
        epic_department_id, {_LOAD} AS load_dtm
-FROM loc_rows WHERE epic_department_id IS NOT NULL""")
+FROM loc_rows""")
 ORACLE["q_goal_by_line"] = _v("""SELECT f.*, g.goal FROM line_frame f
 LEFT JOIN (SELECT * FROM adult_goals WHERE epic_department_id = 'All Units' AND service_line <> 'All Service Lines') g
   ON g.goal_fiscal_yr = f.fy AND g.service_line = f.service_line AND g.domain = f.domain_goals""")
@@ -435,8 +462,8 @@ ORACLE["q_clinic_extract"] = _v(line_result(_lines.CLINIC_CFG, "cgs"))
 ORACLE["q_child_extract"] = _v(line_result(_lines.CHILD_CFG, "csv"))
 from oracle.stages import adult_views, unit_group_result, unit_group_views  # noqa: E402
 
-_EXT.update(adult_views(_lines.ADULT_CFG, _lines.ADULT_GOAL_YEAR, "ad", False, True))
-_EXT.update(adult_views(_lines.ADULT_CFG, _lines.ADULT_GOAL_YEAR, "fl", True, False))
+_EXT.update(adult_views(_lines.ADULT_CFG, "ad", False, True))
+_EXT.update(adult_views(_lines.ADULT_CFG, "fl", True, False))
 _EXT.update(unit_group_views(DEFAULT))
 ORACLE["q_adult_extract"] = _v("SELECT * FROM ad_result")
 ORACLE["q_without_flagged"] = _v("SELECT * FROM fl_result")

@@ -39,3 +39,25 @@ def test_parse_unit_label(spark):
     df = spark.createDataFrame([("WARD 7 [10243067]",), ("All Units",)], "unit string")
     rows = {r.unit: (r.epic_department_id, r.epic_department_name) for r in G.parse_unit_label(df).collect()}
     assert rows == {"WARD 7 [10243067]": ("10243067", "WARD 7"), "All Units": (None, None)}
+
+
+def test_legacy_listed_units_never_fall_back(spark):
+    """A unit with any goal row of its line keeps its own (missing) goal; zero goals are no goals."""
+    goals = spark.createDataFrame(
+        [("unit", 2020, "L", "U1", "Care", "0.500"), ("unit", 2020, "L", "U3", "Care", "0.000"), ("line", 2020, "L", None, "Care", "0.600"),
+         ("line", 2020, "L", None, "Rate", "0.700"), ("line", 2020, "L", None, "Food", "0.000")],
+        "level string, goal_fiscal_yr int, service_line string, epic_department_id string, domain string, g string"
+    ).withColumn("goal", F.col("g").cast("decimal(4,3)"))
+    keys = spark.createDataFrame([(2020, "L", u, d) for u, d in [("U1", "Care"), ("U1", "Rate"), ("U2", "Care"), ("U2", "Food"), ("U3", "Care")]],
+                                 "rec_fy int, service_line string, goal_unit string, domain_goals string")
+    got = {(r.goal_unit, r.domain_goals): r.goal for r in G.resolve_goals_legacy(keys, goals).collect()}
+    assert got == {("U1", "Care"): Decimal("0.500"), ("U1", "Rate"): None, ("U2", "Care"): Decimal("0.600"),
+                   ("U2", "Food"): None, ("U3", "Care"): None}
+
+
+def test_goal_mapping_names_the_line_where_it_supplied_the_goal(spark):
+    scored = spark.createDataFrame([(2020, "D1", "One", "D1", "Care"), (2020, "D2", "Two", "D3", "Care"), (2020, "D1", "One", "D1", "None")],
+                                   "rec_fy int, epic_department_id string, epic_department_name string, goal_epic_department_id string, domain_goals string")
+    rows = G.goal_mapping(scored, G.goals_by_arm(scored, _goals(spark), "WC")).collect()
+    assert {(r.response_department_id, r.goals_department_id, r.goals_department_name, r.goal) for r in rows} == {
+        ("D1", "D1", "One", Decimal("0.800")), ("D2", "All Units", "All Units", Decimal("0.700"))}

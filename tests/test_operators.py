@@ -118,25 +118,39 @@ def test_extract_variant_switches(spark):
     base = extract.filtered_answers(inp, replace(DEFAULT, designator_source="log"))
     raw = extract.filtered_answers(inp, replace(DEFAULT, designator_source="log", designator_dedup=False))
     strict = extract.filtered_answers(inp, replace(DEFAULT, keep_null_designator=False))
-    assert raw.count() >= base.count()
+    # one row per load and value without the dedup, one per (survey, value) with it
+    per_value = inp.designator_log.groupBy("survey_id", "value").count()
+    assert raw.count() >= base.count() and per_value.where("count > 1").count() > 0
+    assert base.select("survey_id", "question_id", "designator").distinct().count() == raw.select("survey_id", "question_id", "designator").distinct().count()
     assert strict.where(F.col("designator").isNull()).count() == 0
-    fy = extract.survey_departments(inp, extract.filtered_answers(inp), replace(DEFAULT, fy_source="answer"))
-    assert fy.count() > 0
+    answers = extract.filtered_answers(inp)
+    fy = extract.survey_departments(inp, answers, replace(DEFAULT, fy_source="answer")).select("survey_id", "rec_fy")
+    assert fy.distinct().exceptAll(answers.select("survey_id", F.col("fy").alias("rec_fy")).distinct()).count() == 0
 
 
-def test_bounded_broadcast_falls_back_beyond_bound(spark):
-    """Within the bound the dimension is broadcast; beyond it the join is a
-    shuffle join (automatic broadcasting switched off to see the choice)."""
+def test_shared_list_is_hinted_by_bytes_only(spark):
+    """The byte estimate of the bounding dimension decides, and no job runs."""
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    dim = spark.range(0, 50)
     try:
-        fact = spark.range(0, 1000).withColumnRenamed("id", "k")
-        dim = spark.range(0, 50).withColumnRenamed("id", "k")
-        small = fact.join(J.bounded_broadcast(dim, max_rows=100), "k")
-        big = fact.join(J.bounded_broadcast(dim, max_rows=10), "k")
-        plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
-        assert "BroadcastHashJoin" in plan(small)
-        assert "BroadcastHashJoin" not in plan(big) and "SortMergeJoin" in plan(big)
-        assert small.count() == big.count() == 50
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+        assert J.fits_broadcast(dim)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        assert not J.fits_broadcast(dim)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_default_window_of_an_as_of_date():
+    from boxscore.plans.config import ExtractConfig
+    cfg = ExtractConfig.rolling("2020-02-10", date_mode="full")
+    assert (cfg.start, cfg.end, cfg.as_of, cfg.date_mode) == ("2018-02-01", "2020-02-29", "2020-02-10", "full")
+
+
+def test_domain_rank_rows_are_no_question_bands(spark):
+    ranks = spark.createDataFrame([("D", "Domain", "0.0", 0, dt.date(2020, 6, 30)), ("D", "2", "0.0", 0, dt.date(2020, 6, 30)),
+                                   ("D", "2", "100.0", 100, dt.date(2020, 6, 30))],
+                                  "domain string, question_id string, v string, percentile_rank int, period_end date"
+                                  ).withColumn("value", F.col("v").cast("decimal(4,1)")).drop("v")
+    scores = spark.createDataFrame([(2, "55.0")], "question_id int, s string").withColumn("score", F.col("s").cast("decimal(12,6)"))
+    assert [r.percentile_rank for r in B.band_lookup(scores, B.latest_bands(ranks)).collect()] == [0]
