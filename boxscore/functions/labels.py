@@ -26,6 +26,9 @@ def sex_label(sex: Column) -> Column:
     return F.when(s == "f", "Female").when(s == "m", "Male").otherwise(NOT_SPECIFIED)
 
 
+THERAPIES = "Therapies"
+
+
 def full_name(last: Column, first: Column) -> Column:
     """V9: 'Last, First'; NULL when either part is NULL."""
     return F.concat(last, F.lit(", "), first)
@@ -36,23 +39,28 @@ def clinic_label(name: Column, dept_id: Column) -> Column:
     return F.concat(F.coalesce(name, F.lit(UNKNOWN)), F.lit(" ["), F.trim(dept_id), F.lit("]"))
 
 
-def clinic_label2(master_name: Column, master_id: Column, dept_name: Column, dept_id: Column,
-                  unknown: str = UNKNOWN) -> Column:
-    """Location-master name first, then the department's own name,
-    then ``unknown`` (the outpatient form uses 'Other')."""
+def clinic_label_outpatient(master_name: Column, master_id: Column) -> Column:
+    """V11, outpatient form: 'name [id]' of the location master, else plain 'Other'."""
+    return F.when(master_name.isNull() | (master_name == UNKNOWN), F.lit(OTHER)).otherwise(
+        F.concat(master_name, F.lit(" ["), master_id.cast("string"), F.lit("]")))
+
+
+def clinic_label2(master_name: Column, master_id: Column, dept_name: Column, dept_id: Column) -> Column:
+    """Location-master name first, then the department's own name, then 'Unknown'."""
     usable = master_name.isNotNull() & (master_name != UNKNOWN)
     return (F.when(usable, F.concat(master_name, F.lit(" ["), master_id.cast("string"), F.lit("]")))
             .when(dept_name.isNotNull(), F.concat(dept_name, F.lit(" ["), dept_id.cast("string"), F.lit("]")))
-            .otherwise(F.concat(F.lit(unknown), F.lit(" ["), dept_id.cast("string"), F.lit("]"))))
+            .otherwise(F.concat(F.lit(UNKNOWN), F.lit(" ["), dept_id.cast("string"), F.lit("]"))))
 
 
-def service_line(line: Column, therapies: Column | None = None) -> Column:
-    """NULL / 'Unknown' service lines fall back to 'Other'. When a
-    therapies flag is given, those rows are labelled 'Therapies' first."""
-    expr = F.when(therapies, F.lit("Therapies")) if therapies is not None else None
+def service_line(line: Column, operational_service: Column | None = None) -> Column:
+    """NULL / 'Unknown' service lines fall back to 'Other'. The outpatient
+    form gives the operational service: there 'Therapies' comes first."""
     cond = line.isNull() | (line == UNKNOWN)
-    expr = F.when(cond, F.lit(OTHER)) if expr is None else expr.when(cond, F.lit(OTHER))
-    return expr.otherwise(line)
+    if operational_service is None:
+        return F.when(cond, F.lit(OTHER)).otherwise(line)
+    return (F.when(cond & (operational_service == THERAPIES), F.lit(THERAPIES))
+            .when(cond, F.lit(OTHER)).otherwise(line))
 
 
 def service_line_display(line: Column, sub_line: Column) -> Column:

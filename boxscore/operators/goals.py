@@ -155,15 +155,19 @@ def load_goals_legacy(goals_old: DataFrame, year: int | None = None,
         dm = F.broadcast(domain_map.select(F.col("goals_domain").alias("__gd"), F.col("domain").alias("__td")))
         g = g.join(dm, g["domain"] == dm["__gd"], "left").withColumn("domain", F.coalesce("__td", "domain")) \
              .drop("__gd", "__td")
-    g = parse_unit_label(g)
-    units = g.where((F.col("unit") != ALL_UNITS) & (F.col("service_line") != ALL_SERVICE_LINES))
-    lines = g.where((F.col("unit") == ALL_UNITS) & (F.col("service_line") != ALL_SERVICE_LINES))
-    all_lines = g.where(F.col("service_line") == ALL_SERVICE_LINES)
-    cols = [F.col("svc_cde"), F.col("goal_yr").alias("goal_fiscal_yr"), "service_line", "unit",
-            "epic_department_id", "epic_department_name", "domain", F.col("goal").cast(GOAL_TYPE).alias("goal")]
-    return (units.select(*cols).withColumn("level", F.lit("unit"))
-            .unionByName(lines.select(*cols).withColumn("level", F.lit("line")))
-            .unionByName(all_lines.select(*cols).withColumn("level", F.lit("all_lines"))))
+    g = parse_unit_label(g).where(F.col("domain").isNotNull())
+    all_units = F.col("unit") == ALL_UNITS
+    units = g.where((F.col("unit") != ALL_UNITS) & F.col("goal").isNotNull())
+    lines = g.where(all_units & (F.col("service_line") != ALL_SERVICE_LINES))
+    all_lines = g.where(all_units & (F.col("service_line") == ALL_SERVICE_LINES))
+
+    def arm(rows: DataFrame, dept_id: Column, level: str) -> DataFrame:
+        return rows.select("svc_cde", F.col("goal_yr").alias("goal_fiscal_yr"), "service_line", F.lit(None).cast("string").alias("unit"),
+                           dept_id.alias("epic_department_id"), "epic_department_name", "domain",
+                           F.col("goal").cast(GOAL_TYPE).alias("goal"), F.lit(level).alias("level")).distinct()
+
+    return (arm(units, F.col("epic_department_id"), "unit").unionByName(arm(lines, F.lit(ALL_UNITS), "line"))
+            .unionByName(arm(all_lines, F.lit(ALL_UNITS), "all_lines")))
 
 
 def resolve_goals_legacy(df: DataFrame, goals: DataFrame, unit_col: str = "goal_unit") -> DataFrame:

@@ -56,31 +56,33 @@ CHILD_CFG = replace(DEFAULT, event_type="Child Survey by Line", date_mode="full"
 FLAT_GOAL = "0.750"
 
 
-def line_locations(inp: Inputs, resolved: DataFrame, unknown_label: str = L.UNKNOWN) -> DataFrame:
+def line_locations(inp: Inputs, resolved: DataFrame, outpatient: bool = False) -> DataFrame:
     """Department -> location master -> service line (V12), sub service
-    line (A2), clinic label (V11) for each resolved department key."""
+    line (A2), clinic label (V11) for each resolved department key. The
+    outpatient forms of both labels read the location master only."""
     deps = inp.departments.select(F.col("department_key").alias("resolved_department_key"),
                                   F.col("department_id").alias("epic_department_id"),
                                   F.col("department_name").alias("epic_department_name"))
     lm = inp.location_master.select(F.col("department_id").alias("epic_department_id"),
-                                    F.col("department_name").alias("loc_name"), "service_line_id",
+                                    F.col("department_name").alias("loc_name"), "service_line_id", "operational_service",
                                     F.col("service_line").alias("loc_service_line"))
     mdm = sub_service_line(inp.location_master).withColumnRenamed("department_id", "epic_department_id")
     x = resolved.join(deps, "resolved_department_key", "left").join(lm, "epic_department_id", "left") \
         .join(mdm, "epic_department_id", "left")
     return x.select(
         "*",
-        V.service_line(F.col("loc_service_line")).alias("service_line"),
-        V.clinic_label2(F.col("loc_name"), F.col("epic_department_id"), F.col("epic_department_name"),
-                        F.col("epic_department_id"), unknown=unknown_label).alias("clinic"),
-    ).drop("loc_name", "loc_service_line")
+        V.service_line(F.col("loc_service_line"), F.col("operational_service") if outpatient else None).alias("service_line"),
+        (V.clinic_label_outpatient(F.col("loc_name"), F.col("epic_department_id")) if outpatient else
+         V.clinic_label2(F.col("loc_name"), F.col("epic_department_id"), F.col("epic_department_name"),
+                         F.col("epic_department_id"))).alias("clinic"),
+    ).drop("loc_name", "loc_service_line", "operational_service")
 
 
-def line_scored(inp: Inputs, cfg: ExtractConfig = LINE_CFG, unknown_label: str = L.UNKNOWN) -> DataFrame:
+def line_scored(inp: Inputs, cfg: ExtractConfig = LINE_CFG, outpatient: bool = False) -> DataFrame:
     """SVC stage: scored answers whose department comes from the R1 cascade."""
     answers = filtered_answers(inp, cfg)
     sud = survey_unit_departments(inp, cfg, answers).select("survey_id", "resolved_department_key", "unit")
-    per_survey = line_locations(inp, sud.distinct(), unknown_label)
+    per_survey = line_locations(inp, sud.distinct(), outpatient)
     a = answer_detail(inp, answers, cfg, survey_extra=per_survey)
     return stage(a.distinct())
 
@@ -98,12 +100,12 @@ def line_goals(inp: Inputs, df: DataFrame) -> DataFrame:
             .join(all_lines, ["fy", "domain_goals"], "left"))
 
 
-def line_extract(inp: Inputs, cfg: ExtractConfig = LINE_CFG, unknown_label: str = L.UNKNOWN) -> DataFrame:
+def line_extract(inp: Inputs, cfg: ExtractConfig = LINE_CFG, outpatient: bool = False) -> DataFrame:
     """Service-line extract. The own arm reports on both spines (full
     outer, both limited to the window); the 'All Service Lines' copy keeps
     rows matched on both dates (inner). Clinics seen in several lines get
     a ' - line' suffix (not on the roll-up rows)."""
-    staged = line_goals(inp, line_scored(inp, cfg, unknown_label))
+    staged = line_goals(inp, line_scored(inp, cfg, outpatient))
     spined = dual_date(staged, inp.calendar, cfg.start, cfg.end, mode="full", discharge_start=cfg.start)
     both = F.col("survey_id").isNotNull() & F.col("event_date_disch").isNotNull()
     rolled = rollup_lines(spined, copy_if=both)
@@ -188,8 +190,9 @@ def child_extract(inp: Inputs, cfg: ExtractConfig = CHILD_CFG, suffix_col: str =
 
 
 def clinic_extract(inp: Inputs, cfg: ExtractConfig = CLINIC_CFG) -> DataFrame:
-    """Outpatient clinics by service line; unnamed clinics read 'Other'."""
-    return line_extract(inp, cfg, unknown_label=L.OTHER)
+    """Outpatient clinics by service line; therapies are a line of their
+    own and clinics the location master does not name read 'Other'."""
+    return line_extract(inp, cfg, outpatient=True)
 
 
 # ---------------------------------------------------------------------------

@@ -506,8 +506,7 @@ def q_clinic_label(inp):
                     V.clinic_label(F.col("department_name"), F.col("department_id")).alias("clinic"),
                     V.clinic_label2(F.col("loc_name"), F.col("department_id"), F.col("department_name"),
                                     F.col("department_id")).alias("clinic_master"),
-                    V.clinic_label2(F.col("loc_name"), F.col("department_id"), F.col("department_name"),
-                                    F.col("department_id"), unknown=L.OTHER).alias("clinic_outpatient"))
+                    V.clinic_label_outpatient(F.col("loc_name"), F.col("department_id")).alias("clinic_outpatient"))
 
 
 @register("q_service_line")

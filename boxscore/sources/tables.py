@@ -122,7 +122,7 @@ class Inputs:
                     F.col("r_regionkey").alias("service_line_id"),
                     F.when(k % 9 == 0, F.lit(None)).when(k % 9 == 1, F.lit("Unknown"))
                     .when(k % 9 == 2, F.lit("Therapies")).otherwise(F.col("r_name")).alias("service_line"),
-                    F.concat(F.col("n_name"), F.lit(" OPS")).alias("operational_service"),
+                    F.when(k % 5 == 0, F.lit("Therapies")).otherwise(F.concat(F.col("n_name"), F.lit(" OPS"))).alias("operational_service"),
                     F.when(k % 6 == 0, F.lit("Unknown")).otherwise(F.col("n_name")).alias("sub_service_line"),
                 ))
 

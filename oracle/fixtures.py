@@ -78,7 +78,7 @@ SELECT CAST(s.s_suppkey + 10000000 AS VARCHAR) AS department_id,
        CASE WHEN s.s_suppkey % 7 = 0 THEN NULL ELSE 'MASTER ' || s.s_name END AS external_name,
        r.r_regionkey AS service_line_id,
        CASE s.s_suppkey % 9 WHEN 0 THEN NULL WHEN 1 THEN 'Unknown' WHEN 2 THEN 'Therapies' ELSE r.r_name END AS service_line,
-       n.n_name || ' OPS' AS operational_service,
+       CASE WHEN s.s_suppkey % 5 = 0 THEN 'Therapies' ELSE n.n_name || ' OPS' END AS operational_service,
        CASE WHEN s.s_suppkey % 6 = 0 THEN 'Unknown' ELSE n.n_name END AS sub_service_line
 FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey"""
 

@@ -215,19 +215,22 @@ ORACLE["q_goal_cascade_group"] = _v(f"""SELECT DISTINCT * FROM (
 ORACLE["q_flat_goals"] = _v(f"""SELECT DISTINCT {_LINE} AS service_line, unit, domain_goals,
        CAST(0.750 AS DECIMAL(4,3)) AS goal, 2000 AS goal_fiscal_yr FROM unit_domains""")
 ORACLE["q_parse_unit_label"] = _v(f"SELECT DISTINCT unit, {_PARSE} FROM goals_old")
-_LEG_COLS = "svc_cde, goal_yr AS goal_fiscal_yr, service_line, unit, epic_department_id, epic_department_name, domain, CAST(goal AS DECIMAL(4,3)) AS goal"
+_LEG_COLS = "svc_cde, goal_yr AS goal_fiscal_yr, service_line, CAST(NULL AS VARCHAR) AS unit, {id} AS epic_department_id, epic_department_name, domain, CAST(goal AS DECIMAL(4,3)) AS goal"
 ORACLE["q_goals_legacy"] = _v(f"""
-SELECT {_LEG_COLS}, 'unit' AS level FROM legacy_1998 WHERE unit <> 'All Units' AND service_line <> 'All Service Lines'
-UNION ALL SELECT {_LEG_COLS}, 'line' FROM legacy_1998 WHERE unit = 'All Units' AND service_line <> 'All Service Lines'
-UNION ALL SELECT {_LEG_COLS}, 'all_lines' FROM legacy_1998 WHERE service_line = 'All Service Lines'""")
+SELECT DISTINCT {_LEG_COLS.format(id='epic_department_id')}, 'unit' AS level FROM legacy_1998
+WHERE unit <> 'All Units' AND domain IS NOT NULL AND goal IS NOT NULL
+UNION ALL SELECT DISTINCT {_LEG_COLS.format(id="'All Units'")}, 'line' FROM legacy_1998
+WHERE unit = 'All Units' AND service_line <> 'All Service Lines' AND domain IS NOT NULL
+UNION ALL SELECT DISTINCT {_LEG_COLS.format(id="'All Units'")}, 'all_lines' FROM legacy_1998
+WHERE unit = 'All Units' AND service_line = 'All Service Lines' AND domain IS NOT NULL""")
 _EXT.update({
     "leg_k": """SELECT DISTINCT e.rec_fy, lm.service_line, e.department_id AS goal_unit,
                   COALESCE(x.domain_override, x.domain) AS domain_goals
            FROM resp_epic_id e JOIN answers_f a ON a.survey_id = e.survey_id
            LEFT JOIN rules x ON x.question_id = a.question_id
            LEFT JOIN location_master lm ON lm.department_id = e.department_id""",
-    "leg_ug": "SELECT * FROM legacy_all WHERE unit <> 'All Units' AND service_line <> 'All Service Lines'",
-    "leg_lg": "SELECT * FROM legacy_all WHERE unit = 'All Units' AND service_line <> 'All Service Lines'",
+    "leg_ug": "SELECT DISTINCT * FROM legacy_all WHERE unit <> 'All Units' AND domain IS NOT NULL AND goal IS NOT NULL",
+    "leg_lg": "SELECT DISTINCT * FROM legacy_all WHERE unit = 'All Units' AND service_line <> 'All Service Lines' AND domain IS NOT NULL",
 })
 ORACLE["q_goal_legacy"] = _v("""
 SELECT k.*, NULLIF(CAST(ug.goal AS DECIMAL(4,3)), 0) AS goal FROM leg_k k
@@ -389,7 +392,7 @@ LEFT JOIN patients p ON p.patient_key = r.patient_key
 LEFT JOIN physicians ph ON ph.physician_key = r.physician_key""")
 ORACLE["q_clinic_label"] = _v(f"""SELECT department_key, department_id, {_clinic('department_name', 'department_id')} AS clinic,
        {_clinic2('loc_name', 'department_id', 'department_name', 'department_id')} AS clinic_master,
-       {_clinic2('loc_name', 'department_id', 'department_name', 'department_id', 'Other')} AS clinic_outpatient
+       CASE WHEN loc_name IS NULL OR loc_name = 'Unknown' THEN 'Other' ELSE loc_name || ' [' || department_id || ']' END AS clinic_outpatient
 FROM dept_frame""")
 ORACLE["q_service_line"] = _v(f"""SELECT f.department_key, f.department_id, {_V12.format('f.service_line')} AS service_line,
        s.sub_service_line, {line_display(_V12.format('f.service_line'), 's.sub_service_line')} AS service_line_display
@@ -454,9 +457,9 @@ WHERE m.question_id = 2""")
 from boxscore.plans import lines as _lines  # noqa: E402
 from oracle.stages import line_result, line_views  # noqa: E402
 
-_EXT.update(line_views(_lines.LINE_CFG, "Unknown", "svc", "adult"))
-_EXT.update(line_views(_lines.CLINIC_CFG, "Other", "cgs", "adult"))
-_EXT.update(line_views(_lines.CHILD_CFG, "Unknown", "csv", "flat"))
+_EXT.update(line_views(_lines.LINE_CFG, False, "svc", "adult"))
+_EXT.update(line_views(_lines.CLINIC_CFG, True, "cgs", "adult"))
+_EXT.update(line_views(_lines.CHILD_CFG, False, "csv", "flat"))
 ORACLE["q_line_extract"] = _v(line_result(_lines.LINE_CFG, "svc"))
 ORACLE["q_clinic_extract"] = _v(line_result(_lines.CLINIC_CFG, "cgs"))
 ORACLE["q_child_extract"] = _v(line_result(_lines.CHILD_CFG, "csv"))
@@ -481,7 +484,7 @@ ORACLE["q_response_summary_group"] = _v(f"""SELECT {line_display(_q(DEFAULT.serv
        r.question_id, r.rpt_prd, r.event_date, r.event_date_disch, r.quarter_name, r.month_short_name,
        COALESCE(g.group_name, 'Other') AS department_group_name, {_LOAD} AS load_dtm
 FROM rs_rows r LEFT JOIN dept_groups g ON g.department_id = r.department_id""")
-_EXT.update(line_views(_lines.CHILD_CFG, "Unknown", "tcs", "flat", clipped=True))
+_EXT.update(line_views(_lines.CHILD_CFG, False, "tcs", "flat", clipped=True))
 ORACLE["q_child_extract_unit_suffix"] = _v(line_result(_lines.CHILD_CFG, "tcs", key="unit"))
 ORACLE["q_department_audit"] = _v("""SELECT DISTINCT s.survey_id, s.unit, s.der_unit,
        a.department_name AS assigned_department_name, d.department_name AS derived_department_name,

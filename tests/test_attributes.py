@@ -75,3 +75,16 @@ def test_hot_survey_aggregate_forms_match_window_forms(spark):
     w = Window.partitionBy("account_key").orderBy("appt_dtm", "encounter_id")
     first = enc.withColumn("rn", F.row_number().over(w)).where("rn = 1").first().department_key
     assert W.first_encounter(enc).first().enc_department_key == first
+
+
+def test_outpatient_labels(spark):
+    from pyspark.sql import functions as F
+
+    from boxscore.functions import labels as V
+    df = spark.createDataFrame([("A", "1", "Surgery", "Therapies"), (None, "2", None, "Therapies"), ("Unknown", "3", "Unknown", "X"), ("B", "4", None, None)],
+                               "name string, id string, line string, ops string")
+    got = [tuple(r) for r in df.select(V.clinic_label_outpatient(F.col("name"), F.col("id")), V.service_line(F.col("line"), F.col("ops")),
+                                       V.service_line(F.col("line"))).collect()]
+    assert got == [("A [1]", "Surgery", "Surgery"), ("Other", "Therapies", "Other"), ("Other", "Other", "Other"), ("B [4]", "Other", "Other")]
+    names = spark.createDataFrame([("A", "ext", "own"), (None, "ext", "own"), ("Unknown", None, "own")], "m string, me string, o string")
+    assert [r[0] for r in names.select(V.external_name(F.col("m"), F.col("me"), F.col("o"))).collect()] == ["ext", "own", "own"]
