@@ -32,10 +32,18 @@ def latest_bands(ranks: DataFrame) -> DataFrame:
     return band_edges(ranks).where(F.col("question_id") != DOMAIN_ROW).withColumn("seq", F.row_number().over(w)).where(F.col("seq") == 1).drop("seq")
 
 
-def monthly_percent(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Monthly answer count, top-box sum, max goal and percent score."""
-    return (df.groupBy(*keys)
-            .agg(F.count(F.lit(1)).alias("n"), F.sum("top_box").cast("bigint").alias("top_box"),
+def monthly_counts(df: DataFrame, keys: list[str]) -> DataFrame:
+    """A12, first step: answer count, top-box sum and goals of both levels per
+    key. Rolling these up is the same as rolling up the answers, and small."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum("top_box").cast("bigint").alias("top_box"),
+                                 F.max("goal").alias("goal"), F.max("goal_all_units").alias("goal_all_units"))
+
+
+def monthly_percent(counts: DataFrame, keys: list[str]) -> DataFrame:
+    """Monthly answer count, top-box sum, max goal and percent score over
+    rolled-up monthly counts."""
+    return (counts.groupBy(*keys)
+            .agg(F.sum("n").cast("bigint").alias("n"), F.sum("top_box").cast("bigint").alias("top_box"),
                  F.max("goal").alias("goal"))
             .withColumn("score", percent(F.col("top_box"), F.col("n"))))
 

@@ -612,9 +612,10 @@ def q_response_report(inp):
 
 @register("q_question_summary")
 def q_question_summary(inp):
-    s = Fl.reportable_domains(with_month(inp, _scored(inp)))
-    keys = ["rec_fy", "month_num", "month_short_name", "clinic", "question_id", "question_text_alias", "domain_goals"]
-    return A.response_report(s, keys).drop("rec_fy")
+    """Months of a fiscal year (no calendar year) per line, department and question, with the department's goal."""
+    s = Fl.reportable_domains(with_month(inp, extract.unit_extract_parts(inp, DEFAULT)[2]))
+    return A.response_report(s, ["rec_fy", "month_num", "month_short_name", "service_line", "epic_department_id", "clinic",
+                                 "question_id", "question_text_alias", "domain_goals", "goal"])
 
 
 MONTH_KEYS = ["group_name", "clinic", "domain_goals", "question_id", "month_short_name", "month_key"]
@@ -623,7 +624,9 @@ MONTH_KEYS = ["group_name", "clinic", "domain_goals", "question_id", "month_shor
 def _monthly(inp):
     staged = extract.unit_extract_parts(inp, DEFAULT, groups=True)[2]
     cal = inp.calendar.select(F.col("day_date").alias("received_date"), "month_short_name", "month_key")
-    return B.monthly_percent(staged.join(F.broadcast(cal), "received_date", "left"), MONTH_KEYS)
+    rows = staged.where(F.col("domain_goals").isNotNull()).join(F.broadcast(cal), "received_date", "left")
+    counts = B.monthly_counts(rows, ["group_id", *MONTH_KEYS]).withColumn("survey_id", F.lit(1))  # every count has answers
+    return B.monthly_percent(U.rollup_groups(counts), MONTH_KEYS)
 
 
 @register("q_monthly_percent")

@@ -316,6 +316,7 @@ FROM clinic_lines f LEFT JOIN shared_cl sh ON sh.clinic = f.clinic""")
 
 # -- labels, enrichment, reports, audits, benchmarks ---------------------------------
 from boxscore.sources.tables import FIXED_LOAD_DTM  # noqa: E402
+from oracle.stages import unit_group_views  # noqa: E402
 
 
 def _pct(t: str, n: str) -> str:
@@ -360,12 +361,12 @@ LEFT JOIN rs_unit u ON u.survey_id = a.survey_id""",
 FROM (SELECT DISTINCT survey_id, resolved_department_key, unit FROM sud) s
 LEFT JOIN departments d ON d.department_key = s.resolved_department_key
 LEFT JOIN location_master lm ON lm.department_id = d.department_id""",
-    "mp_src": """SELECT s.*, g.goal, c.month_short_name AS m_short, c.month_key FROM scored_g s
-LEFT JOIN (SELECT DISTINCT rec_fy, goal_epic_department_id, service_line, domain_goals, goal
-           FROM goals_stage WHERE goal_epic_department_id <> 'All Units') g
-  ON g.rec_fy = s.rec_fy AND g.goal_epic_department_id = s.goal_epic_department_id
- AND g.service_line = s.service_line AND g.domain_goals = s.domain_goals
-LEFT JOIN calendar c ON c.day_date = s.received_date""",
+    **unit_group_views(DEFAULT),
+    "mp_arms": """SELECT group_name, clinic, domain_goals, question_id, top_box, goal_own AS goal, received_date FROM ug_goal
+UNION ALL SELECT group_name, 'All Units', domain_goals, question_id, top_box, goal_all, received_date FROM ug_goal
+UNION ALL SELECT 'All Groups', 'All Units', domain_goals, question_id, top_box, goal_all, received_date FROM ug_goal""",
+    "mp_src": """SELECT s.*, c.month_short_name AS m_short, c.month_key FROM mp_arms s
+LEFT JOIN calendar c ON c.day_date = s.received_date WHERE s.domain_goals IS NOT NULL""",
     "monthly": f"""SELECT group_name, clinic, domain_goals, question_id, m_short AS month_short_name, month_key,
        COUNT(*) AS n, CAST(SUM(top_box) AS BIGINT) AS top_box, MAX(goal) AS goal, {_pct('SUM(top_box)', 'COUNT(*)')} AS score
 FROM mp_src GROUP BY group_name, clinic, domain_goals, question_id, m_short, month_key""",
@@ -438,12 +439,14 @@ ORACLE["q_response_report"] = _v(f"""SELECT event_fy, month_short_name, quarter_
 FROM ext_rows WHERE {_F8}
 GROUP BY event_fy, month_short_name, quarter_name, service_line, clinic, unit, epic_department_id, domain_goals,
          question_id, varname, question_text_alias, goal""")
-ORACLE["q_question_summary"] = _v(f"""SELECT month_num, month_short_name, clinic, question_id, question_text_alias, domain_goals,
+ORACLE["q_question_summary"] = _v(f"""SELECT rec_fy, month_num, month_short_name, service_line, epic_department_id, clinic,
+       question_id, question_text_alias, domain_goals, goal,
        CAST(SUM(top_box) AS BIGINT) AS top_box, CAST(SUM(val_count) AS BIGINT) AS val_count,
        COUNT(DISTINCT survey_id) AS n_surveys
-FROM (SELECT s.*, c.month_num, c.month_short_name FROM scored s LEFT JOIN calendar c ON c.day_date = s.received_date)
+FROM (SELECT s.*, c.month_num, c.month_short_name FROM scored_goal s LEFT JOIN calendar c ON c.day_date = s.received_date)
 WHERE {_F8}
-GROUP BY rec_fy, month_num, month_short_name, clinic, question_id, question_text_alias, domain_goals""")
+GROUP BY rec_fy, month_num, month_short_name, service_line, epic_department_id, clinic, question_id, question_text_alias,
+         domain_goals, goal""")
 ORACLE["q_monthly_percent"] = _v("SELECT * FROM monthly")
 ORACLE["q_rescore"] = _v(f"""SELECT group_name, clinic, domain_goals, question_id, CAST(SUM(n) AS BIGINT) AS n,
        CAST(SUM(top_box) AS BIGINT) AS top_box, {_pct('SUM(top_box)', 'SUM(n)')} AS score
@@ -463,11 +466,10 @@ _EXT.update(line_views(_lines.CHILD_CFG, False, "csv", "flat"))
 ORACLE["q_line_extract"] = _v(line_result(_lines.LINE_CFG, "svc"))
 ORACLE["q_clinic_extract"] = _v(line_result(_lines.CLINIC_CFG, "cgs"))
 ORACLE["q_child_extract"] = _v(line_result(_lines.CHILD_CFG, "csv"))
-from oracle.stages import adult_views, unit_group_result, unit_group_views  # noqa: E402
+from oracle.stages import adult_views, unit_group_result  # noqa: E402
 
 _EXT.update(adult_views(_lines.ADULT_CFG, "ad", False, True))
 _EXT.update(adult_views(_lines.ADULT_CFG, "fl", True, False))
-_EXT.update(unit_group_views(DEFAULT))
 ORACLE["q_adult_extract"] = _v("SELECT * FROM ad_result")
 ORACLE["q_without_flagged"] = _v("SELECT * FROM fl_result")
 ORACLE["q_unit_extract_group"] = _v(unit_group_result(DEFAULT))
