@@ -24,6 +24,7 @@ from boxscore.operators import joins as J
 from boxscore.operators import report_dates as RD
 from boxscore.operators import rollups as U
 from boxscore.operators import windows as W
+from boxscore.operators.ordering import report_order
 from boxscore.plans import extract, lines, summaries
 from boxscore.plans.config import DEFAULT
 from boxscore.plans.summaries import with_month
@@ -588,11 +589,29 @@ def q_clinic_year_check(inp):
                                              F.sum("top_box").cast("bigint").alias("top_box"))
 
 
+def _with_calendar(inp, df):
+    """Calendar attributes of the received date (one row per day, broadcast)."""
+    cal = inp.calendar.select(F.col("day_date").alias("received_date"), "fyear_num", "year_num", "quarter_name", "month_num", "month_short_name")
+    return df.join(F.broadcast(cal), "received_date", "left")
+
+
+# what the dimension is distinct over
+DIMENSION_COLS = ["fy", "rec_fy", "quarter_name", "month_num", "month_short_name", "year_num", "department_key",
+                  "epic_department_id", "epic_department_name", "goal_epic_department_id", "service_line_id", "service_line",
+                  "sub_service_line", "unit", "clinic", "domain", "domain_goals", "question_id", "question_text",
+                  "question_text_alias"]
+
+
 @register("q_report_dimension")
 def q_report_dimension(inp):
-    s = Fl.for_fiscal_years(Fl.reportable_domains(_scored(inp)), min_year=1997)
-    return A.distinct_rows(s, ["rec_fy", "service_line", "clinic", "domain_goals", "question_id",
-                               "question_text_alias"])
+    s = Fl.for_fiscal_years(Fl.reportable_domains(_with_calendar(inp, _scored(inp))), min_year=1997)
+    out = A.distinct_rows(s, DIMENSION_COLS).select(
+        F.lit(DEFAULT.event_type).alias("event_type"), F.col("rec_fy").alias("event_fy"), F.col("year_num").alias("event_cy"),
+        F.col("month_num").alias("month"), F.col("month_short_name").alias("month_name"), "service_line",
+        F.col("epic_department_id").alias("department_id"), F.col("epic_department_name").alias("department_name"),
+        "domain_goals", "question_id", "question_text_alias")
+    return report_order(out, ["event_type", "event_fy", "event_cy", "month", "month_name", "service_line", "department_id",
+                              "department_name", "domain_goals", "question_text_alias"])
 
 
 @register("q_value_distribution")
@@ -600,14 +619,24 @@ def q_value_distribution(inp):
     return A.value_distribution(_scored(inp), ["clinic", "question_id"])
 
 
-REPORT_KEYS = ["event_fy", "month_short_name", "quarter_name", "service_line", "clinic", "unit",
-               "epic_department_id", "domain_goals", "question_id", "varname", "question_text_alias", "goal"]
+REPORT_KEYS = ["event_type", "event_fy", "event_cy", "month", "month_name", "service_line", "department_id",
+               "department_name", "clinic", "domain_goals", "question_text_alias"]
 
 
 @register("q_response_report")
 def q_response_report(inp):
-    ext = Fl.reportable_domains(extract.unit_extract(inp, DEFAULT))
-    return A.response_report(ext, REPORT_KEYS)
+    """P11 over the unit extract. The department is a key and names the clinic,
+    so the 'All Units' copy of a group is the group under another label: the
+    answers are aggregated once and the small result is rolled up."""
+    staged = _with_calendar(inp, Fl.reportable_domains(extract.unit_extract_parts(inp, DEFAULT)[2]))
+    rows = staged.select(
+        F.lit(DEFAULT.event_type).alias("event_type"), F.col("fyear_num").alias("event_fy"), F.col("year_num").alias("event_cy"),
+        F.col("month_num").alias("month"), F.col("month_short_name").alias("month_name"),
+        V.service_line_display(F.col("service_line"), F.col("sub_service_line")).alias("service_line"),
+        F.col("epic_department_id").alias("department_id"), F.col("epic_department_name").alias("department_name"),
+        "clinic", "domain_goals", "question_text_alias", "goal", "goal_all_units", "top_box", "val_count", "survey_id")
+    counts = A.response_report(rows, [*REPORT_KEYS, "goal", "goal_all_units"]).withColumn("survey_id", F.lit(1))
+    return report_order(U.rollup_units(counts).drop("survey_id").withColumnRenamed("n_surveys", "n"), REPORT_KEYS)
 
 
 @register("q_question_summary")

@@ -429,16 +429,24 @@ ORACLE["q_surveys_by_unit"] = _v("""SELECT a.service_code, a.department_key, u.u
 FROM answers_f a LEFT JOIN unit_by_survey u ON u.survey_id = a.survey_id GROUP BY a.service_code, a.department_key, u.unit""")
 ORACLE["q_clinic_year_check"] = _v("""SELECT clinic, rec_fy, COUNT(*) AS n, CAST(SUM(top_box) AS BIGINT) AS top_box
 FROM scored WHERE question_id = 2 GROUP BY clinic, rec_fy""")
-ORACLE["q_report_dimension"] = _v(f"""SELECT DISTINCT rec_fy, service_line, clinic, domain_goals, question_id, question_text_alias
-FROM scored WHERE {_F8} AND rec_fy >= 1997""")
+ORACLE["q_report_dimension"] = _v(f"""SELECT {_q(DEFAULT.event_type)} AS event_type, rec_fy AS event_fy, year_num AS event_cy,
+       month_num AS month, month_short_name AS month_name, service_line, epic_department_id AS department_id,
+       epic_department_name AS department_name, domain_goals, question_id, question_text_alias
+FROM (SELECT DISTINCT s.fy, s.rec_fy, c.quarter_name, c.month_num, c.month_short_name, c.year_num, s.department_key,
+             s.epic_department_id, s.epic_department_name, s.goal_epic_department_id, s.service_line_id, s.service_line,
+             s.sub_service_line, s.unit, s.clinic, s.domain, s.domain_goals, s.question_id, s.question_text, s.question_text_alias
+      FROM scored s LEFT JOIN calendar c ON c.day_date = s.received_date
+      WHERE {_F8} AND rec_fy >= 1997)""")
 ORACLE["q_value_distribution"] = _v("SELECT clinic, question_id, value, COUNT(*) AS n FROM scored GROUP BY clinic, question_id, value")
-ORACLE["q_response_report"] = _v(f"""SELECT event_fy, month_short_name, quarter_name, service_line, clinic, unit,
-       epic_department_id, domain_goals, question_id, varname, question_text_alias, goal,
-       CAST(SUM(top_box) AS BIGINT) AS top_box, CAST(SUM(val_count) AS BIGINT) AS val_count,
-       COUNT(DISTINCT survey_id) AS n_surveys
-FROM ext_rows WHERE {_F8}
-GROUP BY event_fy, month_short_name, quarter_name, service_line, clinic, unit, epic_department_id, domain_goals,
-         question_id, varname, question_text_alias, goal""")
+ORACLE["q_response_report"] = _v(f"""SELECT e.event_type, e.event_fy, c.year_num AS event_cy, c.month_num AS month,
+       c.month_short_name AS month_name, e.service_line, e.epic_department_id AS department_id, d.department_name, e.clinic,
+       e.domain_goals, e.question_text_alias, e.goal, CAST(SUM(e.top_box) AS BIGINT) AS top_box,
+       CAST(SUM(e.val_count) AS BIGINT) AS val_count, COUNT(DISTINCT e.survey_id) AS n
+FROM ext_rows e LEFT JOIN calendar c ON c.day_date = e.event_date
+LEFT JOIN departments d ON d.department_id = e.epic_department_id
+WHERE {_F8}
+GROUP BY e.event_type, e.event_fy, c.year_num, c.month_num, c.month_short_name, e.service_line, e.epic_department_id,
+         d.department_name, e.clinic, e.domain_goals, e.question_text_alias, e.goal""")
 ORACLE["q_question_summary"] = _v(f"""SELECT rec_fy, month_num, month_short_name, service_line, epic_department_id, clinic,
        question_id, question_text_alias, domain_goals, goal,
        CAST(SUM(top_box) AS BIGINT) AS top_box, CAST(SUM(val_count) AS BIGINT) AS val_count,
