@@ -14,12 +14,24 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether the optimizer's byte estimate of ``df`` is within the session's
-    automatic broadcast threshold. Reads plan statistics only."""
+# Goal rows per department at most: fiscal years loaded x goal domains.
+GOALS_PER_DEPARTMENT = 200
+
+
+def fits_broadcast(df: DataFrame, times: int = 1) -> bool:
+    """Whether the optimizer's byte estimate of ``df``, ``times`` over, is within
+    the session's automatic broadcast threshold. Reads plan statistics only."""
     limit = int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return 0 <= int(str(size)) <= limit
+    return 0 <= int(str(size)) * times <= limit
+
+
+def goal_side(goals: DataFrame, departments: DataFrame) -> DataFrame:
+    """A table of resolved goals as a join side of the answers. Its keys (fiscal
+    year, department or line, domain) have few values, one of them NULL, so
+    answers must not be shuffled on them: the goals are broadcast where the
+    department dimension, which bounds their number, is small enough."""
+    return F.broadcast(goals) if fits_broadcast(departments, GOALS_PER_DEPARTMENT) else goals
 
 
 def with_question(df: DataFrame, questions: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ from boxscore.functions import labels as V
 from boxscore.functions.scoring import score_columns, with_rules
 from boxscore.operators import filters as Fl
 from boxscore.operators.goals import resolve_goals, zero_to_null
-from boxscore.operators.joins import with_group
+from boxscore.operators.joins import goal_side, with_group
 from boxscore.operators.report_dates import dual_date
 from boxscore.operators.rollups import rollup_groups, rollup_units, suffix_shared
 from boxscore.operators.windows import max_answer, survey_attribute
@@ -183,8 +183,8 @@ def unit_extract_parts(inp: Inputs, cfg: ExtractConfig = DEFAULT, groups: bool =
     if groups:
         line_rows = line_rows.where(F.col("group_name") == L.ALL_GROUPS)
     line_all = line_rows.select("rec_fy", "domain_goals", zero_to_null(F.col("goal")).alias("goal_all_units"))
-    staged = (scored.join(own, ["rec_fy", "goal_epic_department_id", "service_line", "domain_goals"], "left")
-              .join(line_all, ["rec_fy", "domain_goals"], "left"))
+    staged = (scored.join(goal_side(own, inp.departments), ["rec_fy", "goal_epic_department_id", "service_line", "domain_goals"], "left")
+              .join(goal_side(line_all, inp.departments), ["rec_fy", "domain_goals"], "left"))
     return scored, goals, staged
 
 

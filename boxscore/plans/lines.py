@@ -44,7 +44,7 @@ from dataclasses import replace  # noqa: E402
 from boxscore.functions import labels as V  # noqa: E402
 from boxscore.operators.aggregations import sub_service_line  # noqa: E402
 from boxscore.operators.goals import flat_goals  # noqa: E402
-from boxscore.operators.joins import without_flagged  # noqa: E402
+from boxscore.operators.joins import goal_side, without_flagged  # noqa: E402
 from boxscore.operators.report_dates import dual_date  # noqa: E402
 from boxscore.operators.rollups import rollup_lines, rollup_units, suffix_shared  # noqa: E402
 from boxscore.plans.extract import answer_detail, finish, stage  # noqa: E402
@@ -96,8 +96,8 @@ def line_goals(inp: Inputs, df: DataFrame) -> DataFrame:
     all_lines = g.where(F.col("service_line") == L.ALL_SERVICE_LINES).select(
         F.col("goal_fiscal_yr").alias("fy"), F.col("domain").alias("domain_goals"),
         F.col("goal").alias("goal_all_lines"))
-    return (df.join(line, ["fy", "service_line", "domain_goals"], "left")
-            .join(all_lines, ["fy", "domain_goals"], "left"))
+    return (df.join(goal_side(line, inp.departments), ["fy", "service_line", "domain_goals"], "left")
+            .join(goal_side(all_lines, inp.departments), ["fy", "domain_goals"], "left"))
 
 
 def line_extract(inp: Inputs, cfg: ExtractConfig = LINE_CFG, outpatient: bool = False) -> DataFrame:
@@ -175,9 +175,10 @@ def child_extract(inp: Inputs, cfg: ExtractConfig = CHILD_CFG, suffix_col: str =
     the roll-up copy only for rows matched on both report dates."""
     s = line_scored(inp, cfg)
     fg = flat_goals(s, FLAT_GOAL)
+    # goal domains come from the inline rule table, which bounds this list
     all_fg = (s.select("domain_goals").distinct()
               .withColumn("goal_all_lines", F.lit(FLAT_GOAL).cast("decimal(4,3)")))
-    staged = s.join(fg, ["service_line", "unit", "domain_goals"], "left").join(all_fg, "domain_goals", "left")
+    staged = s.join(fg, ["service_line", "unit", "domain_goals"], "left").join(F.broadcast(all_fg), "domain_goals", "left")
     spined = dual_date(staged, inp.calendar, cfg.start, cfg.end, mode="full", discharge_start=cfg.start)
     both = F.col("survey_id").isNotNull() & F.col("event_date_disch").isNotNull()
     rolled = rollup_lines(spined, copy_if=both if clipped else None)
