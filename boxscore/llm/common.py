@@ -18,7 +18,8 @@ BATCH_BYTES = "16m"
 
 
 def prepare(spark: SparkSession) -> None:
-    """Session settings the operators rely on; anything already set stays.
+    """Session settings the operators rely on: a checkpoint folder and a bound
+    on the bytes of an Arrow batch.
 
     The checkpoint folder is the one the cluster names in
     ``spark.checkpoint.dir``; a folder of our own is made only where that is
