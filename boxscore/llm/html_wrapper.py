@@ -12,7 +12,9 @@ steps, and a host with a third of all pages arrives as a few wrappers.
 
 From a host's wrapper come its rules: where the main container lies (the
 deepest part that holds most of the slots' text) and which constant texts are
-boilerplate. Parts whose element is ``article`` or ``main`` are the article
+boilerplate: those that SEEN pages of different main text hold, outside the
+main container or in a container of it without any slot, and only at their own
+path. Every constant carries the keys of such pages, SEEN at most. Parts whose element is ``article`` or ``main`` are the article
 where the wrapper has any; else the part with most of the slots' text is. Menus, headers, footers,
 side bars, notices, adverts, forms and comments go by element, role, class
 and id. Digits in class names count as one, so that numbered classes do not
@@ -23,8 +25,10 @@ from __future__ import annotations
 
 import json
 import re
+import zlib
 from collections.abc import Iterator
 from difflib import SequenceMatcher
+from heapq import nlargest
 from html import unescape
 
 import pyarrow as pa
@@ -36,6 +40,7 @@ from .common import in_batches, prepare, stored, worker_cache
 SALTS = 16
 MAX_HOSTS = 2000  # a task emits its wrappers and starts anew beyond so many hosts
 MAX_CONSTANT = 200  # longer texts are never kept as constants of a wrapper
+SEEN = 3  # pages of different main text that must hold a constant; two may be copies
 DOMINANT = 0.6  # share of a part's slot text that a child needs to be descended into
 
 # fixed vocabularies
@@ -53,6 +58,7 @@ ABOUT = frozenset("has with no without is".split())  # class names that tell wha
 WHOLE = frozenset("html body".split())  # never boilerplate
 MAIN_TAGS = ("article", "main")
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+FLOW = HEADINGS | {"p", "blockquote", "pre"}
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 SCOPE = frozenset("ul ol dl table select article main section div body html nav aside footer header form".split())
 
@@ -150,11 +156,26 @@ def parse(html: str) -> Element:
     return root
 
 
-# -- wrappers: [signature or "#", optional, repeated, parts or constant text, slot characters] ------
+# -- wrappers: [signature or "#", optional, repeated, parts or constant text, slot characters, keys of a constant's pages] ------
 
 
-def as_wrapper(element: Element) -> list:
-    parts = [["#", 0, 0, k if len(k) <= MAX_CONSTANT else None, len(k)] if isinstance(k, str) else as_wrapper(k) for k in element.kids]
+def page_key(root: Element) -> int:
+    """Key of a page's main text: its three longest texts outside furniture, the shorter two without digits (copies differ in dates)."""
+    texts, todo = [], [root]
+    while todo:
+        for k in todo.pop().kids:
+            if isinstance(k, str):
+                texts.append(k)
+            elif not k.drop and k.tag != "header":
+                todo.append(k)
+    longest = nlargest(3, texts, key=lambda t: (len(t), t))
+    return zlib.crc32("\n".join(longest[:1] + [re.sub("[0-9]+", "0", t) for t in longest[1:]]).encode("utf-8", "replace"))
+
+
+def as_wrapper(element: Element, key: int | None = None) -> list:
+    key = page_key(element) if key is None else key
+    parts = [(["#", 0, 0, k, len(k), [key]] if len(k) <= MAX_CONSTANT else ["#", 0, 0, None, len(k), []]) if isinstance(k, str) else as_wrapper(k, key)
+             for k in element.kids]
     return [element.sig, 0, 0, folded(parts), 0]
 
 
@@ -174,7 +195,9 @@ def aligned(a: list, b: list) -> list:
     """The wrapper that covers two wrappers of one signature."""
     optional, repeated, chars = a[1] | b[1], a[2] | b[2], a[4] + b[4]
     if a[0] == "#":
-        return ["#", optional, repeated, a[3] if a[3] == b[3] else None, chars]
+        if a[3] is None or a[3] != b[3]:
+            return ["#", optional, repeated, None, chars, []]
+        return ["#", optional, repeated, a[3], chars, sorted({*a[5], *b[5]})[:SEEN]]
     left, right, parts = a[3], b[3], []
     i = j = 0
     matcher = SequenceMatcher(None, [p[0] for p in left], [p[0] for p in right], autojunk=False)
@@ -185,9 +208,11 @@ def aligned(a: list, b: list) -> list:
     return [a[0], optional, repeated, folded(parts), chars]
 
 
-def slot_chars(w: list) -> int:
-    """Characters in the slots below a part; constants are furniture."""
-    return (w[4] if w[3] is None else 0) if w[0] == "#" else sum(map(slot_chars, w[3]))
+def slot_chars(w: list, seen: int = SEEN) -> int:
+    """Characters in the slots below a part; constants of ``seen`` different pages are furniture."""
+    if w[0] == "#":
+        return w[4] if w[3] is None or len(w[5]) < seen else 0
+    return sum(slot_chars(k, seen) for k in w[3])
 
 
 def is_furniture(sig: str) -> bool:
@@ -207,35 +232,38 @@ def main_paths(w: list, tag: str, path: tuple = ()) -> Iterator[tuple]:
                 yield from main_paths(k, tag, (*path, k[0]))
 
 
-def dominant_path(w: list) -> tuple:
+def dominant_path(w: list, seen: int = SEEN) -> tuple:
     """The deepest part that holds most of the slots' text."""
     path, node = (), w
     while True:
-        kids = [k for k in node[3] if k[0] != "#" and not is_furniture(k[0])]
-        total = sum(slot_chars(k) for k in node[3] if k[0] == "#" or not is_furniture(k[0]))
-        best = max(kids, key=slot_chars, default=None)
-        if best is None or not total or best[2] or slot_chars(best) < DOMINANT * total:
+        kids = [k for k in node[3] if k[0] != "#" and not is_furniture(k[0]) and k[0].partition(".")[0] not in FLOW]
+        total = sum(slot_chars(k, seen) for k in node[3] if k[0] == "#" or not is_furniture(k[0]))
+        best = max(kids, key=lambda k: slot_chars(k, seen), default=None)
+        if best is None or not total or best[2] or slot_chars(best, seen) < DOMINANT * total:
             return path
         path = (*path, best[0])
         node = best
 
 
 def rules_of(w: list, pages: int) -> dict:
-    """Paths of the article parts by tag, the dominant path and the constant texts of a host."""
+    """Paths of the article parts by tag, the dominant path and the boilerplate of a host: constant text -> paths of its parents."""
     paths = {tag: sorted(set(main_paths(w, tag))) for tag in MAIN_TAGS}
-    constants = []
+    dominant = dominant_path(w, SEEN if pages >= SEEN else 1)  # of fewer pages nothing is known to be different
+    constants: dict[str, list[str]] = {}
 
-    def collect(part):
+    def collect(part, path, rest):
+        """``rest`` is what remains of the dominant path; None lies outside."""
         for k in part[3]:
             if k[0] == "#":
-                if k[3] is not None:
-                    constants.append(k[3])
+                if rest != () and k[3] is not None and len(k[5]) >= SEEN:
+                    constants.setdefault(k[3], []).append("/".join(path))
+            elif rest == ():
+                collect(k, (*path, k[0]), () if slot_chars(k) or k[0].partition(".")[0] in FLOW else None)
             else:
-                collect(k)
+                collect(k, (*path, k[0]), rest[1:] if rest and k[0] == rest[0] else None)
 
-    if pages >= 3:  # two pages may be copies
-        collect(w)
-    return {"paths": paths, "dominant": dominant_path(w), "constants": constants}
+    collect(w, (), dominant)
+    return {"paths": paths, "dominant": dominant, "constants": constants}
 
 
 # -- extraction --------------------------------------------------------------
@@ -245,7 +273,7 @@ def has_main(e: Element) -> bool:
     return any(not isinstance(k, str) and (k.tag in MAIN_TAGS or has_main(k)) for k in e.kids)
 
 
-def at_path(e: Element, path: list[str]) -> list[Element]:
+def at_path(e: Element, path: list[str] | tuple[str, ...]) -> list[Element]:
     """Elements of a page that a wrapper's path leads to; every level may repeat."""
     found = [e]
     for depth, sig in enumerate(path, 1):
@@ -253,17 +281,17 @@ def at_path(e: Element, path: list[str]) -> list[Element]:
     return found
 
 
-def blocks(e: Element, inside: bool, constants: frozenset) -> Iterator[str]:
-    """Text blocks below an element; ``inside`` says that it is (part of) the article."""
+def blocks(e: Element, inside: bool, constants: dict, path: tuple = ()) -> Iterator[str]:
+    """Text blocks below an element at a path; ``inside`` says that it is (part of) the article."""
     for k in e.kids:
         if isinstance(k, str):
-            if inside or k not in constants:
+            if inside or k not in constants or "/".join(path) not in constants[k]:
                 yield k
         elif k.tag == "header":
             if inside:  # an article's own header: its headings are text
-                yield from (b for h in k.kids if not isinstance(h, str) and h.tag in HEADINGS for b in blocks(h, True, constants))
+                yield from (b for h in k.kids if not isinstance(h, str) and h.tag in HEADINGS for b in blocks(h, True, constants, path))
         elif not k.drop or (k.tag not in DROP_TAGS and has_main(k)):
-            yield from blocks(k, inside, constants)
+            yield from blocks(k, inside, constants, (*path, k.sig))
 
 
 def extract(html: str, rules: dict) -> str:
@@ -272,15 +300,14 @@ def extract(html: str, rules: dict) -> str:
     for tag in MAIN_TAGS:
         found = [f for path in rules["paths"][tag] for f in at_path(root, path)]
         if found:
-            texts = [list(blocks(f, True, frozenset())) for f in found]
+            texts = [list(blocks(f, True, {})) for f in found]
             # teasers of other articles are short beside the page's own
             longest = max(sum(map(len, t)) for t in texts)
             return "\n\n".join(b for t in texts if 4 * sum(map(len, t)) >= longest for b in t)
-    nodes, path = [], list(rules["dominant"])
-    while not nodes:  # the deepest part of the path that the page has; the empty path is the page
-        nodes, path = at_path(root, path), path[:-1]
-    constants = frozenset(rules["constants"])
-    return "\n\n".join(b for n in nodes for b in blocks(n, False, constants))
+    path = tuple(rules["dominant"])
+    while not (nodes := at_path(root, path)):  # the deepest part of the path that the page has; the empty path is the page
+        path = path[:-1]
+    return "\n\n".join(b for n in nodes for b in blocks(n, False, rules["constants"], path))
 
 
 def host_of(url: str | None) -> str:

@@ -48,6 +48,36 @@ def test_alignment_makes_optional_and_repeated_groups():
     assert kinds == [("h2", 1, 0), ("p", 0, 1)] and w[3][0][3][1][3][0][3] is None
 
 
+SECTION = "<h2>Part {i} {j}</h2><p>Words of {i} {j} that no other page has, {w}</p><p>More words of {i} {j}, {w}</p>"
+
+
+def sections(i, n, extra=""):
+    words = " ".join(chr(97 + (i * 7 + j) % 26) * 5 for j in range(6))
+    return f"<body><div class=top>Welcome back</div><div class=text>{''.join(SECTION.format(i=i, j=j, w=words) for j in range(n))}{extra}</div></body>"
+
+
+def test_text_of_one_page_is_no_constant():
+    pages = [sections(0, 1), sections(1, 1), sections(2, 2, "<blockquote>Said once</blockquote><ul><li>listed once</li></ul><table><tr><td>cell</table>")]
+    r = rules(pages)
+    got = H.extract(pages[2], r).split("\n\n")
+    assert [b for b in got if b.startswith("Part")] == ["Part 2 0", "Part 2 1"]
+    assert got[-3:] == ["Said once", "listed once", "cell"] and "Welcome back" not in got and "Welcome back" in r["constants"]
+
+
+def test_article_text_like_a_constant_stays():
+    pages = [sections(i, 2, "<h2>Conclusion</h2><p>Welcome back</p>" if i else "<h2>Conclusion</h2>") for i in range(4)]
+    got = H.extract(pages[3], rules(pages)).split("\n\n")
+    assert got[-2:] == ["Conclusion", "Welcome back"] and got.count("Welcome back") == 1
+
+
+@pytest.mark.parametrize("tag", ["article", "main", "div"])
+def test_copies_keep_their_text(tag):
+    page = "<body><div class=top>Seen {i} times</div><" + tag + "><h1>One title</h1><p>One text on every page</p></" + tag + "></body>"
+    pages = [page.format(i=i) for i in range(4)]
+    r = rules(pages)
+    assert all("One title\n\nOne text on every page" in H.extract(p, r) for p in pages)
+
+
 def test_main_text_rows(spark):
     rows = [(i, f"https://a.example/{i}", ARTICLE.format(i=i, extra="")) for i in range(6)]
     rows += [(10 + i, f"http://user@B.example:80/{i}", plain(i)) for i in range(4)]
