@@ -1,14 +1,16 @@
 """Toxicity by compression distance.
 
 Two zstandard dictionaries are trained: one on windows of ordinary text, one
-on the strings that set toxic text apart (byte n-grams far more frequent in
-toxic than in ordinary training documents). A window is one word with its
-blanks, followed by a fixed carrier that both dictionaries contain, so that
-even a short word is compressed rather than stored. What the toxic dictionary
-saves over the ordinary one, in bytes, is compared with a threshold calibrated
-for the window's length: the least saving that is RATIO times as frequent in
-toxic as in ordinary calibration documents. A document's score is a logistic
-function of its windows over their thresholds.
+on that and the strings that set toxic text apart: strings of any length
+around byte n-grams, far more frequent among the windows of toxic than of
+ordinary training documents, so that a stem counts though ordinary documents
+have it now and then. A window is one word with its blanks, followed by a
+fixed carrier that both dictionaries contain, so that even a short word is
+compressed rather than stored. What the toxic dictionary saves over the
+ordinary one, in bytes, is evidence: the log of how many times as frequent so
+much saving is in toxic as in ordinary calibration documents, by the window's
+length, from RATIO times on. A document's score is a logistic function of how
+many of its windows save and by how much.
 
 Training reads a bounded sample of labelled rows: at most SAMPLE_TOXIC and
 SAMPLE_ORDINARY documents by hash of their id, whole texts, at most
@@ -35,21 +37,20 @@ from .common import crc_fold, prepare, text_of, worker_cache
 SAMPLE_TOXIC, SAMPLE_ORDINARY, SAMPLE_BYTES = 3000, 6000, 64 << 20
 FOLDS, HELD_OUT = 4, 2
 CUTOFF = 0.3
-RATIO = 50.0
+RATIO = 10.0  # single windows tell little at this bar; a document's windows are weighed together
 GRAM = 5  # bytes of the n-grams that choose the toxic dictionary's strings
-CONTRAST = 20.0
+CONTRAST, SEED_CONTRAST = 20.0, 5.0  # of the dictionary's strings, and of grams that longer strings are tried around
 ORDINARY_BYTES, TOXIC_BYTES = 12_000, 5_000
 LONGEST = 24  # longer windows share a threshold
 CARRIER = b"0123456789abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 MAX_CACHED = 500_000
-MAX_MARGIN = 5
 
 
 @dataclass
 class Model:
     ordinary: bytes
     toxic: bytes
-    thresholds: dict[int, int]
+    evidence: dict[int, list[float]]  # by window length and saving: log of how many times as frequent in toxic text, 0 below the bar
     weights: list[float]
 
 
@@ -71,7 +72,8 @@ class Saver:
     """Bytes that the toxic dictionary saves on a window over the ordinary one."""
 
     def __init__(self, ordinary: bytes, toxic: bytes):
-        self.a, self.b = compressor(ordinary), compressor(toxic)
+        # ordinary strings in both, so that a common ending does not hide a toxic stem
+        self.a, self.b = compressor(ordinary), compressor(ordinary + b"\n" * 8 + toxic)
 
     def __call__(self, window: bytes) -> int:
         data = window + CARRIER
@@ -94,6 +96,12 @@ def grams(window: bytes) -> set[bytes]:
     return {window[i:i + GRAM] for i in range(max(1, len(window) - GRAM + 1))}
 
 
+def extensions(window: bytes, marked: set[bytes]) -> set[bytes]:
+    """Strings of a window, of LONGEST bytes at most, that hold a marked gram."""
+    at = [i for i in range(max(1, len(window) - GRAM + 1)) if window[i:i + GRAM] in marked]
+    return {window[i:j] for k in at for i in range(max(0, k + GRAM - LONGEST), k + 1) for j in range(min(len(window), k + GRAM), min(len(window), i + LONGEST) + 1)}
+
+
 def without_near_copies(texts: list[str]) -> list[str]:
     """Texts that do not share half of their bottom-8 shingle sketch with earlier ones."""
     from xxhash import xxh64_intdigest
@@ -110,28 +118,45 @@ def without_near_copies(texts: list[str]) -> list[str]:
 
 def train_dictionaries(toxic: list[str], ordinary: list[str], seed: int = 7) -> tuple[bytes, bytes]:
     toxic, ordinary = without_near_copies(toxic), without_near_copies(ordinary)
-    in_toxic, in_ordinary = Counter(), Counter()
+    # a string is told by its share of all windows: one that ordinary documents have once and toxic ones often is a marker too
+    in_toxic, all_toxic, in_ordinary = Counter(), Counter(), Counter()
     for t in toxic:
-        in_toxic.update(set(windows(t)))
+        ws = windows(t)
+        all_toxic.update(ws)
+        in_toxic.update(set(ws))
     for t in ordinary:
-        in_ordinary.update(set(windows(t)))
-    g_toxic, g_ordinary = Counter(), Counter()
-    for w, c in in_toxic.items():
+        in_ordinary.update(windows(t))
+    n_toxic, n_ordinary = max(1, all_toxic.total()), max(1, in_ordinary.total())
+    g_documents, g_toxic, g_ordinary = Counter(), Counter(), Counter()
+    for w, c in all_toxic.items():
         for g in grams(w):
             g_toxic[g] += c
+            g_documents[g] += in_toxic[w]
     for w, c in in_ordinary.items():
         for g in grams(w):
             if g in g_toxic:
                 g_ordinary[g] += c
     least = max(3, len(toxic) // 100)
     marked = {g for g, c in g_toxic.items()
-              if c >= least and (c + 0.5) / len(toxic) >= CONTRAST * (g_ordinary[g] + 0.5) / len(ordinary)}
+              if g_documents[g] >= least and (c + 0.5) / n_toxic >= SEED_CONTRAST * (g_ordinary[g] + 0.5) / n_ordinary}
+    # markers may be longer than a gram: a stem that many words continue is told from common grams by its whole length;
+    # of so many strings some are frequent by chance, so counts are taken two standard deviations low,
+    # and by windows as well as by documents, as a document repeats its own strings
+    stems, in_stems, ordinary_stems = Counter(), Counter(), Counter()
+    for w, c in all_toxic.items():
+        for x in extensions(w, marked):
+            stems[x] += c
+            in_stems[x] += in_toxic[w]
+    for w, c in in_ordinary.items():
+        for x in extensions(w, marked):
+            if x in stems:
+                ordinary_stems[x] += c
+    good = {x for x, c in stems.items() if in_stems[x] >= least and (c - 2 * c ** 0.5) / n_toxic >= CONTRAST * (ordinary_stems[x] + 0.5) / n_ordinary
+            and (in_stems[x] - 2 * in_stems[x] ** 0.5) / len(toxic) >= (ordinary_stems[x] + 0.5) / len(ordinary)}
     strings = []
     for w, c in sorted(in_toxic.items()):
-        at = [i for i in range(max(1, len(w) - GRAM + 1)) if w[i:i + GRAM] in marked]
-        if at:
-            core = w[at[0]:at[-1] + GRAM]
-            strings += [w if 3 * len(core) >= 2 * len(w) else core] * c
+        if found := [x for x in extensions(w, marked) if x in good]:
+            strings += [max(found, key=lambda x: (len(x), stems[x], x))] * c
     rng = random.Random(seed)
     rng.shuffle(strings)
     runs = [b"\n".join(strings[i:i + 8]) for i in range(0, len(strings), 8)]
@@ -144,8 +169,11 @@ def train_dictionaries(toxic: list[str], ordinary: list[str], seed: int = 7) ->
     return dictionary_content(plain, ORDINARY_BYTES), chosen
 
 
-def calibrated(save, toxic: list[str], ordinary: list[str]) -> dict[int, int]:
-    """Least saving per window length that marks toxic text; lengths borrow from their neighbours."""
+def calibrated(save, toxic: list[str], ordinary: list[str]) -> dict[int, list[float]]:
+    """Evidence of each saving per window length: log of the ratio of the shares of windows that save at least so much.
+
+    Lengths borrow from their neighbours; evidence never falls with the saving.
+    """
     tables = []
     for texts in (toxic, ordinary):
         counts = np.zeros((LONGEST + 2, 64))
@@ -157,9 +185,10 @@ def calibrated(save, toxic: list[str], ordinary: list[str]) -> dict[int, int]:
     n_t, n_o = max(1.0, t[:, 0].sum()), max(1.0, o[:, 0].sum())
     out = {}
     for length in range(1, LONGEST + 1):
-        good = [s for s in range(1, 64) if t[length, s] >= 3 and t[length, s] / n_t >= RATIO * (o[length, s] + 0.5) / n_o]
-        if good:
-            out[length] = good[0]
+        ratio = np.where(t[length] >= 3, (t[length] / n_t) / ((o[length] + 0.5) / n_o), 0.0)
+        ratio[0] = 0.0
+        if ratio.max() >= RATIO:
+            out[length] = np.log(np.maximum.accumulate(np.where(ratio >= RATIO, ratio, 1.0))).tolist()
     return out
 
 
@@ -167,26 +196,28 @@ class Scorer:
     def __init__(self, model: Model):
         self.save, self.model = Saver(model.ordinary, model.toxic), model
         self.known: set[bytes] = set()
-        self.over: dict[bytes, int] = {}
+        self.over: dict[bytes, float] = {}
 
-    def margins(self, text: str | None) -> tuple[list[int], int]:
-        """How far the windows over their thresholds are over them; the number of windows."""
+    def told(self, text: str | None) -> tuple[list[float], int]:
+        """Evidence of the windows that have any; the number of windows."""
         ws = windows(text)
         if len(self.known) > MAX_CACHED:
             self.known.clear()
             self.over.clear()
         for w in set(ws).difference(self.known):
-            least = self.model.thresholds.get(min(len(w), LONGEST))
-            if least is not None:
-                margin = self.save(w) - least + 1
-                if margin > 0:
-                    self.over[w] = margin
+            by_saving = self.model.evidence.get(min(len(w), LONGEST))
+            if by_saving is not None:
+                found = by_saving[max(0, min(63, self.save(w)))]
+                if found > 0:
+                    self.over[w] = found
             self.known.add(w)
         return [self.over[w] for w in ws if w in self.over], len(ws)
 
     def features(self, text: str | None) -> list[float]:
-        over, n = self.margins(text)
-        return [1.0, math.log1p(len(over)), float(min(MAX_MARGIN, max(over, default=0))), math.log1p(1000 * len(over) / (n + 50))]
+        over, n = self.told(text)
+        most = sorted(over, reverse=True)
+        return [1.0, math.log1p(len(over)), sum(most[:1]), sum(most[1:2]), sum(most[2:3]), math.log1p(1000 * len(over) / (n + 50)),
+                math.log1p(sum(over))]
 
     def score(self, text: str | None) -> float:
         z = sum(a * b for a, b in zip(self.model.weights, self.features(text)))
@@ -211,7 +242,7 @@ def train_model(toxic: list[str], ordinary: list[str], share: float) -> Model:
     cut_t, cut_o = max(1, 2 * len(toxic) // 3), max(1, 2 * len(ordinary) // 3)
     plain, marked = train_dictionaries(toxic[:cut_t], ordinary[:cut_o])
     rest_t, rest_o = toxic[cut_t:] or toxic, ordinary[cut_o:] or ordinary
-    model = Model(plain, marked, calibrated(Saver(plain, marked), rest_t, rest_o), [0.0] * 4)
+    model = Model(plain, marked, calibrated(Saver(plain, marked), rest_t, rest_o), [0.0] * 7)
     scorer = Scorer(model)
     x = np.array([scorer.features(t) for t in rest_t + rest_o])
     y = np.array([1.0] * len(rest_t) + [0.0] * len(rest_o))

@@ -362,6 +362,16 @@ def test_toxicity_held_out(spark, empty):
     assert toxicity.toxicity(empty, labels).count() == 0
 
 
+def test_toxicity_by_stems_that_ordinary_texts_have_too():
+    ends = ["au", "ein", "st", "be", "en", "keit", "te", "pf"]
+    stem = lambda i, n: " ".join("zunkrab" + ends[(i * 5 + j * 3) % 8] for j in range(n))
+    toxic = [f"{passage(i, 40)} {stem(i, 4)} {passage(i + 7, 40)}" for i in range(150)]
+    ordinary = [f"{passage(i + 1000, 40)} {stem(i, int(i % 7 == 0))} {passage(i + 1007, 40)}" for i in range(600)]
+    scorer = toxicity.Scorer(toxicity.train_model(toxic[:100], ordinary[:400], 0.2))
+    assert sum(scorer.score(t) >= toxicity.CUTOFF for t in toxic[100:]) >= 45
+    assert sum(scorer.score(t) >= toxicity.CUTOFF for t in ordinary[400:]) <= 10
+
+
 def test_toxicity_without_labels(docs, rows, spark):
     labels = spark.createDataFrame([], "doc_id long, toxic int")
     assert {r["score"] for r in toxicity.toxicity(docs, labels).collect()} == {0.0}
