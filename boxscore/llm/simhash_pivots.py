@@ -69,17 +69,22 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(2 * bits.sum(axis=0, dtype=np.int64) > len(bits)).tobytes(), "big", signed=True)
 
 
+def row_text_key(docs: DataFrame):
+    """Digest of a row's text; with the doc_id it names the row (null text is empty)."""
+    return F.sha2(text_of(docs).cast("binary"), 256)
+
+
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and fp (the 64 bits as a long) of every row; null text is empty."""
-    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+    """doc_id, copy (digest of the text) and fp (the 64 bits as a long) of every row; null text is empty."""
+    schema = pa.schema([("doc_id", pa.int64()), ("copy", pa.string()), ("fp", pa.int64())])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = [fingerprint(t, shingle) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], schema=schema)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(fps, pa.int64())], schema=schema)
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text"))
-    return rows.mapInArrow(task, "doc_id long, fp long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text"), row_text_key(docs).alias("copy"))
+    return rows.mapInArrow(task, "doc_id long, copy string, fp long")
 
 
 def bucket_keys(table: np.ndarray, max_bits: int) -> list[np.ndarray]:
@@ -192,21 +197,9 @@ def centre_links(fps: DataFrame, max_bits: int) -> DataFrame:
     return members.select(F.explode("fps").alias("a"), F.array_min("fps").alias("b")).where("a <> b").distinct()
 
 
-def near_groups(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, heavy: int = HEAVY) -> DataFrame:
-    """doc_id, fp and component_id of every row of ``docs``.
-
-    Fingerprints link at ``max_bits`` or fewer differing bits (an even number);
-    component_id is the smallest doc_id reachable over links. Null text is
-    empty (fingerprint zero, linked like any other); a null doc_id never names
-    a component unless no member has an id, then component_id is null;
-    repeated rows stay. Other columns are not read; an empty table gives none.
-    """
-    if max_bits < 2 or max_bits % 2:
-        raise ValueError("max_bits must be even and at least 2")
-    spark = docs.sparkSession
-    prepare(spark)
-    rows = fingerprints(docs, shingle).checkpoint()
-    fps = rows.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).checkpoint()
+def linked_fingerprints(rows: DataFrame, max_bits: int, heavy: int) -> DataFrame:
+    """fp and root (smallest fingerprint of its component) of the fingerprints that several rows or a link share."""
+    fps = rows.groupBy("fp").agg(F.count("*").alias("n")).checkpoint()
     keys = keyed(fps, max_bits)
     crowded = keys.groupBy("key").count().where(F.col("count") > heavy).select("key").checkpoint()
     if crowded.isEmpty():
@@ -219,11 +212,33 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BIT
     if extra is not None:
         links = links.unionByName(extra)
     roots = components(links, "a", "b")
-    # only fingerprints with company need a look-up
     named = fps.join(roots, fps["fp"] == roots["node"], "left").where("n > 1 or node is not null")
-    named = named.select("fp", F.coalesce("root", "fp").alias("root"), "first")
+    return named.select(F.col("fp").alias("_fp"), F.coalesce("root", "fp").alias("root"))
+
+
+def check_bits(max_bits: int) -> None:
+    if max_bits < 2 or max_bits % 2:
+        raise ValueError("max_bits must be even and at least 2")
+
+
+def near_groups(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, heavy: int = HEAVY) -> DataFrame:
+    """doc_id, fp and component_id of every row of ``docs``.
+
+    Fingerprints link at ``max_bits`` or fewer differing bits (an even number);
+    component_id is the smallest doc_id reachable over links. Null text is
+    empty (fingerprint zero, linked like any other); a null doc_id never names
+    a component unless no member has an id, then component_id is null;
+    repeated rows stay. Other columns are not read; an empty table gives none.
+    """
+    check_bits(max_bits)
+    prepare(docs.sparkSession)
+    rows = fingerprints(docs, shingle).select("doc_id", "fp").checkpoint()
+    named = linked_fingerprints(rows, max_bits, heavy)
+    firsts = rows.groupBy("fp").agg(F.min("doc_id").alias("first"))
+    named = named.join(firsts, named["_fp"] == firsts["fp"]).select("_fp", "root", "first")
     lowest = named.groupBy("root").agg(F.min("first").alias("lowest"))
-    lookup = named.join(lowest, "root").select(F.col("fp").alias("_fp"), "lowest", F.lit(True).alias("_found"))
+    # only fingerprints with company need a look-up
+    lookup = named.join(lowest, "root").select("_fp", "lowest", F.lit(True).alias("_found"))
     return (rows.join(lookup, rows["fp"] == lookup["_fp"], "left")
             .select("doc_id", "fp", F.when(F.col("_found"), F.col("lowest")).otherwise(F.col("doc_id")).alias("component_id")))
 
@@ -232,18 +247,30 @@ def as_hex(fp):
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
 
 
-def dedup(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """The document with the smallest doc_id of each group, with the columns of ``docs``.
+def dedup(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, heavy: int = HEAVY) -> DataFrame:
+    """One row of each group, with the columns of ``docs``: the one with the
+    smallest doc_id, of several such rows the one whose text has the smallest
+    digest, of rows that repeat it whole any one.
 
-    Rows without doc_id stay. Rows that repeat a kept doc_id count as one
-    document, of which one row stays.
+    Rows are told apart by doc_id and text, so a doc_id that several texts
+    share loses only the rows that are copies. Rows without doc_id stay.
     """
-    groups = near_groups(docs, shingle, max_bits).checkpoint()
-    dropped = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    repeated = groups.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_twice")).checkpoint()
-    rest = docs.join(dropped, docs["doc_id"].cast("long") == dropped["_gone"], "left_anti")
-    if repeated.isEmpty():
-        return rest.select(*docs.columns)
-    is_twice = rest["doc_id"].cast("long") == repeated["_twice"]
-    once = rest.join(repeated, is_twice, "left_semi").dropDuplicates(["doc_id"])
-    return rest.join(repeated, is_twice, "left_anti").unionByName(once).select(*docs.columns)
+    check_bits(max_bits)
+    prepare(docs.sparkSession)
+    rows = fingerprints(docs, shingle).checkpoint()
+    named = linked_fingerprints(rows, max_bits, heavy)
+    members = (rows.where("doc_id is not null").join(named, rows["fp"] == named["_fp"])
+               .groupBy("root", "doc_id", "copy").agg(F.count("*").alias("times")).checkpoint())
+    kept = members.groupBy("root").agg(F.min(F.struct("doc_id", "copy")).alias("kept"))
+    is_kept = (F.col("doc_id") == F.col("kept.doc_id")) & (F.col("copy") == F.col("kept.copy"))
+    odd = members.join(kept, "root").where(~is_kept | (F.col("times") > 1))
+    odd = odd.select(F.col("doc_id").alias("_id"), F.col("copy").alias("_copy"), is_kept.alias("_kept")).checkpoint()
+    own, text_key = docs["doc_id"].cast("long"), row_text_key(docs)
+    gone, twice = odd.where("not _kept"), odd.where("_kept")
+    rest = docs.withColumn("_row_key", text_key).withColumn("_row_id", own)
+    rest = rest.join(gone, (rest["_row_id"] == gone["_id"]) & (rest["_row_key"] == gone["_copy"]), "left_anti")
+    if not twice.isEmpty():
+        is_twice = (rest["_row_id"] == twice["_id"]) & (rest["_row_key"] == twice["_copy"])
+        once = rest.join(twice, is_twice, "left_semi").dropDuplicates(["_row_id", "_row_key"])
+        rest = rest.join(twice, is_twice, "left_anti").unionByName(once)
+    return rest.drop("_row_key", "_row_id")
