@@ -78,10 +78,13 @@ class WordEncoder:
         self.words: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
-    def _learn(self, words: set[str]) -> None:
+    def _learn(self, words: set[str]) -> dict[str, bytes]:
+        """Ids of words; they also join the cache, which starts anew when it is full."""
         if len(self.words) + len(words) > MAX_CACHED:
             self.words.clear()
+        if len(self.pieces) > MAX_CACHED:
             self.pieces.clear()
+        found: dict[str, bytes] = {}
         other = []
         for word in words:
             if "<|" in word or not self.SAFE.fullmatch(word):
@@ -94,10 +97,13 @@ class WordEncoder:
                     ids = array("I", [self.id_of[r] for r in self.merge(piece.encode() + self.WORD_END)]).tobytes()
                     self.pieces[piece] = ids
                 parts.append(ids)
-            self.words[word] = b"".join(parts)
+            found[word] = b"".join(parts)
         if other:
-            for word, found in zip(other, self.tokenizer.encode_batch(other, add_special_tokens=False)):
-                self.words[word] = array("I", found.ids).tobytes()
+            for word, encoded in zip(other, self.tokenizer.encode_batch(other, add_special_tokens=False)):
+                found[word] = array("I", encoded.ids).tobytes()
+        if len(found) <= MAX_CACHED:
+            self.words.update(found)
+        return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list[bytes | None] = []
@@ -106,13 +112,13 @@ class WordEncoder:
                 out.append(array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes())
                 continue
             words = text.split()
-            missing = set(words).difference(self.words)
+            distinct = set(words)
+            missing = distinct.difference(self.words)
+            known = self.words
             if missing:
-                self._learn(missing)
-                missing = set(words).difference(self.words)  # the cache may have been emptied
-                if missing:
-                    self._learn(missing)
-            out.append(b"".join(map(self.words.__getitem__, words)))
+                known = {w: self.words[w] for w in distinct.difference(missing)}  # the cache may be emptied
+                known.update(self._learn(missing))
+            out.append(b"".join(map(known.__getitem__, words)))
         return out
 
 
