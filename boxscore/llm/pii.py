@@ -11,13 +11,16 @@ TRAIN_REGIONS distinct regions, those with the smallest hash.
 Base spans (the patterns of the contract, with their checks) always stay. The
 model works on the regions around digits and @ signs, where it may add spans
 that touch no base span: two numbers that a greedy pattern swallowed as one,
-for example.
+for example. An added span is always a value in the form of its kind's
+pattern, with its check.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from array import array
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hex_sha256, prepare, text_of, worker_cache
+from .common import hex_sha256, prepare, text_of
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("O", *KINDS)
@@ -40,7 +43,8 @@ IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")  # a match al
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 EVIDENCE = re.compile(r"[0-9@]")
-REGION = re.compile(r"\S*[0-9@]\S*(?:\s\S*[0-9@]\S*)*")
+# words with evidence, next to each other; tried at word starts only and without giving back, so in linear time
+REGION = re.compile(r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+(?:\s[^\s0-9@]*+[0-9@]\S*+)*+")
 TOKEN = re.compile(r"[^\W\d_]+|[0-9]+|.", re.S)
 
 
@@ -120,9 +124,51 @@ def segment_features(text: str, s: int, e: int) -> list[str]:
     return out
 
 
-def plausible(span: str) -> bool:
-    """Segments that could be an entity at all: bounded ends, an @ sign or several digits."""
-    return (span[0].isalnum() or span[0] == "+") and span[-1].isalnum() and ("@" in span or sum("0" <= c <= "9" for c in span) >= 4)
+MOST_DIGITS = 19
+NUMBER_MARKS = frozenset(" -.+()")
+
+
+class Tokens:
+    """Bounds of a region's tokens and which stretches of them could be an entity."""
+
+    def __init__(self, text: str):
+        self.text = text
+        self.starts, self.ends, self.digits, self.kinds = array("q"), array("q"), array("q"), bytearray()
+        self.signs = array("q")  # tokens that are @ signs
+        for m in TOKEN.finditer(text):
+            token = m.group()
+            number = "0" <= token[0] <= "9"
+            if token == "@":
+                self.signs.append(len(self.starts))
+            self.starts.append(m.start())
+            self.ends.append(m.end())
+            self.digits.append(len(token) if number else 0)
+            self.kinds.append(ord("9") if number else ord("@") if token == "@" else ord("-") if token in NUMBER_MARKS else ord("_") if token[0].isspace() else ord("a"))
+
+    def __len__(self) -> int:
+        return len(self.starts)
+
+    def candidates(self, i: int) -> Iterator[int]:
+        """Ends j of segments [i, j) that could be an address (one @ sign, no white
+        space) or a number (4 to MOST_DIGITS digits and marks), with ends that fit."""
+        text, at = self.text, self.starts[i]
+        if not (text[at].isalnum() or text[at] == "+"):
+            return
+        following = bisect_left(self.signs, i)
+        address = following < len(self.signs) and self.signs[following] < i + MAX_TOKENS
+        number, signs, digits = True, 0, 0
+        for j in range(i, min(len(self), i + MAX_TOKENS)):
+            kind = self.kinds[j]
+            signs += kind == 64
+            digits += self.digits[j]
+            number = number and kind in b"9-"
+            address = address and signs <= 1 and kind != 95 and text[self.starts[j]] != " "
+            if digits > MOST_DIGITS:
+                number = False
+            if not (number or address):
+                return
+            if text[self.ends[j] - 1].isalnum() and ((address and signs) or (number and digits >= 4)):
+                yield j + 1
 
 
 class SemiCRF:
@@ -132,17 +178,25 @@ class SemiCRF:
         self.weights = weights or {}
 
     def lattice(self, text: str):
-        """Token bounds and candidate segments (first token, one past last, features, labels allowed)."""
-        bounds = [(m.start(), m.end()) for m in TOKEN.finditer(text)]
-        arcs = []
-        for i, (s, e) in enumerate(bounds):
-            token = text[s:e]
-            arcs.append((i, i + 1, ["token " + char_class(token[0]), f"token digits {min(len(token), 20) if token.isdigit() else 0}"], (0,)))
-            for j in range(i + 1, min(len(bounds), i + MAX_TOKENS) + 1):
-                end = bounds[j - 1][1]
-                if plausible(text[s:end]):
-                    arcs.append((i, j, segment_features(text, s, end), (1, 2, 3, 4)))
-        return bounds, arcs
+        """Tokens and, in the order of their first one, candidate segments (first token, one past last, features, labels allowed)."""
+        tokens = Tokens(text)
+        return tokens, self.arcs(text, tokens)
+
+    def arcs(self, text: str, tokens: Tokens) -> Iterator[tuple]:
+        seen: dict[tuple, tuple] = {}
+        for i in range(len(tokens)):
+            s = tokens.starts[i]
+            token = text[s:min(tokens.ends[i], s + 40)]
+            yield i, i + 1, ("token " + char_class(token[0]), f"token digits {min(len(token), 20) if token.isdigit() else 0}"), (0,)
+            for j in tokens.candidates(i):
+                e = tokens.ends[j - 1]
+                around = text[max(0, s - 1):e + 1], s == 0, e == len(text)  # all that the features look at
+                features = seen.get(around)
+                if features is None:
+                    if len(seen) > 50_000:
+                        seen.clear()
+                    features = seen[around] = tuple(segment_features(text, s, e))
+                yield i, j, features, (1, 2, 3, 4)
 
     def scores(self, features: list[str]) -> np.ndarray:
         total = np.zeros(len(LABELS))
@@ -178,7 +232,8 @@ class SemiCRF:
             if any(len(digits_of(m.group())) > most for p, most in ((CARD, 19), (PHONE, 15)) for m in p.finditer(text)):
                 continue  # a pattern swallowed several numbers here: its silence is no label
             bounds, arcs = self.lattice(text)
-            starts, ends = {s: i for i, (s, _) in enumerate(bounds)}, {e: i + 1 for i, (_, e) in enumerate(bounds)}
+            arcs = list(arcs)
+            starts, ends = {s: i for i, s in enumerate(bounds.starts)}, {e: i + 1 for i, e in enumerate(bounds.ends)}
             gold, inside = set(), set()
             for kind, s, e in sorted(base_spans(text), key=lambda x: x[1] - x[2]):  # of overlapping ones the longest
                 i, j = starts.get(s), ends.get(e)
@@ -193,20 +248,30 @@ class SemiCRF:
         return self
 
     def segments(self, text: str) -> list[tuple[str, int, int]]:
-        """The best segmentation's entities; each must beat the outside labelling by MARGIN."""
-        bounds, arcs = self.lattice(text)
-        best, back = [0.0] + [-math.inf] * len(bounds), [None] * (len(bounds) + 1)
+        """The best segmentation's entities; each must beat the outside labelling by MARGIN.
+
+        Arcs come in the order of their first token and reach MAX_TOKENS far,
+        so the pass keeps one number and one pointer per token and no arcs.
+        """
+        tokens, arcs = self.lattice(text)
+        n = len(tokens)
+        best, back = array("d", [0.0]) + array("d", [-math.inf]) * n, array("q", [0]) * (n + 1)
+        known: dict[tuple, np.ndarray] = {}  # scores by features: single tokens have few, and tables repeat
         for i, j, features, allowed in arcs:
-            sc = self.scores(features)
+            sc = known.get(features)
+            if sc is None:
+                if len(known) > 50_000:
+                    known.clear()
+                sc = known[features] = self.scores(features)
             y = max(allowed, key=lambda a: sc[a])
             value = best[i] + sc[y] - (MARGIN if y else 0.0)
             if value > best[j]:
-                best[j], back[j] = value, (i, y)
-        out, j = [], len(bounds)
+                best[j], back[j] = value, i * len(LABELS) + y
+        out, j = [], n
         while j:
-            i, y = back[j]
+            i, y = divmod(back[j], len(LABELS))
             if y:
-                out.append((LABELS[y], bounds[i][0], bounds[j - 1][1]))
+                out.append((LABELS[y], tokens.starts[i], tokens.ends[j - 1]))
             j = i
         return out[::-1]
 
