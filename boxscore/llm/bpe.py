@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from array import array
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,30 @@ from .common import byte_alphabet, hex_sha256, prepare, text_of, worker_cache
 
 MAX_CACHED = 400_000
 MAX_PAIRS = 4_000_000
+LONG_PIECE = 2000  # bytes
+
+
+def settled_characters() -> str:
+    """Ranges, for a character class, of the characters assigned since Unicode
+    3.2 whose kind (letter, number, white space, other) is the same today, so
+    that no two libraries differ on them."""
+    from unicodedata import category, ucd_3_2_0
+
+    def kind(c):
+        c = c[0] if c[0] in "LNZ" else "other" if c != "Cn" else None
+        return c
+
+    ranges, start = [], None
+    for i in range(0x30000):  # beyond, nothing was assigned then
+        c = chr(i)
+        old = ucd_3_2_0.category(c)
+        same = old not in ("Cn", "Cs", "Co") and kind(old) == kind(category(c))
+        if same and start is None:
+            start = i
+        elif not same and start is not None:
+            ranges.append((start, i - 1))
+            start = None
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in ranges)
 
 
 class SpeculativeBPE:
@@ -40,6 +65,7 @@ class SpeculativeBPE:
         import re
 
         import regex
+        from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
@@ -62,6 +88,8 @@ class SpeculativeBPE:
         self.byte_ids = [self.ids[bytes([b])] for b in range(256)]
         self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.pieces = regex.compile(self.PATTERN).findall
+        self.unsettled = re.compile(f"[^{settled_characters()}]").search
+        self.library = Tokenizer.from_file(path).pre_tokenizer
         self.stretches = re.compile(r"[ \n]*[^ \n]+|[ \n]+").findall
         self.odd_space = re.compile(r"[^\S \n]").search
         self.stretch_ids: dict[str, bytes] = {}
@@ -73,27 +101,38 @@ class SpeculativeBPE:
     # -- exact merging ------------------------------------------------------
 
     def merge(self, data: bytes) -> list[int]:
-        """The merges of the file applied in order of rank, leftmost first."""
-        parts = [self.byte_ids[b] for b in data]
-        ranks = self.ranks
-        while len(parts) > 1:
-            best = None
-            for pair in zip(parts, parts[1:]):
-                found = ranks.get(pair)
-                if found is not None and (best is None or found < best):
-                    best, chosen = found, pair
-            if best is None:
-                break
-            out, i, n = [], 0, len(parts)
-            while i < n:
-                if i + 1 < n and parts[i] == chosen[0] and parts[i + 1] == chosen[1]:
-                    out.append(best[1])
-                    i += 2
-                else:
-                    out.append(parts[i])
-                    i += 1
-            parts = out
-        return parts
+        """The merges of the file applied in order of rank, leftmost first.
+
+        Tokens are a linked list, possible merges a heap, so a piece of any
+        length takes n log n steps.
+        """
+        ids = [self.byte_ids[b] for b in data]
+        n, ranks = len(ids), self.ranks
+        before, after = list(range(-1, n - 1)), list(range(1, n + 1))
+        heap = []
+        for i in range(n - 1):
+            found = ranks.get((ids[i], ids[i + 1]))
+            if found is not None:
+                heap.append((found[0], i, ids[i], ids[i + 1], found[1]))
+        heapify(heap)
+        while heap:
+            _, i, left, right, joined = heappop(heap)
+            j = after[i] if ids[i] == left else n
+            if j >= n or ids[j] != right:
+                continue  # one of the two has been merged since
+            ids[i], ids[j] = joined, -1
+            k = after[i] = after[j]
+            if k < n:
+                before[k] = i
+                found = ranks.get((joined, ids[k]))
+                if found is not None:
+                    heappush(heap, (found[0], i, joined, ids[k], found[1]))
+            h = before[i]
+            if h >= 0:
+                found = ranks.get((ids[h], joined))
+                if found is not None:
+                    heappush(heap, (found[0], h, ids[h], joined, found[1]))
+        return [t for t in ids if t >= 0]
 
     # -- speculation --------------------------------------------------------
 
@@ -137,11 +176,14 @@ class SpeculativeBPE:
     def encode_words(self, words: list[str]) -> list[bytes]:
         """Ids (uint32 bytes) of distinct pieces: propose all, verify all pairs at once, merge what failed."""
         data = [w.encode() for w in words]
-        proposals = [self.propose(d) for d in data]
+        # a proposal of hundreds of tokens fails somewhere: such pieces are merged at once
+        proposals = [self.propose(d) if len(d) <= LONG_PIECE else self.merge(d) for d in data]
         lengths = np.fromiter(map(len, proposals), np.int64, len(proposals))
         flat = np.fromiter((t for p in proposals for t in p), np.int64, int(lengths.sum()))
         owner = np.repeat(np.arange(len(proposals)), lengths)
         bad = np.zeros(len(proposals), bool)
+        settled = np.fromiter((len(d) > LONG_PIECE for d in data), bool, len(data))
+        flat, owner = flat[~settled[owner]], owner[~settled[owner]]
         bad[owner[~self.fits(-1 - flat)]] = True
         inner = owner[:-1] == owner[1:]
         pairs = (flat[:-1] * self.size + flat[1:])[inner]
@@ -153,9 +195,13 @@ class SpeculativeBPE:
 
     # -- texts ----------------------------------------------------------------
 
+    def library_pieces(self, stretch: str) -> list[str]:
+        """The library's own pieces, for characters that Unicode versions class differently."""
+        return [stretch[a:b] for _, (a, b) in self.library.pre_tokenize_str(stretch)]
+
     def _learn(self, new: list[str]) -> None:
         """Ids of stretches that were not seen before."""
-        split = [self.pieces(s) for s in new]
+        split = [self.library_pieces(s) if self.unsettled(s) else self.pieces(s) for s in new]
         words = list({w for p in split for w in p}.difference(self.word_ids))
         self.word_ids.update(zip(words, self.encode_words(words)))
         for s, p in zip(new, split):
