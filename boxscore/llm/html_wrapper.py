@@ -7,15 +7,16 @@ one host are aligned child sequence by child sequence: equal neighbours fold
 into a repeated group, a part that only one side has becomes optional, texts
 that differ become a slot, texts that agree stay constant. A page is itself a
 wrapper, so aligning is associative enough to run anywhere: every task aligns
-its own pages per host, the distinct partial wrappers meet in two salted
-steps, and a host with a third of all pages arrives as a few wrappers.
+its own pages per host, the partial wrappers meet in salted steps of
+bounded groups, and a host with a third of all pages arrives as a few wrappers.
 
 From a host's wrapper come its rules: where the main container lies (the
 deepest part that holds most of the slots' text) and which constant texts are
 boilerplate: those that SEEN pages of different main text hold, outside the
 main container or in a container of it without any slot, and only at their own
 path. Every constant carries the keys of such pages, SEEN at most. Parts whose element is ``article`` or ``main`` are the article
-where the wrapper has any; else the part with most of the slots' text is. Menus, headers, footers,
+where the wrapper has any (single ones before repeated ones, which are teasers
+of other articles); else the part with most of the slots' text is. Menus, headers, footers,
 side bars, notices, adverts, forms and comments go by element, role, class
 and id. Digits in class names count as one, so that numbered classes do not
 make a part of their own for every page.
@@ -26,18 +27,20 @@ from __future__ import annotations
 import json
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 from heapq import nlargest
 from html import unescape
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import in_batches, prepare, stored, worker_cache
 
-SALTS = 16
+SALTS = (4096, 64, 1)  # wrappers of a host meet in groups of about 64, step by step
+MAX_DEPTH = 100  # deeper elements become neighbours at this depth
 MAX_HOSTS = 2000  # a task emits its wrappers and starts anew beyond so many hosts
 MAX_CONSTANT = 200  # longer texts are never kept as constants of a wrapper
 SEEN = 3  # pages of different main text that must hold a constant; two may be copies
@@ -45,9 +48,10 @@ DOMINANT = 0.6  # share of a part's slot text that a child needs to be descended
 
 # fixed vocabularies
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe svg math textarea title head object canvas audio video select datalist".split())
+RAW = frozenset("script style noscript template iframe svg annotation annotation-xml textarea title head object canvas audio video select datalist".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span "
-                   "strike strong sub sup time tt u var wbr img".split())
+                   "strike strong sub sup time tt u var wbr img math semantics mrow mi mn mo ms mtext msup msub msubsup mfrac msqrt mroot munder mover munderover "
+                   "mfenced mspace mstyle mpadded mphantom".split())
 DROP_TAGS = frozenset("nav footer aside form button dialog menu".split())
 DROP_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar".split())
 DROP_WORDS = frozenset("ad ads adbox advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist consent cookie "
@@ -62,7 +66,9 @@ FLOW = HEADINGS | {"p", "blockquote", "pre"}
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 SCOPE = frozenset("ul ol dl table select article main section div body html nav aside footer header form".split())
 
-TOKEN = re.compile(r"<!--.*?(?:-->|$)|<![^>]*>?|<\?[^>]*>?|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|([^<]+|<)", re.S)
+# quotes delimit only values: after an equals sign; nothing is given back, so a tag costs its length
+TOKEN = re.compile(r"<!--.*?(?:-->|$)|<![^>]*>?|<\?[^>]*>?|"
+                   r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"'=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')|[\"'=])*+)>|([^<]+|<)", re.S)
 ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style|itemprop)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 WORD = re.compile(r"[a-z]+")
 
@@ -85,7 +91,13 @@ def describe(tag: str, attributes: str) -> tuple[str, bool]:
     if not attributes:
         return tag, False
     found = {m[1].lower(): (m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(attributes)}
-    names = " ".join(found.get(k, "") for k in ("class", "id")).lower().split()
+    names = found.get("class", "").lower().split()
+    own = found.get("id", "").lower().split()
+    if tag in FLOW:
+        own = []  # anchors of headings and paragraphs name their own text
+    elif tag == "section":
+        own = [i for i in own if WORD.fullmatch(i)]  # "comments", but not the anchor "search-results"
+    names += own
     classes = sorted({re.sub("[0-9]+", "0", c) for c in found.get("class", "").lower().split()})
     sig = f"{tag}.{'.'.join(classes)}" if classes else tag
     drop = names_furniture(names) or found.get("role", "").lower() in DROP_ROLES
@@ -94,19 +106,37 @@ def describe(tag: str, attributes: str) -> tuple[str, bool]:
 
 
 def parse(html: str) -> Element:
-    """A lenient tree of structural elements; text leaves are strings, inline tags vanish."""
+    """A lenient tree of structural elements; text leaves are strings, inline tags vanish.
+
+    Below MAX_DEPTH every text becomes an element of its own beside its
+    ancestors at that depth, in page order, and boilerplate stays boilerplate.
+    """
     root = Element("#root")
-    stack, text = [root], []
+    stack, text, opened = [root], [], Counter()
 
     def flush():
-        if text:
-            block = " ".join("".join(text).split())
-            if block:
-                stack[-1].kids.append(block)
-            text.clear()
-
-    at, n, lower = 0, len(html), None
+        if not text:
+            return
+        block = " ".join("".join(text).split())
+        text.clear()
+        if not block:
+            return
+        if len(stack) <= MAX_DEPTH:
+            stack[-1].kids.append(block)
+            return
+        leaf = Element(stack[-1].tag, stack[-1].sig, stack[-1].drop)
+        leaf.kids.append(block)
+        stack[MAX_DEPTH - 1].kids.append(leaf)
+
+    def close_to(i):
+        opened.subtract(e.tag for e in stack[i:])
+        del stack[i:]
+
+    at, n, lower, last_end = 0, len(html), None, html.rfind(">")
     while at < n:
+        if at > last_end and html[at] == "<":  # no tag can end any more
+            text.append(unescape(html[at:]))
+            break
         m = TOKEN.match(html, at)
         at = m.end()
         close, tag, attributes, plain = m[1], m[2], m[3], m[4]
@@ -122,8 +152,10 @@ def parse(html: str) -> Element:
                 if len(lower) != n:  # a character changed length
                     lower = re.sub("[A-Z]+", lambda x: x[0].lower(), html)
                 end = lower.find("</" + tag, at)
-                end = n if end < 0 else end
-                at = n if end == n else (html.find(">", end) + 1 or n)
+                if end >= 0:
+                    at = html.find(">", end) + 1 or n
+                elif tag not in ("head", "object", "canvas"):  # these hold elements, which go on being read
+                    at = n
             continue
         if tag in INLINE:
             if tag in ("br", "img", "wbr"):
@@ -133,25 +165,27 @@ def parse(html: str) -> Element:
         if tag in VOID:
             continue
         if close:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    del stack[i:]
-                    break
+            if opened[tag] > 0:
+                close_to(next(i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag))
             continue
         if stack[-1].tag == "p" or (stack[-1].tag in HEADINGS and tag in HEADINGS):
-            stack.pop()
+            close_to(len(stack) - 1)
         if tag in CLOSES:
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag in CLOSES[tag]:
-                    del stack[i:]
+                    close_to(i)
                     break
                 if stack[i].tag in SCOPE:
                     break
         sig, drop = describe(tag, attributes)
         element = Element(tag, sig, drop or tag in DROP_TAGS)
-        stack[-1].kids.append(element)
+        if len(stack) < MAX_DEPTH:
+            stack[-1].kids.append(element)
+        else:
+            element.drop = element.drop or (len(stack) > MAX_DEPTH and stack[-1].drop) or tag == "header"
         if not attributes.endswith("/"):
             stack.append(element)
+            opened[tag] += 1
     flush()
     return root
 
@@ -220,16 +254,29 @@ def is_furniture(sig: str) -> bool:
     return tag not in WHOLE and (tag in DROP_TAGS or tag == "header" or names_furniture(classes.split(".")))
 
 
-def main_paths(w: list, tag: str, path: tuple = ()) -> Iterator[tuple]:
-    """Paths of the topmost parts of a tag outside furniture."""
+def main_parts(w: list, tag: str, path: tuple = ()) -> Iterator[tuple[tuple, list]]:
+    """Paths and parts of the topmost parts of a tag outside furniture."""
     for k in w[3]:
         if k[0] != "#":
             own = k[0].partition(".")[0]
             if own == tag:
                 if slot_chars(k) and not is_furniture(k[0]):
-                    yield (*path, k[0])
-            elif not is_furniture(k[0]) or any(True for t in MAIN_TAGS for _ in main_paths(k, t)):
-                yield from main_paths(k, tag, (*path, k[0]))
+                    yield (*path, k[0]), k
+            elif not is_furniture(k[0]) or any(True for t in MAIN_TAGS for _ in main_parts(k, t)):
+                yield from main_parts(k, tag, (*path, k[0]))
+
+
+def article_paths(w: list, tag: str) -> list[tuple]:
+    """Paths of the article's parts: of several, one whose part repeats on pages (teasers of
+    other articles) stays only if it has the most text of the host or if none is single."""
+    parts: dict[tuple, list] = {}
+    for path, part in main_parts(w, tag):
+        held = parts.setdefault(path, [0, 0])
+        held[0] += slot_chars(part)
+        held[1] |= part[2]
+    most = max((chars for chars, _ in parts.values()), default=0)
+    single = any(not repeated for _, repeated in parts.values())
+    return sorted(p for p, (chars, repeated) in parts.items() if not single or not repeated or chars == most)
 
 
 def dominant_path(w: list, seen: int = SEEN) -> tuple:
@@ -247,7 +294,7 @@ def dominant_path(w: list, seen: int = SEEN) -> tuple:
 
 def rules_of(w: list, pages: int) -> dict:
     """Paths of the article parts by tag, the dominant path and the boilerplate of a host: constant text -> paths of its parents."""
-    paths = {tag: sorted(set(main_paths(w, tag))) for tag in MAIN_TAGS}
+    paths = {tag: article_paths(w, tag) for tag in MAIN_TAGS}
     dominant = dominant_path(w, SEEN if pages >= SEEN else 1)  # of fewer pages nothing is known to be different
     constants: dict[str, list[str]] = {}
 
@@ -294,25 +341,26 @@ def blocks(e: Element, inside: bool, constants: dict, path: tuple = ()) -> Itera
             yield from blocks(k, inside, constants, (*path, k.sig))
 
 
+NO_RULES = {"paths": {tag: [] for tag in MAIN_TAGS}, "dominant": (), "constants": {}}
+
+
 def extract(html: str, rules: dict) -> str:
     """Text of a page by its host's rules, blocks joined by an empty line."""
     root = parse(html)
     for tag in MAIN_TAGS:
         found = [f for path in rules["paths"][tag] for f in at_path(root, path)]
         if found:
-            texts = [list(blocks(f, True, {})) for f in found]
-            # teasers of other articles are short beside the page's own
-            longest = max(sum(map(len, t)) for t in texts)
-            return "\n\n".join(b for t in texts if 4 * sum(map(len, t)) >= longest for b in t)
+            return "\n\n".join(b for f in found for b in blocks(f, True, {}))
     path = tuple(rules["dominant"])
     while not (nodes := at_path(root, path)):  # the deepest part of the path that the page has; the empty path is the page
         path = path[:-1]
     return "\n\n".join(b for n in nodes for b in blocks(n, False, rules["constants"], path))
 
 
-def host_of(url: str | None) -> str:
-    m = re.match(r"\s*(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", url or "")
-    return m[1].lower() if m else ""
+def host(url: Column) -> Column:
+    """Lower-cased host of a url, "" if it has none: the only place that reads hosts."""
+    return F.lower(F.regexp_extract(F.coalesce(url.cast("string"), F.lit("")),
+                                    r"^[\s\x{85}\x{a0}\x{1c}-\x{1f}]*(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
 # -- DataFrames --------------------------------------------------------------
@@ -322,17 +370,17 @@ PARTIAL_ARROW = pa.schema([("host", pa.string()), ("wrapper", pa.string()), ("pa
 
 
 def page_wrappers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(url, html) rows -> one wrapper per host of the task."""
+    """(host, html) rows -> one wrapper per host of the task."""
     def rows():
         found: dict[str, list] = {}
         for batch in batches:
-            for url, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                host, own = host_of(url), as_wrapper(parse(html or ""))
-                if host in found:
-                    w, n = found[host]
-                    found[host] = [aligned(w, own), n + 1]
+            for name, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                own = as_wrapper(parse(html or ""))
+                if name in found:
+                    w, n = found[name]
+                    found[name] = [aligned(w, own), n + 1]
                 else:
-                    found[host] = [own, 1]
+                    found[name] = [own, 1]
                 if len(found) > MAX_HOSTS:
                     yield from ((h, json.dumps(w), n) for h, (w, n) in found.items())
                     found.clear()
@@ -359,10 +407,11 @@ def merge_group(group: pa.Table) -> pa.Table:
 def wrappers(pages: DataFrame) -> DataFrame:
     """host, wrapper (JSON) and pages: the wrapper inferred for each host of (url, html) rows."""
     prepare(pages.sparkSession)
-    partial = pages.select(F.col("url").cast("string"), F.col("html").cast("string")).mapInArrow(page_wrappers, PARTIAL)
-    partial = partial.withColumn("salt", F.abs(F.xxhash64("wrapper") % SALTS))
-    first = partial.groupBy("host", "salt").applyInArrow(merge_group, PARTIAL)
-    return first.groupBy("host").applyInArrow(merge_group, PARTIAL)
+    partial = pages.select(host(F.col("url")).alias("host"), F.col("html").cast("string")).mapInArrow(page_wrappers, PARTIAL)
+    for salts in SALTS:
+        partial = (partial.withColumn("salt", F.pmod(F.xxhash64("wrapper"), F.lit(salts)))
+                   .groupBy("host", "salt").applyInArrow(merge_group, PARTIAL))
+    return partial
 
 
 def host_rules(inferred: DataFrame) -> DataFrame:
@@ -396,10 +445,9 @@ def main_text(pages: DataFrame) -> DataFrame:
                     if len(known) > 1000:
                         known.clear()
                     known[own] = json.loads(own)
-                texts.append(extract(html or "", known[own]) if own is not None else "")
+                texts.append(extract(html or "", NO_RULES if own is None else known[own]))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], schema=schema)
 
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-    key = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^\s*(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
-    joined = rows.withColumn("_host", key).join(rules, F.col("_host") == F.col("rules_host"), "left")
+    joined = rows.withColumn("_host", host(F.col("url"))).join(rules, F.col("_host") == F.col("rules_host"), "left")
     return joined.select("page_id", "url", "html", "rules").mapInArrow(task, "page_id long, url string, text string, n_chars long")

@@ -376,3 +376,85 @@ def test_toxicity_without_labels(docs, rows, spark):
     labels = spark.createDataFrame([], "doc_id long, toxic int")
     assert {r["score"] for r in toxicity.toxicity(docs, labels).collect()} == {0.0}
     assert toxicity.drop_toxic(docs, labels).count() == len(rows)
+
+
+def test_near_dedup_decides_by_row(spark):
+    a, b, c = (passage(s, 40) for s in (21, 22, 23))
+    schema = "doc_id long, text string, copy string"
+
+    def kept(rows):
+        return sorted((r["doc_id"], r["text"]) for r in simhash_pivots.dedup(spark.createDataFrame([(*r, "x") for r in rows], schema)).collect())
+
+    assert kept([(3, a), (5, a), (5, b), (7, b)]) == sorted([(3, a), (5, b)])
+    assert kept([(3, a), (5, a), (5, c)]) == sorted([(3, a), (5, c)])
+    assert kept([(3, a), (3, b), (3, a), (4, b)]) == sorted([(3, a), (3, b)])
+
+
+def test_packing_encoder_with_a_small_cache(monkeypatch):
+    import public_tokenizers
+    from array import array
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(packing, "MAX_CACHED", 5)
+    path = public_tokenizers.path("word_bpe_49k.json")
+    own, library = packing.WordEncoder(path), Tokenizer.from_file(path)
+    for text in ("one two three four five six seven eight", "one ten eleven twelve thirteen fourteen one", "one", "É one日"):
+        assert array("I", own.encode([text])[0]).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_pii_linear_on_long_regions():
+    import time
+
+    model = pii.SemiCRF().fit(["call +1 (523) 555-1219 now", "4795326016703902 and a.b@c.com", "1.2.3.4 x"] * 5)
+    texts = ["1 " + "字" * 1_000_000, "1234 5678 " * 10_000, "1" * 1_000_000, "a1" * 100_000, "a@" * 50_000 + "1", "a.b" * 100_000 + "1 2345"]
+    for text in texts:
+        t0 = time.monotonic()
+        pii.all_spans(text, pii.base_spans(text), model)
+        assert time.monotonic() - t0 < 5, text[:10]
+
+
+def test_pii_regions_as_stated():
+    import random
+
+    plain = re.compile(r"\S*[0-9@]\S*(?:\s\S*[0-9@]\S*)*")
+    rng = random.Random(2)
+    for _ in range(2000):
+        text = "".join(rng.choice("ab1@ \n\t語") for _ in range(rng.randrange(30)))
+        assert [m.span() for m in pii.REGION.finditer(text)] == [m.span() for m in plain.finditer(text)]
+
+
+def test_bpe_classes_of_all_unicode_versions():
+    from tokenizers import Tokenizer
+
+    own, library = bpe.SpeculativeBPE(bpe.default_path()), Tokenizer.from_file(bpe.default_path())
+    named = "࢏౜೜꟒\U00010ee5\U00011dca\U00016eab\U00016ff3\U00018d19\U00018d94՘͸\U000323b0"
+    chars = named + "".join(chr(i) for i in range(0, 0x110000, 97) if not 0xD800 <= i < 0xE000)
+    texts = ["".join(f"a{c}b 1{c}2 {c} {c}{c}." for c in chars[i:i + 16]) for i in range(0, len(chars), 16)]
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert [ids.tolist() for ids in own.encode(texts)] == want
+
+
+def test_bpe_long_pieces():
+    import random
+    import time
+    from tokenizers import Tokenizer
+
+    rng, library = random.Random(1), Tokenizer.from_file(bpe.default_path())
+    own = bpe.SpeculativeBPE(bpe.default_path())
+    for n in (bpe.LONG_PIECE - 1, bpe.LONG_PIECE + 1, 30_000):
+        text = "".join(rng.choice("etaoinshrdlu") for _ in range(n))
+        assert own.encode([text])[0].tolist() == library.encode(text, add_special_tokens=False).ids
+    t0 = time.monotonic()
+    own.encode(["".join(rng.choice("etaoinshrdlu") for _ in range(300_000))])
+    assert time.monotonic() - t0 < 10
+
+
+def test_language_model_chunks_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(language_model, "CHUNK_BYTES", 20_000)
+    df = spark.createDataFrame([(i, "w " * (5000 if i % 10 == 0 else 50)) for i in range(100)], "doc_id long, text string").repartition(2)
+    sizes = collections.Counter()
+    for r in language_model.chunked(df).collect():
+        sizes[r["chunk"]] += len(r["text"])
+    assert max(v for c, v in sizes.items() if c >= 0) <= language_model.LONG * 20_000 and sum(c < 0 for c in sizes) == 10
+    got = language_model.score_texts(df).collect()
+    assert len(got) == 100 and all(r["n_tokens"] == (5001 if r["doc_id"] % 10 == 0 else 51) for r in got)

@@ -96,3 +96,54 @@ def test_main_text_rows(spark):
 @pytest.mark.parametrize("html", ["<", "<p", "<!--", "<script>", "</p>", "<a href='>'>x", "&#x110000;", "<p>a</div>b</p>", "<li><li><li>", "<table><td>1<td>2<tr><td>3"])
 def test_parse_takes_anything(html):
     H.extract(html, rules([html]))
+
+
+def test_article_keeps_all_its_parts():
+    html = "<article><p>{long}</p></article><article><p>short {i}</p></article>"
+    pages = [html.format(i=i, long=f"words of page {i} " * 50) for i in range(4)]
+    got = H.extract(pages[2], rules(pages))
+    assert got.startswith("words of page 2") and got.endswith("short 2")
+
+
+def test_repeated_teasers_of_other_articles_go():
+    html = "<body><article class=post><h1>T {i}</h1><p>{long}</p></article><div><article class=teaser><p>other {i}</p></article><article class=teaser><p>more {i}</p></article></div>"
+    pages = [html.format(i=i, long=f"words of page {i} " * 50) for i in range(4)]
+    assert "other" not in H.extract(pages[1], rules(pages)) and H.extract(pages[1], rules(pages)).startswith("T 1")
+
+
+def test_ids_of_headings_and_anchored_sections_are_no_furniture():
+    html = ('<article><h2 id="related-work">Related {i}</h2><section id="search-results"><p>Found {i}</p></section>'
+            '<section id="comments"><p>reader {i}</p></section><div id="sidebar">side {i}</div></article>')
+    pages = [html.format(i=i) for i in range(3)]
+    assert H.extract(pages[1], rules(pages)) == "Related 1\n\nFound 1"
+
+
+@pytest.mark.parametrize("html, text", [
+    ("<html><head><title>t</title><meta x><body><p>All of the page</p>", "All of the page"),
+    ("<html><head><title>t</title><p>All of the page</p>", "All of the page"),
+    ("<p title=it's>said</p><p class=\"a>b\">more</p><p a='x>y' b=\">\">last</p>", "said\n\nmore\n\nlast"),
+    ("<p>x <math><mi>a</mi><mo>+</mo><mn>1</mn></math> y</p>", "x a+1 y")])
+def test_lenient_markup(html, text):
+    assert H.extract(html, H.NO_RULES) == text
+
+
+@pytest.mark.parametrize("n", [500, 10_000])
+def test_deep_pages(n):
+    html = "<div>" * n + "deep text<nav>menu<p>in it</p></nav>" + "".join(f"</div>after {i % 3}" for i in range(n)) + "</span></b></article>" * 1000
+    got = H.extract(html, H.NO_RULES).split("\n\n")
+    assert got[0] == "deep text" and len(got) == n + 1 and "menu" not in got
+    assert H.extract(html, rules([html] * 3)).startswith("deep text\n\nafter 0")
+
+
+@pytest.mark.parametrize("html", ["<a " * 200_000, "<p =\"" * 200_000, "<a b=\"c\" " * 100_000, "<div>" * 100_000 + "</p>" * 100_000, "<li>" * 100_000])
+def test_long_broken_pages_end(html):
+    import time
+    t0 = time.monotonic()
+    H.extract(html, H.NO_RULES)
+    assert time.monotonic() - t0 < 10
+
+
+def test_hosts_that_begin_with_odd_space(spark):
+    rows = [(i, f"{s}https://odd.example/{i}", f"<article><p>text {i}</p></article>") for i, s in enumerate("\xa0\x85\x1c  \t")]
+    got = {r["page_id"]: r["text"] for r in H.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: f"text {i}" for i in range(6)}
