@@ -2,7 +2,7 @@
 
 Two tokenizers encode the same text. Their spans are the coarse cuts: the
 tokenizers library gives character offsets, sentencepiece gives the spans of
-its proto. Where tokens split a character (byte-level tokens inside a
+its (immutable) proto. Where tokens split a character (byte-level tokens inside a
 multibyte character, byte-fallback tokens) the spans only name the whole
 character, and the cuts inside are refined with the bytes the tokens decode
 to; every coarse cut must meet a refined one. Byte offsets at which tokens of
@@ -26,6 +26,7 @@ their own; other columns are not read. An empty table gives an empty result.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,38 +37,22 @@ from pyspark.sql import functions as F
 from .common import byte_alphabet, hex_sha256, in_batches, prepare, stored, text_of, worker_cache
 
 CHUNK_BYTES = 32 << 20      # text of a chunk
-CHUNK_STRETCHES = 300_000   # distinct stretches of a chunk
-CACHED_STRETCHES = 300_000
-CACHED_LENGTH = 64          # longer stretches are aligned anew each time
+CHUNK_STRETCHES = 400_000   # distinct stretches of a chunk
+CACHED_UNITS = 250_000
+CACHED_LENGTH = 64          # longer units are aligned anew each time
+UNIT_BATCH = 5000
 BATCH_DOCS_BYTES = 4 << 20
 
 
-class Misaligned(ValueError):
-    """Bytes of the tokens are not the bytes of the text."""
-
-
-def refined(coarse: list[int], pieces: list[bytes], whole: bytes) -> list[int]:
-    """Byte offset at which each token ends.
+class Aligner:
+    """Alignments of units under a byte-level BPE file and a sentencepiece model.
 
-    ``coarse`` are the ends the library reports, in bytes, right only where a
-    token ends with a character. Tokens inside a character get their ends from
-    their own bytes; the cut after the character must be the reported one.
+    A stretch is cut further, between a Latin letter and an ASCII mark or line
+    break, where neither vocabulary joins two pieces; those units repeat much
+    more often and are aligned many at a time.
     """
-    if b"".join(pieces) != whole:
-        raise Misaligned
-    ends, at = [], 0
-    for data in pieces:
-        at += len(data)
-        ends.append(at)
-    for end, said in zip(ends, coarse):
-        inside = end < len(whole) and whole[end] & 0xC0 == 0x80
-        if not inside and end != said:
-            raise AssertionError(f"span ends at {said}, bytes at {end}")
-    return ends
 
-
-class Aligner:
-    """Alignments of stretches under a byte-level BPE file and a sentencepiece model."""
+    FRONT = "\n"  # in front of a unit, so that sentencepiece adds its blank there: two tokens that belong to no unit
 
     def __init__(self, first: str, second: str):
         import os
@@ -82,68 +67,97 @@ class Aligner:
         self.a.no_truncation()
         self.a.encode_special_tokens = True
         letters = byte_alphabet()
-        self.a_bytes = {i: bytes(letters[c] for c in token) for token, i in self.a.get_vocab(with_added_tokens=False).items()}
+        self.a_bytes = [b""] * (1 + max(self.a.get_vocab().values()))
+        for token, i in self.a.get_vocab(with_added_tokens=False).items():
+            self.a_bytes[i] = bytes(letters[c] for c in token)
         self.b = sentencepiece.SentencePieceProcessor(model_file=second)
-        self.b_bytes = []
+        self.b_bytes, mixed = [], False
         for i in range(self.b.get_piece_size()):
             piece = self.b.id_to_piece(i)
+            plain = piece.lstrip("▁")
             self.b_bytes.append(bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode())
+            mixed |= not (self.b.is_byte(i) or self.b.is_control(i) or self.b.is_unknown(i)) and any(map(str.isalpha, plain)) and not plain.isalpha()
+        self.lengths = [np.array(list(map(len, x)), np.int64) for x in (self.a_bytes, self.b_bytes)]
+        self.front = len(self.b.encode(self.FRONT))
         # a blank between two characters that no definition counts as white space
         self.split = re.compile(r"(?<=\S) (?=\S)").split
-        self.known: dict[str, tuple] = {}
+        letter, mark = "[A-Za-zÀ-ÖØ-öø-ſ]", r"[!-&(-/:-@\[-`{-~]"  # no apostrophe: it begins contractions
+        self.cut = None if mixed else re.compile(rf"(?<={letter})(?={mark}|\n)|(?<={mark})(?={letter})|(?<=\S\n)(?={letter})").split
+        self.units: dict[str, tuple] = {}
+        self.older: dict[str, tuple] = {}
 
-    def align(self, stretches: list[str]) -> list[tuple]:
+    def stretches(self, new: list[str]) -> list[tuple]:
         """(tokens of A, tokens of B, groups, groups as text, link codes) of each stretch, None if bytes differ."""
-        firsts = self.a.encode_batch([" " + s for s in stretches], add_special_tokens=False)
-        seconds = self.b.encode(stretches, return_type="proto", num_threads=1) if stretches else []
-        return [self._pair(s, x, y) for s, x, y in zip(stretches, firsts, seconds)]
-
-    def _pair(self, stretch: str, first, second):
-        whole = (" " + stretch).encode()
-        a_ids, a_ends = first.ids, [end for _, end in first.offsets]
-        b_ids, b_ends = [], []
-        for p in second.pieces:
-            b_ids.append(p.id)
-            b_ends.append(p.end + 1)  # the blank in front is sentencepiece's own
-        plain = len(whole) == len(stretch) + 1
-        try:
-            if plain:
-                a_cuts = a_ends
-                if b"".join(map(self.a_bytes.__getitem__, a_ids)) != whole:
-                    raise Misaligned
-            else:
-                at_char = np.concatenate([[0, 1], 1 + np.cumsum([len(c.encode()) for c in stretch])]).tolist()
-                a_cuts = refined([at_char[e] for e in a_ends], [self.a_bytes[i] for i in a_ids], whole)
-            b_cuts = refined(b_ends, [self.b_bytes[i] for i in b_ids], whole)
-        except Misaligned:
-            return None
-        shown, codes = [], []
-        i = j = i0 = j0 = 0
-        while i < len(a_cuts) and j < len(b_cuts):
-            if a_cuts[i] < b_cuts[j]:
-                i += 1
-            elif a_cuts[i] > b_cuts[j]:
-                j += 1
+        cut = [self.cut(" " + s) if self.cut else [" " + s] for s in new]
+        if len(self.units) > CACHED_UNITS:  # units that go on being used move over
+            self.older, self.units = self.units, {}
+        known = {}
+        for u in {u for c in cut for u in c}:
+            entry = self.units.get(u, 0)
+            known[u] = self.older.get(u, 0) if entry == 0 else entry
+        wanted = [u for u, entry in known.items() if entry == 0]
+        for at in range(0, len(wanted), UNIT_BATCH):
+            part = wanted[at:at + UNIT_BATCH]
+            known.update(zip(part, self.align(part)))
+        self.units.update((u, e) for u, e in known.items() if len(u) <= CACHED_LENGTH)
+        out = []
+        for units in cut:
+            entries = [known[u] for u in units]
+            if len(entries) == 1:
+                out.append(entries[0])
+            elif None in entries:
+                out.append(None)
             else:
-                shown.append(",".join(map(str, a_ids[i0:i + 1])) + "|" + ",".join(map(str, b_ids[j0:j + 1])))
-                codes.append(a_ids[i] << 32 | b_ids[j])
-                i, j = i + 1, j + 1
-                i0, j0 = i, j
-        return len(a_ids), len(b_ids), len(shown), ";".join(shown), codes
-
-    def learn(self, texts: list[list[str]]) -> None:
-        """Align every stretch that is not known yet."""
-        new = {s for t in texts for s in t}.difference(self.known)
-        if new:
-            new = list(new)
-            self.known.update(zip(new, self.align(new)))
-
-    def forget(self) -> None:
-        if len(self.known) > CACHED_STRETCHES:
-            self.known.clear()
-        else:
-            for s in [s for s in self.known if len(s) > CACHED_LENGTH]:
-                del self.known[s]
+                codes = array("q")
+                for e in entries:
+                    codes.extend(e[4])
+                out.append((*(sum([e[k] for e in entries]) for k in range(3)), ";".join([e[3] for e in entries]), codes))
+        return out
+
+    def align(self, units: list[str]) -> list[tuple]:
+        """Alignment of every unit by itself, None where the bytes of tokens are not those of the unit."""
+        firsts = self.a.encode_batch(units, add_special_tokens=False)
+        seconds = [[(p.id, p.end) for p in x.pieces][self.front:] for x in self.b.encode([self.FRONT + u for u in units], return_type="proto", num_threads=1)]
+        right = [b"".join(map(self.a_bytes.__getitem__, x.ids)) == (whole := u.encode()) and b"".join([self.b_bytes[i] for i, _ in y]) == whole
+                 for u, x, y in zip(units, firsts, seconds)]
+        good = [(u, x, y) for ok, u, x, y in zip(right, units, firsts, seconds) if ok]
+        found = iter(self._aligned(*map(list, zip(*good))) if good else ())
+        return [next(found) if ok else None for ok in right]
+
+    def _aligned(self, units: list[str], firsts: list, seconds: list) -> list[tuple]:
+        """All units as one row of bytes: the ends of tokens are cut out of it together."""
+        sizes = np.fromiter((len(u.encode()) for u in units), np.int64, len(units))
+        unit_ends = np.cumsum(sizes)
+        data = np.frombuffer("".join(units).encode(), np.uint8)
+        counts = [np.fromiter(map(len, x), np.int64, len(units)) for x in ([f.ids for f in firsts], seconds)]
+        ids = [np.fromiter((i for f in firsts for i in f.ids), np.int64, int(counts[0].sum())),
+               np.fromiter((i for y in seconds for i, _ in y), np.int64, int(counts[1].sum()))]
+        # coarse cuts: ends of characters from the first library, bytes from the second
+        char_ends = np.flatnonzero(np.append(data & 0xC0, 0) != 0x80)[1:]
+        chars_before = np.cumsum([0] + [len(u) for u in units[:-1]])
+        coarse = [char_ends[np.fromiter((e for f in firsts for _, e in f.offsets), np.int64, len(ids[0])) + np.repeat(chars_before, counts[0]) - 1],
+                  np.fromiter((e for y in seconds for _, e in y), np.int64, len(ids[1])) - len(self.FRONT) + np.repeat(unit_ends - sizes, counts[1])]
+        cuts = []
+        for k in (0, 1):
+            refined = np.cumsum(self.lengths[k][ids[k]])  # bytes of the tokens, also inside characters
+            whole = np.append(data, 0)[refined] & 0xC0 != 0x80
+            if (refined != coarse[k])[whole].any():
+                raise AssertionError("spans and bytes of tokens disagree")
+            cuts.append(refined)
+        ends = np.intersect1d(*cuts, assume_unique=True)
+        i, j = (np.searchsorted(c, ends) for c in cuts)
+        codes = (ids[0][i] << 32 | ids[1][j]).tolist()
+        a_shown, b_shown = (list(map(str, x.tolist())) for x in ids)
+        shown, i0, j0 = [], 0, 0
+        for i1, j1 in zip((i + 1).tolist(), (j + 1).tolist()):
+            shown.append(",".join(a_shown[i0:i1]) + "|" + ",".join(b_shown[j0:j1]))
+            i0, j0 = i1, j1
+        groups = np.searchsorted(ends, unit_ends, "right").tolist()
+        out, at = [], 0
+        for n_a, n_b, to in zip(*(c.tolist() for c in counts), groups):
+            out.append((n_a, n_b, to - at, ";".join(shown[at:to]), array("q", codes[at:to])))
+            at = to
+        return out
 
 
 FIRST = pa.schema([("chunk", pa.int64()), ("doc_id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()), ("n_groups", pa.int64()),
@@ -163,22 +177,18 @@ class Chunk:
         self.entries: list[tuple] = []
         self.uses: list[int] = []
 
-    def add(self, stretches: list[str], known: dict) -> list[int]:
-        out = []
-        for s in stretches:
-            at = self.index.get(s)
-            if at is None:
-                at = self.index[s] = len(self.entries)
-                self.entries.append(known[s])
-                self.uses.append(0)
-            self.uses[at] += 1
-            out.append(at)
-        return out
+    def learn(self, texts: list[list[str]], aligner: Aligner) -> None:
+        """Number and align every stretch that is new to the chunk."""
+        new = list({s for t in texts for s in t}.difference(self.index))
+        self.index.update(zip(new, range(len(self.entries), len(self.entries) + len(new))))
+        self.entries += aligner.stretches(new)
+        self.uses += [0] * len(new)
 
     def dictionary(self) -> tuple:
         """The row that holds the chunk's distinct pairs, their counts and each stretch's pairs."""
-        lengths = np.fromiter((len(e[4]) for e in self.entries), np.int64, len(self.entries))
-        flat = np.fromiter((c for e in self.entries for c in e[4]), np.int64, int(lengths.sum()))
+        lists = [e[4] if e else array("q") for e in self.entries]
+        lengths = np.fromiter(map(len, lists), np.int64, len(lists))
+        flat = np.frombuffer(b"".join(lists), np.int64)
         codes, members = np.unique(flat, return_inverse=True)
         counts = np.bincount(members, np.repeat(np.asarray(self.uses, np.float64), lengths), len(codes)).astype(np.int64)
         starts = np.concatenate([[0], np.cumsum(lengths)])
@@ -214,17 +224,18 @@ def first_pass(batches: Iterator[pa.RecordBatch], first: str, second: str) -> It
         for batch in batches:
             for ids, texts, held in some(batch):
                 split = [aligner.split(t) if t else [] for t in texts]
-                aligner.learn(split)
-                known = aligner.known
+                chunk.learn(split, aligner)
+                index, entries, uses = chunk.index, chunk.entries, chunk.uses
                 for doc, stretches in zip(ids, split):
-                    entries = [known[s] for s in stretches]
-                    if not entries or None in entries:
+                    at = [index[s] for s in stretches]
+                    own = [entries[k] for k in at]
+                    if not own or None in own:
                         yield (chunk.number, doc, 0, 0, 0, "", [], None, None, None, None)
                         continue
-                    digest = hex_sha256(";".join([e[3] for e in entries]).encode())
-                    counts = [sum([e[k] for e in entries]) for k in range(3)]
-                    yield (chunk.number, doc, *counts, digest, chunk.add(stretches, known), None, None, None, None)
-                aligner.forget()
+                    for k in at:
+                        uses[k] += 1
+                    digest = hex_sha256(";".join([e[3] for e in own]).encode())
+                    yield (chunk.number, doc, *(sum([e[k] for e in own]) for k in range(3)), digest, at, None, None, None, None)
                 chunk.bytes += held
                 if chunk.bytes >= CHUNK_BYTES or len(chunk.entries) >= CHUNK_STRETCHES:
                     yield chunk.dictionary()
