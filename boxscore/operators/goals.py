@@ -68,6 +68,40 @@ def load_goals(settings: DataFrame, domain_map: DataFrame, service: str, svc_cde
     return out
 
 
+def goals_by_domain(goals: DataFrame, keys: dict[str, str], name: str) -> DataFrame:
+    """One row per key with its goals as a map (domain -> goal), to be joined to
+    a frame of surveys or departments: the answers then look their goal up in
+    the row they have, and are never joined on a goal key. ``keys`` maps the
+    goal table's columns to the frame's. A key has one goal per domain."""
+    g = goals.where(F.col("domain").isNotNull()).select(*[F.col(k).alias(v) for k, v in keys.items()], "domain", F.col("goal").cast(GOAL_TYPE).alias("goal"))
+    one = g.groupBy(*keys.values(), "domain").agg(F.max("goal").alias("goal"))
+    return one.groupBy(*keys.values()).agg(F.map_from_entries(F.collect_list(F.struct("domain", "goal"))).alias(name))
+
+
+def goal_in(name: str, domain: str = "domain_goals") -> Column:
+    """The goal of a row's domain in a map of goals; NULL without map, domain or entry."""
+    return F.try_element_at(F.col(name), F.col(domain))
+
+
+def with_goal_maps(departments: DataFrame, goals: DataFrame, service_line: str) -> DataFrame:
+    """G1 for rows of (rec_fy, goal_epic_department_id): the goals listed for the
+    department and those of the line's 'All Units', as maps."""
+    own = goals_by_domain(goals.where(F.col("epic_department_id") != ALL_UNITS),
+                          {"goal_fiscal_yr": "rec_fy", "epic_department_id": "goal_epic_department_id"}, "department_goals")
+    line = goals_by_domain(goals.where((F.col("epic_department_id") == ALL_UNITS) & (F.col("service_line") == service_line)),
+                           {"goal_fiscal_yr": "rec_fy"}, "line_goals")
+    return departments.join(own, ["rec_fy", "goal_epic_department_id"], "left").join(line, "rec_fy", "left")
+
+
+def mapped_goals() -> list[Column]:
+    """``goal`` (the department's where it lists the domain, else its line's; none
+    without a department) and ``goal_all_units`` from the maps."""
+    listed = F.map_contains_key("department_goals", F.col("domain_goals"))
+    own = F.when(F.col("goal_epic_department_id").isNotNull() & F.col("domain_goals").isNotNull(),
+                 F.when(F.col("department_goals").isNotNull() & listed, goal_in("department_goals")).otherwise(goal_in("line_goals")))
+    return [own.cast(GOAL_TYPE).alias("goal"), zero_to_null(goal_in("line_goals")).cast(GOAL_TYPE).alias("goal_all_units")]
+
+
 def goal_keys(scored: DataFrame, extra: list[str] | None = None) -> DataFrame:
     """The distinct goal keys of an answer stage (a small aggregate)."""
     return scored.select("rec_fy", "service_line", "epic_department_id", "goal_epic_department_id",

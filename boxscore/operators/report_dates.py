@@ -46,7 +46,10 @@ def discharge_spine(calendar: DataFrame, end, start=None) -> DataFrame:
 
 def dual_date(df: DataFrame, calendar: DataFrame, start, end, mode: str = "left",
               discharge_start=None, received_col: str = "received_date",
-              discharge_col: str = "discharge_date") -> DataFrame:
+              discharge_col: str = "discharge_date", dates: DataFrame | None = None) -> DataFrame:
+    """``dates`` has the answers' two dates and nothing else, from a narrower
+    plan than ``df``: the days without answers are then found without a second
+    evaluation of ``df``."""
     if mode not in ("left", "full", "inner"):
         raise ValueError(f"unknown mode {mode}")
     rec = F.broadcast(received_spine(calendar, start, end))
@@ -57,11 +60,13 @@ def dual_date(df: DataFrame, calendar: DataFrame, start, end, mode: str = "left"
         return matched.join(dis, matched[discharge_col] == dis["event_date_disch"], "inner")
 
     with_dis = matched.join(dis, matched[discharge_col] == dis["event_date_disch"], "left")
-    answered_days = df.select(F.col(received_col).alias("__d")).distinct()
+    dates = df if dates is None else dates
+    answered_days = dates.select(F.col(received_col).alias("__d")).distinct()
     empty_days = rec.join(answered_days, rec["event_date"] == answered_days["__d"], "left_anti")
     out = with_dis.unionByName(empty_days, allowMissingColumns=True)
     if mode == "full":
-        hit = matched.select(F.col(discharge_col).alias("__d")).distinct()
+        hit = (dates.select(received_col, F.col(discharge_col).alias("__d")).distinct()
+               .join(rec.select("event_date"), F.col(received_col) == F.col("event_date"), "left_semi").select("__d").distinct())
         empty_dis = dis.join(hit, dis["event_date_disch"] == hit["__d"], "left_anti")
         out = out.unionByName(empty_dis, allowMissingColumns=True)
     return out

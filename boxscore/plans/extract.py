@@ -8,14 +8,15 @@ Plan shape (one Spark job per action):
      |                 self-reported age (partial MAX over the whole fact)
      `-- answer-level: broadcast dims (questions, rules, translation),
                        size-checked dims (accounts, patients, physicians)
-  answers LEFT JOIN survey-level ON survey_id -> one DISTINCT
-  -> goals (small aggregates of the distinct goal keys)
+  answers LEFT JOIN survey-level ON the survey keys -> one DISTINCT
   -> J7 spine (broadcast, bounded by the window) -> explode roll-up levels
-  -> shared-clinic suffix -> display columns.
+  -> display columns.
 
-The answers are shuffled once on ``survey_id``; every survey-level frame
-is a partial aggregate joined on the same key, so the joins reuse that
-partitioning.
+The answers are evaluated and shuffled once, on the survey keys. Goals are
+maps (domain -> goal) on the survey's department row, so no answer is joined
+on a goal key; the days without answers come from a narrow scan of the dates.
+The service line is a constant here, so no clinic has two and the shared-name
+suffix (J8) has nothing to do.
 """
 
 from __future__ import annotations
@@ -26,10 +27,10 @@ from pyspark.sql import functions as F
 from boxscore.functions import labels as V
 from boxscore.functions.scoring import score_columns, with_rules
 from boxscore.operators import filters as Fl
-from boxscore.operators.goals import resolve_goals, zero_to_null
-from boxscore.operators.joins import goal_side, with_group
+from boxscore.operators.goals import mapped_goals, resolve_goals, with_goal_maps
+from boxscore.operators.joins import with_group
 from boxscore.operators.report_dates import dual_date
-from boxscore.operators.rollups import rollup_groups, rollup_units, suffix_shared
+from boxscore.operators.rollups import rollup_groups, rollup_units
 from boxscore.operators.windows import max_answer, survey_attribute
 from boxscore.plans.config import DEFAULT, ExtractConfig
 from boxscore.sources import lookups as L
@@ -143,49 +144,67 @@ def answer_detail(inp: Inputs, answers: DataFrame, cfg: ExtractConfig = DEFAULT,
     return a.join(s, cond, "left").drop(*[f"__s_{k}" for k in SURVEY_KEYS]).drop("patient_key")
 
 
-def scored_answers(inp: Inputs, cfg: ExtractConfig = DEFAULT) -> DataFrame:
+def department_rows(inp: Inputs, answers: DataFrame, cfg: ExtractConfig = DEFAULT, groups: bool = False) -> DataFrame:
+    """Survey-level department rows with the goals that apply to them and, for P2, their group."""
+    rows = survey_departments(inp, answers, cfg)
+    if groups:
+        rows = with_group(rows, L.department_groups(inp.spark))
+    return with_goal_maps(rows, inp.child_goals, cfg.service_line)
+
+
+def unit_columns(cfg: ExtractConfig):
+    return [*V.with_constants(service_line_id=cfg.service_line_id, service_line=cfg.service_line,
+                              sub_service_line=cfg.sub_service_line),
+            V.clinic_label(F.col("epic_department_name"), F.col("epic_department_id")).alias("clinic"), *mapped_goals()]
+
+
+GOAL_MAPS = ("department_goals", "line_goals")
+
+
+def scored_answers(inp: Inputs, cfg: ExtractConfig = DEFAULT, groups: bool = False) -> DataFrame:
     """The scored, enriched answer stage (one row per answer x survey
-    department row), before goals and the date spine."""
+    department row) with its goals, before the date spine."""
     answers = filtered_answers(inp, cfg)
-    out = answer_detail(inp, answers, cfg, survey_extra=survey_departments(inp, answers, cfg))
-    return out.select(
-        "*",
-        *V.with_constants(service_line_id=cfg.service_line_id, service_line=cfg.service_line,
-                          sub_service_line=cfg.sub_service_line),
-        V.clinic_label(F.col("epic_department_name"), F.col("epic_department_id")).alias("clinic"),
-    ).distinct()
+    out = answer_detail(inp, answers, cfg, survey_extra=department_rows(inp, answers, cfg, groups))
+    return out.select("*", *unit_columns(cfg)).drop(*GOAL_MAPS).distinct()
 
 
-def stage(df: DataFrame) -> DataFrame:
-    """A stage that feeds several branches (goal keys, both spine
-    branches, roll-up levels).
+def summary_answers(inp: Inputs, cfg: ExtractConfig = DEFAULT, groups: bool = False) -> DataFrame:
+    """The answer stage of the summary reports: no patient, account or
+    physician is joined, and the DISTINCT is over the stored answer rows."""
+    answers = filtered_answers(inp, cfg).select(*ANSWER_COLS).distinct()
+    attrs = inp.rules.select("question_id", "domain", "question_text", "question_text_alias")
+    a = (answers.join(F.broadcast(inp.questions.select("question_id")), "question_id", "inner")
+         .join(F.broadcast(attrs), "question_id", "left"))
+    a = score_columns(with_rules(a, inp.rules), cfg.age_question).select(
+        "survey_id", "received_date", "fy", "department_key", "question_id", "question_text", "question_text_alias",
+        F.col("value").cast("string").alias("value"), "val_count", "domain", "domain_goals", "top_box")
+    rows = department_rows(inp, answers, cfg, groups)
+    return a.join(rows, "survey_id", "left").select("*", *unit_columns(cfg)).drop(*GOAL_MAPS)
 
-    Within one action Spark already computes the stage once: the branches
-    share identical shuffle exchanges, which AQE's stage cache reuses
-    (measured: no run-time gain from persisting, and registering a cache
-    plans the whole query up front)."""
-    return df
 
+def answer_dates(inp: Inputs, cfg: ExtractConfig = DEFAULT) -> DataFrame:
+    """Received and discharge dates of the stage's answers."""
+    a = filtered_answers(inp, cfg).select("question_id", "received_date", "discharge_date")
+    return a.join(F.broadcast(inp.questions.select("question_id")), "question_id", "left_semi").drop("question_id")
 
-def unit_extract_parts(inp: Inputs, cfg: ExtractConfig = DEFAULT, groups: bool = False):
-    scored = scored_answers(inp, cfg)
-    if groups:
-        scored = with_group(scored, L.department_groups(inp.spark))
-    scored = stage(scored)
-    goals = resolve_goals(scored, inp.child_goals, cfg.service_line,
-                          group_col="group_name" if groups else None)
-    own = goals.where(F.col("goal_epic_department_id") != L.ALL_UNITS).select(
-        "rec_fy", "goal_epic_department_id", "service_line", "domain_goals", "goal")
-    if groups:
-        own = own.distinct()
-    line_rows = goals.where((F.col("service_line") == cfg.service_line)
-                            & (F.col("goal_epic_department_id") == L.ALL_UNITS))
+
+def goal_key_rows(inp: Inputs, cfg: ExtractConfig = DEFAULT, groups: bool = False) -> DataFrame:
+    """Distinct (fiscal year, line, department, goal department, goal domain [, group]) of the answers."""
+    answers = filtered_answers(inp, cfg)
+    rows = survey_departments(inp, answers, cfg)
     if groups:
-        line_rows = line_rows.where(F.col("group_name") == L.ALL_GROUPS)
-    line_all = line_rows.select("rec_fy", "domain_goals", zero_to_null(F.col("goal")).alias("goal_all_units"))
-    staged = (scored.join(goal_side(own, inp.departments), ["rec_fy", "goal_epic_department_id", "service_line", "domain_goals"], "left")
-              .join(goal_side(line_all, inp.departments), ["rec_fy", "domain_goals"], "left"))
-    return scored, goals, staged
+        rows = with_group(rows, L.department_groups(inp.spark))
+    domains = F.broadcast(inp.rules.select("question_id", F.coalesce("domain_override", "domain").alias("domain_goals")))
+    asked = answers.select("survey_id", "question_id").join(domains, "question_id", "inner").select("survey_id", "domain_goals").distinct()
+    return (asked.join(rows, "survey_id", "left")
+            .select("rec_fy", F.lit(cfg.service_line).alias("service_line"), "epic_department_id", "epic_department_name",
+                    "goal_epic_department_id", "domain_goals", *(["group_name"] if groups else [])).distinct())
+
+
+def goal_cascade(inp: Inputs, cfg: ExtractConfig = DEFAULT, groups: bool = False) -> DataFrame:
+    """G1 / G1b as a table: every goal key of the answers with its goal."""
+    return resolve_goals(goal_key_rows(inp, cfg, groups), inp.child_goals, cfg.service_line, group_col="group_name" if groups else None)
 
 
 OUTPUT_COLS = [
@@ -215,16 +234,13 @@ def finish(df: DataFrame, cfg: ExtractConfig, extra_cols=()) -> DataFrame:
 
 def unit_extract(inp: Inputs, cfg: ExtractConfig = DEFAULT) -> DataFrame:
     """Unit-level extract with empty days and an 'All Units' copy."""
-    _, _, staged = unit_extract_parts(inp, cfg)
-    spined = dual_date(staged, inp.calendar, cfg.start, cfg.end, mode=cfg.date_mode)
-    rolled = rollup_units(spined)
-    return finish(suffix_shared(rolled, bounded_by=inp.departments), cfg)
+    spined = dual_date(scored_answers(inp, cfg), inp.calendar, cfg.start, cfg.end, mode=cfg.date_mode, dates=answer_dates(inp, cfg))
+    return finish(rollup_units(spined), cfg)
 
 
 def unit_extract_groups(inp: Inputs, cfg: ExtractConfig = DEFAULT) -> DataFrame:
     """Unit extract with department groups: unit rows, 'All Units' per
     group and 'All Units' over 'All Groups'."""
-    _, _, staged = unit_extract_parts(inp, cfg, groups=True)
-    spined = dual_date(staged, inp.calendar, cfg.start, cfg.end, mode=cfg.date_mode)
-    rolled = rollup_groups(spined)
-    return finish(suffix_shared(rolled, bounded_by=inp.departments), cfg, extra_cols=("group_id", "group_name"))
+    spined = dual_date(scored_answers(inp, cfg, groups=True), inp.calendar, cfg.start, cfg.end, mode=cfg.date_mode,
+                       dates=answer_dates(inp, cfg))
+    return finish(rollup_groups(spined), cfg, extra_cols=("group_id", "group_name"))

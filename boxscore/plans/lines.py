@@ -47,7 +47,7 @@ from boxscore.operators.goals import flat_goals  # noqa: E402
 from boxscore.operators.joins import goal_side, without_flagged  # noqa: E402
 from boxscore.operators.report_dates import dual_date  # noqa: E402
 from boxscore.operators.rollups import rollup_lines, rollup_units, suffix_shared  # noqa: E402
-from boxscore.plans.extract import answer_detail, finish, stage  # noqa: E402
+from boxscore.plans.extract import answer_detail, finish  # noqa: E402
 
 LINE_CFG = replace(DEFAULT, event_type="Child Inpatient Survey", date_mode="full")
 ADULT_CFG = replace(DEFAULT, event_type="Adult Inpatient Survey", date_mode="full")
@@ -84,7 +84,7 @@ def line_scored(inp: Inputs, cfg: ExtractConfig = LINE_CFG, outpatient: bool = F
     sud = survey_unit_departments(inp, cfg, answers).select("survey_id", "resolved_department_key", "unit")
     per_survey = line_locations(inp, sud.distinct(), outpatient)
     a = answer_detail(inp, answers, cfg, survey_extra=per_survey)
-    return stage(a.distinct())
+    return a.distinct()
 
 
 def line_goals(inp: Inputs, df: DataFrame) -> DataFrame:
@@ -131,7 +131,7 @@ def adult_scored(inp: Inputs, cfg: ExtractConfig = ADULT_CFG, service: str = "IN
     x = x.withColumn("service_line", V.unit_or_other(F.col("unit"), [L.ADULT_SPECIAL_UNIT], L.CHILD_SERVICE_LINE,
                                                      F.coalesce(F.col("__line"), F.lit(L.OTHER))))
     x = x.withColumn("unit", F.coalesce(F.col("unit"), F.lit(L.OTHER))).drop("__line")
-    return stage(x.distinct())
+    return x.distinct()
 
 
 def adult_extract(inp: Inputs, cfg: ExtractConfig = ADULT_CFG, drop_flagged: bool = False,

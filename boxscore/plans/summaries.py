@@ -10,7 +10,7 @@ from boxscore.operators import aggregations as A
 from boxscore.operators import filters as Fl
 from boxscore.operators.joins import in_loaded_years
 from boxscore.plans.config import DEFAULT, ExtractConfig
-from boxscore.plans.extract import unit_extract_parts
+from boxscore.plans.extract import summary_answers
 from boxscore.sources.tables import Inputs
 
 # survey side first, then the department whose goal applies
@@ -35,11 +35,8 @@ def window_years(cfg: ExtractConfig) -> list[int]:
 def score_summary(inp: Inputs, cfg: ExtractConfig = DEFAULT) -> DataFrame:
     """Monthly top-box score per unit/department/domain with its goal,
     for the fiscal years of the report window."""
-    scored, goals, _ = unit_extract_parts(inp, cfg)
-    s = Fl.reportable_domains(with_month(inp, scored))
-    summ = A.score_summary(s, SUMMARY_KEYS)
-    g = goals.select("rec_fy", "goal_epic_department_id", "service_line", "domain_goals", "goal").distinct()
-    out = summ.join(g, ["rec_fy", "goal_epic_department_id", "service_line", "domain_goals"], "left")
+    s = Fl.reportable_domains(with_month(inp, summary_answers(inp, cfg)))
+    out = A.score_summary(s, [*SUMMARY_KEYS, "goal"])
     cal_years = (inp.calendar.where(F.col("day_date").between(F.lit(cfg.start).cast("date"), F.lit(cfg.end).cast("date")))
                  .select(F.col("fyear_num").alias("rec_fy")))
     out = in_loaded_years(out, cal_years, year_col="rec_fy", df_year_col="rec_fy")

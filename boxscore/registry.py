@@ -345,12 +345,12 @@ def q_clinic_extract(inp):
 
 @register("q_goal_cascade")
 def q_goal_cascade(inp):
-    return extract.unit_extract_parts(inp, DEFAULT)[1]
+    return extract.goal_cascade(inp, DEFAULT)
 
 
 @register("q_goal_cascade_group")
 def q_goal_cascade_group(inp):
-    return extract.unit_extract_parts(inp, DEFAULT, groups=True)[1]
+    return extract.goal_cascade(inp, DEFAULT, groups=True)
 
 
 def _unit_domains(inp):
@@ -396,8 +396,8 @@ def q_goal_legacy(inp):
 
 @register("q_goal_mapping")
 def q_goal_mapping(inp):
-    scored = extract.scored_answers(inp, DEFAULT)
-    return G.goal_mapping(scored, G.goals_by_arm(scored, inp.child_goals, DEFAULT.service_line))
+    keys = extract.goal_key_rows(inp, DEFAULT)
+    return G.goal_mapping(keys, G.goals_by_arm(keys, inp.child_goals, DEFAULT.service_line))
 
 
 @register("q_vocabulary_diff")
@@ -409,7 +409,7 @@ def q_vocabulary_diff(inp):
 
 @register("q_rollup_units")
 def q_rollup_units(inp):
-    staged = extract.unit_extract_parts(inp, DEFAULT)[2]
+    staged = extract.scored_answers(inp, DEFAULT)
     return U.rollup_units(staged.select("survey_id", "question_id", "clinic", "domain_goals", "goal",
                                         "goal_all_units"))
 
@@ -437,7 +437,7 @@ def q_rollup_lines(inp):
 
 @register("q_rollup_groups")
 def q_rollup_groups(inp):
-    staged = extract.unit_extract_parts(inp, DEFAULT, groups=True)[2]
+    staged = extract.scored_answers(inp, DEFAULT, groups=True)
     return U.rollup_groups(staged.select("survey_id", "question_id", "clinic", "group_id", "group_name", "domain_goals",
                                          "goal", "goal_all_units"))
 
@@ -579,7 +579,7 @@ def q_surveys_by_unit(inp):
 
 
 def _scored(inp):
-    return extract.scored_answers(inp, DEFAULT)
+    return extract.summary_answers(inp, DEFAULT)
 
 
 @register("q_clinic_year_check")
@@ -628,7 +628,7 @@ def q_response_report(inp):
     """P11 over the unit extract. The department is a key and names the clinic,
     so the 'All Units' copy of a group is the group under another label: the
     answers are aggregated once and the small result is rolled up."""
-    staged = _with_calendar(inp, Fl.reportable_domains(extract.unit_extract_parts(inp, DEFAULT)[2]))
+    staged = _with_calendar(inp, Fl.reportable_domains(extract.summary_answers(inp, DEFAULT)))
     rows = staged.select(
         F.lit(DEFAULT.event_type).alias("event_type"), F.col("fyear_num").alias("event_fy"), F.col("year_num").alias("event_cy"),
         F.col("month_num").alias("month"), F.col("month_short_name").alias("month_name"),
@@ -642,7 +642,7 @@ def q_response_report(inp):
 @register("q_question_summary")
 def q_question_summary(inp):
     """Months of a fiscal year (no calendar year) per line, department and question, with the department's goal."""
-    s = Fl.reportable_domains(with_month(inp, extract.unit_extract_parts(inp, DEFAULT)[2]))
+    s = Fl.reportable_domains(with_month(inp, extract.summary_answers(inp, DEFAULT)))
     return A.response_report(s, ["rec_fy", "month_num", "month_short_name", "service_line", "epic_department_id", "clinic",
                                  "question_id", "question_text_alias", "domain_goals", "goal"])
 
@@ -651,7 +651,7 @@ MONTH_KEYS = ["group_name", "clinic", "domain_goals", "question_id", "month_shor
 
 
 def _monthly(inp):
-    staged = extract.unit_extract_parts(inp, DEFAULT, groups=True)[2]
+    staged = extract.summary_answers(inp, DEFAULT, groups=True)
     cal = inp.calendar.select(F.col("day_date").alias("received_date"), "month_short_name", "month_key")
     rows = staged.where(F.col("domain_goals").isNotNull()).join(F.broadcast(cal), "received_date", "left")
     counts = B.monthly_counts(rows, ["group_id", *MONTH_KEYS]).withColumn("survey_id", F.lit(1))  # every count has answers
