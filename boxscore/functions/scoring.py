@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from boxscore.sources.lookups import FIVE_POINT_LABELS, RATING_BANDS
+from boxscore.sources.lookups import AGE_QUESTION, FIVE_POINT_LABELS, RATING_BANDS
 
 RULE_COLS = ["scale", "top_values", "top_label", "domain_override"]
 
@@ -90,3 +90,23 @@ def score_columns(df: DataFrame, age_question: int) -> DataFrame:
         top_box(v).alias("top_box"),
         top_box_label().alias("top_box_response"),
     )
+
+
+def with_survey_rules(df: DataFrame, rules: DataFrame, survey_type: Column) -> DataFrame:
+    """V1-V3, V5 by survey type: scales, response groups and domains of (survey
+    type, question), and the score columns. The rules are an inline literal.
+
+    The same answer may be a top answer in one survey type and not in another
+    ("10-Best possible" in a hospital's, "10-Best provider" in a clinic's).
+    """
+    r = F.broadcast(rules.withColumnRenamed("survey_type", "__type").withColumnRenamed("question_id", "__question"))
+    x = df.withColumn("survey_type", survey_type)
+    x = x.join(r, (x["survey_type"] == r["__type"]) & (x["question_id"] == r["__question"]), "left")
+    v = F.col("value")
+    group = F.try_element_at("groups", v)
+    is_age = F.col("question_id") == F.lit(AGE_QUESTION)
+    return x.select(
+        *df.columns, "survey_type", "question_text", "question_text_alias", "domain",
+        goal_domain().alias("domain_goals"), answered(v).alias("val_count"),
+        F.when(is_age | F.col("groups").isNull(), v).when(F.col("closed"), group).otherwise(F.coalesce(group, v)).alias("value_resp_grp"),
+        top_box(v).alias("top_box"), F.col("top_label").alias("top_box_response"))

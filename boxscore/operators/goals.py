@@ -156,13 +156,26 @@ def resolve_goals(scored: DataFrame, goals: DataFrame, service_line: str,
     return out.distinct()
 
 
-def flat_goals(scored: DataFrame, value: str = "0.750", year: int | None = None,
-               keys=("service_line", "unit", "domain_goals")) -> DataFrame:
-    """One synthetic flat goal per distinct (line, unit, domain)."""
-    out = scored.select(*keys).distinct().withColumn("goal", F.lit(value).cast(GOAL_TYPE))
-    if year is not None:
-        out = out.withColumn("goal_fiscal_yr", F.lit(year))
-    return out
+def all_goals(goals: DataFrame, key: Column | None = None) -> Column:
+    """A goal table without a department or line key as one map (key -> goal), as a
+    scalar subquery: the same map for every row of a frame. ``key`` is the domain if not given."""
+    one = goals.select((F.col("domain") if key is None else key).alias("key"), "goal").where("key is not null")
+    one = one.groupBy("key").agg(F.max("goal").cast(GOAL_TYPE).alias("goal"))
+    return one.agg(F.map_from_entries(F.collect_list(F.struct("key", "goal"))).alias("goals")).scalar()
+
+
+def flat_goals(rows: DataFrame, value: str, year: int) -> DataFrame:
+    """One synthetic goal per (line, unit, domain) of the answers, per (line,
+    'All Units', domain) and per ('All Service Lines', 'All Units', domain). Rows
+    without a domain set no goal. The levels are made in one pass over the
+    distinct keys (service_code, service_line, unit, domain)."""
+    keys = rows.where(F.col("domain").isNotNull()).select("service_code", "service_line", "unit", "domain").distinct()
+    level = lambda line, unit: F.struct(line.alias("service_line"), unit.alias("unit"))
+    levels = F.array(level(F.col("service_line"), F.col("unit")), level(F.col("service_line"), F.lit(ALL_UNITS)),
+                     level(F.lit(ALL_SERVICE_LINES), F.lit(ALL_UNITS)))
+    return (keys.select("service_code", "domain", F.explode(levels).alias("level"))
+            .select(F.col("service_code").alias("svc_cde"), F.lit(year).alias("goal_yr"), "level.service_line", "level.unit", "domain",
+                    F.lit(value).cast(GOAL_TYPE).alias("goal")).distinct())
 
 
 def parse_unit_label(df: DataFrame, col: str = "unit") -> DataFrame:

@@ -3,9 +3,8 @@
 Broadcast policy: literals and calendars (one row per day) are hinted.
 Dimensions read from tables carry no hint: Spark broadcasts them by the byte
 estimate of its own statistics, AQE by runtime sizes, and beyond the
-threshold the join is a shuffle join whose hot keys can be split. A derived
-list that a dimension bounds may be hinted when that dimension's estimate
-fits (``fits_broadcast``). Building a query runs no job.
+threshold the join is a shuffle join whose hot keys can be split. Building a
+query runs no job.
 """
 
 from __future__ import annotations
@@ -14,26 +13,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-# Goal rows per department at most: fiscal years loaded x goal domains.
-GOALS_PER_DEPARTMENT = 200
-
-
-def fits_broadcast(df: DataFrame, times: int = 1) -> bool:
-    """Whether the optimizer's byte estimate of ``df``, ``times`` over, is within
-    the session's automatic broadcast threshold. Reads plan statistics only."""
-    limit = int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return 0 <= int(str(size)) * times <= limit
-
-
-def goal_side(goals: DataFrame, departments: DataFrame) -> DataFrame:
-    """A table of resolved goals as a join side of the answers. Its keys (fiscal
-    year, department or line, domain) have few values, one of them NULL, so
-    answers must not be shuffled on them: the goals are broadcast where the
-    department dimension, which bounds their number, is small enough."""
-    return F.broadcast(goals) if fits_broadcast(departments, GOALS_PER_DEPARTMENT) else goals
-
-
 def with_question(df: DataFrame, questions: DataFrame) -> DataFrame:
     """Inner join to the question dimension (unmatched answers drop)."""
     return df.join(questions, "question_id", "inner")
@@ -56,22 +35,24 @@ def with_specific_goal(keys: DataFrame, goals: DataFrame, on: list[str]) -> Data
     return keys.join(goals, on, "inner")
 
 
-def flag_in(df: DataFrame, col: str, values: DataFrame, value_col: str, flag: str) -> DataFrame:
-    """J8 helper: ``flag`` = (df.col IN values) via a left join to the
-    distinct values (an existence join)."""
-    v = values.select(F.col(value_col).alias("__v")).distinct().withColumn(flag, F.lit(True))
-    out = df.join(v, df[col] == v["__v"], "left").drop("__v")
-    return out.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
-
-
-def without_flagged(df: DataFrame, fact: DataFrame, dim: DataFrame, varname: str, value: str) -> DataFrame:
-    """Drop surveys that answered ``varname`` with ``value``
-    (NOT IN over a joined subquery; NULL survey ids are removed first so the
-    anti join has the NOT IN meaning without a null-aware plan)."""
-    flagged = (fact.join(dim.where(F.col("varname") == varname).select("question_id"), "question_id")
-               .where(F.col("value") == value)
-               .select("survey_id").where(F.col("survey_id").isNotNull()).distinct())
-    return df.join(flagged, "survey_id", "left_anti")
+def without_flagged(df: DataFrame, fact: DataFrame, dim: DataFrame, varname: str, value: str, service: str) -> DataFrame:
+    """Drop the surveys with a flagged answer, ``survey_id NOT IN (subquery)``.
+
+    The subquery joins the fact to the question dimension on question and
+    service, so the same answer to another service's question flags nothing.
+    NOT IN is kept as it is with nulls: a flagged answer without a survey id
+    leaves no row, and a row without a survey id stays only if nothing is
+    flagged at all. Both are scalar subqueries beside an ordinary anti join,
+    which shuffles on the survey, where a null-aware anti join would have to
+    broadcast the flagged surveys.
+    """
+    asked = dim.where((F.col("varname") == varname) & (F.col("service_code") == service)).select("question_id", "service_code")
+    flagged = fact.where(F.col("value") == value).join(F.broadcast(asked), ["question_id", "service_code"], "left_semi").select("survey_id")
+    n_flagged = flagged.agg(F.count(F.lit(1))).scalar()
+    n_unnamed = flagged.agg(F.count_if(F.col("survey_id").isNull())).scalar()
+    named = flagged.where(F.col("survey_id").isNotNull()).distinct()
+    return (df.where((n_flagged == 0) | (F.col("survey_id").isNotNull() & (n_unnamed == 0)))
+            .join(named, "survey_id", "left_anti"))
 
 
 def in_loaded_years(goals: DataFrame, df: DataFrame, year_col: str = "goal_fiscal_yr",

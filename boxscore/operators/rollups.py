@@ -83,21 +83,26 @@ def shared_clinics(df: DataFrame, key: str = "clinic", of: str = "service_line",
 def suffix_shared(df: DataFrame, key: str = "clinic", of: str = "service_line",
                   exclude_col: str = "clinic", exclude: str = ALL_UNITS,
                   skip_value_col: str | None = None, skip_value: str | None = None,
-                  bounded_by: DataFrame | None = None) -> DataFrame:
+                  seen: DataFrame | None = None) -> DataFrame:
     """J8: 'clinic - line' for clinics that appear in several lines.
     CASE WHEN clinic IN (subquery) becomes a left join to the distinct list
-    of shared clinics plus a flag. ``bounded_by`` is a dimension
-    that bounds the list (clinic labels come from departments); where its
-    byte estimate fits a broadcast the list is broadcast, so the detail rows
-    are never shuffled on the (skewed) clinic key. Otherwise AQE picks the
-    join from runtime sizes."""
-    from boxscore.operators.joins import fits_broadcast
-    shared = shared_clinics(df, key, of, exclude_col, exclude).select(F.col(key).alias("__k"), F.lit(True).alias("__shared"))
-    if bounded_by is not None and fits_broadcast(bounded_by):
-        shared = F.broadcast(shared)
+    of shared clinics plus a flag. ``seen`` has the (key, line) pairs of the
+    rows from a narrower plan (the surveys' departments), so that the rows
+    themselves are not evaluated a second time for the list."""
+    pairs = df if seen is None else seen
+    shared = shared_clinics(pairs, key, of, exclude_col if seen is None else key, exclude).select(F.col(key).alias("__k"), F.lit(True).alias("__shared"))
     out = df.join(shared, df[key] == shared["__k"], "left")
     cond = F.col("__shared").isNotNull()
     if skip_value_col is not None:
         cond = cond & (F.col(skip_value_col) != skip_value)
     return (out.withColumn(key, F.when(cond, F.concat(F.col(key), F.lit(" - "), F.col(of))).otherwise(F.col(key)))
             .drop("__k", "__shared"))
+
+
+def rollup_unit_label(df: DataFrame, own_unit: Column, all_label: Column, own_goal: str | None = "goal", all_goal: str = "goal_all") -> DataFrame:
+    """U1 on the unit: each row under its own unit and under ``all_label``."""
+    levels = [{"unit": own_unit}, {"unit": all_label}]
+    if own_goal is not None:
+        levels[0]["goal"], levels[1]["goal"] = F.col(own_goal), F.col(all_goal)
+    out = explode_levels(df, levels)
+    return out.drop(all_goal) if own_goal is not None else out

@@ -90,21 +90,24 @@ def survey_departments(inp: Inputs, answers: DataFrame, cfg: ExtractConfig = DEF
 SURVEY_KEYS = ["survey_id", "account_key", "patient_key", "received_date"]
 
 
-def survey_detail(inp: Inputs, answers: DataFrame, cfg: ExtractConfig = DEFAULT) -> DataFrame:
+def survey_detail(inp: Inputs, answers: DataFrame, cfg: ExtractConfig = DEFAULT, extra_keys: tuple = (),
+                  age: DataFrame | None = None) -> DataFrame:
     """Survey-level enrichment on the distinct survey keys: account (MRN),
     patient attributes and the self-reported age. Joining the account and
     patient dimensions here - on a frame of one row per survey, not per
     answer - means that when those dimensions exceed the broadcast bound only
-    this small frame is shuffled by their keys."""
-    keys = answers.select(*SURVEY_KEYS).distinct()
-    age = max_answer(inp.responses.select("survey_id", "question_id", "account_key", "value"),
-                     cfg.age_question, "pat_age_survey_answer")
+    this small frame is shuffled by their keys. ``extra_keys`` widen the key;
+    ``age`` replaces the self-reported age (survey_id, pat_age_survey_answer)."""
+    keys = answers.select(*SURVEY_KEYS, *extra_keys).distinct()
+    if age is None:
+        age = max_answer(inp.responses.select("survey_id", "question_id", "account_key", "value"),
+                         cfg.age_question, "pat_age_survey_answer")
     as_of = F.lit(cfg.as_of).cast("date")
     s = (keys.join(inp.accounts, "account_key", "left")
          .join(inp.patients, "patient_key", "left")
          .join(age, "survey_id", "left"))
     return s.select(
-        *SURVEY_KEYS, "mrn",
+        *SURVEY_KEYS, *extra_keys, "mrn",
         V.full_name(F.col("last_name"), F.col("first_name")).alias("pat_name"),
         F.col("birth_date").alias("pat_dob"),
         V.age_years(F.col("birth_date"), as_of).alias("pat_age"),

@@ -37,23 +37,19 @@ def survey_unit_departments(inp: Inputs, cfg: ExtractConfig = DEFAULT, answers:
 
 
 # ---------------------------------------------------------------------------
-# Service-line extracts
+# Service-line extracts by the surveys' locations (P3 and the child form of it)
 # ---------------------------------------------------------------------------
 from dataclasses import replace  # noqa: E402
 
 from boxscore.functions import labels as V  # noqa: E402
 from boxscore.operators.aggregations import sub_service_line  # noqa: E402
-from boxscore.operators.goals import flat_goals  # noqa: E402
-from boxscore.operators.joins import goal_side, without_flagged  # noqa: E402
+from boxscore.operators.goals import all_goals, flat_goals, goal_in, goals_by_domain  # noqa: E402
 from boxscore.operators.report_dates import dual_date  # noqa: E402
-from boxscore.operators.rollups import rollup_lines, rollup_units, suffix_shared  # noqa: E402
-from boxscore.plans.extract import answer_detail, finish  # noqa: E402
+from boxscore.operators.rollups import rollup_lines, suffix_shared  # noqa: E402
+from boxscore.plans.extract import answer_dates, answer_detail, finish  # noqa: E402
 
 LINE_CFG = replace(DEFAULT, event_type="Child Inpatient Survey", date_mode="full")
-ADULT_CFG = replace(DEFAULT, event_type="Adult Inpatient Survey", date_mode="full")
-CLINIC_CFG = replace(DEFAULT, event_type="Outpatient Clinic Survey", date_mode="full")
 CHILD_CFG = replace(DEFAULT, event_type="Child Survey by Line", date_mode="full")
-FLAT_GOAL = "0.750"
 
 
 def line_locations(inp: Inputs, resolved: DataFrame, outpatient: bool = False) -> DataFrame:
@@ -78,26 +74,45 @@ def line_locations(inp: Inputs, resolved: DataFrame, outpatient: bool = False) -
     ).drop("loc_name", "loc_service_line", "operational_service")
 
 
-def line_scored(inp: Inputs, cfg: ExtractConfig = LINE_CFG, outpatient: bool = False) -> DataFrame:
-    """SVC stage: scored answers whose department comes from the R1 cascade."""
-    answers = filtered_answers(inp, cfg)
+def line_goal_key(year: str, domain: str):
+    return F.concat_ws("|", F.col(year).cast("string"), F.col(domain))
+
+
+def with_line_goals(rows: DataFrame, inp: Inputs) -> DataFrame:
+    """Goals of a frame's service lines by (fiscal year, domain), and those of 'All Service Lines', as maps."""
+    g = inp.adult_goals.where((F.col("epic_department_id") == L.ALL_UNITS) & F.col("domain").isNotNull())
+    g = g.select("service_line", line_goal_key("goal_fiscal_yr", "domain").alias("domain"), "goal")
+    of_line = goals_by_domain(g.where(F.col("service_line") != L.ALL_SERVICE_LINES), {"service_line": "service_line"}, "line_goals")
+    return (rows.join(of_line, "service_line", "left")
+            .withColumn("every_goals", all_goals(g.where(F.col("service_line") == L.ALL_SERVICE_LINES))))
+
+
+def line_goal_columns():
+    key = F.when(F.col("domain_goals").isNotNull(), line_goal_key("fy", "domain_goals"))
+    return {"goal": F.try_element_at("line_goals", key), "goal_all_lines": F.try_element_at("every_goals", key)}
+
+
+def line_surveys(inp: Inputs, cfg: ExtractConfig, answers: DataFrame, outpatient: bool = False) -> DataFrame:
+    """Per survey: the department of the R1 cascade, its location and its line."""
     sud = survey_unit_departments(inp, cfg, answers).select("survey_id", "resolved_department_key", "unit")
-    per_survey = line_locations(inp, sud.distinct(), outpatient)
-    a = answer_detail(inp, answers, cfg, survey_extra=per_survey)
-    return a.distinct()
+    return line_locations(inp, sud.distinct(), outpatient)
+
+
+def line_scored(inp: Inputs, cfg: ExtractConfig = LINE_CFG, outpatient: bool = False, rows: DataFrame | None = None,
+                goals: dict | None = None) -> DataFrame:
+    """SVC stage: scored answers whose department comes from the R1 cascade.
+    ``rows`` are the surveys' locations with whatever maps ``goals`` reads."""
+    answers = filtered_answers(inp, cfg)
+    rows = line_surveys(inp, cfg, answers, outpatient) if rows is None else rows
+    a = answer_detail(inp, answers, cfg, survey_extra=rows)
+    return a.withColumns(goals or {}).drop("line_goals", "every_goals").distinct()
 
 
-def line_goals(inp: Inputs, df: DataFrame) -> DataFrame:
-    """Line-level ('All Units') and 'All Service Lines' goals by the answer's
-    fiscal year (SVC joins on the answer's FY)."""
-    g = inp.adult_goals.where(F.col("epic_department_id") == L.ALL_UNITS)
-    line = g.where(F.col("service_line") != L.ALL_SERVICE_LINES).select(
-        F.col("goal_fiscal_yr").alias("fy"), "service_line", F.col("domain").alias("domain_goals"), "goal")
-    all_lines = g.where(F.col("service_line") == L.ALL_SERVICE_LINES).select(
-        F.col("goal_fiscal_yr").alias("fy"), F.col("domain").alias("domain_goals"),
-        F.col("goal").alias("goal_all_lines"))
-    return (df.join(goal_side(line, inp.departments), ["fy", "service_line", "domain_goals"], "left")
-            .join(goal_side(all_lines, inp.departments), ["fy", "domain_goals"], "left"))
+def clinics_seen(inp: Inputs, cfg: ExtractConfig, rows: DataFrame, key: str = "clinic") -> DataFrame:
+    """(key, line) of the surveys that have an answer in the extract."""
+    asked = (filtered_answers(inp, cfg).select("survey_id", "question_id")
+             .join(F.broadcast(inp.questions.select("question_id")), "question_id", "left_semi").select("survey_id").distinct())
+    return rows.join(asked, "survey_id", "left_semi").select(key, "service_line").distinct()
 
 
 def line_extract(inp: Inputs, cfg: ExtractConfig = LINE_CFG, outpatient: bool = False) -> DataFrame:
@@ -105,95 +120,40 @@ def line_extract(inp: Inputs, cfg: ExtractConfig = LINE_CFG, outpatient: bool =
     outer, both limited to the window); the 'All Service Lines' copy keeps
     rows matched on both dates (inner). Clinics seen in several lines get
     a ' - line' suffix (not on the roll-up rows)."""
-    staged = line_goals(inp, line_scored(inp, cfg, outpatient))
-    spined = dual_date(staged, inp.calendar, cfg.start, cfg.end, mode="full", discharge_start=cfg.start)
-    both = F.col("survey_id").isNotNull() & F.col("event_date_disch").isNotNull()
-    rolled = rollup_lines(spined, copy_if=both)
-    rolled = suffix_shared(rolled, exclude_col="service_line", exclude=L.ALL_SERVICE_LINES,
-                           skip_value_col="service_line", skip_value=L.ALL_SERVICE_LINES, bounded_by=inp.departments)
-    return finish(rolled, cfg)
+    rows = line_surveys(inp, cfg, filtered_answers(inp, cfg), outpatient)
+    staged = line_scored(inp, cfg, outpatient, with_line_goals(rows, inp), line_goal_columns())
+    return line_result(inp, cfg, staged, rows, clipped=True)
 
 
-def adult_scored(inp: Inputs, cfg: ExtractConfig = ADULT_CFG, service: str = "IN") -> DataFrame:
-    """HSV stage: inpatient answers, unit per survey (J12, recoded V15),
-    service line by unit mapping with the special-unit / missing-unit rules
-    (V19)."""
-    r = inp.responses.select(*ANSWER_COLS).where(F.col("service_code") == service)
-    r = r.where(F.col("question_id").isin(*cfg.questions))
-    units = (inp.responses.where(F.col("question_id") == cfg.unit_question)
-             .select("survey_id", F.col("value").alias("unit")).distinct())
-    units = D.recode(units, "unit", L.unit_aliases(inp.spark), "unit").distinct()
-    mp = F.broadcast(L.unit_mapping(inp.spark).select(F.col("unit_name").alias("__u"),
-                                                      F.col("service_line").alias("__line")))
-    units = units.join(mp, units["unit"] == mp["__u"], "left").select("survey_id", "unit", "__line")
-    # V19 after the join: surveys without a unit answer read 'Other' too
-    x = answer_detail(inp, r, cfg, survey_extra=units)
-    x = x.withColumn("service_line", V.unit_or_other(F.col("unit"), [L.ADULT_SPECIAL_UNIT], L.CHILD_SERVICE_LINE,
-                                                     F.coalesce(F.col("__line"), F.lit(L.OTHER))))
-    x = x.withColumn("unit", F.coalesce(F.col("unit"), F.lit(L.OTHER))).drop("__line")
-    return x.distinct()
-
-
-def adult_extract(inp: Inputs, cfg: ExtractConfig = ADULT_CFG, drop_flagged: bool = False,
-                  with_goals: bool = True) -> DataFrame:
-    """P4 (by line) / P5 (flagged surveys removed, no goals): full outer on
-    the whole calendar, line goal by (line, domain) of the answer's fiscal
-    year, and an 'All Service Lines' copy."""
-    s = adult_scored(inp, cfg)
-    if drop_flagged:
-        s = without_flagged(s, inp.responses, inp.questions, L.FLAG_VARNAME, L.FLAG_VALUE)
-    if with_goals:
-        s = line_goals(inp, s)
-    else:
-        s = s.withColumn("goal", F.lit(None).cast("decimal(4,3)")).withColumn(
-            "goal_all_lines", F.lit(None).cast("decimal(4,3)"))
-    spined = dual_date(s, inp.calendar, None, None, mode="full")
-    rolled = rollup_lines(spined)
-    out = rolled.withColumn("unit", F.when(F.col("unit") == L.ADULT_DISPLAY_RECODE[0], F.lit(L.ADULT_DISPLAY_RECODE[1]))
-                            .otherwise(F.col("unit")))
-    return adult_finish(out, cfg)
-
-
-def adult_finish(df: DataFrame, cfg: ExtractConfig) -> DataFrame:
-    return df.select(
-        F.lit(cfg.event_type).alias("event_type"), "survey_id", "account_key", "rpt_prd", "event_date",
-        "event_date_disch", "question_id", "varname", "question_text_alias", "domain", "domain_goals",
-        F.col("received_date").alias("recvd_date"), "discharge_date", F.col("mrn").alias("patient_id"),
-        "pat_name", "pat_sex", "pat_dob", "pat_age", "pat_age_survey_recvd", "pat_age_survey_answer",
-        V.peds_flag(F.col("pat_age_survey_answer")).alias("peds"), "npi", "phys_name", "phys_dept", "phys_div",
-        "goal", "unit", "service_line", "value", "value_resp_grp", "top_box", "val_count", "quarter_name",
-        "month_short_name")
+def line_result(inp: Inputs, cfg: ExtractConfig, staged: DataFrame, rows: DataFrame, suffix_col: str = "clinic", clipped: bool = False) -> DataFrame:
+    spined = dual_date(staged, inp.calendar, cfg.start, cfg.end, mode="full", discharge_start=cfg.start, dates=answer_dates(inp, cfg))
+    both = F.col("survey_id").isNotNull() & F.col("event_date_disch").isNotNull()
+    rolled = rollup_lines(spined, copy_if=both if clipped else None)
+    rolled = suffix_shared(rolled, key=suffix_col, exclude_col="service_line", exclude=L.ALL_SERVICE_LINES,
+                           skip_value_col="service_line", skip_value=L.ALL_SERVICE_LINES, seen=clinics_seen(inp, cfg, rows, suffix_col))
+    return finish(rolled, cfg)
 
 
 def child_extract(inp: Inputs, cfg: ExtractConfig = CHILD_CFG, suffix_col: str = "clinic",
                   clipped: bool = False) -> DataFrame:
-    """Child survey by service line with synthetic flat goals (G3) per
-    (line, unit, domain), full outer spine and an 'All Service Lines' copy.
+    """Child survey by the service line of the surveys' locations, with flat goals
+    (G3): the own row takes the 'All Units' goal of (line, domain), the roll-up
+    the one of 'All Service Lines'.
 
     The test-copy variant (``suffix_col="unit", clipped=True``) suffixes the
     unit instead of the clinic when it appears in several lines, and keeps
     the roll-up copy only for rows matched on both report dates."""
-    s = line_scored(inp, cfg)
-    fg = flat_goals(s, FLAT_GOAL)
-    # goal domains come from the inline rule table, which bounds this list
-    all_fg = (s.select("domain_goals").distinct()
-              .withColumn("goal_all_lines", F.lit(FLAT_GOAL).cast("decimal(4,3)")))
-    staged = s.join(fg, ["service_line", "unit", "domain_goals"], "left").join(F.broadcast(all_fg), "domain_goals", "left")
-    spined = dual_date(staged, inp.calendar, cfg.start, cfg.end, mode="full", discharge_start=cfg.start)
-    both = F.col("survey_id").isNotNull() & F.col("event_date_disch").isNotNull()
-    rolled = rollup_lines(spined, copy_if=both if clipped else None)
-    # clinic labels are bounded by the department dimension; unit labels are
-    # survey answers (no proven bound), so their list is left to AQE
-    bound = inp.departments if suffix_col == "clinic" else None
-    rolled = suffix_shared(rolled, key=suffix_col, exclude_col="service_line", exclude=L.ALL_SERVICE_LINES,
-                           skip_value_col="service_line", skip_value=L.ALL_SERVICE_LINES, bounded_by=bound)
-    return finish(rolled, cfg)
-
-
-def clinic_extract(inp: Inputs, cfg: ExtractConfig = CLINIC_CFG) -> DataFrame:
-    """Outpatient clinics by service line; therapies are a line of their
-    own and clinics the location master does not name read 'Other'."""
-    return line_extract(inp, cfg, outpatient=True)
+    answers = filtered_answers(inp, cfg)
+    rows = line_surveys(inp, cfg, answers)
+    domains = F.broadcast(inp.rules.select("question_id", "domain"))
+    asked = answers.select("survey_id", "question_id", "service_code").join(domains, "question_id").select("survey_id", "service_code", "domain").distinct()
+    flat = flat_goals(asked.join(rows.select("survey_id", "service_line", "unit"), "survey_id", "left"), L.FLAT_GOAL, L.FLAT_GOAL_YEAR)
+    flat = flat.where(F.col("unit") == L.ALL_UNITS)
+    of_line = goals_by_domain(flat.where(F.col("service_line") != L.ALL_SERVICE_LINES), {"service_line": "service_line"}, "line_goals")
+    mapped = (rows.join(of_line, "service_line", "left")
+              .withColumn("every_goals", all_goals(flat.where(F.col("service_line") == L.ALL_SERVICE_LINES))))
+    staged = line_scored(inp, cfg, rows=mapped, goals={"goal": goal_in("line_goals"), "goal_all_lines": goal_in("every_goals")})
+    return line_result(inp, cfg, staged, rows, suffix_col, clipped)
 
 
 # ---------------------------------------------------------------------------

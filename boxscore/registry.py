@@ -25,7 +25,7 @@ from boxscore.operators import report_dates as RD
 from boxscore.operators import rollups as U
 from boxscore.operators import windows as W
 from boxscore.operators.ordering import report_order
-from boxscore.plans import extract, lines, summaries
+from boxscore.plans import extract, lines, summaries, surveys
 from boxscore.plans.config import DEFAULT
 from boxscore.plans.summaries import with_month
 from boxscore.sources import lookups as L
@@ -320,12 +320,39 @@ def q_line_extract(inp):
 
 @register("q_adult_extract")
 def q_adult_extract(inp):
-    return lines.adult_extract(inp, lines.ADULT_CFG)
+    return surveys.adult_extract(inp, by="line")
+
+
+@register("q_adult_extract_unit")
+def q_adult_extract_unit(inp):
+    return surveys.adult_extract(inp, by="unit")
+
+
+@register("q_child_extract_by_unit")
+def q_child_extract_by_unit(inp):
+    return surveys.child_extract(inp, by="unit")
+
+
+@register("q_child_extract_by_line")
+def q_child_extract_by_line(inp):
+    return surveys.child_extract(inp, by="line")
+
+
+@register("q_survey_scales")
+def q_survey_scales(inp):
+    """V1-V3 by survey type: how often each answer of a service's survey stands in which group."""
+    kinds = F.create_map(*[F.lit(x) for t in (L.CHILD, L.ADULT, L.CLINIC) for x in (L.SERVICE_OF_TYPE[t], t)])
+    a = inp.responses.select("service_code", "question_id", "value")
+    a = S.with_survey_rules(a, L.survey_rules(inp.spark), F.element_at(kinds, F.col("service_code")))
+    # an inner join to the question dimension: every question of the fact is in it
+    return (a.join(F.broadcast(inp.questions.select("question_id")), "question_id")
+            .groupBy("service_code", "question_id", "value", "value_resp_grp", "top_box_response", "top_box", "domain_goals")
+            .agg(F.count(F.lit(1)).alias("n")))
 
 
 @register("q_without_flagged")
 def q_without_flagged(inp):
-    return lines.adult_extract(inp, lines.ADULT_CFG, drop_flagged=True, with_goals=False)
+    return surveys.adult_without_flagged(inp)
 
 
 @register("q_child_extract")
@@ -335,7 +362,7 @@ def q_child_extract(inp):
 
 @register("q_clinic_extract")
 def q_clinic_extract(inp):
-    return lines.clinic_extract(inp, lines.CLINIC_CFG)
+    return surveys.clinic_extract(inp)
 
 
 # ---------------------------------------------------------------------------
@@ -363,8 +390,7 @@ def _unit_domains(inp):
 
 @register("q_flat_goals")
 def q_flat_goals(inp):
-    k = _unit_domains(inp).withColumn("service_line", F.lit(DEFAULT.service_line))
-    return G.flat_goals(k, "0.750", year=2000)
+    return surveys.child_flat_goals(inp)
 
 
 @register("q_parse_unit_label")

@@ -42,6 +42,35 @@ FIVE_POINT_LABELS = [
     ("1", "Very Poor"),
 ]
 
+# Scales of the survey types: top answers, best answer, response groups, and
+# whether answers outside the groups have none (closed) or stay as they are.
+HOSPITAL_BANDS = [
+    ("Very Good", ["10-Best possible", "9"]),
+    ("Good", ["7", "8"]),
+    ("Average", ["5", "6"]),
+    ("Poor", ["3", "4"]),
+    ("Very Poor", ["0-Worst possible", "1", "2"]),
+]
+PROVIDER_BANDS = [
+    ("Very Good", ["10-Best provider", "9"]),
+    ("Good", ["7", "8"]),
+    ("Average", ["5", "6"]),
+    ("Poor", ["3", "4"]),
+    ("Very Poor", ["0-Worst provider", "1", "2"]),
+]
+SCALES = {
+    "1-5": (["5"], "Very Good", None, False),
+    "child 0-10": (["10-Best possible", "10-Best hosp", "9"], "10-Best possible", RATING_BANDS, True),
+    "hospital 0-10": (["10-Best possible", "9"], "10-Best possible", HOSPITAL_BANDS, True),
+    "provider 0-10": (["10-Best provider", "9"], "10-Best provider", PROVIDER_BANDS, True),
+    "always": (["Always"], "Always", None, False),
+    "yes": (["Yes"], "Yes", None, False),
+    "yes definitely": (["Yes, definitely"], "Yes, definitely", None, False),
+    "recommend": (["Definitely Yes"], "Definitely Yes", None, False),
+    "agree": (["Strongly Agree"], "Strongly Agree", None, False),
+    "none": ([], None, None, False),
+}
+
 # Domains left out of the monthly reports.
 EXCLUDED_REPORT_DOMAINS = ["Meals", "Overall Assessment", "Pediatric ICU/CCU", "Personal Issues"]
 
@@ -93,6 +122,46 @@ QUESTION_RULES = [
     (7, "UNIT", "Unit of stay", "Unit", None, None, None, None, None, 7),
 ]
 
+# Survey types and the service whose answers they are.
+CHILD, ADULT, CLINIC, CHILD_LINE = "child", "adult", "clinic", "child by line"
+SERVICE_OF_TYPE = {CHILD: "PD", ADULT: "IN", CLINIC: "MD", CHILD_LINE: "PD"}
+
+# survey type, question, scale, domain, goal-domain override
+SURVEY_RULES = [
+    (CHILD, 1, "1-5", "Nurses Communicate Child", None),
+    (CHILD, 2, "child 0-10", "Global", "Rate Hospital"),
+    (CHILD, 3, "always", "Environment", None),
+    (CHILD, 4, "yes definitely", "Prepare Child Leave Hosp", None),
+    (CHILD, 5, "recommend", "Global", "Recommend"),
+    (CHILD, 6, "none", None, None),
+    (CHILD, 7, "none", None, None),
+    (ADULT, 1, "1-5", "Nurses Communicate Child", None),
+    (ADULT, 2, "hospital 0-10", "Global", "Rate Hospital"),
+    (ADULT, 3, "always", "Environment", "Quietness"),
+    (ADULT, 4, "yes", "Prepare Child Leave Hosp", None),
+    (ADULT, 5, "agree", "Global", "Recommend"),
+    (ADULT, 6, "none", None, None),
+    (ADULT, 7, "none", None, None),
+    (CLINIC, 1, "1-5", "Nurses Communicate Child", None),
+    (CLINIC, 2, "provider 0-10", "Overall Assessment", "Overall Doctor Rating 0-10"),
+    (CLINIC, 3, "always", "Environment", None),
+    (CLINIC, 4, "yes", "Prepare Child Leave Hosp", None),
+    (CLINIC, 5, "yes definitely", "Overall Assessment", "Recommend Provider"),
+    (CLINIC, 6, "none", None, None),
+    # the inline domain table of the child surveys by line and by unit
+    (CHILD_LINE, 1, "1-5", "Nurses Communicate Child", None),
+    (CHILD_LINE, 2, "hospital 0-10", "Global Rating Item", None),
+    (CHILD_LINE, 3, "always", "Hospital Environment", "Quietness"),
+    (CHILD_LINE, 4, "yes definitely", "Prepare Child Leave Hosp", None),
+    (CHILD_LINE, 5, "recommend", "Global Rating Item", None),
+    (CHILD_LINE, 6, "none", None, None),
+    (CHILD_LINE, 7, "none", None, None),
+]
+
+# Question dimension by service (varnames differ by the service's own survey).
+SERVICE_QUESTIONS = [(q, service, varname) for service in ("PD", "IN", "MD")
+                     for q, varname in ((1, "CH_1"), (2, "CH_2"), (3, "CH_3"), (4, "CH_4"), (5, "CH_5"), (6, "AGE"), (7, "UNIT"))]
+
 RULES_SCHEMA = T.StructType([
     T.StructField("question_id", T.IntegerType(), False),
     T.StructField("varname", T.StringType(), False),
@@ -151,6 +220,22 @@ def rules(spark: SparkSession) -> DataFrame:
     return lookup(spark, QUESTION_RULES, RULES_SCHEMA)
 
 
+def survey_rules(spark: SparkSession) -> DataFrame:
+    """Scales and domains by (survey type, question), with texts of the question."""
+    texts = {q[0]: q[2:4] for q in QUESTION_RULES}
+    rows = []
+    for survey_type, question, scale, domain, override in SURVEY_RULES:
+        top, best, bands, closed = SCALES[scale]
+        groups = {a: label for label, answers in bands for a in answers} if bands else dict(FIVE_POINT_LABELS)
+        rows.append((survey_type, question, *texts[question], domain, override, top, best, groups, closed))
+    return lookup(spark, rows, "survey_type string, question_id int, question_text string, question_text_alias string, domain string, "
+                               "domain_override string, top_values array<string>, top_label string, groups map<string,string>, closed boolean")
+
+
+def service_questions(spark: SparkSession) -> DataFrame:
+    return lookup(spark, SERVICE_QUESTIONS, "question_id int, service_code string, varname string")
+
+
 def domain_translation(spark: SparkSession) -> DataFrame:
     return lookup(spark, GOAL_DOMAIN_TRANSLATION, "goals_domain string, domain string")
 
@@ -188,6 +273,9 @@ def goal_unit_aliases(spark: SparkSession) -> DataFrame:
 # Adult extract: unit reported under the child line whatever the mapping
 # says (V19), display recode of one unit label, and the flagged sample.
 ADULT_SPECIAL_UNIT = "U6"
+NO_UNIT = "No Unit"
+ALL_CLINICS = "All Clinics"
+FLAT_GOAL, FLAT_GOAL_YEAR = "0.750", 2018
 ADULT_DISPLAY_RECODE = ("U0", "U0-SSU")
 FLAG_VARNAME = "CH_4"
 FLAG_VALUE = "No"

@@ -61,9 +61,13 @@ class Inputs:
         od = self.table("orders", ["o_orderkey", "o_custkey", "o_orderdate"])
         q = F.col("l_quantity").cast("int")
         ln = F.col("l_linenumber")
+        service = F.when(F.col("l_partkey") % 5 == 0, "IN").when(F.col("l_partkey") % 5 == 4, "MD").otherwise("PD")
         value = (
             F.when((F.col("l_returnflag") == "R") & (q % 4 == 0), F.lit(None).cast("string"))
             .when(ln == 1, (q % 5 + 1).cast("string"))
+            .when((ln == 2) & (service == "MD") & (q % 11).isin(0, 10), F.when(q % 11 == 10, F.lit("10-Best provider")).otherwise(F.lit("0-Worst provider")))
+            .when((ln == 4) & (service != "PD"), F.when(q % 3 == 0, F.lit("Yes")).otherwise(F.lit("No")))
+            .when((ln == 5) & (service == "IN"), F.when(q % 2 == 0, F.lit("Strongly Agree")).otherwise(F.lit("Disagree")))
             .when(ln == 2, F.when(q % 11 == 10, F.lit("10-Best possible"))
                   .when(q % 11 == 0, F.lit("0-Worst possible"))
                   .otherwise((q % 11).cast("string")))
@@ -84,7 +88,7 @@ class Inputs:
             ln.cast("int").alias("question_id"),
             F.col("l_orderkey").alias("account_key"),
             F.col("o_custkey").alias("patient_key"),
-            F.when(F.col("l_partkey") % 5 == 0, "IN").otherwise("PD").alias("service_code"),
+            service.alias("service_code"),
             F.date_add(discharge, (F.col("o_orderkey") % 45).cast("int")).alias("received_date"),
             discharge.alias("discharge_date"),
             fiscal_year(discharge).alias("fy"),
@@ -152,6 +156,7 @@ class Inputs:
             F.concat(F.lit("Dr "), F.col("n_name")).alias("display_name"),
             F.concat(F.col("n_name"), F.lit(" Dept")).alias("dept"),
             F.concat(F.lit("Div "), F.col("n_regionkey").cast("string")).alias("division"),
+            F.concat(F.lit("Line "), F.col("n_regionkey").cast("string")).alias("physician_line"),
             (F.col("n_nationkey") + 1000000000).cast("bigint").alias("npi"),
         )
 
@@ -266,6 +271,28 @@ class Inputs:
         """The adult goal table (a dimension; ETL output as a lazy plan)."""
         return self.load_adult_goals()
 
+    def _goal_rows(self, line: Column, unit: Column, first: int, step: int) -> DataFrame:
+        """(service_line, unit, domain, goal) per region and goal domain, without a year."""
+        domains = F.posexplode(F.array(*[F.lit(d) for d in SETTINGS_DOMAINS])).alias("di", "raw")
+        t = L.domain_translation(self.spark)
+        rows = self.table("region", ["r_regionkey", "r_name"]).select("*", domains).join(t, F.col("raw") == F.col("goals_domain"), "left")
+        return rows.select(line.alias("service_line"), unit.alias("unit"), F.coalesce("domain", "raw").alias("domain"),
+                           _goal(first + (F.col("r_regionkey") * step + F.col("di") * 3) % 40).alias("goal"))
+
+    @cached_property
+    def adult_unit_goals(self) -> DataFrame:
+        """Adult goals by unit without a year, and the 'All Units' goals of 'All Service Lines'."""
+        units = self._goal_rows(F.col("r_name"), F.concat(F.lit("U"), F.col("r_regionkey").cast("string")), 50, 11)
+        every = self._goal_rows(F.lit(L.ALL_SERVICE_LINES), F.lit(L.ALL_UNITS), 55, 0)
+        return units.unionByName(every.distinct())
+
+    @cached_property
+    def clinic_goals(self) -> DataFrame:
+        """Outpatient goals without a year: 'All Clinics' of each line and of 'All Service Lines'."""
+        lines = self._goal_rows(F.col("r_name"), F.lit(L.ALL_CLINICS), 45, 7)
+        every = self._goal_rows(F.lit(L.ALL_SERVICE_LINES), F.lit(L.ALL_CLINICS), 60, 0)
+        return lines.unionByName(every.distinct())
+
     @cached_property
     def percentile_ranks(self) -> DataFrame:
         """Benchmark bands per scored question and fiscal-year period found in

@@ -40,13 +40,17 @@ SELECT l.l_orderkey AS survey_id,
        CAST(l.l_linenumber AS INTEGER) AS question_id,
        l.l_orderkey AS account_key,
        o.o_custkey AS patient_key,
-       CASE WHEN l.l_partkey % 5 = 0 THEN 'IN' ELSE 'PD' END AS service_code,
+       CASE l.l_partkey % 5 WHEN 0 THEN 'IN' WHEN 4 THEN 'MD' ELSE 'PD' END AS service_code,
        CAST(o.o_orderdate AS DATE) + CAST(o.o_orderkey % 45 AS INTEGER) AS received_date,
        CAST(o.o_orderdate AS DATE) AS discharge_date,
        CAST(CASE WHEN month(o.o_orderdate) >= 7 THEN year(o.o_orderdate) + 1 ELSE year(o.o_orderdate) END AS INTEGER) AS fy,
        CASE
          WHEN l.l_returnflag = 'R' AND CAST(l.l_quantity AS INTEGER) % 4 = 0 THEN NULL
          WHEN l.l_linenumber = 1 THEN CAST(CAST(l.l_quantity AS INTEGER) % 5 + 1 AS VARCHAR)
+         WHEN l.l_linenumber = 2 AND l.l_partkey % 5 = 4 AND CAST(l.l_quantity AS INTEGER) % 11 = 10 THEN '10-Best provider'
+         WHEN l.l_linenumber = 2 AND l.l_partkey % 5 = 4 AND CAST(l.l_quantity AS INTEGER) % 11 = 0 THEN '0-Worst provider'
+         WHEN l.l_linenumber = 4 AND l.l_partkey % 5 IN (0, 4) THEN CASE WHEN CAST(l.l_quantity AS INTEGER) % 3 = 0 THEN 'Yes' ELSE 'No' END
+         WHEN l.l_linenumber = 5 AND l.l_partkey % 5 = 0 THEN CASE WHEN CAST(l.l_quantity AS INTEGER) % 2 = 0 THEN 'Strongly Agree' ELSE 'Disagree' END
          WHEN l.l_linenumber = 2 THEN
            CASE CAST(l.l_quantity AS INTEGER) % 11 WHEN 10 THEN '10-Best possible' WHEN 0 THEN '0-Worst possible'
                 ELSE CAST(CAST(l.l_quantity AS INTEGER) % 11 AS VARCHAR) END
@@ -93,7 +97,7 @@ VIEWS["accounts"] = "SELECT o_orderkey AS account_key, o_custkey + 1000000 AS mr
 
 VIEWS["physicians"] = """
 SELECT CAST(n_nationkey AS BIGINT) AS physician_key, 'Dr ' || n_name AS display_name,
-       n_name || ' Dept' AS dept, 'Div ' || CAST(n_regionkey AS VARCHAR) AS division,
+       n_name || ' Dept' AS dept, 'Div ' || CAST(n_regionkey AS VARCHAR) AS division, 'Line ' || CAST(n_regionkey AS VARCHAR) AS physician_line,
        CAST(n_nationkey + 1000000000 AS BIGINT) AS npi
 FROM nation"""
 
@@ -201,6 +205,27 @@ SELECT 'PD', y.goal_yr, 'All Service Lines', 'All Units', d.domain, {_G.format('
 FROM region r, goal_years y, goal_domains d WHERE r.r_regionkey = 0"""
 
 
+def _flat(rows, first, step):
+    return f"""
+SELECT DISTINCT {rows} COALESCE(t.domain, d.domain) AS domain, {_G.format(f'{first} + (r.r_regionkey * {step} + d.di * 3) % 40')} AS goal
+FROM region r CROSS JOIN goal_domains d LEFT JOIN domain_translation t ON t.goals_domain = d.domain"""
+
+
+VIEWS["adult_unit_goals"] = (_flat("r.r_name AS service_line, 'U' || r.r_regionkey AS unit,", 50, 11) + " UNION ALL "
+                             + _flat("'All Service Lines', 'All Units',", 55, 0))
+VIEWS["clinic_goals"] = (_flat("r.r_name AS service_line, 'All Clinics' AS unit,", 45, 7) + " UNION ALL "
+                         + _flat("'All Service Lines', 'All Clinics',", 60, 0))
+VIEWS["service_questions"] = "SELECT * FROM " + _values(L.SERVICE_QUESTIONS, ["question_id", "service_code", "varname"])
+_SCALES = [(name, best, closed) for name, (_, best, _, closed) in L.SCALES.items()]
+VIEWS["typed_rules"] = "SELECT t.survey_type, t.question_id, t.scale, t.domain, t.domain_override, x.best, x.closed, q.question_text, q.question_text_alias FROM " + _values(
+    L.SURVEY_RULES, ["survey_type", "question_id", "scale", "domain", "domain_override"]) + " JOIN " + _values(
+    _SCALES, ["scale", "best", "closed"]).replace(" AS t(", " AS x(") + " USING (scale) JOIN rules q USING (question_id)"
+VIEWS["scale_tops"] = "SELECT * FROM " + _values([(n, a) for n, (tops, *_) in L.SCALES.items() for a in tops], ["scale", "answer"])
+VIEWS["scale_groups"] = "SELECT * FROM " + _values(
+    [(n, a, label) for n, (_, _, bands, _) in L.SCALES.items() for label, answers in (bands or [(x, [v]) for v, x in L.FIVE_POINT_LABELS]) for a in answers],
+    ["scale", "answer", "grp"])
+
+
 def with_views(body: str, extra: dict[str, str] | None = None) -> str:
     views = dict(VIEWS)
     if extra:

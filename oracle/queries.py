@@ -7,7 +7,8 @@ from boxscore.plans.config import DEFAULT
 from boxscore.plans.summaries import window_years
 from oracle.fixtures import with_views
 from oracle.fixtures import _q
-from oracle.stages import age, band_case, extract_result, extract_views, five_case, line_display, peds, rpt_prd, sex
+from oracle.stages import (age, band_case, clinic_report, detail_sql, extract_views, five_case, line_display, line_report, line_views, peds, report_days, rpt_prd, sex,
+                           survey_report, typed_views, unflagged_report, unit_report)
 
 ORACLE: dict[str, str] = {}
 
@@ -19,7 +20,7 @@ def _score(t: str, v: str) -> str:
             f"* CAST(0.001 AS DECIMAL(4,3)) END AS DECIMAL(4,3))")
 
 
-ORACLE["q_unit_extract"] = with_views(extract_result(DEFAULT), _EXT)
+ORACLE["q_unit_extract"] = with_views(unit_report(DEFAULT), _EXT)
 
 ORACLE["q_score_summary"] = with_views(f"""
 SELECT s.*, g.goal FROM (
@@ -32,7 +33,7 @@ SELECT s.*, g.goal FROM (
     AND domain_goals NOT IN ('Meals', 'Overall Assessment', 'Pediatric ICU/CCU', 'Personal Issues')
   GROUP BY rec_fy, month_num, month_short_name, unit, epic_department_id, epic_department_name, goal_epic_department_id, clinic,
            service_line_id, service_line, domain_goals) s
-LEFT JOIN (SELECT DISTINCT rec_fy, goal_epic_department_id, service_line, domain_goals, goal FROM goals_stage) g
+LEFT JOIN (SELECT DISTINCT rec_fy, goal_epic_department_id, service_line, domain_goals, goal FROM cascade) g
   ON g.rec_fy = s.rec_fy AND g.goal_epic_department_id = s.goal_epic_department_id
  AND g.service_line = s.service_line AND g.domain_goals = s.domain_goals
 WHERE s.rec_fy IN (SELECT DISTINCT fyear_num FROM calendar
@@ -119,7 +120,7 @@ FROM (SELECT survey_id, MAX(COALESCE(value, 'Null Unit')) AS unit FROM responses
 LEFT JOIN unit_aliases a ON a.unit_name = u.unit""")
 ORACLE["q_dept_translation"] = _v("""SELECT DISTINCT survey_id, department_id AS epic_department_id,
        department_name AS epic_department_name, goal_department_id AS goal_epic_department_id, rec_fy, unit
-FROM resp_epic_id""")
+FROM survey_dept""")
 
 _SUD = {
     "enc_first": """SELECT account_key, department_key AS enc_department_key FROM (
@@ -127,7 +128,7 @@ _SUD = {
     "sud_base": """SELECT DISTINCT r.survey_id, r.account_key, r.department_key, e.enc_department_key, r.unit,
        CASE r.unit WHEN 'U4' THEN 'U3' WHEN 'U7' THEN 'U6' ELSE r.unit END AS der_unit,
        CASE r.unit WHEN 'U4' THEN 'U3' WHEN 'U7' THEN 'U6' WHEN 'U2' THEN 'U3' ELSE r.unit END AS goal_unit
-FROM resp_unit r LEFT JOIN enc_first e ON e.account_key = r.account_key""",
+FROM (SELECT * FROM answers_f LEFT JOIN survey_unit USING (survey_id)) r LEFT JOIN enc_first e ON e.account_key = r.account_key""",
     "sud_mapped": """SELECT b.*, COALESCE(o.department_id, m.department_id) AS mapped_department_id
 FROM sud_base b LEFT JOIN unit_mapping m ON m.unit_name = b.der_unit LEFT JOIN unit_overrides o ON o.unit_name = b.unit""",
     "sud": """SELECT x.*,
@@ -149,10 +150,10 @@ ORACLE["q_resolve_department"] = _v("""SELECT survey_id, department_key, unit, d
 ORACLE["q_department_group"] = _v("""SELECT s.survey_id, s.epic_department_id, COALESCE(g.group_id, 0) AS group_id,
        COALESCE(g.group_name, 'Other') AS group_name
 FROM (SELECT DISTINCT survey_id, department_id AS epic_department_id, department_name, goal_department_id, rec_fy, unit
-      FROM resp_epic_id) s LEFT JOIN dept_groups g ON g.department_id = s.epic_department_id""")
+      FROM survey_dept) s LEFT JOIN dept_groups g ON g.department_id = s.epic_department_id""")
 _KEYS = f"""(SELECT DISTINCT e.rec_fy, '{DEFAULT.service_line}' AS service_line, e.department_id AS epic_department_id,
         e.goal_department_id AS goal_epic_department_id, COALESCE(x.domain_override, x.domain) AS domain_goals
-  FROM resp_epic_id e JOIN answers_f a ON a.survey_id = e.survey_id LEFT JOIN rules x ON x.question_id = a.question_id)"""
+  FROM survey_dept e JOIN answers_f a ON a.survey_id = e.survey_id LEFT JOIN rules x ON x.question_id = a.question_id)"""
 ORACLE["q_goal_anti"] = _v(f"""SELECT k.* FROM {_KEYS} k
 LEFT JOIN (SELECT * FROM child_goals WHERE epic_department_id <> 'All Units') g
   ON g.goal_fiscal_yr = k.rec_fy AND g.epic_department_id = k.goal_epic_department_id AND g.domain = k.domain_goals
@@ -162,7 +163,7 @@ LEFT JOIN (SELECT * FROM child_goals WHERE epic_department_id <> 'All Units') g
   ON g.goal_fiscal_yr = k.rec_fy AND g.epic_department_id = k.goal_epic_department_id AND g.domain = k.domain_goals
 WHERE g.epic_department_id IS NOT NULL""")
 ORACLE["q_goal_all_lines"] = _v("""SELECT * FROM child_goals WHERE service_line = 'All Service Lines'
-  AND goal_fiscal_yr IN (SELECT DISTINCT rec_fy FROM resp_epic_id)""")
+  AND goal_fiscal_yr IN (SELECT DISTINCT rec_fy FROM survey_dept)""")
 ORACLE["q_zip_domains"] = _v("""SELECT a.idx, a.response_domain, b.goal_domain FROM
   (SELECT ROW_NUMBER() OVER (ORDER BY response_domain) AS idx, response_domain FROM
      (SELECT DISTINCT COALESCE(x.domain_override, x.domain) AS response_domain FROM responses r
@@ -182,14 +183,14 @@ FROM answers_f a LEFT JOIN unit_by_survey u ON u.survey_id = a.survey_id LEFT JO
 FROM goals_old g LEFT JOIN domain_translation t ON t.goals_domain = g.domain""",
     "legacy_1998": f"SELECT *, {_PARSE} FROM goals_old WHERE goal_yr = 1998",
     "line_all_goal": f"""SELECT rec_fy, domain_goals, CASE WHEN goal = 0.0 THEN CAST(NULL AS DECIMAL(4,3)) ELSE goal END AS goal
-FROM goals_stage WHERE service_line = {_LINE} AND goal_epic_department_id = 'All Units'""",
+FROM cascade WHERE service_line = {_LINE} AND goal_epic_department_id = 'All Units'""",
     "scored_g": """SELECT s.*, COALESCE(g.group_id, 0) AS group_id, COALESCE(g.group_name, 'Other') AS group_name
 FROM scored s LEFT JOIN dept_groups g ON g.department_id = s.epic_department_id""",
     "dd_src": """SELECT a.survey_id, a.question_id, a.received_date, a.discharge_date,
        CASE WHEN list_contains(x.top_values, a.value) THEN 1 ELSE 0 END AS top_box
 FROM answers_f a LEFT JOIN rules x ON x.question_id = a.question_id""",
 })
-ORACLE["q_goal_cascade"] = _v("SELECT * FROM goals_stage")
+ORACLE["q_goal_cascade"] = _v("SELECT * FROM cascade")
 ORACLE["q_goal_cascade_group"] = _v(f"""SELECT DISTINCT * FROM (
   SELECT k.rec_fy, k.service_line, k.goal_epic_department_id, k.domain_goals,
          CASE WHEN g.domain IS NULL THEN ga.goal ELSE g.goal END AS goal, k.group_name
@@ -212,8 +213,6 @@ ORACLE["q_goal_cascade_group"] = _v(f"""SELECT DISTINCT * FROM (
   FROM (SELECT DISTINCT rec_fy, service_line, group_name, domain_goals FROM scored_g) k
   LEFT JOIN (SELECT * FROM child_goals WHERE epic_department_id = 'All Units') ga
     ON ga.goal_fiscal_yr = k.rec_fy AND ga.service_line = {_LINE} AND ga.domain = k.domain_goals)""")
-ORACLE["q_flat_goals"] = _v(f"""SELECT DISTINCT {_LINE} AS service_line, unit, domain_goals,
-       CAST(0.750 AS DECIMAL(4,3)) AS goal, 2000 AS goal_fiscal_yr FROM unit_domains""")
 ORACLE["q_parse_unit_label"] = _v(f"SELECT DISTINCT unit, {_PARSE} FROM goals_old")
 _LEG_COLS = "svc_cde, goal_yr AS goal_fiscal_yr, service_line, CAST(NULL AS VARCHAR) AS unit, {id} AS epic_department_id, epic_department_name, domain, CAST(goal AS DECIMAL(4,3)) AS goal"
 ORACLE["q_goals_legacy"] = _v(f"""
@@ -226,7 +225,7 @@ WHERE unit = 'All Units' AND service_line = 'All Service Lines' AND domain IS NO
 _EXT.update({
     "leg_k": """SELECT DISTINCT e.rec_fy, lm.service_line, e.department_id AS goal_unit,
                   COALESCE(x.domain_override, x.domain) AS domain_goals
-           FROM resp_epic_id e JOIN answers_f a ON a.survey_id = e.survey_id
+           FROM survey_dept e JOIN answers_f a ON a.survey_id = e.survey_id
            LEFT JOIN rules x ON x.question_id = a.question_id
            LEFT JOIN location_master lm ON lm.department_id = e.department_id""",
     "leg_ug": "SELECT DISTINCT * FROM legacy_all WHERE unit <> 'All Units' AND domain IS NOT NULL AND goal IS NOT NULL",
@@ -265,7 +264,7 @@ FROM scored s LEFT JOIN line_all_goal ga ON ga.rec_fy = s.rec_fy AND ga.domain_g
 ORACLE["q_rollup_groups"] = _v("""
 SELECT s.survey_id, s.question_id, s.clinic, CAST(s.group_id AS VARCHAR) AS group_id, s.group_name, s.domain_goals, g.goal FROM scored_g s
 LEFT JOIN (SELECT DISTINCT rec_fy, goal_epic_department_id, service_line, domain_goals, goal
-           FROM goals_stage WHERE goal_epic_department_id <> 'All Units') g
+           FROM cascade WHERE goal_epic_department_id <> 'All Units') g
   ON g.rec_fy = s.rec_fy AND g.goal_epic_department_id = s.goal_epic_department_id
  AND g.service_line = s.service_line AND g.domain_goals = s.domain_goals
 UNION ALL
@@ -288,24 +287,17 @@ LEFT JOIN (SELECT * FROM adult_goals WHERE epic_department_id = 'All Units' AND
   ON g.goal_fiscal_yr = f.fy AND g.domain = f.domain_goals""")
 
 
-def _dd(dis_lo: str | None, where: str) -> str:
-    lo = f"day_date >= DATE '{dis_lo}' AND " if dis_lo else ""
-    return _v(f"""SELECT s.survey_id, s.question_id, s.received_date, s.discharge_date, s.top_box,
-       {rpt_prd('rec.day_date')} AS rpt_prd, rec.day_date AS event_date, rec.fyear_num AS event_fy,
-       rec.quarter_name, rec.month_short_name, dis.day_date AS event_date_disch
-FROM (SELECT * FROM calendar WHERE day_date >= DATE '{DEFAULT.start}' AND day_date <= DATE '{DEFAULT.end}') rec
-LEFT JOIN dd_src s ON rec.day_date = s.received_date
-FULL OUTER JOIN (SELECT * FROM calendar WHERE {lo}day_date <= DATE '{DEFAULT.end}') dis ON dis.day_date = s.discharge_date
-{where}""")
+def _dd(dis_lo: str | None, full: bool, where: str = "TRUE") -> str:
+    return _v(f"""SELECT survey_id, question_id, received_date, discharge_date, top_box, rpt_prd, event_date, event_fy, quarter_name,
+       month_short_name, event_date_disch FROM {report_days('dd_src', DEFAULT.start, DEFAULT.end, dis_lo, full)} WHERE {where}""")
 
 
-_WIN = f"BETWEEN DATE '{DEFAULT.start}' AND DATE '{DEFAULT.end}'"
-ORACLE["q_dual_date_left"] = _dd(None, f"WHERE rec.day_date {_WIN}")
-ORACLE["q_dual_date_full"] = _dd(DEFAULT.start, "")
-ORACLE["q_dual_date_inner"] = _dd(DEFAULT.start, f"WHERE dis.day_date {_WIN} AND rec.day_date {_WIN}")
+ORACLE["q_dual_date_left"] = _dd(None, False)
+ORACLE["q_dual_date_full"] = _dd(DEFAULT.start, True)
+ORACLE["q_dual_date_inner"] = _dd(DEFAULT.start, False, "survey_id IS NOT NULL AND event_date_disch IS NOT NULL")
 _EXT["clinic_lines"] = """SELECT DISTINCT s.clinic, m.service_line FROM
   (SELECT DISTINCT survey_id, unit, CASE WHEN department_name IS NOT NULL THEN department_name || ' [' || trim(department_id) || ']'
-                                         ELSE 'Unknown [' || trim(department_id) || ']' END AS clinic FROM resp_epic_id) s
+                                         ELSE 'Unknown [' || trim(department_id) || ']' END AS clinic FROM survey_dept) s
   LEFT JOIN unit_mapping m ON m.unit_name = s.unit"""
 _EXT["shared_cl"] = """SELECT clinic, COUNT(DISTINCT service_line) AS n_distinct FROM clinic_lines WHERE clinic <> 'All Units'
 GROUP BY clinic HAVING COUNT(DISTINCT service_line) > 1"""
@@ -316,7 +308,6 @@ FROM clinic_lines f LEFT JOIN shared_cl sh ON sh.clinic = f.clinic""")
 
 # -- labels, enrichment, reports, audits, benchmarks ---------------------------------
 from boxscore.sources.tables import FIXED_LOAD_DTM  # noqa: E402
-from oracle.stages import unit_group_views  # noqa: E402
 
 
 def _pct(t: str, n: str) -> str:
@@ -361,10 +352,11 @@ LEFT JOIN rs_unit u ON u.survey_id = a.survey_id""",
 FROM (SELECT DISTINCT survey_id, resolved_department_key, unit FROM sud) s
 LEFT JOIN departments d ON d.department_key = s.resolved_department_key
 LEFT JOIN location_master lm ON lm.department_id = d.department_id""",
-    **unit_group_views(DEFAULT),
-    "mp_arms": """SELECT group_name, clinic, domain_goals, question_id, top_box, goal_own AS goal, received_date FROM ug_goal
-UNION ALL SELECT group_name, 'All Units', domain_goals, question_id, top_box, goal_all, received_date FROM ug_goal
-UNION ALL SELECT 'All Groups', 'All Units', domain_goals, question_id, top_box, goal_all, received_date FROM ug_goal""",
+    "scored_g_goal": """SELECT s.*, COALESCE(g.group_id, 0) AS group_id, COALESCE(g.group_name, 'Other') AS group_name
+FROM scored_goal s LEFT JOIN dept_groups g ON g.department_id = s.epic_department_id""",
+    "mp_arms": """SELECT group_name, clinic, domain_goals, question_id, top_box, goal, received_date FROM scored_g_goal
+UNION ALL SELECT group_name, 'All Units', domain_goals, question_id, top_box, goal_all, received_date FROM scored_g_goal
+UNION ALL SELECT 'All Groups', 'All Units', domain_goals, question_id, top_box, goal_all, received_date FROM scored_g_goal""",
     "mp_src": """SELECT s.*, c.month_short_name AS m_short, c.month_key FROM mp_arms s
 LEFT JOIN calendar c ON c.day_date = s.received_date WHERE s.domain_goals IS NOT NULL""",
     "monthly": f"""SELECT group_name, clinic, domain_goals, question_id, m_short AS month_short_name, month_key,
@@ -382,7 +374,7 @@ UNION ALL SELECT DISTINCT value, domain, 'Domain', percentile_rank, period_begin
                    ELSE LEAD(value) OVER (PARTITION BY domain, question_id ORDER BY period_end, value) END AS next_value,
          ROW_NUMBER() OVER (PARTITION BY domain, question_id, value ORDER BY period_end DESC) AS seq
   FROM ranks r WHERE question_id <> 'Domain') WHERE seq = 1""",
-    "ext_rows": extract_result(DEFAULT),
+    "ext_rows": unit_report(DEFAULT),
 })
 
 ORACLE["q_star_enrich"] = _v("""SELECT r.survey_id, r.question_id, q.varname, acc.mrn, p.last_name, p.first_name,
@@ -416,7 +408,7 @@ LEFT JOIN (SELECT * FROM adult_goals WHERE epic_department_id = 'All Units' AND
   ON g.goal_fiscal_yr = f.fy AND g.service_line = f.service_line AND g.domain = f.domain_goals""")
 ORACLE["q_goal_by_unit"] = _v("""SELECT e.survey_id, a.question_id, e.rec_fy, e.department_id AS epic_department_id,
        COALESCE(x.domain_override, x.domain) AS domain_goals, CAST(ug.goal AS DECIMAL(4,3)) AS goal
-FROM (SELECT DISTINCT survey_id, department_id, department_name, goal_department_id, rec_fy, unit FROM resp_epic_id) e
+FROM (SELECT DISTINCT survey_id, department_id, department_name, goal_department_id, rec_fy, unit FROM survey_dept) e
 JOIN answers_f a ON a.survey_id = e.survey_id
 LEFT JOIN rules x ON x.question_id = a.question_id
 LEFT JOIN leg_ug ug ON ug.goal_yr = e.rec_fy AND ug.epic_department_id = e.department_id
@@ -466,21 +458,27 @@ WHERE m.question_id = 2""")
 
 # -- extract variants ------------------------------------------------------------
 from boxscore.plans import lines as _lines  # noqa: E402
-from oracle.stages import line_result, line_views  # noqa: E402
-
-_EXT.update(line_views(_lines.LINE_CFG, False, "svc", "adult"))
-_EXT.update(line_views(_lines.CLINIC_CFG, True, "cgs", "adult"))
-_EXT.update(line_views(_lines.CHILD_CFG, False, "csv", "flat"))
-ORACLE["q_line_extract"] = _v(line_result(_lines.LINE_CFG, "svc"))
-ORACLE["q_clinic_extract"] = _v(line_result(_lines.CLINIC_CFG, "cgs"))
-ORACLE["q_child_extract"] = _v(line_result(_lines.CHILD_CFG, "csv"))
-from oracle.stages import adult_views, unit_group_result  # noqa: E402
-
-_EXT.update(adult_views(_lines.ADULT_CFG, "ad", False, True))
-_EXT.update(adult_views(_lines.ADULT_CFG, "fl", True, False))
-ORACLE["q_adult_extract"] = _v("SELECT * FROM ad_result")
-ORACLE["q_without_flagged"] = _v("SELECT * FROM fl_result")
-ORACLE["q_unit_extract_group"] = _v(unit_group_result(DEFAULT))
+from boxscore.plans import surveys as _surveys  # noqa: E402
+
+_EXT.update(line_views())
+_EXT.update(typed_views(_surveys.ADULT_CFG))
+ORACLE["q_line_extract"] = _v(line_report(_lines.LINE_CFG, "placed_goal"))
+ORACLE["q_child_extract"] = _v(line_report(_lines.CHILD_CFG, "placed_flat", clipped=False))
+ORACLE["q_child_extract_unit_suffix"] = _v(line_report(_lines.CHILD_CFG, "placed_flat", key="unit"))
+ORACLE["q_clinic_extract"] = _v(clinic_report(_surveys.CLINIC_CFG))
+ORACLE["q_adult_extract"] = _v(survey_report(_surveys.ADULT_CFG, "in_line_goal", "line"))
+ORACLE["q_adult_extract_unit"] = _v(survey_report(_surveys.ADULT_CFG, "in_unit_goal", "unit"))
+ORACLE["q_without_flagged"] = _v(unflagged_report(_surveys.ADULT_CFG))
+ORACLE["q_child_extract_by_unit"] = _v(survey_report(_surveys.CHILD_CFG, "pd_unit_goal", "unit", ", top_box_response"))
+ORACLE["q_child_extract_by_line"] = _v(survey_report(_surveys.CHILD_CFG, "pd_line_goal", "line", ", top_box_response"))
+ORACLE["q_flat_goals"] = _v("SELECT * FROM flat_goals")
+for _name, _service, _type in (("all_child", "PD", "child"), ("all_adult", "IN", "adult"), ("all_clinic", "MD", "clinic")):
+    _EXT[f"{_name}_raw"] = f"SELECT * FROM responses WHERE service_code = '{_service}'"
+    # every stored answer counts, so repeated rows stay
+    _EXT[_name] = (detail_sql(f"{_name}_raw", DEFAULT, _type).replace("SELECT DISTINCT", "SELECT", 1))
+ORACLE["q_survey_scales"] = _v("""SELECT r.service_code, r.question_id, r.value, r.value_resp_grp, r.top_box_response, r.top_box, r.domain_goals, count(*) AS n
+FROM (SELECT * FROM all_child UNION ALL SELECT * FROM all_adult UNION ALL SELECT * FROM all_clinic) r GROUP BY ALL""")
+ORACLE["q_unit_extract_group"] = _v(unit_report(DEFAULT, groups=True))
 ORACLE["q_designator_from_log"] = _v(f"""SELECT r.survey_id, r.question_id, r.received_date, l.designator
 FROM responses r
 LEFT JOIN (SELECT survey_id, substring(value, 1, 2) AS designator FROM (
@@ -494,8 +492,6 @@ ORACLE["q_response_summary_group"] = _v(f"""SELECT {line_display(_q(DEFAULT.serv
        r.question_id, r.rpt_prd, r.event_date, r.event_date_disch, r.quarter_name, r.month_short_name,
        COALESCE(g.group_name, 'Other') AS department_group_name, {_LOAD} AS load_dtm
 FROM rs_rows r LEFT JOIN dept_groups g ON g.department_id = r.department_id""")
-_EXT.update(line_views(_lines.CHILD_CFG, False, "tcs", "flat", clipped=True))
-ORACLE["q_child_extract_unit_suffix"] = _v(line_result(_lines.CHILD_CFG, "tcs", key="unit"))
 ORACLE["q_department_audit"] = _v("""SELECT DISTINCT s.survey_id, s.unit, s.der_unit,
        a.department_name AS assigned_department_name, d.department_name AS derived_department_name,
        b.department_name AS dashboard_department_name
