@@ -28,6 +28,8 @@ from __future__ import annotations
 
 from array import array
 from collections.abc import Iterator
+from itertools import chain
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -52,7 +54,7 @@ class Aligner:
     more often and are aligned many at a time.
     """
 
-    FRONT = "\n"  # in front of a unit, so that sentencepiece adds its blank there: two tokens that belong to no unit
+    FRONT = "\n"  # before a unit without a blank, so that sentencepiece adds its blank there: two tokens that belong to no unit
 
     def __init__(self, first: str, second: str):
         import os
@@ -79,6 +81,7 @@ class Aligner:
             mixed |= not (self.b.is_byte(i) or self.b.is_control(i) or self.b.is_unknown(i)) and any(map(str.isalpha, plain)) and not plain.isalpha()
         self.lengths = [np.array(list(map(len, x)), np.int64) for x in (self.a_bytes, self.b_bytes)]
         self.front = len(self.b.encode(self.FRONT))
+        self.decimal = list(map(str, range(max(map(len, self.lengths)))))
         # a blank between two characters that no definition counts as white space
         self.split = re.compile(r"(?<=\S) (?=\S)").split
         letter, mark = "[A-Za-zÀ-ÖØ-öø-ſ]", r"[!-&(-/:-@\[-`{-~]"  # no apostrophe: it begins contractions
@@ -117,26 +120,44 @@ class Aligner:
     def align(self, units: list[str]) -> list[tuple]:
         """Alignment of every unit by itself, None where the bytes of tokens are not those of the unit."""
         firsts = self.a.encode_batch(units, add_special_tokens=False)
-        seconds = [[(p.id, p.end) for p in x.pieces][self.front:] for x in self.b.encode([self.FRONT + u for u in units], return_type="proto", num_threads=1)]
-        right = [b"".join(map(self.a_bytes.__getitem__, x.ids)) == (whole := u.encode()) and b"".join([self.b_bytes[i] for i, _ in y]) == whole
-                 for u, x, y in zip(units, firsts, seconds)]
-        good = [(u, x, y) for ok, u, x, y in zip(right, units, firsts, seconds) if ok]
+        # sentencepiece adds the blank of a unit that begins with one
+        seconds = self.b.encode([u[1:] if u[0] == " " else self.FRONT + u for u in units], return_type="proto", num_threads=1)
+        span = attrgetter("id", "end")
+        spans = [list(map(span, x.pieces)) for x in seconds]
+        for k, u in enumerate(units):
+            if u[0] != " ":
+                del spans[k][:self.front]
+        ids = [f.ids for f in firsts]
+        whole = "".join(units).encode()
+        if self._joined(0, ids) == whole and self._joined(1, [[i for i, _ in y] for y in spans]) == whole and self._sizes_fit(units, ids, spans):
+            return self._aligned(units, firsts, ids, spans)
+        right = [self._joined(0, [x]) == (w := u.encode()) and self._joined(1, [[i for i, _ in y]]) == w for u, x, y in zip(units, ids, spans)]
+        good = [row for ok, *row in zip(right, units, firsts, ids, spans) if ok]
         found = iter(self._aligned(*map(list, zip(*good))) if good else ())
         return [next(found) if ok else None for ok in right]
 
-    def _aligned(self, units: list[str], firsts: list, seconds: list) -> list[tuple]:
+    def _joined(self, side: int, ids: list[list[int]]) -> bytes:
+        return b"".join(map((self.a_bytes, self.b_bytes)[side].__getitem__, chain.from_iterable(ids)))
+
+    def _sizes_fit(self, units: list[str], ids: list, spans: list) -> bool:
+        sizes = [len(u.encode()) for u in units]
+        a, b = (x.tolist() for x in self.lengths)
+        return all(sum(map(a.__getitem__, x)) == n and sum([b[i] for i, _ in y]) == n for n, x, y in zip(sizes, ids, spans))
+
+    def _aligned(self, units: list[str], firsts: list, id_lists: list, spans: list) -> list[tuple]:
         """All units as one row of bytes: the ends of tokens are cut out of it together."""
         sizes = np.fromiter((len(u.encode()) for u in units), np.int64, len(units))
         unit_ends = np.cumsum(sizes)
         data = np.frombuffer("".join(units).encode(), np.uint8)
-        counts = [np.fromiter(map(len, x), np.int64, len(units)) for x in ([f.ids for f in firsts], seconds)]
-        ids = [np.fromiter((i for f in firsts for i in f.ids), np.int64, int(counts[0].sum())),
-               np.fromiter((i for y in seconds for i, _ in y), np.int64, int(counts[1].sum()))]
+        counts = [np.fromiter(map(len, x), np.int64, len(units)) for x in (id_lists, spans)]
+        second = np.fromiter(chain.from_iterable(chain.from_iterable(spans)), np.int64, 2 * int(counts[1].sum())).reshape(-1, 2)
+        ids = [np.fromiter(chain.from_iterable(id_lists), np.int64, int(counts[0].sum())), second[:, 0]]
+        offsets = np.fromiter(chain.from_iterable(chain.from_iterable([f.offsets for f in firsts])), np.int64, 2 * len(ids[0])).reshape(-1, 2)
         # coarse cuts: ends of characters from the first library, bytes from the second
         char_ends = np.flatnonzero(np.append(data & 0xC0, 0) != 0x80)[1:]
         chars_before = np.cumsum([0] + [len(u) for u in units[:-1]])
-        coarse = [char_ends[np.fromiter((e for f in firsts for _, e in f.offsets), np.int64, len(ids[0])) + np.repeat(chars_before, counts[0]) - 1],
-                  np.fromiter((e for y in seconds for _, e in y), np.int64, len(ids[1])) - len(self.FRONT) + np.repeat(unit_ends - sizes, counts[1])]
+        before = unit_ends - sizes + np.fromiter((1 if u[0] == " " else -len(self.FRONT) for u in units), np.int64, len(units))
+        coarse = [char_ends[offsets[:, 1] + np.repeat(chars_before, counts[0]) - 1], second[:, 1] + np.repeat(before, counts[1])]
         cuts = []
         for k in (0, 1):
             refined = np.cumsum(self.lengths[k][ids[k]])  # bytes of the tokens, also inside characters
@@ -146,16 +167,16 @@ class Aligner:
             cuts.append(refined)
         ends = np.intersect1d(*cuts, assume_unique=True)
         i, j = (np.searchsorted(c, ends) for c in cuts)
-        codes = (ids[0][i] << 32 | ids[1][j]).tolist()
-        a_shown, b_shown = (list(map(str, x.tolist())) for x in ids)
+        codes = array("q", (ids[0][i] << 32 | ids[1][j]).tobytes())
+        a_shown, b_shown = (list(map(self.decimal.__getitem__, x.tolist())) for x in ids)
         shown, i0, j0 = [], 0, 0
         for i1, j1 in zip((i + 1).tolist(), (j + 1).tolist()):
-            shown.append(",".join(a_shown[i0:i1]) + "|" + ",".join(b_shown[j0:j1]))
+            shown.append(f"{a_shown[i0] if i1 - i0 == 1 else ','.join(a_shown[i0:i1])}|{b_shown[j0] if j1 - j0 == 1 else ','.join(b_shown[j0:j1])}")
             i0, j0 = i1, j1
         groups = np.searchsorted(ends, unit_ends, "right").tolist()
         out, at = [], 0
         for n_a, n_b, to in zip(*(c.tolist() for c in counts), groups):
-            out.append((n_a, n_b, to - at, ";".join(shown[at:to]), array("q", codes[at:to])))
+            out.append((n_a, n_b, to - at, ";".join(shown[at:to]), codes[at:to]))
             at = to
         return out
 
