@@ -79,8 +79,9 @@ def default_window_cols(as_of: Column, months_back: int = 24) -> tuple[Column, C
     return F.trunc(F.add_months(as_of, -months_back), "MM"), F.last_day(as_of)
 
 
-def default_report_window_cols(as_of: Column, fy_start_month: int = FY_START_MONTH) -> tuple[Column, Column]:
-    """Start of the as-of date's fiscal year .. the day before as-of."""
+def default_report_window_cols(as_of: Column, start: str | None = None, fy_start_month: int = FY_START_MONTH) -> tuple[Column, Column]:
+    """A fixed start of a fiscal year .. the day before as-of; without
+    ``start``, the fiscal year of as-of itself."""
     fy = fiscal_year(as_of, fy_start_month)
-    start = F.make_date(fy - 1, F.lit(fy_start_month), F.lit(1))
-    return start, F.date_sub(as_of, 1)
+    first = F.make_date(fy - 1, F.lit(fy_start_month), F.lit(1)) if start is None else F.lit(start).cast("date")
+    return first, F.date_sub(as_of, 1)

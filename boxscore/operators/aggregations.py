@@ -58,13 +58,31 @@ def spans_many(df: DataFrame, key: str, of: str) -> DataFrame:
 
 
 def assignment_audit(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Row counts and top-box sums by the audit keys."""
+    """A7 over answers: row counts and top-box sums by the audit keys."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum("top_box").cast("bigint").alias("top_box"))
 
 
+def survey_audit(df: DataFrame, survey_keys: list[str], keys: list[str]) -> DataFrame:
+    """A7 over distinct surveys: the audit rows (R3) of each survey are distinct
+    first, with the top-box sum and the number of their answers, then counted by the
+    audit keys. Both levels combine before they are shuffled, so a frequent key
+    costs one row per task and survey, then one per task."""
+    per_survey = df.groupBy(*survey_keys).agg(F.sum("top_box").alias("top_box"), F.sum("val_count").alias("val_count"))
+    return per_survey.groupBy(*keys).agg(F.count(F.lit(1)).alias("survey_count"), F.sum("top_box").cast("bigint").alias("top_box"),
+                                         F.sum("val_count").cast("bigint").alias("val_count"))
+
+
 def surveys_by(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Distinct surveys per key set."""
-    return df.groupBy(*keys).agg(F.countDistinct("survey_id").alias("n_surveys"))
+    """Distinct surveys per key set, by a two-level aggregate."""
+    return df.select(*keys, "survey_id").distinct().groupBy(*keys).agg(F.count("survey_id").alias("n_surveys"))
+
+
+def question_catalog(fact: DataFrame, questions: DataFrame, service: str, varnames: list[str]) -> DataFrame:
+    """the questions of a service's answers whose variable is in a list.
+    The fact is reduced to its distinct questions before the dimension joins."""
+    asked = fact.where(F.col("service_code") == service).select("service_code", "question_id").distinct()
+    return (asked.join(questions, "question_id", "left").where(F.col("varname").isin(*varnames))
+            .select("service_code", "varname", "question_id", "question_text").distinct())
 
 
 def value_distribution(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -59,10 +59,11 @@ def goal_department_key(own: Column, unit: Column, unit_keys: dict[str, int],
 
 
 def department_audit(df: DataFrame, departments: DataFrame, own: str = "department_key",
-                     mapped: str = "dep_department_key") -> DataFrame:
+                     mapped: str = "dep_department_key", period: tuple[str, ...] = ()) -> DataFrame:
     """Per survey, the department the survey was assigned (own key), the
     department its unit maps to, and the one the dashboard shows (mapped key,
-    else own key), by name - DISTINCT rows for side-by-side review."""
+    else own key), by name - DISTINCT rows for side-by-side review, with the
+    ``period`` columns (fiscal year, month, year, designator) of its answers."""
     names = departments.select("department_key", "department_name")
 
     def name_of(key_col, alias):
@@ -74,5 +75,5 @@ def department_audit(df: DataFrame, departments: DataFrame, own: str = "departme
                            ("__dash", "dashboard_department_name")):
         n, cond = name_of(key_col, alias)
         x = x.join(n, cond, "left").drop(f"__k_{alias}")
-    return x.select("survey_id", "unit", "der_unit", "assigned_department_name", "derived_department_name",
+    return x.select("survey_id", *period, "unit", "der_unit", "assigned_department_name", "derived_department_name",
                     "dashboard_department_name").distinct()

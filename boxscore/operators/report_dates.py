@@ -46,14 +46,15 @@ def discharge_spine(calendar: DataFrame, end, start=None) -> DataFrame:
 
 def dual_date(df: DataFrame, calendar: DataFrame, start, end, mode: str = "left",
               discharge_start=None, received_col: str = "received_date",
-              discharge_col: str = "discharge_date", dates: DataFrame | None = None) -> DataFrame:
-    """``dates`` has the answers' two dates and nothing else, from a narrower
+              discharge_col: str = "discharge_date", dates: DataFrame | None = None, discharge_days: DataFrame | None = None) -> DataFrame:
+    """``discharge_days`` is the calendar of the discharge dates where ``calendar``
+    has only the received window's days. ``dates`` has the answers' two dates and nothing else, from a narrower
     plan than ``df``: the days without answers are then found without a second
     evaluation of ``df``."""
     if mode not in ("left", "full", "inner"):
         raise ValueError(f"unknown mode {mode}")
     rec = F.broadcast(received_spine(calendar, start, end))
-    dis = F.broadcast(discharge_spine(calendar, end, discharge_start))
+    dis = F.broadcast(discharge_spine(calendar if discharge_days is None else discharge_days, end, discharge_start))
 
     matched = df.join(rec, df[received_col] == rec["event_date"], "inner")
     if mode == "inner":

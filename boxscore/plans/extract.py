@@ -70,7 +70,7 @@ def survey_departments(inp: Inputs, answers: DataFrame, cfg: ExtractConfig = DEF
     a survey answered under two departments keeps both rows (fan-out kept).
     """
     unit = survey_attribute(answers, cfg.unit_question, "unit", L.NULL_UNIT)
-    cal = inp.calendar.select(F.col("day_date").alias("received_date"), F.col("fyear_num").alias("rec_fy"))
+    cal = inp.days(cfg.start, cfg.end).select(F.col("day_date").alias("received_date"), F.col("fyear_num").alias("rec_fy"))
     deps = inp.departments.select("department_key", "department_id", "department_name")
     trn = L.department_translation(inp.spark)
     rows = (answers.select("survey_id", "department_key", "received_date", "fy").distinct()
@@ -237,13 +237,14 @@ def finish(df: DataFrame, cfg: ExtractConfig, extra_cols=()) -> DataFrame:
 
 def unit_extract(inp: Inputs, cfg: ExtractConfig = DEFAULT) -> DataFrame:
     """Unit-level extract with empty days and an 'All Units' copy."""
-    spined = dual_date(scored_answers(inp, cfg), inp.calendar, cfg.start, cfg.end, mode=cfg.date_mode, dates=answer_dates(inp, cfg))
+    spined = dual_date(scored_answers(inp, cfg), inp.days(cfg.start, cfg.end), cfg.start, cfg.end, mode=cfg.date_mode,
+                       discharge_days=inp.calendar, dates=answer_dates(inp, cfg))
     return finish(rollup_units(spined), cfg)
 
 
 def unit_extract_groups(inp: Inputs, cfg: ExtractConfig = DEFAULT) -> DataFrame:
     """Unit extract with department groups: unit rows, 'All Units' per
     group and 'All Units' over 'All Groups'."""
-    spined = dual_date(scored_answers(inp, cfg, groups=True), inp.calendar, cfg.start, cfg.end, mode=cfg.date_mode,
-                       dates=answer_dates(inp, cfg))
+    spined = dual_date(scored_answers(inp, cfg, groups=True), inp.days(cfg.start, cfg.end), cfg.start, cfg.end, mode=cfg.date_mode,
+                       discharge_days=inp.calendar, dates=answer_dates(inp, cfg))
     return finish(rollup_groups(spined), cfg, extra_cols=("group_id", "group_name"))

@@ -126,7 +126,7 @@ def line_extract(inp: Inputs, cfg: ExtractConfig = LINE_CFG, outpatient: bool =
 
 
 def line_result(inp: Inputs, cfg: ExtractConfig, staged: DataFrame, rows: DataFrame, suffix_col: str = "clinic", clipped: bool = False) -> DataFrame:
-    spined = dual_date(staged, inp.calendar, cfg.start, cfg.end, mode="full", discharge_start=cfg.start, dates=answer_dates(inp, cfg))
+    spined = dual_date(staged, inp.days(cfg.start, cfg.end), cfg.start, cfg.end, mode="full", discharge_start=cfg.start, dates=answer_dates(inp, cfg))
     both = F.col("survey_id").isNotNull() & F.col("event_date_disch").isNotNull()
     rolled = rollup_lines(spined, copy_if=both if clipped else None)
     rolled = suffix_shared(rolled, key=suffix_col, exclude_col="service_line", exclude=L.ALL_SERVICE_LINES,
@@ -215,3 +215,40 @@ def locations(inp: Inputs, cfg: ExtractConfig = DEFAULT, load_dtm: str = FIXED_L
     # surveys without a resolved department keep their row (NULL department)
     return (loc.select("service_line", "clinic", "epic_department_id").distinct()
             .withColumn("load_dtm", F.lit(load_dtm).cast("timestamp_ntz")))
+
+
+def response_summary_mapped(inp: Inputs, cfg: ExtractConfig = DEFAULT, load_dtm: str = FIXED_LOAD_DTM) -> DataFrame:
+    """P8, warehouse form: the department is the one the survey resolves to (own
+    key, else unit mapping, else first encounter; R1), also where it is unknown.
+    The cascade runs on the distinct survey keys; the answers meet it there and
+    the department's names join the distinct reporting rows."""
+    answers = filtered_answers(inp, cfg)
+    keys = ["survey_id", "account_key", "department_key"]
+    resolved = survey_unit_departments(inp, cfg, answers).select(*[F.col(k).alias(f"__{k}") for k in keys], "unit", "resolved_department_key").distinct()
+    domains = F.broadcast(inp.rules.select("question_id", "domain").where(F.col("domain").isNotNull()))
+    a = answers.select(*keys, "question_id", "received_date", "discharge_date").join(domains, "question_id", "inner")
+    on = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
+    rows = (a.join(resolved, on, "left").select("resolved_department_key", "unit", "domain", "question_id", "received_date", "discharge_date").distinct())
+    calendar = F.broadcast(inp.calendar.select(F.col("day_date").alias("received_date"), "quarter_name", "month_short_name"))
+    deps = inp.departments.select(F.col("department_key").alias("resolved_department_key"), "department_id", "department_name")
+    master = inp.location_master.select("department_id", F.col("department_name").alias("master_name"))
+    named = rows.join(calendar, "received_date", "left").join(deps, "resolved_department_key", "left").join(master, "department_id", "left")
+    return named.select(
+        V.service_line_display(F.lit(cfg.service_line), F.lit(cfg.sub_service_line)).alias("service_line"),
+        V.clinic_label2(F.col("master_name"), F.col("department_id"), F.col("department_name"), F.col("department_id")).alias("clinic"),
+        F.col("department_id").alias("epic_department_id"), "domain", "question_id", period_label(F.col("received_date")).alias("rpt_prd"),
+        F.col("received_date").alias("event_date"), F.col("discharge_date").alias("event_date_disch"), "quarter_name",
+        "month_short_name").distinct().withColumn("load_dtm", F.lit(load_dtm).cast("timestamp_ntz"))
+
+
+def load_response_summary(inp: Inputs, path: str, cfg: ExtractConfig = DEFAULT, mapped: bool = False) -> str:
+    """P8 as a load: the summary replaces the table's contents."""
+    from boxscore.sources import sinks
+    rows = response_summary_mapped(inp, cfg) if mapped else response_summary(inp, cfg)
+    return sinks.load_table(rows, path, sinks.RESPONSE_SUMMARY_SCHEMA)
+
+
+def load_locations(inp: Inputs, path: str, cfg: ExtractConfig = DEFAULT, external: bool = False) -> str:
+    """P9 / P10 as a load: the picklist replaces the table's contents."""
+    from boxscore.sources import sinks
+    return sinks.load_table(locations(inp, cfg, external=external), path, sinks.LOCATIONS_SCHEMA)

@@ -18,10 +18,10 @@ SUMMARY_KEYS = ["rec_fy", "month_num", "month_short_name", "unit", "epic_departm
                 "goal_epic_department_id", "clinic", "service_line_id", "service_line", "domain_goals"]
 
 
-def with_month(inp: Inputs, df: DataFrame) -> DataFrame:
+def with_month(inp: Inputs, df: DataFrame, cfg: ExtractConfig = DEFAULT) -> DataFrame:
     """Month attributes of the received date (broadcast calendar: its size
-    is fixed by its date range)."""
-    cal = inp.calendar.select(F.col("day_date").alias("received_date"), "month_num", "month_short_name")
+    is fixed by the window, which the answers lie in)."""
+    cal = inp.days(cfg.start, cfg.end).select(F.col("day_date").alias("received_date"), "month_num", "month_short_name")
     return df.join(F.broadcast(cal), "received_date", "left")
 
 
@@ -35,7 +35,7 @@ def window_years(cfg: ExtractConfig) -> list[int]:
 def score_summary(inp: Inputs, cfg: ExtractConfig = DEFAULT) -> DataFrame:
     """Monthly top-box score per unit/department/domain with its goal,
     for the fiscal years of the report window."""
-    s = Fl.reportable_domains(with_month(inp, summary_answers(inp, cfg)))
+    s = Fl.reportable_domains(with_month(inp, summary_answers(inp, cfg), cfg))
     out = A.score_summary(s, [*SUMMARY_KEYS, "goal"])
     cal_years = (inp.calendar.where(F.col("day_date").between(F.lit(cfg.start).cast("date"), F.lit(cfg.end).cast("date")))
                  .select(F.col("fyear_num").alias("rec_fy")))

@@ -210,7 +210,7 @@ def clinic_extract(inp: Inputs, cfg: ExtractConfig = CLINIC_CFG) -> DataFrame:
     own = goals_by_domain(g.where(F.col("unit") == L.ALL_CLINICS), {"service_line": "service_line"}, "line_goals")
     frame = rows.join(own, "service_line", "left").withColumn("every_goals", all_goals(g.where(F.col("service_line") == L.ALL_SERVICE_LINES)))
     s = scored(inp, L.CLINIC, answers, frame, CLINIC_KEYS, {"goal": goal_in("line_goals"), "goal_all_lines": goal_in("every_goals")})
-    spined = dual_date(s, inp.calendar, cfg.start, cfg.end, mode="full", discharge_start=cfg.start, dates=dates_of(inp, answers))
+    spined = dual_date(s, inp.days(cfg.start, cfg.end), cfg.start, cfg.end, mode="full", discharge_start=cfg.start, dates=dates_of(inp, answers))
     both = F.col("survey_id").isNotNull() & F.col("event_date_disch").isNotNull()
     in_window = F.col("received_date").between(F.lit(cfg.start).cast("date"), F.lit(cfg.end).cast("date"))
     asked = answers.join(F.broadcast(inp.questions.select("question_id")), "question_id", "left_semi").where(in_window).select("survey_id", "department_key").distinct()

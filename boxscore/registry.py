@@ -26,9 +26,10 @@ from boxscore.operators import rollups as U
 from boxscore.operators import windows as W
 from boxscore.operators.ordering import report_order
 from boxscore.plans import extract, lines, summaries, surveys
-from boxscore.plans.config import DEFAULT
+from boxscore.plans.config import DEFAULT, ExtractConfig
 from boxscore.plans.summaries import with_month
 from boxscore.sources import lookups as L
+from boxscore.sources import sinks as SK
 from boxscore.sources.tables import Inputs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -110,8 +111,18 @@ def q_default_window(inp):
     d = inp.responses.select(F.col("received_date").alias("as_of")).distinct()
     ws, we = C.default_window_cols(F.col("as_of"))
     rs, re_ = C.default_report_window_cols(F.col("as_of"))
+    fixed, _ = C.default_report_window_cols(F.col("as_of"), start=DEFAULT.start)
     return d.select("as_of", ws.alias("window_start"), we.alias("window_end"),
-                    rs.alias("report_start"), re_.alias("report_end"))
+                    rs.alias("report_start"), re_.alias("report_end"), fixed.alias("fixed_report_start"))
+
+
+ROLLING = ExtractConfig.rolling("1998-08-15")
+
+
+@register("q_unit_extract_rolling")
+def q_unit_extract_rolling(inp):
+    """P1 over the default window (F4) of an as-of date."""
+    return extract.unit_extract(inp, ROLLING)
 
 
 @register("q_filter_either_date")
@@ -149,10 +160,7 @@ def q_reportable_domains(inp):
 
 @register("q_question_catalog")
 def q_question_catalog(inp):
-    q = inp.questions
-    f = inp.responses.select("question_id", "service_code").join(q, "question_id", "left")
-    return (f.where(F.col("varname").isin("CH_1", "CH_2", "CH_3", "AGE", "UNIT"))
-            .select("question_id", "varname", "question_text", "service_code").distinct())
+    return A.question_catalog(inp.responses, inp.questions, "PD", ["CH_1", "CH_2", "CH_3", "AGE", "UNIT"])
 
 
 @register("q_top_box")
@@ -599,9 +607,71 @@ def q_assignment_audit(inp):
 
 @register("q_surveys_by_unit")
 def q_surveys_by_unit(inp):
+    """Surveys per service, department, reported and present unit; names join the counts."""
     a = extract.filtered_answers(inp, DEFAULT)
     unit = W.survey_attribute(a, L.UNIT_QUESTION, "unit", L.NULL_UNIT)
-    return A.surveys_by(a.join(unit, "survey_id", "left"), ["service_code", "department_key", "unit"])
+    unit = D.recode(unit, "unit", L.unit_aliases(inp.spark), "der_unit")
+    counts = A.surveys_by(a.select("survey_id", "service_code", "department_key").join(unit, "survey_id", "left"),
+                          ["service_code", "department_key", "unit", "der_unit"])
+    out = counts.join(inp.departments.select("department_key", F.col("department_id").alias("epic_department_id"),
+                                             F.col("department_name").alias("epic_department_name")), "department_key", "left")
+    return report_order(out, ["service_code", "department_key", "epic_department_id", "epic_department_name", "unit", "der_unit"])
+
+
+PERIOD = ("rec_fy", "month_num", "month_name", "year_num", "designator")
+
+
+def _audited(inp):
+    """Answers with the department audit of their survey (R3) and the period of their receipt."""
+    a = extract.filtered_answers(inp, DEFAULT)
+    keys = ["survey_id", "account_key", "department_key"]
+    sud = lines.survey_unit_departments(inp, DEFAULT, a).select(*[F.col(k).alias(f"__{k}") for k in keys], "unit", "der_unit", "dep_department_key").distinct()
+    cal = F.broadcast(inp.calendar.select(F.col("day_date").alias("received_date"), F.col("fyear_num").alias("rec_fy"), "month_num", "month_name", "year_num"))
+    scored = S.with_rules(a.select(*keys, "question_id", "value", "received_date", "designator"), inp.rules)
+    scored = scored.select(*keys, "received_date", "designator", S.top_box(F.col("value")).alias("top_box"), S.answered(F.col("value")).alias("val_count"))
+    return (scored.join(sud, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys], "left").join(cal, "received_date", "left"))
+
+
+AUDIT_NAMES = ["assigned_department_name", "derived_department_name", "dashboard_department_name"]
+
+
+@register("q_survey_audit")
+def q_survey_audit(inp):
+    """A7 at the nine audit keys over the distinct rows of R3, with top-box sums; names join the per-survey sums."""
+    deps = inp.departments.select("department_key", "department_name")
+    keys = ["survey_id", *PERIOD, "unit", "der_unit", "department_key", "dep_department_key"]
+    sums = _audited(inp).groupBy(*keys).agg(F.sum("top_box").alias("top_box"), F.sum("val_count").alias("val_count"))
+    named = sums.withColumn("__dash", F.coalesce("dep_department_key", "department_key"))
+    for key, name in zip(("department_key", "dep_department_key", "__dash"), AUDIT_NAMES):
+        named = named.join(deps.select(F.col("department_key").alias(f"__{name}"), F.col("department_name").alias(name)), F.col(key) == F.col(f"__{name}"), "left")
+    rows = ["survey_id", *PERIOD, "unit", "der_unit", *AUDIT_NAMES]
+    nine = ["year_num", "month_num", "month_name", "designator", "unit", "der_unit", *AUDIT_NAMES]
+    out = A.survey_audit(named, rows, nine)
+    return out.orderBy("year_num", "month_num", F.desc("survey_count"), "assigned_department_name", "designator", "unit", "der_unit",
+                       "derived_department_name", "dashboard_department_name")
+
+
+@register("q_response_summary_mapped")
+def q_response_summary_mapped(inp):
+    return lines.response_summary_mapped(inp, DEFAULT)
+
+
+def _loaded(inp, load, schema):
+    """A table as its readers see it after two loads into a new folder of the cluster's shared store."""
+    folder = SK.scratch_folder(inp.spark)
+    load(inp, folder)
+    load(inp, folder)
+    return SK.read_table(inp.spark, folder, schema)
+
+
+@register("q_load_locations")
+def q_load_locations(inp):
+    return _loaded(inp, lines.load_locations, SK.LOCATIONS_SCHEMA)
+
+
+@register("q_load_response_summary")
+def q_load_response_summary(inp):
+    return _loaded(inp, lines.load_response_summary, SK.RESPONSE_SUMMARY_SCHEMA)
 
 
 def _scored(inp):
@@ -725,6 +795,5 @@ def q_child_extract_unit_suffix(inp):
 
 @register("q_department_audit")
 def q_department_audit(inp):
-    sud = lines.survey_unit_departments(inp, DEFAULT)
     deps = inp.departments.select("department_key", "department_name")
-    return D.department_audit(sud, deps)
+    return D.department_audit(_audited(inp), deps, period=PERIOD)

@@ -201,6 +201,13 @@ class Inputs:
         days = bounds.select(F.explode(F.sequence("lo", "hi", F.expr("interval 1 day"))).alias("day_date"))
         return with_calendar_attributes(days)
 
+    def days(self, start: str | None, end: str | None) -> DataFrame:
+        """The calendar's rows of a window. The usual days need no look at the fact."""
+        if start is None or end is None or start < CALENDAR_START or end > CALENDAR_END:
+            return self.calendar
+        one = self.spark.range(1).select(F.explode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"), F.expr("interval 1 day"))).alias("day_date"))
+        return with_calendar_attributes(one)
+
     # -- goals -----------------------------------------------------------------
     @cached_property
     def goal_settings(self) -> DataFrame:

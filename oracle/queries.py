@@ -66,7 +66,7 @@ ORACLE["q_default_window"] = _v("""SELECT as_of,
        CAST(date_trunc('month', as_of - INTERVAL 24 MONTH) AS DATE) AS window_start,
        last_day(as_of) AS window_end,
        make_date(CAST(CASE WHEN month(as_of) >= 7 THEN year(as_of) + 1 ELSE year(as_of) END AS INTEGER) - 1, 7, 1) AS report_start,
-       CAST(as_of - INTERVAL 1 DAY AS DATE) AS report_end
+       CAST(as_of - INTERVAL 1 DAY AS DATE) AS report_end, DATE '1995-07-01' AS fixed_report_start
 FROM (SELECT DISTINCT received_date AS as_of FROM responses)""")
 ORACLE["q_filter_either_date"] = _v("""SELECT survey_id, question_id, received_date, discharge_date FROM responses
 WHERE received_date >= DATE '2000-01-01' OR discharge_date >= DATE '2000-01-01'""")
@@ -78,9 +78,9 @@ _RULED = "(SELECT r.survey_id, r.question_id, r.value, x.* EXCLUDE (question_id)
 ORACLE["q_reportable_domains"] = _v(f"""SELECT survey_id, question_id, COALESCE(domain_override, domain) AS domain_goals
 FROM {_RULED} WHERE COALESCE(domain_override, domain) IS NOT NULL
   AND COALESCE(domain_override, domain) NOT IN ('Meals', 'Overall Assessment', 'Pediatric ICU/CCU', 'Personal Issues')""")
-ORACLE["q_question_catalog"] = _v("""SELECT DISTINCT r.question_id, q.varname, q.question_text, r.service_code
-FROM responses r LEFT JOIN questions q ON q.question_id = r.question_id
-WHERE q.varname IN ('CH_1', 'CH_2', 'CH_3', 'AGE', 'UNIT')""")
+ORACLE["q_question_catalog"] = _v("""SELECT DISTINCT r.service_code, q.varname, r.question_id, q.question_text
+FROM responses r LEFT JOIN questions q USING (question_id)
+WHERE r.service_code = 'PD' AND q.varname IN ('CH_1', 'CH_2', 'CH_3', 'AGE', 'UNIT')""")
 ORACLE["q_top_box"] = _v(f"""SELECT survey_id, question_id, CAST(value AS VARCHAR) AS value,
        CASE WHEN list_contains(top_values, value) THEN 1 ELSE 0 END AS top_box,
        CASE WHEN value IS NOT NULL THEN 1 ELSE 0 END AS val_count FROM {_RULED}""")
@@ -417,8 +417,22 @@ ORACLE["q_assignment_audit"] = _v("""SELECT s.department_key, s.enc_department_k
        s.resolved_department_key, s.unit, s.der_unit, COUNT(*) AS n, CAST(SUM(t.top_box) AS BIGINT) AS top_box
 FROM dd_src t JOIN sud s ON s.survey_id = t.survey_id
 GROUP BY s.department_key, s.enc_department_key, s.dep_department_key, s.resolved_department_key, s.unit, s.der_unit""")
-ORACLE["q_surveys_by_unit"] = _v("""SELECT a.service_code, a.department_key, u.unit, COUNT(DISTINCT a.survey_id) AS n_surveys
-FROM answers_f a LEFT JOIN unit_by_survey u ON u.survey_id = a.survey_id GROUP BY a.service_code, a.department_key, u.unit""")
+ORACLE["q_surveys_by_unit"] = _v("""SELECT a.service_code, a.department_key, d.department_id AS epic_department_id,
+       d.department_name AS epic_department_name, u.unit, COALESCE(n.current_unit, u.unit) AS der_unit, COUNT(DISTINCT a.survey_id) AS n_surveys
+FROM answers_f a LEFT JOIN unit_by_survey u USING (survey_id) LEFT JOIN unit_aliases n ON n.unit_name = u.unit
+LEFT JOIN departments d USING (department_key) GROUP BY ALL""")
+_EXT["audited"] = """SELECT a.survey_id, c.fyear_num AS rec_fy, c.month_num, c.month_name, c.year_num, a.designator, s.unit, s.der_unit,
+       own.department_name AS assigned_department_name, mapped.department_name AS derived_department_name,
+       shown.department_name AS dashboard_department_name, CAST(COALESCE(list_contains(x.top_values, a.value), FALSE) AS INTEGER) AS top_box,
+       CAST(a.value IS NOT NULL AS INTEGER) AS val_count
+FROM answers_f a JOIN calendar c ON c.day_date = a.received_date LEFT JOIN rules x USING (question_id)
+LEFT JOIN (SELECT DISTINCT survey_id, account_key, department_key, unit, der_unit, dep_department_key FROM sud) s
+  ON s.survey_id = a.survey_id AND s.account_key = a.account_key AND s.department_key IS NOT DISTINCT FROM a.department_key
+LEFT JOIN departments own ON own.department_key = a.department_key LEFT JOIN departments mapped ON mapped.department_key = s.dep_department_key
+LEFT JOIN departments shown ON shown.department_key = COALESCE(s.dep_department_key, a.department_key)"""
+ORACLE["q_survey_audit"] = _v("""SELECT year_num, month_num, month_name, designator, unit, der_unit, assigned_department_name, derived_department_name,
+       dashboard_department_name, COUNT(*) AS survey_count, CAST(SUM(top_box) AS BIGINT) AS top_box, CAST(SUM(val_count) AS BIGINT) AS val_count
+FROM (SELECT * EXCLUDE (top_box, val_count), SUM(top_box) AS top_box, SUM(val_count) AS val_count FROM audited GROUP BY ALL) GROUP BY ALL""")
 ORACLE["q_clinic_year_check"] = _v("""SELECT clinic, rec_fy, COUNT(*) AS n, CAST(SUM(top_box) AS BIGINT) AS top_box
 FROM scored WHERE question_id = 2 GROUP BY clinic, rec_fy""")
 ORACLE["q_report_dimension"] = _v(f"""SELECT {_q(DEFAULT.event_type)} AS event_type, rec_fy AS event_fy, year_num AS event_cy,
@@ -492,10 +506,19 @@ ORACLE["q_response_summary_group"] = _v(f"""SELECT {line_display(_q(DEFAULT.serv
        r.question_id, r.rpt_prd, r.event_date, r.event_date_disch, r.quarter_name, r.month_short_name,
        COALESCE(g.group_name, 'Other') AS department_group_name, {_LOAD} AS load_dtm
 FROM rs_rows r LEFT JOIN dept_groups g ON g.department_id = r.department_id""")
-ORACLE["q_department_audit"] = _v("""SELECT DISTINCT s.survey_id, s.unit, s.der_unit,
-       a.department_name AS assigned_department_name, d.department_name AS derived_department_name,
-       b.department_name AS dashboard_department_name
-FROM sud s
-LEFT JOIN departments a ON a.department_key = s.department_key
-LEFT JOIN departments d ON d.department_key = s.dep_department_key
-LEFT JOIN departments b ON b.department_key = COALESCE(s.dep_department_key, s.department_key)""")
+ORACLE["q_department_audit"] = _v("SELECT DISTINCT * EXCLUDE (top_box, val_count) FROM audited")
+ORACLE["q_response_summary_mapped"] = _v(f"""SELECT DISTINCT {line_display(_q(DEFAULT.service_line), _q(DEFAULT.sub_service_line))} AS service_line,
+       {_clinic2('m.department_name', 'd.department_id', 'd.department_name', 'd.department_id')} AS clinic, d.department_id AS epic_department_id,
+       x.domain, a.question_id, {rpt_prd('a.received_date')} AS rpt_prd, a.received_date AS event_date, a.discharge_date AS event_date_disch,
+       c.quarter_name, c.month_short_name, {_LOAD} AS load_dtm
+FROM answers_f a JOIN rules x USING (question_id)
+LEFT JOIN sud s ON s.survey_id = a.survey_id AND s.account_key = a.account_key AND s.department_key IS NOT DISTINCT FROM a.department_key
+LEFT JOIN departments d ON d.department_key = s.resolved_department_key LEFT JOIN location_master m ON m.department_id = d.department_id
+LEFT JOIN calendar c ON c.day_date = a.received_date WHERE x.domain IS NOT NULL""")
+ORACLE["q_load_locations"] = ORACLE["q_locations"]
+ORACLE["q_load_response_summary"] = ORACLE["q_response_summary"].replace(
+    "rpt_prd, event_date, event_date_disch, quarter_name, month_short_name,",
+    "rpt_prd, CAST(event_date AS TIMESTAMP) AS event_date, CAST(event_date_disch AS TIMESTAMP) AS event_date_disch, quarter_name, month_short_name,")
+from boxscore.registry import ROLLING as _ROLLING  # noqa: E402
+
+ORACLE["q_unit_extract_rolling"] = with_views(unit_report(_ROLLING, "roll_"), {**_EXT, **extract_views(_ROLLING, "roll_")})

@@ -61,3 +61,22 @@ def test_goal_mapping_names_the_line_where_it_supplied_the_goal(spark):
     rows = G.goal_mapping(scored, G.goals_by_arm(scored, _goals(spark), "WC")).collect()
     assert {(r.response_department_id, r.goals_department_id, r.goals_department_name, r.goal) for r in rows} == {
         ("D1", "D1", "One", Decimal("0.800")), ("D2", "All Units", "All Units", Decimal("0.700"))}
+
+
+def test_flat_goals_have_three_levels(spark):
+    df = spark.createDataFrame([("PD", "L1", "U1", "A"), ("PD", "L1", "U2", "A"), ("PD", "L2", "U3", None), ("PD", "L1", "U1", "A")],
+                               "service_code string, service_line string, unit string, domain string")
+    got = sorted((r.service_line, r.unit, r.domain, str(r.goal), r.goal_yr) for r in G.flat_goals(df, "0.750", 2018).collect())
+    assert got == [("All Service Lines", "All Units", "A", "0.750", 2018), ("L1", "All Units", "A", "0.750", 2018),
+                   ("L1", "U1", "A", "0.750", 2018), ("L1", "U2", "A", "0.750", 2018)]
+
+
+def test_goal_maps_cascade(spark):
+    goals = spark.createDataFrame([(1997, "L", "d1", "A", 0.6), (1997, "L", "All Units", "A", 0.0), (1997, "L", "All Units", "B", 0.5)],
+                                  "goal_fiscal_yr int, service_line string, epic_department_id string, domain string, goal double")
+    rows = spark.createDataFrame([(1997, "d1"), (1997, "d2"), (1997, None), (1998, "d1")], "rec_fy int, goal_epic_department_id string")
+    doms = spark.createDataFrame([("A",), ("B",), (None,)], "domain_goals string")
+    x = G.with_goal_maps(rows, goals, "L").join(doms, F.lit(True)).select("rec_fy", "goal_epic_department_id", "domain_goals", *G.mapped_goals())
+    got = {(r[0], r[1], r[2]): (None if r[3] is None else float(r[3]), None if r[4] is None else float(r[4])) for r in x.collect()}
+    assert got[1997, "d1", "A"] == (0.6, None) and got[1997, "d2", "A"] == (0.0, None) and got[1997, "d1", "B"] == (0.5, 0.5)
+    assert got[1997, None, "B"] == (None, 0.5) and got[1997, "d1", None] == (None, None) and got[1998, "d1", "A"] == (None, None)

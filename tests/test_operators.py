@@ -61,12 +61,21 @@ def test_shared_clinic_suffix(spark):
     assert got == ["A - L1", "A - L2", "All Units", "All Units", "B"]
 
 
-def test_without_flagged_drops_survey_and_ignores_null_ids(spark):
-    fact = spark.createDataFrame([(1, 4, "No"), (2, 4, "Yes"), (None, 4, "No")],
-                                 "survey_id long, question_id int, value string")
-    dim = spark.createDataFrame([(4, "CH_4")], "question_id int, varname string")
-    df = spark.createDataFrame([(1,), (2,), (3,)], "survey_id long")
-    assert sorted(r.survey_id for r in J.without_flagged(df, fact, dim, "CH_4", "No").collect()) == [2, 3]
+def unflagged(spark, fact_rows, surveys=(1, 2, 3, None)):
+    fact = spark.createDataFrame(fact_rows, "survey_id long, question_id int, service_code string, value string")
+    dim = spark.createDataFrame([(4, "IN", "CH_4"), (4, "PD", "CH_4"), (5, "IN", "CH_5")], "question_id int, service_code string, varname string")
+    df = spark.createDataFrame([(s,) for s in surveys], "survey_id long")
+    return sorted((r.survey_id is None, r.survey_id) for r in J.without_flagged(df, fact, dim, "CH_4", "No", "IN").collect())
+
+
+def test_without_flagged_is_by_service(spark):
+    flagged = [(1, 4, "IN", "No"), (2, 4, "PD", "No"), (3, 5, "IN", "No"), (3, 4, "IN", "Yes")]
+    assert unflagged(spark, flagged) == [(False, 2), (False, 3)]  # a row without an id is neither in nor out
+
+
+def test_without_flagged_has_the_nulls_of_not_in(spark):
+    assert unflagged(spark, [(1, 4, "IN", "No"), (None, 4, "IN", "No")]) == []
+    assert unflagged(spark, [(1, 4, "PD", "No")]) == [(False, 1), (False, 2), (False, 3), (True, None)]
 
 
 def test_resolve_department_cascade(spark):
@@ -128,17 +137,32 @@ def test_extract_variant_switches(spark):
     assert fy.distinct().exceptAll(answers.select("survey_id", F.col("fy").alias("rec_fy")).distinct()).count() == 0
 
 
-def test_shared_list_is_hinted_by_bytes_only(spark):
-    """The byte estimate of the bounding dimension decides, and no job runs."""
+def plan_of(df):
+    import contextlib
+    import io
+
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain("simple")
+    return out.getvalue()
+
+
+def test_unit_extract_evaluates_its_answers_once(spark):
+    """With automatic broadcasts off, no join of the answers is on a goal's key, and few scans and shuffles are planned."""
+    from boxscore.registry import QUERIES
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    dim = spark.range(0, 50)
     try:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
-        assert J.fits_broadcast(dim)
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        assert not J.fits_broadcast(dim)
+        plan = plan_of(QUERIES["q_unit_extract"](spark, "/root/testdata/sf0.001"))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    joins = [line for line in plan.splitlines() if "SortMergeJoin" in line]
+    assert joins and not any("domain_goals" in line for line in joins)
+    assert plan.count("FileScan parquet") <= MOST_SCANS and plan.count("Exchange hashpartitioning") <= MOST_EXCHANGES, (
+        plan.count("FileScan parquet"), plan.count("Exchange hashpartitioning"))
+
+
+MOST_SCANS, MOST_EXCHANGES = 25, 45
 
 
 def test_default_window_of_an_as_of_date():

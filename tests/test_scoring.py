@@ -46,3 +46,22 @@ def test_ratio_rounds_half_up_and_guards_zero(spark):
     df = spark.createDataFrame([(2, 3), (1, 16), (0, 0)], "t long, v long")
     got = [r.s for r in df.select(ratio(F.col("t"), F.col("v")).alias("s")).collect()]
     assert [str(x) if x is not None else None for x in got] == ["0.667", "0.063", None]
+
+
+def test_same_answer_in_two_survey_types(spark):
+    from boxscore.functions import scoring as S
+    from boxscore.sources import lookups as L
+    rows = [(t, q, v) for t in (L.CHILD, L.ADULT, L.CLINIC) for q, v in
+            ((2, "10-Best possible"), (2, "10-Best provider"), (2, "10-Best hosp"), (2, "7"), (4, "Yes"), (4, "Yes, definitely"), (5, "Strongly Agree"),
+             (1, "5"), (1, None), (6, "5"))]
+    df = spark.createDataFrame([(t, q, v) for t, q, v in rows], "kind string, question_id int, value string")
+    got = {(r["kind"], r["question_id"], r["value"]): (r["top_box"], r["value_resp_grp"]) for r in
+           S.with_survey_rules(df, L.survey_rules(spark), F.col("kind")).collect()}
+    assert got[L.CHILD, 2, "10-Best possible"] == got[L.ADULT, 2, "10-Best possible"] == (1, "Very Good")
+    assert got[L.CLINIC, 2, "10-Best possible"] == (0, None) and got[L.CLINIC, 2, "10-Best provider"] == (1, "Very Good")
+    assert got[L.CHILD, 2, "10-Best hosp"] == (1, "Very Good") and got[L.ADULT, 2, "10-Best hosp"] == (0, None)
+    assert got[L.CHILD, 4, "Yes"] == (0, "Yes") and got[L.ADULT, 4, "Yes"] == got[L.CLINIC, 4, "Yes"] == (1, "Yes")
+    assert got[L.CHILD, 4, "Yes, definitely"] == (1, "Yes, definitely") and got[L.ADULT, 4, "Yes, definitely"][0] == 0
+    assert got[L.ADULT, 5, "Strongly Agree"][0] == 1 and got[L.CHILD, 5, "Strongly Agree"][0] == 0
+    assert all(got[t, 1, "5"] == (1, "Very Good") and got[t, 1, None] == (0, None) and got[t, 6, "5"] == (0, "5") and got[t, 2, "7"] == (0, "Good")
+               for t in (L.CHILD, L.ADULT, L.CLINIC))
