@@ -23,10 +23,14 @@ def prepare(spark: SparkSession) -> None:
 
     The checkpoint folder is the one the cluster names in
     ``spark.checkpoint.dir``; a folder of our own is made only where that is
-    unset (tests).
+    unset and Spark runs on one machine (tests). Executors of a cluster would
+    not see each other's folders, so there an unset folder is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="llm-checkpoint-")
         spark.conf.set("spark.checkpoint.dir", folder)
     if spark.sparkContext.getCheckpointDir() is None:

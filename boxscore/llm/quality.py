@@ -7,7 +7,10 @@ language, and over all, every one combined before its shuffle. A share is
 suspicious beyond its group's fence, ``q75 + SPREAD * (q75 - q25)`` but at
 least SLACK above the median (many shares are zero almost everywhere). The
 fences of a group with fewer than MIN_GROUP documents come from its language,
-or from all documents. Documents are then joined with their group's fences.
+or from all documents. A group's fence lies at most SLACK beyond that of its
+language, and a language's beyond that of all documents, so that a source
+which is spam for a quarter or more does not set its own bar. Documents are
+then joined with their group's fences.
 """
 
 from __future__ import annotations
@@ -53,11 +56,18 @@ def window_hashes(words: Column) -> Column:
                     lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)))))
 
 
-def repeated_words(hashes: Column) -> Column:
+def repeated_words(hashes: Column, words: Column) -> Column:
     """Words covered by windows that occur twice or more: sort windows by hash,
-    keep the positions with an equal neighbour, add up what each start newly covers."""
+    keep the positions with an equal neighbour, add up what each start newly covers.
+    Windows of equal hash are compared word by word."""
     def starts(pairs: Column) -> Column:
-        same = lambda p, k: (F.get(pairs, k)["h"] == p["h"])
+        def same(p, k):
+            other = F.get(pairs, k)
+            equal = other["h"] == p["h"]
+            for d in range(3):
+                equal = equal & (F.get(words, other["i"] + d) == F.get(words, p["i"] + d))
+            return equal
+
         kept = F.filter(pairs, lambda p, k: F.coalesce(same(p, k - 1) & (k > 0), F.lit(False)) | F.coalesce(same(p, k + 1), F.lit(False)))
         return F.sort_array(F.transform(kept, lambda p: p["i"]))
 
@@ -84,7 +94,7 @@ def measured(docs: DataFrame) -> DataFrame:
                       count_of(F.col("text"), CAPITALS).cast("long").alias("n_capitals"),
                       let(lines(F.col("text")), lambda x: F.struct((F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("dup"), F.size(x).alias("n"))).alias("lines"))
     rows = rows.select("*", F.size("words").cast("long").alias("n_words"), window_hashes(F.col("words")).alias("hashes"))
-    rows = rows.select("*", let(F.col("hashes"), repeated_words).alias("n_repeat_words"), F.col("lines.dup").alias("n_dup_lines"))
+    rows = rows.select("*", let(F.col("hashes"), lambda h: repeated_words(h, F.col("words"))).alias("n_repeat_words"), F.col("lines.dup").alias("n_dup_lines"))
 
     def share(part: str, whole) -> Column:
         return F.coalesce(F.col(part) / F.greatest(F.col(whole) if isinstance(whole, str) else whole, F.lit(1)), F.lit(0.0))
@@ -106,8 +116,12 @@ def fences(rows: DataFrame) -> DataFrame:
     lang = lang.withColumnRenamed("n", "n_lang")
     # the last one is a single row
     joined = own.join(lang, "lang").join(F.broadcast(every.drop("n")), F.lit(True))
-    chosen = F.when(F.col("n") >= MIN_GROUP, F.col("f2")).when(F.col("n_lang") >= MIN_GROUP, F.col("f1")).otherwise(F.col("f0"))
-    return joined.select("lang", "source", chosen.alias("fences"))
+
+    def chosen(s: str) -> Column:
+        in_lang = F.when(F.col("n_lang") >= MIN_GROUP, F.least(F.col("f1")[s], F.col("f0")[s] + SLACK[s])).otherwise(F.col("f0")[s])
+        return F.when(F.col("n") >= MIN_GROUP, F.least(F.col("f2")[s], in_lang + SLACK[s])).otherwise(in_lang)
+
+    return joined.select("lang", "source", F.struct(*[chosen(s).alias(s) for s in SLACK]).alias("fences"))
 
 
 def fence(quantiles: Column, slack: float) -> Column:

@@ -458,3 +458,28 @@ def test_language_model_chunks_are_bounded(spark, monkeypatch):
     assert max(v for c, v in sizes.items() if c >= 0) <= language_model.LONG * 20_000 and sum(c < 0 for c in sizes) == 10
     got = language_model.score_texts(df).collect()
     assert len(got) == 100 and all(r["n_tokens"] == (5001 if r["doc_id"] % 10 == 0 else 51) for r in got)
+
+
+def test_quality_spam_source_does_not_set_its_own_bar(spark):
+    clean = [(i, passage(i, 80), "en", "a") for i in range(200)]
+    spam = [(1000 + i, passage(i, 60) + " ###" * (40 if i < 45 else 0), "en", "b") for i in range(120)]
+    df = spark.createDataFrame(clean + spam, "doc_id long, text string, lang string, source string")
+    got = by_id(quality.quality(df))
+    assert all(got[i]["kept"] for i in range(200)) and all(got[1000 + i]["kept"] for i in range(45, 120))
+    assert not any(got[1000 + i]["kept"] for i in range(45))
+
+
+def test_checkpoint_folder_is_shared_on_a_cluster():
+    from boxscore.llm.common import prepare
+
+    class Cluster:
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+        class sparkContext:
+            master = "spark://head:7077"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        prepare(Cluster)
