@@ -285,14 +285,59 @@ def test_language_model(docs, rows, empty):
     assert language_model.score_texts(empty).count() == 0
 
 
-def test_language_model_is_normalised_and_learns():
+def lm_words(n_words=400, texts=50):
     import numpy as np
 
-    k = language_model.CLASSES
-    codes = np.array([(5 * k + 7) * k + 9, (7 * k + 9) * k + 5, (9 * k + 5) * k + 7])
-    table = language_model.class_table(language_model.train(codes, np.array([10.0, 10.0, 10.0])))
-    assert np.allclose((10.0 ** table).sum(axis=1), 1)
-    assert table[5 * k + 7].argmax() == 9 and table[7 * k + 9].argmax() == 5
+    counts = np.arange(n_words, 0, -1) * 30.0
+    rare = np.full(language_model.SHAPES, 7.0)
+    return language_model.Words([f"w{i:03d}" for i in range(n_words)], counts, np.log10(rare + 4), rare, int(counts.sum() + rare.sum()) + texts, n_words + 90, texts)
+
+
+def test_language_model_is_normalised():
+    import numpy as np
+
+    words = lm_words()
+    rng = np.random.default_rng(1)
+    rows = language_model.Parameters(words).rows
+    rows = rows + rng.normal(0, 0.5, rows.shape).astype(np.float32)
+    scorer = language_model.Scorer(words, rows)
+    every = np.arange(words.end + 1)  # all words with vectors, all shape classes, the end
+    for w2, w1 in ((words.end, words.end), (3, words.end - 1), (399, 120)):
+        logs = scorer.log_probabilities(np.full(len(every), w2), np.full(len(every), w1), every)
+        assert np.isclose((10.0 ** logs).sum(), 1, atol=1e-4)
+    assert words.classes == len(set(words.classes_at(every))) and words.sizes.max() <= language_model.GROUP
+
+
+def test_language_model_learns_words_in_context(monkeypatch):
+    import numpy as np
+
+    monkeypatch.setattr(language_model, "BATCH", 256)
+    words = lm_words()
+    start = language_model.Parameters(words).rows
+    trainer = language_model.Trainer(words, start, 3)
+    texts = ["w300 w301 w302 w303", "w010 w399 w350 w020"] * 2000
+    for _ in range(4):
+        trainer.learn(*language_model.streamed(texts, words, {w: i for i, w in enumerate(words.words)}), 0)
+    scorer, before = language_model.Scorer(words, trainer.p.rows), language_model.Scorer(words, start)
+    for w2, w1, w in ((300, 301, 302), (301, 302, 303), (10, 399, 350), (399, 350, 20)):
+        at = [np.array([x]) for x in (w2, w1, w)]
+        assert scorer.log_probabilities(*at)[0] > -1.2 > before.log_probabilities(*at)[0]
+    other = [np.array([x]) for x in (10, 399, 302)]
+    assert scorer.log_probabilities(*other)[0] < -3
+
+
+def test_language_model_beats_the_base_on_held_out_texts(spark):
+    import random
+
+    rng = random.Random(4)
+    texts = []
+    for i in range(1400):
+        stem = rng.choice(["ab", "cd", "ef", "gh"])
+        texts.append((i, " ".join(f"{stem}{rng.randrange(30)}" for _ in range(60))))
+    got = language_model.score_texts(spark.createDataFrame(texts, "doc_id long, text string").repartition(3)).where("held_out").collect()
+    score, base, tokens = (sum(r[c] for r in got) for c in ("score", "base_score", "n_tokens"))
+    # four kinds of text: knowing the kind is worth 0.6; 73,000 tokens are few steps
+    assert len(got) > 100 and score / tokens > base / tokens + 0.2
 
 
 def brute_removal(rows, window):
