@@ -15,6 +15,6 @@ def report_order(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.orderBy(*[F.col(k).asc_nulls_first() for k in keys])
 
 
-def by_count_within(df: DataFrame, within: list[str], count_col: str = "n") -> DataFrame:
-    """O2: order by count descending inside each group (e.g. month)."""
-    return df.orderBy(*[F.col(k).asc_nulls_first() for k in within], F.col(count_col).desc())
+def by_count_within(df: DataFrame, within: list[str], count_col: str = "n", then: tuple[str, ...] = ()) -> DataFrame:
+    """O2: order by count descending inside each group (e.g. month), equal counts by the keys ``then``."""
+    return df.orderBy(*[F.col(k).asc_nulls_first() for k in within], F.col(count_col).desc(), *[F.col(k).asc_nulls_first() for k in then])

@@ -9,6 +9,7 @@ from boxscore.functions.calendar import fiscal_year
 from boxscore.operators import aggregations as A
 from boxscore.operators import filters as Fl
 from boxscore.operators.joins import in_loaded_years
+from boxscore.operators.ordering import report_order
 from boxscore.plans.config import DEFAULT, ExtractConfig
 from boxscore.plans.extract import summary_answers
 from boxscore.sources.tables import Inputs
@@ -40,4 +41,5 @@ def score_summary(inp: Inputs, cfg: ExtractConfig = DEFAULT) -> DataFrame:
     cal_years = (inp.calendar.where(F.col("day_date").between(F.lit(cfg.start).cast("date"), F.lit(cfg.end).cast("date")))
                  .select(F.col("fyear_num").alias("rec_fy")))
     out = in_loaded_years(out, cal_years, year_col="rec_fy", df_year_col="rec_fy")
-    return Fl.for_fiscal_years(out, years=window_years(cfg))
+    out = Fl.for_fiscal_years(out, years=window_years(cfg))
+    return report_order(out, ["rec_fy", "unit", "epic_department_id", "epic_department_name", "service_line", "domain_goals", "month_num", "month_short_name"])

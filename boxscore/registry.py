@@ -24,7 +24,7 @@ from boxscore.operators import joins as J
 from boxscore.operators import report_dates as RD
 from boxscore.operators import rollups as U
 from boxscore.operators import windows as W
-from boxscore.operators.ordering import report_order
+from boxscore.operators.ordering import by_count_within, report_order
 from boxscore.plans import extract, lines, summaries, surveys
 from boxscore.plans.config import DEFAULT, ExtractConfig
 from boxscore.plans.summaries import with_month
@@ -647,8 +647,8 @@ def q_survey_audit(inp):
     rows = ["survey_id", *PERIOD, "unit", "der_unit", *AUDIT_NAMES]
     nine = ["year_num", "month_num", "month_name", "designator", "unit", "der_unit", *AUDIT_NAMES]
     out = A.survey_audit(named, rows, nine)
-    return out.orderBy("year_num", "month_num", F.desc("survey_count"), "assigned_department_name", "designator", "unit", "der_unit",
-                       "derived_department_name", "dashboard_department_name")
+    return by_count_within(out, ["year_num", "month_num"], "survey_count",
+                           ("assigned_department_name", "designator", "unit", "der_unit", "derived_department_name", "dashboard_department_name"))
 
 
 @register("q_response_summary_mapped")

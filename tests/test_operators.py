@@ -178,3 +178,14 @@ def test_domain_rank_rows_are_no_question_bands(spark):
                                   ).withColumn("value", F.col("v").cast("decimal(4,1)")).drop("v")
     scores = spark.createDataFrame([(2, "55.0")], "question_id int, s string").withColumn("score", F.col("s").cast("decimal(12,6)"))
     assert [r.percentile_rank for r in B.band_lookup(scores, B.latest_bands(ranks)).collect()] == [0]
+
+
+def test_reports_come_in_their_order(spark):
+    from boxscore.registry import QUERIES
+    key = lambda r, cols: tuple((r[c] is not None, r[c]) for c in cols)
+    rows = QUERIES["q_score_summary"](spark, "/root/testdata/sf0.001").collect()
+    cols = ["rec_fy", "unit", "epic_department_id", "epic_department_name", "service_line", "domain_goals", "month_num", "month_short_name"]
+    assert len(rows) > 100 and [key(r, cols) for r in rows] == sorted(key(r, cols) for r in rows)
+    rows = QUERIES["q_survey_audit"](spark, "/root/testdata/sf0.001").collect()
+    order = [(*key(r, ["year_num", "month_num"]), -r["survey_count"]) for r in rows]
+    assert len(rows) > 100 and order == sorted(order)
