@@ -91,7 +91,8 @@ class Aligner:
 
     def stretches(self, new: list[str]) -> list[tuple]:
         """(tokens of A, tokens of B, groups, groups as text, link codes) of each stretch, None if bytes differ."""
-        cut = [self.cut(" " + s) if self.cut else [" " + s] for s in new]
+        # most stretches are one word, which no cut can divide
+        cut = [[" " + s] if self.cut is None or s.isalpha() else self.cut(" " + s) for s in new]
         if len(self.units) > CACHED_UNITS:  # units that go on being used move over
             self.older, self.units = self.units, {}
         known = {}
@@ -129,7 +130,8 @@ class Aligner:
                 del spans[k][:self.front]
         ids = [f.ids for f in firsts]
         whole = "".join(units).encode()
-        if self._joined(0, ids) == whole and self._joined(1, [[i for i, _ in y] for y in spans]) == whole and self._sizes_fit(units, ids, spans):
+        b_ids = [[i for i, _ in y] for y in spans]
+        if self._joined(0, ids) == whole and self._joined(1, b_ids) == whole and self._ends_fit(units, ids, b_ids):
             return self._aligned(units, firsts, ids, spans)
         right = [self._joined(0, [x]) == (w := u.encode()) and self._joined(1, [[i for i, _ in y]]) == w for u, x, y in zip(units, ids, spans)]
         good = [row for ok, *row in zip(right, units, firsts, ids, spans) if ok]
@@ -139,10 +141,14 @@ class Aligner:
     def _joined(self, side: int, ids: list[list[int]]) -> bytes:
         return b"".join(map((self.a_bytes, self.b_bytes)[side].__getitem__, chain.from_iterable(ids)))
 
-    def _sizes_fit(self, units: list[str], ids: list, spans: list) -> bool:
-        sizes = [len(u.encode()) for u in units]
-        a, b = (x.tolist() for x in self.lengths)
-        return all(sum(map(a.__getitem__, x)) == n and sum([b[i] for i, _ in y]) == n for n, x, y in zip(sizes, ids, spans))
+    def _ends_fit(self, units: list[str], *id_lists: list[list[int]]) -> bool:
+        """Whether the tokens of every unit end where the unit does."""
+        unit_ends = np.cumsum([len(u.encode()) for u in units])
+        fit = True
+        for lengths, lists in zip(self.lengths, id_lists):
+            ends = np.cumsum(lengths[np.fromiter(chain.from_iterable(lists), np.int64)])
+            fit = fit and all(lists) and bool((ends[np.cumsum(list(map(len, lists))) - 1] == unit_ends).all())
+        return fit
 
     def _aligned(self, units: list[str], firsts: list, id_lists: list, spans: list) -> list[tuple]:
         """All units as one row of bytes: the ends of tokens are cut out of it together."""
