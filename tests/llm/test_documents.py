@@ -317,7 +317,7 @@ def test_language_model_learns_words_in_context(monkeypatch):
     trainer = language_model.Trainer(words, start, 3)
     texts = ["w300 w301 w302 w303", "w010 w399 w350 w020"] * 2000
     for _ in range(10):
-        trainer.learn(*language_model.streamed(texts, words, {w: i for i, w in enumerate(words.words)}), 0)
+        trainer.learn(*language_model.streamed(texts, words, {w: i for i, w in enumerate(words.words)}))
     scorer, before = language_model.Scorer(words, trainer.p.rows), language_model.Scorer(words, start)
     for w2, w1, w in ((300, 301, 302), (301, 302, 303), (10, 399, 350), (399, 350, 20)):
         at = [np.array([x]) for x in (w2, w1, w)]
@@ -326,6 +326,19 @@ def test_language_model_learns_words_in_context(monkeypatch):
     assert scorer.log_probabilities(*other)[0] < -2
 
 
+def test_language_model_trains_on_windows_of_all_lengths():
+    import numpy as np
+
+    words, rng = lm_words(), np.random.default_rng(2)
+    known = {w: i for i, w in enumerate(words.words)}
+    texts = ["", "w001", " ".join(f"w{i % 400:03d}" for i in range(1000))] * 200
+    whole, _ = language_model.streamed(texts[:3], words, dict(known))
+    triples = set(zip(whole[:-2], whole[1:-1], whole[2:]))
+    stream, tokens = language_model.streamed(texts, words, known, 0.25, rng)
+    assert set(zip(stream[tokens - 2], stream[tokens - 1], stream[tokens])) <= triples
+    assert 0.15 < len(tokens) / (200 * 1004) < 0.35 and (stream[tokens] == words.end).any()
+
+
 def test_language_model_beats_the_base_on_held_out_texts(spark):
     import random
 
