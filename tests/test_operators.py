@@ -189,3 +189,12 @@ def test_reports_come_in_their_order(spark):
     rows = QUERIES["q_survey_audit"](spark, "/root/testdata/sf0.001").collect()
     order = [(*key(r, ["year_num", "month_num"]), -r["survey_count"]) for r in rows]
     assert len(rows) > 100 and order == sorted(order)
+
+
+def test_question_catalog_lists_every_service(spark):
+    from boxscore.operators.aggregations import question_catalog
+    fact = spark.createDataFrame([(1, "PD"), (1, "IN"), (1, "IN"), (2, "MD"), (9, "PD")], "question_id int, service_code string")
+    questions = spark.createDataFrame([(1, "CH_1", "one"), (2, "CH_2", "two"), (9, "X", "nine")], "question_id int, varname string, question_text string")
+    rows = lambda df: sorted((r.service_code, r.varname) for r in df.collect())
+    assert rows(question_catalog(fact, questions, ["CH_1", "CH_2"])) == [("IN", "CH_1"), ("MD", "CH_2"), ("PD", "CH_1")]
+    assert rows(question_catalog(fact, questions, ["CH_1", "CH_2"], service="PD")) == [("PD", "CH_1")]
