@@ -82,21 +82,28 @@ def shared_clinics(df: DataFrame, key: str = "clinic", of: str = "service_line",
 
 def suffix_shared(df: DataFrame, key: str = "clinic", of: str = "service_line",
                   exclude_col: str = "clinic", exclude: str = ALL_UNITS,
-                  skip_value_col: str | None = None, skip_value: str | None = None,
-                  seen: DataFrame | None = None) -> DataFrame:
+                  skip_value_col: str | None = None, skip_value: str | None = None) -> DataFrame:
     """J8: 'clinic - line' for clinics that appear in several lines.
     CASE WHEN clinic IN (subquery) becomes a left join to the distinct list
-    of shared clinics plus a flag. ``seen`` has the (key, line) pairs of the
-    rows from a narrower plan (the surveys' departments), so that the rows
-    themselves are not evaluated a second time for the list."""
-    pairs = df if seen is None else seen
-    shared = shared_clinics(pairs, key, of, exclude_col if seen is None else key, exclude).select(F.col(key).alias("__k"), F.lit(True).alias("__shared"))
-    out = df.join(shared, df[key] == shared["__k"], "left")
+    of shared clinics plus a flag. Where the rows are a wide stage of answers,
+    ``with_shared`` marks their surveys instead and ``suffix_marked`` reads the mark."""
+    return suffix_marked(with_shared(df, shared_clinics(df, key, of, exclude_col, exclude), key), key, of, skip_value_col, skip_value)
+
+
+def with_shared(df: DataFrame, shared: DataFrame, key: str = "clinic") -> DataFrame:
+    """Rows marked (``__shared``) where their key is in the list of shared ones, which
+    the departments or units bound, so that it is broadcast."""
+    keys = F.broadcast(shared.select(F.col(key).alias("__k"), F.lit(True).alias("__shared")))
+    return df.join(keys, df[key] == keys["__k"], "left").drop("__k")
+
+
+def suffix_marked(df: DataFrame, key: str = "clinic", of: str = "service_line",
+                  skip_value_col: str | None = None, skip_value: str | None = None) -> DataFrame:
+    """J8 on rows whose key is already marked as shared or not."""
     cond = F.col("__shared").isNotNull()
     if skip_value_col is not None:
         cond = cond & (F.col(skip_value_col) != skip_value)
-    return (out.withColumn(key, F.when(cond, F.concat(F.col(key), F.lit(" - "), F.col(of))).otherwise(F.col(key)))
-            .drop("__k", "__shared"))
+    return df.withColumn(key, F.when(cond, F.concat(F.col(key), F.lit(" - "), F.col(of))).otherwise(F.col(key))).drop("__shared")
 
 
 def rollup_unit_label(df: DataFrame, own_unit: Column, all_label: Column, own_goal: str | None = "goal", all_goal: str = "goal_all") -> DataFrame:

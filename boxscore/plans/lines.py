@@ -45,7 +45,7 @@ from boxscore.functions import labels as V  # noqa: E402
 from boxscore.operators.aggregations import sub_service_line  # noqa: E402
 from boxscore.operators.goals import all_goals, flat_goals, goal_in, goals_by_domain  # noqa: E402
 from boxscore.operators.report_dates import dual_date  # noqa: E402
-from boxscore.operators.rollups import rollup_lines, suffix_shared  # noqa: E402
+from boxscore.operators.rollups import rollup_lines, shared_clinics, suffix_marked, with_shared  # noqa: E402
 from boxscore.plans.extract import answer_dates, answer_detail, finish  # noqa: E402
 
 LINE_CFG = replace(DEFAULT, event_type="Child Inpatient Survey", date_mode="full")
@@ -115,23 +115,27 @@ def clinics_seen(inp: Inputs, cfg: ExtractConfig, rows: DataFrame, key: str = "c
     return rows.join(asked, "survey_id", "left_semi").select(key, "service_line").distinct()
 
 
+def shared_keys(inp: Inputs, cfg: ExtractConfig, rows: DataFrame, key: str = "clinic") -> DataFrame:
+    """The keys seen in several lines; the surveys are marked by them, so that the answers are not joined to the list."""
+    return shared_clinics(clinics_seen(inp, cfg, rows, key), key, "service_line", key, L.ALL_SERVICE_LINES)
+
+
 def line_extract(inp: Inputs, cfg: ExtractConfig = LINE_CFG, outpatient: bool = False) -> DataFrame:
     """Service-line extract. The own arm reports on both spines (full
     outer, both limited to the window); the 'All Service Lines' copy keeps
     rows matched on both dates (inner). Clinics seen in several lines get
     a ' - line' suffix (not on the roll-up rows)."""
     rows = line_surveys(inp, cfg, filtered_answers(inp, cfg), outpatient)
-    staged = line_scored(inp, cfg, outpatient, with_line_goals(rows, inp), line_goal_columns())
-    return line_result(inp, cfg, staged, rows, clipped=True)
+    marked = with_shared(rows, shared_keys(inp, cfg, rows))
+    staged = line_scored(inp, cfg, outpatient, with_line_goals(marked, inp), line_goal_columns())
+    return line_result(inp, cfg, staged, clipped=True)
 
 
-def line_result(inp: Inputs, cfg: ExtractConfig, staged: DataFrame, rows: DataFrame, suffix_col: str = "clinic", clipped: bool = False) -> DataFrame:
+def line_result(inp: Inputs, cfg: ExtractConfig, staged: DataFrame, suffix_col: str = "clinic", clipped: bool = False) -> DataFrame:
     spined = dual_date(staged, inp.days(cfg.start, cfg.end), cfg.start, cfg.end, mode="full", discharge_start=cfg.start, dates=answer_dates(inp, cfg))
     both = F.col("survey_id").isNotNull() & F.col("event_date_disch").isNotNull()
     rolled = rollup_lines(spined, copy_if=both if clipped else None)
-    rolled = suffix_shared(rolled, key=suffix_col, exclude_col="service_line", exclude=L.ALL_SERVICE_LINES,
-                           skip_value_col="service_line", skip_value=L.ALL_SERVICE_LINES, seen=clinics_seen(inp, cfg, rows, suffix_col))
-    return finish(rolled, cfg)
+    return finish(suffix_marked(rolled, suffix_col, skip_value_col="service_line", skip_value=L.ALL_SERVICE_LINES), cfg)
 
 
 def child_extract(inp: Inputs, cfg: ExtractConfig = CHILD_CFG, suffix_col: str = "clinic",
@@ -150,10 +154,10 @@ def child_extract(inp: Inputs, cfg: ExtractConfig = CHILD_CFG, suffix_col: str =
     flat = flat_goals(asked.join(rows.select("survey_id", "service_line", "unit"), "survey_id", "left"), L.FLAT_GOAL, L.FLAT_GOAL_YEAR)
     flat = flat.where(F.col("unit") == L.ALL_UNITS)
     of_line = goals_by_domain(flat.where(F.col("service_line") != L.ALL_SERVICE_LINES), {"service_line": "service_line"}, "line_goals")
-    mapped = (rows.join(of_line, "service_line", "left")
+    mapped = (with_shared(rows, shared_keys(inp, cfg, rows, suffix_col), suffix_col).join(of_line, "service_line", "left")
               .withColumn("every_goals", all_goals(flat.where(F.col("service_line") == L.ALL_SERVICE_LINES))))
     staged = line_scored(inp, cfg, rows=mapped, goals={"goal": goal_in("line_goals"), "goal_all_lines": goal_in("every_goals")})
-    return line_result(inp, cfg, staged, rows, suffix_col, clipped)
+    return line_result(inp, cfg, staged, suffix_col, clipped)
 
 
 # ---------------------------------------------------------------------------

@@ -198,3 +198,33 @@ def test_question_catalog_lists_every_service(spark):
     rows = lambda df: sorted((r.service_code, r.varname) for r in df.collect())
     assert rows(question_catalog(fact, questions, ["CH_1", "CH_2"])) == [("IN", "CH_1"), ("MD", "CH_2"), ("PD", "CH_1")]
     assert rows(question_catalog(fact, questions, ["CH_1", "CH_2"], service="PD")) == [("PD", "CH_1")]
+
+
+def test_answers_of_line_extracts_are_not_shuffled_wide(spark):
+    """No shuffle carries the physician's name or the question's text with the answers, no join deals them out by clinic."""
+    from boxscore.registry import QUERIES
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    for name in ("q_line_extract", "q_unit_extract"):
+        try:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20000")
+            plan = plan_of(QUERIES[name](spark, "/root/testdata/sf0.01"))
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+        assert shuffles and not [x for x in shuffles if "phys_name" in x or "question_text" in x]
+        assert "SortMergeJoin [clinic" not in plan
+
+
+def test_on_survey_keys_matches_null_keys(spark):
+    a = spark.createDataFrame([(1, None, "x"), (1, 7, "y"), (2, 8, "z")], "survey_id long, patient_key long, v string")
+    s = spark.createDataFrame([(1, None, "none"), (1, 7, "seven"), (2, None, "other")], "survey_id long, patient_key long, name string")
+    got = {r.v: r.name for r in J.on_survey_keys(a, s, ["survey_id", "patient_key"]).collect()}
+    assert got == {"x": "none", "y": "seven", "z": None}
+
+
+def test_queries_bound_the_bytes_of_a_task(spark):
+    """A shuffle of some 100 MB is not dealt to as few tasks as there are cores."""
+    from boxscore.sources.tables import Inputs
+    Inputs.for_dir(spark, "/root/testdata/sf0.001")
+    df = spark.range(1_500_000).select(F.sha2(F.col("id").cast("string"), 256).alias("h")).groupBy("h").count()
+    assert df.rdd.getNumPartitions() > 12
