@@ -14,9 +14,8 @@ words share the probability by their training counts plus one, with one more
 unit for all unseen words.
 
 Training covers all training documents: in each of ROUNDS rounds, every task
-trains on its documents of that round from the same parameters, on windows of
-their tokens (how many follows FULL_TOKENS and STRIDE), so the steps grow with
-the tokens; the changes are averaged row by row, weighted by how often a task has
+trains on every token of its documents of that round from the same parameters
+(steps of BATCH tokens, of more in a large corpus); the changes are averaged row by row, weighted by how often a task has
 used the row, in groups of bounded fan-in.
 
 Counts come from all training rows. Each stretch of documents (a chunk of
@@ -43,8 +42,8 @@ FOLDS, HELD_OUT = 7, 2
 TOP, GROUP, SHAPES = 95, 128, 32
 MIN_COUNT, MIN_SHARE = 20, 1e-5
 DIMENSIONS, ROUNDS, BATCH, NOISE, NEAR_NOISE, RATE, SEED = 24, 2, 256, 32, 4, 0.15, 11
-FULL_TOKENS, STRIDE = 4_000_000, 32  # trained on: so many tokens, and one in STRIDE of all (every token of a smaller corpus)
 WINDOW = 128
+LARGEST_BATCH, STEPS = 8192, 16_000  # a step has BATCH tokens, and more from BATCH * STEPS tokens of a corpus on
 BLOCK_ROWS = 4096
 FAN_IN = (64, 1)
 CHUNK_BYTES = 24 << 20
@@ -82,9 +81,9 @@ class Words:
         self.sizes = (self.members >= 0).sum(axis=1)
         self.end = n + SHAPES  # as a context; shapes are n, n + 1, ...
 
-    def trained_share(self) -> float:
-        """Share of the tokens that the training steps use."""
-        return min(1.0, FULL_TOKENS / max(self.tokens, 1) + 1 / STRIDE)
+    def batch(self) -> int:
+        """Tokens of a training step: more of them where the corpus gives many steps anyway."""
+        return int(min(LARGEST_BATCH, max(BATCH, self.tokens // STEPS)))
 
     def plain(self) -> tuple:
         return self.words, self.counts, self.log_mass, self.shape_counts, self.tokens, self.distinct, self.texts
@@ -203,64 +202,84 @@ class Trainer:
         self.used = np.zeros(len(rows), np.float32)
         self.rng = np.random.default_rng(seed)
         shares = Parameters.class_shares(words)
-        self.noise_cdf, self.log_noise = shares.cumsum(), np.log(NOISE * shares)
-
-    def _ascend(self, first: int, ids: np.ndarray, grads: np.ndarray) -> None:
-        """Adagrad on the rows first + ids; repeated ids add up."""
-        order = np.argsort(ids, kind="stable")
-        ids, grads = ids[order], grads[order]
-        heads = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
-        at, total = first + ids[heads], np.add.reduceat(grads, heads, axis=0) / BATCH
-        self.squares[at] += total * total
-        self.p.rows[at] += RATE * total / np.sqrt(self.squares[at])
-        self.used[at] += np.diff(np.r_[heads, len(ids)])
+        self.noise_cdf, self.log_noise = shares.cumsum(), np.log(NOISE * shares).astype(np.float32)
+        self.class_at = words.classes_at(np.arange(words.end + 1))
+        self.log_near = np.log(NEAR_NOISE / np.maximum(words.sizes, 1)).astype(np.float32)
+        self.batch = words.batch()
+
+    def _ascend(self, first: int, grads: np.ndarray, uses: np.ndarray) -> None:
+        """Adagrad on the rows from ``first`` on, by their summed gradients (one column per row)."""
+        at = np.flatnonzero(uses)
+        total = grads[:, at].T / BATCH
+        rows = first + at
+        self.squares[rows] += total * total
+        self.p.rows[rows] += RATE * total / np.sqrt(self.squares[rows])
+        self.used[rows] += uses[at]
 
     def step(self, w2: np.ndarray, w1: np.ndarray, w: np.ndarray) -> None:
-        """One batch of contexts and tokens (context numbers)."""
-        p, words, bounds, rng = self.p, self.words, self.p.bounds, self.rng
-        cls = words.classes_at(w)
-        r = p.e[w1] @ p.c1.T + p.e[w2] @ p.c2.T
+        """One batch of contexts and tokens (context numbers); gradients are summed by row, coordinate by coordinate."""
+        p, words, bounds, rng, d = self.p, self.words, self.p.bounds, self.rng, DIMENSIONS
+        n_context, n_class, n_word = np.diff(bounds[:4])
+        cls = self.class_at[w]
+        r = (p.e @ p.c1.T)[w1] + (p.e @ p.c2.T)[w2]
         noise = np.minimum(np.searchsorted(self.noise_cdf, rng.random(NOISE)), words.classes - 1)
-        up = 1 / (1 + np.exp(np.clip((r * p.q[cls]).sum(1) + p.b[cls] - self.log_noise[cls], -30, 30)))  # 1 - sigmoid for data
-        down = 1 / (1 + np.exp(-np.clip(r @ p.q[noise].T + p.b[noise] - self.log_noise[noise], -30, 30)))  # sigmoid for noise
-        dr = up[:, None] * p.q[cls] - down @ p.q[noise]
-        one = np.ones((len(w), 1), np.float32)
-        class_grads = np.concatenate([np.hstack([up[:, None] * r, up[:, None] * one]), np.hstack([-(down.T @ r), -down.sum(0)[:, None]])])
+        own = p.q[cls]
+        up = 1 / (1 + np.exp(np.clip(np.einsum("nd,nd->n", r, own) + p.b[cls] - self.log_noise[cls], -30, 30)))  # 1 - sigmoid for data
+        down = 1 / (1 + np.exp(-np.clip(r @ p.q[noise].T + (p.b[noise] - self.log_noise[noise]), -30, 30)))  # sigmoid for noise
+        dr = up[:, None] * own - down @ p.q[noise]
+        by_class, class_uses = summed(cls, up[:, None] * r, up, n_class), np.bincount(cls, minlength=n_class)
+        np.add.at(by_class.T, noise, -np.hstack([down.T @ r, down.sum(0)[:, None]]))
+        np.add.at(class_uses, noise, 1)
         # among the words of a class: a few words of the same class, drawn evenly, are the noise
         grouped = np.flatnonzero((cls >= words.first_group) & (cls < words.first_shape))
         if len(grouped):
             rg, wg, group = r[grouped], w[grouped], cls[grouped] - words.first_group
             size = words.sizes[group]
-            other = words.members[group[:, None], (rng.random((len(grouped), NEAR_NOISE)) * size[:, None]).astype(int)]
-            log_near = np.log(NEAR_NOISE / size)
-            up = 1 / (1 + np.exp(np.clip((rg * p.u[wg]).sum(1) + p.bu[wg] - log_near, -30, 30)))
-            down = 1 / (1 + np.exp(-np.clip(np.einsum("nd,nkd->nk", rg, p.u[other]) + p.bu[other] - log_near[:, None], -30, 30)))
-            dr[grouped] += up[:, None] * p.u[wg] - np.einsum("nk,nkd->nd", down, p.u[other])
-            g_up = np.hstack([up[:, None] * rg, up[:, None]])
-            g_down = np.concatenate([-down[:, :, None] * rg[:, None, :], -down[:, :, None]], axis=2).reshape(-1, DIMENSIONS + 1)
-            near = np.concatenate([wg, other.ravel()]), np.concatenate([g_up, g_down])
-        zero = np.zeros((len(w), 1), np.float32)
-        context = np.concatenate([np.hstack([dr @ p.c1, zero]), np.hstack([dr @ p.c2, zero])])
-        matrices = np.hstack([np.concatenate([dr.T @ p.e[w1], dr.T @ p.e[w2]]), np.zeros((2 * DIMENSIONS, 1), np.float32)])
-        self._ascend(bounds[0], np.concatenate([w1, w2]), context)
-        self._ascend(bounds[1], np.concatenate([cls, noise]), class_grads)
+            log_near = self.log_near[group]
+            own = p.u[wg]
+            up = 1 / (1 + np.exp(np.clip(np.einsum("nd,nd->n", rg, own) + p.bu[wg] - log_near, -30, 30)))
+            dg = up[:, None] * own
+            by_word, word_uses = summed(wg, up[:, None] * rg, up, n_word), np.bincount(wg, minlength=n_word)
+            for _ in range(NEAR_NOISE):
+                other = words.members[group, (rng.random(len(grouped)) * size).astype(int)]
+                own = p.u[other]
+                down = 1 / (1 + np.exp(-np.clip(np.einsum("nd,nd->n", rg, own) + p.bu[other] - log_near, -30, 30)))
+                dg -= down[:, None] * own
+                by_word -= summed(other, down[:, None] * rg, down, n_word)
+                word_uses += np.bincount(other, minlength=n_word)
+            dr[grouped] += dg
+        g1, g2 = (summed(x, dr, None, n_context) for x in (w1, w2))  # of each context word at either place
+        context = np.vstack([p.c1.T @ g1[:d] + p.c2.T @ g2[:d], np.zeros((1, n_context))])
+        context_uses = np.bincount(w1, minlength=n_context) + np.bincount(w2, minlength=n_context)
+        matrices = np.vstack([np.hstack([g1[:d] @ p.e, g2[:d] @ p.e]).reshape(d, 2, d).transpose(2, 1, 0).reshape(d, 2 * d), np.zeros((1, 2 * d))])
+        self._ascend(bounds[0], context, context_uses)
+        self._ascend(bounds[1], by_class, class_uses)
         if len(grouped):
-            self._ascend(bounds[2], *near)
-        self._ascend(bounds[3], np.arange(2 * DIMENSIONS), matrices)
+            self._ascend(bounds[2], by_word, word_uses)
+        self._ascend(bounds[3], matrices, np.ones(2 * d))
 
     def learn(self, stream: np.ndarray, tokens: np.ndarray) -> None:
-        """Steps over the tokens at the given places of a stream."""
-        for at in range(0, len(tokens), BATCH):
-            t = tokens[at : at + BATCH]
+        """Steps over the tokens at the given places of a stream, every one of them."""
+        for at in range(0, len(tokens), self.batch):
+            t = tokens[at : at + self.batch]
             self.step(stream[t - 2], stream[t - 1], stream[t])
 
 
+def summed(ids: np.ndarray, vectors: np.ndarray, bias: np.ndarray | None, n: int) -> np.ndarray:
+    """Sums of vectors (and of a bias behind them) by id: one column for each of n ids."""
+    out = np.empty((vectors.shape[1] + 1, n))
+    for k in range(vectors.shape[1]):
+        out[k] = np.bincount(ids, weights=vectors[:, k], minlength=n)
+    out[-1] = 0 if bias is None else np.bincount(ids, weights=bias, minlength=n)
+    return out
+
+
 def streamed(texts: list[str], words: Words, known: dict[str, int], share: float = 1.0, rng=None) -> tuple[np.ndarray, np.ndarray]:
-    """Context numbers of texts, each with two ends before and one behind, and the places of their tokens.
+    """Context numbers of texts, each with two ends before and one behind, and the places of all their tokens.
 
-    With a share below one, every text gives as many windows of WINDOW tokens,
-    at random places, as its length times the share amounts to on average, and
-    only their words are looked up.
+    With a share below one (training has none), every text gives as many
+    windows of WINDOW tokens, at random places, as its length times the share
+    amounts to on average, and only their words are looked up.
     """
     flat, tokens = [], []
     for text in texts:
@@ -292,7 +311,7 @@ def training_task(batches: Iterator[pa.RecordBatch], words: Words, rows: np.ndar
     for batch in batches:
         texts = batch.column(0).to_pylist()
         for at in range(0, len(texts), 500):
-            trainer.learn(*streamed(texts[at : at + 500], words, known, words.trained_share(), trainer.rng))
+            trainer.learn(*streamed(texts[at : at + 500], words, known))
 
     def found():
         for k, at in enumerate(range(0, len(rows), BLOCK_ROWS)):

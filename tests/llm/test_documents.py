@@ -541,3 +541,20 @@ def test_checkpoint_folder_is_shared_on_a_cluster():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         prepare(Cluster)
+
+
+def test_language_model_trains_on_every_token_of_a_large_corpus(monkeypatch):
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+    import pyspark
+
+    words = lm_words()
+    words.tokens = 10**9
+    texts = [" ".join(f"w{(i + j) % 400:03d}" for i in range(300)) for j in range(20)] + [""]
+    used = []
+    monkeypatch.setattr(pyspark.TaskContext, "get", lambda: SimpleNamespace(partitionId=lambda: 0))
+    monkeypatch.setattr(language_model.Trainer, "learn", lambda self, stream, places: used.append(len(set(places.tolist()))))
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    list(language_model.training_task(iter([batch]), words, language_model.Parameters(words).rows, 0))
+    assert sum(used) == 20 * 301 + 1
