@@ -240,8 +240,8 @@ class Trainer:
             up = 1 / (1 + np.exp(np.clip(np.einsum("nd,nd->n", rg, own) + p.bu[wg] - log_near, -30, 30)))
             dg = up[:, None] * own
             by_word, word_uses = summed(wg, up[:, None] * rg, up, n_word), np.bincount(wg, minlength=n_word)
-            for _ in range(NEAR_NOISE):
-                other = words.members[group, (rng.random(len(grouped)) * size).astype(int)]
+            drawn = words.members[group[:, None], (rng.random((len(grouped), NEAR_NOISE)) * size[:, None]).astype(int)]
+            for other in drawn.T:
                 own = p.u[other]
                 down = 1 / (1 + np.exp(-np.clip(np.einsum("nd,nd->n", rg, own) + p.bu[other] - log_near, -30, 30)))
                 dg -= down[:, None] * own
