@@ -228,3 +228,50 @@ def test_queries_bound_the_bytes_of_a_task(spark):
     Inputs.for_dir(spark, "/root/testdata/sf0.001")
     df = spark.range(1_500_000).select(F.sha2(F.col("id").cast("string"), 256).alias("h")).groupBy("h").count()
     assert df.rdd.getNumPartitions() > 12
+
+
+def page_holders(plan):
+    """Sorts and aggregates of a plan: each holds at least a memory page in its task."""
+    return sum(plan.count(name) for name in ("Sort [", "HashAggregate(", "SortAggregate("))
+
+
+def test_goal_keys_and_departments_read_the_answers_once(spark):
+    """What shares a task with the answers' join stays few: one read of the fact, no join of the answers with themselves."""
+    from boxscore.plans import extract
+    from boxscore.sources.tables import Inputs
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        inp = Inputs.for_dir(spark, "/root/testdata/sf0.001")
+        keys = plan_of(extract.goal_key_rows(inp))
+        rows = plan_of(extract.survey_departments(inp, extract.filtered_answers(inp)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    for plan in (keys, rows):
+        assert plan.count("FileScan parquet [l_orderkey") == 1
+        assert page_holders(plan) <= 11, page_holders(plan)
+
+
+def test_every_department_of_a_survey_meets_every_domain_of_it(spark):
+    """Two departments, an answer without a domain, one to an unknown question; a date outside the days is no key."""
+    from boxscore.plans import extract
+    from boxscore.sources.tables import Inputs
+    inp = Inputs.for_dir(spark, "/root/testdata/sf0.001")
+    day = dt.date(1998, 1, 5)
+    answers = spark.createDataFrame(
+        [(1, 5, day, 1, "2", ("A",)), (1, 5, day, 2, "3", ("A",)), (1, 6, day, 7, None, (None,)), (1, 6, day, 7, "U1", (None,)),
+         (2, -1, day, 1, "2", ("B",)), (2, -1, day, 99, "2", None), (3, 5, day, 99, "2", None)],
+        "survey_id long, department_key long, received_date date, question_id int, value string, asked struct<domain_goals: string>")
+    got = sorted((r.epic_department_id or "", r.domain_goals or "", r.rec_fy) for r in extract.asked_departments(inp, answers).collect())
+    assert got == sorted([(d, g, 1998) for d in ("10000005", "10000006") for g in ("A", "")] + [("", "B", 1998)])
+    rows = sorted((r.survey_id, r.epic_department_id or "", r.unit or "") for r in extract.survey_departments(inp, answers).collect())
+    assert rows == [(1, "10000005", "U1"), (1, "10000006", "U1"), (2, "", ""), (3, "10000005", "")]
+
+
+def test_goal_departments_are_dealt_out_before_they_multiply(spark):
+    """A department becomes a row per year and domain; its file may be one task."""
+    from boxscore.sources.tables import Inputs
+    inp = Inputs.for_dir(spark, "/root/testdata/sf0.001")
+    for rows in (inp.goal_settings.where("department_id is not null"), inp.goals_old.where("unit like '%[%'")):
+        plan = plan_of(rows)
+        assert "REPARTITION_BY_NUM" in plan and plan.index("Generate") < plan.index("REPARTITION_BY_NUM") < plan.index("FileScan parquet [s_suppkey")
