@@ -1,8 +1,8 @@
 """Cross-tokenizer alignment by token spans.
 
 Two tokenizers encode the same text. Their spans are the coarse cuts: the
-tokenizers library gives character offsets, sentencepiece gives the spans of
-its (immutable) proto. Where tokens split a character (byte-level tokens inside a
+tokenizers library gives character offsets, sentencepiece gives the byte spans
+of its offset mapping. Where tokens split a character (byte-level tokens inside a
 multibyte character, byte-fallback tokens) the spans only name the whole
 character, and the cuts inside are refined with the bytes the tokens decode
 to; every coarse cut must meet a refined one. Byte offsets at which tokens of
@@ -26,10 +26,8 @@ their own; other columns are not read. An empty table gives an empty result.
 
 from __future__ import annotations
 
-from array import array
 from collections.abc import Iterator
 from itertools import chain
-from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -40,9 +38,10 @@ from .common import byte_alphabet, hex_sha256, in_batches, prepare, stored, text
 
 CHUNK_BYTES = 32 << 20      # text of a chunk
 CHUNK_STRETCHES = 400_000   # distinct stretches of a chunk
-CACHED_UNITS = 250_000
+CACHED_UNITS = 100_000
 CACHED_LENGTH = 64          # longer units are aligned anew each time
 UNIT_BATCH = 5000
+RUN = 64                    # units of a run that both libraries encode as one text
 BATCH_DOCS_BYTES = 4 << 20
 
 
@@ -81,7 +80,9 @@ class Aligner:
             mixed |= not (self.b.is_byte(i) or self.b.is_control(i) or self.b.is_unknown(i)) and any(map(str.isalpha, plain)) and not plain.isalpha()
         self.lengths = [np.array(list(map(len, x)), np.int64) for x in (self.a_bytes, self.b_bytes)]
         self.front = len(self.b.encode(self.FRONT))
-        self.decimal = list(map(str, range(max(map(len, self.lengths)))))
+        decimal = list(map(str, range(max(map(len, self.lengths)))))
+        self.digits = np.array(list(map(len, decimal)))
+        self.shown = np.array([d + sign for d in decimal for sign in ",|;"], object)
         # a blank between two characters that no definition counts as white space
         self.split = re.compile(r"(?<=\S) (?=\S)").split
         letter, mark = "[A-Za-zÀ-ÖØ-öø-ſ]", r"[!-&(-/:-@\[-`{-~]"  # no apostrophe: it begins contractions
@@ -90,7 +91,7 @@ class Aligner:
         self.older: dict[str, tuple] = {}
 
     def stretches(self, new: list[str]) -> list[tuple]:
-        """(tokens of A, tokens of B, groups, groups as text, link codes) of each stretch, None if bytes differ."""
+        """(tokens of A, tokens of B, groups, groups as text, link codes as bytes) of each stretch, None if bytes differ."""
         # most stretches are one word, which no cut can divide
         cut = [[" " + s] if self.cut is None or s.isalpha() else self.cut(" " + s) for s in new]
         if len(self.units) > CACHED_UNITS:  # units that go on being used move over
@@ -112,78 +113,105 @@ class Aligner:
             elif None in entries:
                 out.append(None)
             else:
-                codes = array("q")
-                for e in entries:
-                    codes.extend(e[4])
-                out.append((*(sum([e[k] for e in entries]) for k in range(3)), ";".join([e[3] for e in entries]), codes))
+                n_a, n_b, groups, shown, codes = zip(*entries)
+                out.append((sum(n_a), sum(n_b), sum(groups), ";".join(shown), b"".join(codes)))
         return out
 
     def align(self, units: list[str]) -> list[tuple]:
-        """Alignment of every unit by itself, None where the bytes of tokens are not those of the unit."""
-        firsts = self.a.encode_batch(units, add_special_tokens=False)
-        # sentencepiece adds the blank of a unit that begins with one
-        seconds = self.b.encode([u[1:] if u[0] == " " else self.FRONT + u for u in units], return_type="proto", num_threads=1)
-        span = attrgetter("id", "end")
-        spans = [list(map(span, x.pieces)) for x in seconds]
-        for k, u in enumerate(units):
-            if u[0] != " ":
-                del spans[k][:self.front]
-        ids = [f.ids for f in firsts]
-        whole = "".join(units).encode()
-        b_ids = [[i for i, _ in y] for y in spans]
-        if self._joined(0, ids) == whole and self._joined(1, b_ids) == whole and self._ends_fit(units, ids, b_ids):
-            return self._aligned(units, firsts, ids, spans)
-        right = [self._joined(0, [x]) == (w := u.encode()) and self._joined(1, [[i for i, _ in y]]) == w for u, x, y in zip(units, ids, spans)]
-        good = [row for ok, *row in zip(right, units, firsts, ids, spans) if ok]
-        found = iter(self._aligned(*map(list, zip(*good))) if good else ())
-        return [next(found) if ok else None for ok in right]
-
-    def _joined(self, side: int, ids: list[list[int]]) -> bytes:
-        return b"".join(map((self.a_bytes, self.b_bytes)[side].__getitem__, chain.from_iterable(ids)))
-
-    def _ends_fit(self, units: list[str], *id_lists: list[list[int]]) -> bool:
-        """Whether the tokens of every unit end where the unit does."""
-        unit_ends = np.cumsum([len(u.encode()) for u in units])
+        """Alignment of every unit by itself, None where the bytes of tokens are not those of the unit.
+
+        Short units that begin with a blank are encoded in runs, since neither
+        vocabulary joins them. A run whose tokens do not give its bytes or do
+        not end where its units do is encoded again in eighths, down to single units.
+        """
+        plain, other = [], []
+        for u in units:
+            (plain if self.joins(u) else other).append(u)
+        runs = [plain[at:at + RUN] for at in range(0, len(plain), RUN)] + [[u] for u in other]
+        found: dict[str, tuple] = {}
+        while runs:
+            broken = [r for r in self._align_runs(runs, found) if len(r) > 1]
+            runs = [r[k * len(r) // 8:(k + 1) * len(r) // 8] for r in broken for k in range(8)]
+            runs = [r for r in runs if r]
+        return [found.get(u) for u in units]
+
+    @staticmethod
+    def joins(unit: str) -> bool:
+        """Whether the unit is cut off by its blank wherever it stands between units of this kind."""
+        return 1 < len(unit) <= CACHED_LENGTH and unit[0] == " " and not unit[1].isspace() and not unit[-1].isspace()
+
+    def _align_runs(self, runs: list[list[str]], found: dict[str, tuple]) -> list[list[str]]:
+        """Adds the alignments of all units of the runs to ``found``; returns the runs whose tokens do not fit."""
+        texts = ["".join(r) for r in runs]
+        firsts = self.a.encode_batch(texts, add_special_tokens=False)
+        # sentencepiece adds the blank of a text that begins with one
+        seconds = self.b.encode([t[1:] if t[0] == " " else self.FRONT + t for t in texts], return_type="offset_mapping", return_bytes=True, num_threads=1)
+        skipped = [0 if t[0] == " " else self.front for t in texts]
+        ids = [[f.ids for f in firsts], [x["ids"][k:] for x, k in zip(seconds, skipped)]]
+        spans = [[f.offsets for f in firsts], [x["offsets"][k:] for x, k in zip(seconds, skipped)]]
+        broken = []
+        if not self._fits(runs, texts, *ids):
+            right = [self._fits([r], [t], [x], [y]) for r, t, x, y in zip(runs, texts, *ids)]
+            broken = [r for ok, r in zip(right, runs) if not ok]
+            runs, texts, *lists = ([x for ok, x in zip(right, those) if ok] for those in (runs, texts, *ids, *spans))
+            ids, spans = lists[:2], lists[2:]
+        if runs:
+            units = list(chain.from_iterable(runs))
+            found.update(zip(units, self._aligned(units, texts, ids, spans)))
+        return broken
+
+    def _fits(self, runs: list[list[str]], texts: list[str], *id_lists: list[list[int]]) -> bool:
+        """Whether the tokens give the bytes of the texts and end where texts and units do."""
+        whole = "".join(texts).encode()
+        if any(b"".join(map(known.__getitem__, chain.from_iterable(lists))) != whole for known, lists in zip((self.a_bytes, self.b_bytes), id_lists)):
+            return False
+        if len(runs) == len(runs[0]) == 1:
+            return True
+        text_ends = np.cumsum([len(t.encode()) for t in texts])
+        unit_ends = np.cumsum([len(u.encode()) for r in runs for u in r])
         fit = True
         for lengths, lists in zip(self.lengths, id_lists):
             ends = np.cumsum(lengths[np.fromiter(chain.from_iterable(lists), np.int64)])
-            fit = fit and all(lists) and bool((ends[np.cumsum(list(map(len, lists))) - 1] == unit_ends).all())
+            fit = (fit and all(lists) and bool((ends[np.cumsum(list(map(len, lists))) - 1] == text_ends).all())
+                   and bool((ends[np.searchsorted(ends, unit_ends)] == unit_ends).all()))
         return fit
 
-    def _aligned(self, units: list[str], firsts: list, id_lists: list, spans: list) -> list[tuple]:
+    def _aligned(self, units: list[str], texts: list[str], id_lists: list, spans: list) -> list[tuple]:
         """All units as one row of bytes: the ends of tokens are cut out of it together."""
-        sizes = np.fromiter((len(u.encode()) for u in units), np.int64, len(units))
-        unit_ends = np.cumsum(sizes)
-        data = np.frombuffer("".join(units).encode(), np.uint8)
-        counts = [np.fromiter(map(len, x), np.int64, len(units)) for x in (id_lists, spans)]
-        second = np.fromiter(chain.from_iterable(chain.from_iterable(spans)), np.int64, 2 * int(counts[1].sum())).reshape(-1, 2)
-        ids = [np.fromiter(chain.from_iterable(id_lists), np.int64, int(counts[0].sum())), second[:, 0]]
-        offsets = np.fromiter(chain.from_iterable(chain.from_iterable([f.offsets for f in firsts])), np.int64, 2 * len(ids[0])).reshape(-1, 2)
+        whole = "".join(texts).encode()
+        data = np.append(np.frombuffer(whole, np.uint8), 0) & 0xC0
+        counts = [np.fromiter(map(len, x), np.int64, len(texts)) for x in id_lists]
+        ids = [np.fromiter(chain.from_iterable(x), np.int64, int(n.sum())) for x, n in zip(id_lists, counts)]
+        stops = [np.fromiter(chain.from_iterable(chain.from_iterable(x)), np.int64, 2 * int(n.sum()))[1::2] for x, n in zip(spans, counts)]
         # coarse cuts: ends of characters from the first library, bytes from the second
-        char_ends = np.flatnonzero(np.append(data & 0xC0, 0) != 0x80)[1:]
-        chars_before = np.cumsum([0] + [len(u) for u in units[:-1]])
-        before = unit_ends - sizes + np.fromiter((1 if u[0] == " " else -len(self.FRONT) for u in units), np.int64, len(units))
-        coarse = [char_ends[offsets[:, 1] + np.repeat(chars_before, counts[0]) - 1], second[:, 1] + np.repeat(before, counts[1])]
+        char_ends = np.flatnonzero(data != 0x80)[1:]
+        chars_before = np.cumsum([0] + [len(t) for t in texts[:-1]])
+        bytes_before = np.cumsum([0] + [len(t.encode()) for t in texts[:-1]]) + [1 if t[0] == " " else -len(self.FRONT) for t in texts]
+        coarse = [char_ends[stops[0] + np.repeat(chars_before, counts[0]) - 1], stops[1] + np.repeat(bytes_before, counts[1])]
         cuts = []
         for k in (0, 1):
             refined = np.cumsum(self.lengths[k][ids[k]])  # bytes of the tokens, also inside characters
-            whole = np.append(data, 0)[refined] & 0xC0 != 0x80
-            if (refined != coarse[k])[whole].any():
+            if (refined != coarse[k])[data[refined] != 0x80].any():
                 raise AssertionError("spans and bytes of tokens disagree")
             cuts.append(refined)
         ends = np.intersect1d(*cuts, assume_unique=True)
         i, j = (np.searchsorted(c, ends) for c in cuts)
-        codes = array("q", (ids[0][i] << 32 | ids[1][j]).tobytes())
-        a_shown, b_shown = (list(map(self.decimal.__getitem__, x.tolist())) for x in ids)
-        shown, i0, j0 = [], 0, 0
-        for i1, j1 in zip((i + 1).tolist(), (j + 1).tolist()):
-            shown.append(f"{a_shown[i0] if i1 - i0 == 1 else ','.join(a_shown[i0:i1])}|{b_shown[j0] if j1 - j0 == 1 else ','.join(b_shown[j0:j1])}")
-            i0, j0 = i1, j1
-        groups = np.searchsorted(ends, unit_ends, "right").tolist()
-        out, at = [], 0
-        for n_a, n_b, to in zip(*(c.tolist() for c in counts), groups):
-            out.append((n_a, n_b, to - at, ";".join(shown[at:to]), codes[at:to]))
-            at = to
+        codes = (ids[0][i] << 32 | ids[1][j]).tobytes()
+        # all tokens by group, those of A first; the sign behind a token tells what ends with it
+        last = [np.zeros(len(x), np.int64) for x in ids]
+        last[0][i], last[1][j] = 1, 2
+        groups = np.concatenate([2 * (np.cumsum(last[0]) - last[0]), np.cumsum(last[1]) - last[1] + 1])
+        order = np.argsort(groups, kind="stable")
+        number, sign = np.concatenate(ids)[order], np.concatenate(last)[order]
+        shown = "".join(self.shown[number * 3 + sign].tolist())
+        shown_ends = np.cumsum(self.digits[number] + 1)[np.flatnonzero(sign == 2)]
+        unit_ends = np.cumsum(np.fromiter((len(u.encode()) for u in units), np.int64, len(units)))
+        n_a, n_b = (np.diff(np.searchsorted(c, unit_ends, "right"), prepend=0).tolist() for c in cuts)
+        groups = np.searchsorted(ends, unit_ends, "right")
+        out, at, shown_at = [], 0, 0
+        for a, b, to, shown_to in zip(n_a, n_b, groups.tolist(), shown_ends[groups - 1].tolist()):
+            out.append((a, b, to - at, shown[shown_at:shown_to - 1], codes[8 * at:8 * to]))
+            at, shown_at = to, shown_to
         return out
 
 
@@ -202,27 +230,36 @@ class Chunk:
         self.number, self.bytes = number, 0
         self.index: dict[str, int] = {}
         self.entries: list[tuple] = []
-        self.uses: list[int] = []
+        self.uses = np.zeros(0, np.int64)
+        self.all_fit = True
 
     def learn(self, texts: list[list[str]], aligner: Aligner) -> None:
         """Number and align every stretch that is new to the chunk."""
         new = list({s for t in texts for s in t}.difference(self.index))
         self.index.update(zip(new, range(len(self.entries), len(self.entries) + len(new))))
-        self.entries += aligner.stretches(new)
-        self.uses += [0] * len(new)
+        self.entries += (found := aligner.stretches(new))
+        self.all_fit &= None not in found
+
+    def use(self, numbers: Iterator[int]) -> None:
+        """Count these stretches as used once more each time they occur."""
+        more = np.bincount(np.fromiter(numbers, np.int64), minlength=len(self.entries))
+        more[: len(self.uses)] += self.uses
+        self.uses = more
 
     def dictionary(self) -> tuple:
         """The row that holds the chunk's distinct pairs, their counts and each stretch's pairs."""
-        lists = [e[4] if e else array("q") for e in self.entries]
-        lengths = np.fromiter(map(len, lists), np.int64, len(lists))
+        lists = [e[4] if e else b"" for e in self.entries]
+        lengths = np.fromiter(map(len, lists), np.int64, len(lists)) // 8
         flat = np.frombuffer(b"".join(lists), np.int64)
         codes, members = np.unique(flat, return_inverse=True)
-        counts = np.bincount(members, np.repeat(np.asarray(self.uses, np.float64), lengths), len(codes)).astype(np.int64)
+        counts = np.bincount(members, np.repeat(self.uses, lengths), len(codes)).astype(np.int64)
         starts = np.concatenate([[0], np.cumsum(lengths)])
         return (self.number, None, None, None, None, None, None, codes, counts, starts.astype(np.int32), members.astype(np.int32))
 
 
 def first_pass(batches: Iterator[pa.RecordBatch], first: str, second: str) -> Iterator[pa.RecordBatch]:
+    import gc
+
     from pyspark import TaskContext
 
     aligner = worker_cache(f"align:{first}:{second}", lambda: Aligner(first, second))
@@ -252,17 +289,17 @@ def first_pass(batches: Iterator[pa.RecordBatch], first: str, second: str) -> It
             for ids, texts, held in some(batch):
                 split = [aligner.split(t) if t else [] for t in texts]
                 chunk.learn(split, aligner)
-                index, entries, uses = chunk.index, chunk.entries, chunk.uses
+                index, entries, used = chunk.index, chunk.entries, []
                 for doc, stretches in zip(ids, split):
-                    at = [index[s] for s in stretches]
-                    own = [entries[k] for k in at]
-                    if not own or None in own:
+                    at = list(map(index.__getitem__, stretches))
+                    own = list(map(entries.__getitem__, at))
+                    if not own or not chunk.all_fit and None in own:
                         yield (chunk.number, doc, 0, 0, 0, "", [], None, None, None, None)
                         continue
-                    for k in at:
-                        uses[k] += 1
-                    digest = hex_sha256(";".join([e[3] for e in own]).encode())
-                    yield (chunk.number, doc, *(sum([e[k] for e in own]) for k in range(3)), digest, at, None, None, None, None)
+                    used.append(at)
+                    n_a, n_b, n_groups, shown, _ = zip(*own)
+                    yield (chunk.number, doc, sum(n_a), sum(n_b), sum(n_groups), hex_sha256(";".join(shown).encode()), at, None, None, None, None)
+                chunk.use(chain.from_iterable(used))
                 chunk.bytes += held
                 if chunk.bytes >= CHUNK_BYTES or len(chunk.entries) >= CHUNK_STRETCHES:
                     yield chunk.dictionary()
@@ -270,7 +307,13 @@ def first_pass(batches: Iterator[pa.RecordBatch], first: str, second: str) -> It
         if chunk.entries:
             yield chunk.dictionary()
 
-    yield from in_batches(rows(), FIRST, size_of=lambda r: 4 * len(r[6]) if r[6] is not None else 20 * len(r[7]) + 8 * len(r[9]))
+    collects = gc.isenabled()
+    gc.disable()  # the many small tuples held here form no cycles, and walking them all took a sixth of the time
+    try:
+        yield from in_batches(rows(), FIRST, size_of=lambda r: 4 * len(r[6]) if r[6] is not None else 20 * len(r[7]) + 8 * len(r[9]))
+    finally:
+        if collects:
+            gc.enable()
 
 
 RESULT = pa.schema([("doc_id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()), ("n_groups", pa.int64()), ("n_links", pa.int64()),

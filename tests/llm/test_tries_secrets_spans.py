@@ -240,3 +240,23 @@ def test_alignment_of_nothing(spark):
     schema = "doc_id long, text string"
     assert token_alignment.align(spark.createDataFrame([], schema)).count() == 0
     assert [tuple(r) for r in token_alignment.align(spark.createDataFrame([(1, None), (1, "")], schema)).collect()] == [(1, 0, 0, 0, 0, 0, 0, "")] * 2
+
+
+def test_units_are_encoded_in_runs(monkeypatch):
+    """Each library sees few texts, and a unit's alignment does not depend on its neighbours."""
+    import public_tokenizers
+
+    paths = [public_tokenizers.path(p) for p in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    aligner = token_alignment.Aligner(*paths)
+    rng = random.Random(11)
+    units = list({" " + "".join(rng.choice(["on", "th", "é", "語", "s", "###", "'s", "7"]) for _ in range(rng.randrange(1, 8))) for _ in range(640)})
+    odd = [" a▁b", " \u200b", "語", "###", "  two", " end ", " " + "x" * 500, " \u1680a", " a\x1c"]
+    seen, encode = [], aligner.b.encode
+    with monkeypatch.context() as m:
+        m.setattr(aligner.b, "encode", lambda texts, **k: seen.append(len(texts)) or encode(texts, **k), raising=False)
+        plain = aligner.align(units)
+    assert sum(seen) <= len(units) / 20
+    mixed = units[:100] + odd + units[100:]
+    rng.shuffle(mixed)
+    alone = [aligner.align([u])[0] for u in mixed]
+    assert aligner.align(mixed) == alone and None in alone and plain == [dict(zip(mixed, alone))[u] for u in units]
