@@ -20,20 +20,20 @@ used the row, in groups of bounded fan-in.
 
 Counts come from all training rows. Each stretch of documents (a chunk of
 about CHUNK_BYTES of text) lists its distinct words once; word counts are
-summed over chunks, and every chunk gets the counts of its own words back, so
-neither the vocabulary nor a hot word is ever whole in one place.
+summed over chunks, and every chunk gets the counts of its own words back where
+other chunks add to them, so neither the vocabulary nor the texts of a hot word
+are ever whole in one place.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import crc_fold, in_batches, prepare, stored, text_of, worker_cache
@@ -88,18 +88,6 @@ class Words:
     def plain(self) -> tuple:
         return self.words, self.counts, self.log_mass, self.shape_counts, self.tokens, self.distinct, self.texts
 
-    def contexts(self, known: dict[str, int], words: list[str]) -> list[int]:
-        """Context numbers of words; ``known`` starts with the words with vectors and learns others."""
-        new = set(words).difference(known)
-        if new:
-            if len(known) > len(self.words) + 250_000:
-                for w in [w for w, c in known.items() if c >= len(self.words)]:
-                    del known[w]
-                new = set(words).difference(known)
-            n = len(self.words)
-            known.update((w, n + shape(w)) for w in new)
-        return list(map(known.__getitem__, words))
-
     def classes_at(self, contexts: np.ndarray) -> np.ndarray:
         return np.concatenate([self.class_of, np.arange(self.first_shape, self.end_class), [self.end_class]]).astype(np.int64)[contexts]
 
@@ -139,10 +127,13 @@ class Parameters:
         return 0.98 * mass + 0.02 / words.classes if mass.sum() else np.full(words.classes, 1 / words.classes)
 
 
-def words_of(text: str) -> list[str]:
-    """A-Z lowered, ASCII white space splits."""
-    return text.encode().lower().decode().split() if text.isascii() and not any(c in text for c in "\x1c\x1d\x1e\x1f") else [
-        w.decode() for w in text.encode().lower().split()]
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts (A-Z lowered, ASCII white space splits) and how many each text has."""
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    flat, sizes = parts.flatten(), pc.list_value_length(parts).to_numpy(zero_copy_only=False)
+    full = pc.greater(pc.binary_length(flat), 0)  # white space at either end leaves an empty part
+    counts = np.bincount(np.repeat(np.arange(len(texts)), sizes)[full.to_numpy(zero_copy_only=False)], minlength=len(texts))
+    return flat.filter(full), counts
 
 
 def shape(word: str) -> int:
@@ -151,6 +142,18 @@ def shape(word: str) -> int:
     return zlib.crc32(word[-2:].encode()) % SHAPES
 
 
+def contexts_of(flat: pa.Array, known: dict[str, int]) -> np.ndarray:
+    """Context numbers of words; ``known`` holds those of the words with vectors, and the others follow by shape."""
+    at = pc.index_in(flat, value_set=pa.array(list(known), pa.string()))
+    rare = at.is_null()
+    numbers = np.append(np.fromiter(known.values(), np.int64, len(known)), 0)[at.fill_null(len(known)).to_numpy(zero_copy_only=False)]
+    endings = pc.utf8_slice_codeunits(flat.filter(rare), -2).dictionary_encode()
+    shapes = np.array([shape(e) for e in endings.dictionary.to_pylist()], np.int64)
+    if len(shapes):
+        numbers[rare.to_numpy(zero_copy_only=False)] = len(known) + shapes[endings.indices.to_numpy()]
+    return numbers
+
+
 def chunked(docs: DataFrame) -> DataFrame:
     """doc_id, text, held_out and the chunk: consecutive rows of a partition, as many as
     CHUNK_BYTES hold at the mean text length. A text of over LONG times the mean
@@ -169,24 +172,35 @@ def vocabulary_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     """Distinct words of each chunk with their training counts (0 for words of held-out rows only)."""
     schema = pa.schema([("chunk", pa.int64()), ("word", pa.string()), ("n", pa.int64())])
 
-    def listed(chunk, train, other):
-        found = chain(train.items(), ((w, 0) for w in other if w not in train))
-        while part := list(islice(found, 100_000)):
-            words, n = zip(*part)
-            yield pa.RecordBatch.from_arrays([pa.array([chunk] * len(n), pa.int64()), pa.array(words, pa.string()), pa.array(n, pa.int64())], schema=schema)
+    def summed_up(parts):
+        found = pa.concat_tables(parts).group_by("word", use_threads=False).aggregate([("n", "sum")])
+        return pa.table({"word": found.column("word"), "n": found.column("n_sum")})
+
+    def listed(chunk, parts):
+        if parts:
+            found = summed_up(parts)
+            for part in found.to_batches(max_chunksize=100_000):
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(part.num_rows, chunk)), part.column("word"), part.column("n")], schema=schema)
 
-    chunk, train, other = None, Counter(), set()
+    chunk, parts = None, []
     for batch in batches:
-        for held_out, own, text in zip(*(c.to_pylist() for c in batch.columns)):
-            words = words_of(text)
-            if own < 0:
-                yield from listed(own, Counter() if held_out else Counter(words), set(words) if held_out else ())
+        held_out, own, texts = batch.columns
+        own = own.to_numpy(zero_copy_only=False)
+        flat, counts = words_of(texts)
+        ends = np.r_[0, np.cumsum(counts)]
+        learned = np.repeat(1 - held_out.to_numpy(zero_copy_only=False).astype(np.int64), counts)
+        heads = np.flatnonzero(np.r_[True, own[1:] != own[:-1]]) if len(own) else []
+        for i, j in zip(heads, [*heads[1:], len(own)]):
+            a, b = int(ends[i]), int(ends[j])
+            found = summed_up([pa.table({"word": flat.slice(a, b - a), "n": learned[a:b]})])
+            if own[i] < 0:
+                yield from listed(int(own[i]), [found])
                 continue
-            if own != chunk:
-                yield from listed(chunk, train, other)
-                chunk, train, other = own, Counter(), set()
-            (other if held_out else train).update(words)
-    yield from listed(chunk, train, other)
+            if own[i] != chunk:
+                yield from listed(chunk, parts)
+                chunk, parts = int(own[i]), []
+            parts.append(found)
+    yield from listed(chunk, parts)
 
 
 # -- training ----------------------------------------------------------------
@@ -239,14 +253,17 @@ class Trainer:
             own = p.u[wg]
             up = 1 / (1 + np.exp(np.clip(np.einsum("nd,nd->n", rg, own) + p.bu[wg] - log_near, -30, 30)))
             dg = up[:, None] * own
-            by_word, word_uses = summed(wg, up[:, None] * rg, up, n_word), np.bincount(wg, minlength=n_word)
+            places, weights = [wg], [up]
             drawn = words.members[group[:, None], (rng.random((len(grouped), NEAR_NOISE)) * size[:, None]).astype(int)]
             for other in drawn.T:
                 own = p.u[other]
                 down = 1 / (1 + np.exp(-np.clip(np.einsum("nd,nd->n", rg, own) + p.bu[other] - log_near, -30, 30)))
                 dg -= down[:, None] * own
-                by_word -= summed(other, down[:, None] * rg, down, n_word)
-                word_uses += np.bincount(other, minlength=n_word)
+                places.append(other)
+                weights.append(-down)
+            places, weights = np.concatenate(places), np.concatenate(weights)
+            by_word = summed(places, weights[:, None] * np.tile(rg, (1 + NEAR_NOISE, 1)), weights, n_word)
+            word_uses = np.bincount(places, minlength=n_word)
             dr[grouped] += dg
         g1, g2 = (summed(x, dr, None, n_context) for x in (w1, w2))  # of each context word at either place
         context = np.vstack([p.c1.T @ g1[:d] + p.c2.T @ g2[:d], np.zeros((1, n_context))])
@@ -268,8 +285,8 @@ class Trainer:
 def summed(ids: np.ndarray, vectors: np.ndarray, bias: np.ndarray | None, n: int) -> np.ndarray:
     """Sums of vectors (and of a bias behind them) by id: one column for each of n ids."""
     out = np.empty((vectors.shape[1] + 1, n))
-    for k in range(vectors.shape[1]):
-        out[k] = np.bincount(ids, weights=vectors[:, k], minlength=n)
+    for k, column in enumerate(np.ascontiguousarray(vectors.T, np.float64)):
+        out[k] = np.bincount(ids, weights=column, minlength=n)
     out[-1] = 0 if bias is None else np.bincount(ids, weights=bias, minlength=n)
     return out
 
@@ -279,22 +296,32 @@ def streamed(texts: list[str], words: Words, known: dict[str, int], share: float
 
     With a share below one (training has none), every text gives as many
     windows of WINDOW tokens, at random places, as its length times the share
-    amounts to on average, and only their words are looked up.
+    amounts to on average.
     """
-    flat, tokens = [], []
-    for text in texts:
-        found = words_of(text)
-        n = len(found) + 1
-        windows = [(0, n)]
-        if share < 1:
-            starts = rng.integers(0, n, rng.poisson(share * n / min(n, WINDOW)))
-            windows = [(max(0, min(int(x), n - WINDOW)), min(n, max(0, min(int(x), n - WINDOW)) + WINDOW)) for x in starts]
-        for start, stop in windows:
+    flat, counts = words_of(pa.array(texts, pa.string()))
+    ids = contexts_of(flat, known)
+    if share == 1:
+        return laid_out(ids, counts, words.end)
+    stream, tokens, at, ends = [], [], 0, np.cumsum(counts)
+    for found, n in zip(np.split(ids, ends[:-1]), (counts + 1).tolist()):
+        for x in rng.integers(0, n, rng.poisson(share * n / min(n, WINDOW))).tolist():
+            start = max(0, min(x, n - WINDOW))
+            stop = min(n, start + WINDOW)
             before = max(0, start - 2)
-            ids = [words.end] * (2 - (start - before)) + words.contexts(known, found[before:stop]) + [words.end] * (stop == n)
-            tokens.append(np.arange(len(flat) + 2, len(flat) + 2 + stop - start))
-            flat += ids
-    return np.array(flat, np.int64), np.concatenate([*tokens, np.empty(0, np.int64)])
+            stream.append([words.end] * (2 - (start - before)) + found[before:stop].tolist() + [words.end] * (stop == n))
+            tokens.append(np.arange(at + 2, at + 2 + stop - start))
+            at += len(stream[-1])
+    return np.array([i for part in stream for i in part], np.int64), np.concatenate([*tokens, np.empty(0, np.int64)])
+
+
+def laid_out(ids: np.ndarray, counts: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """Context numbers of whole texts, each with two ends before and one behind, and the places of all their tokens."""
+    starts = np.r_[0, np.cumsum(counts + 3)]
+    stream = np.full(starts[-1], end, np.int64)
+    stream[np.arange(len(ids)) + np.repeat(3 * np.arange(len(counts)) + 2, counts)] = ids
+    is_token = np.ones(len(stream), bool)
+    is_token[starts[:-1]] = is_token[starts[:-1] + 1] = False
+    return stream, np.flatnonzero(is_token)
 
 
 BLOCKS = pa.schema([("block", pa.int32()), ("salt", pa.int64()), ("used", pa.binary()), ("moved", pa.binary())])
@@ -367,25 +394,29 @@ def known_words(totals: DataFrame, texts: int) -> Words:
 # -- scoring -----------------------------------------------------------------
 
 
-def log_picked(logits: np.ndarray, picked: np.ndarray) -> np.ndarray:
-    """Log-softmax of one column per row; ``logits`` are overwritten."""
-    top = logits.max(axis=1)
-    own = logits[np.arange(len(picked)), picked] - top
-    logits -= top[:, None]
+def log_sums(logits: np.ndarray, largest: float) -> np.ndarray:
+    """Logarithm of each row's sum of exponentials; ``logits`` are overwritten. None of them is beyond ``largest``."""
+    if largest < 80:  # within the range of float32 as they are
+        np.exp(logits, out=logits)
+        return np.log(logits.sum(axis=1))
+    top = logits.max(axis=1, keepdims=True)
+    logits -= top
     np.exp(logits, out=logits)
-    return own - np.log(logits.sum(axis=1))
+    return top[:, 0] + np.log(logits.sum(axis=1))
 
 
 class Scorer:
     """log10 probabilities of tokens with a vector or of shape classes, from the two contexts before them."""
 
-    ROWS, SLAB = 4096, 1 << 20
+    ROWS, SLAB = 4096, 1 << 19
 
     def __init__(self, words: Words, rows: np.ndarray):
         p = Parameters(words, rows)
         self.words = words
         self.a1, self.a2 = p.e @ p.c1.T, p.e @ p.c2.T
         self.q, self.b, self.u, self.bu = (np.ascontiguousarray(x) for x in (p.q, p.b, p.u, p.bu))
+        self.q_norm, self.u_norm = (float(np.sqrt((x * x).sum(axis=1).max(initial=0))) for x in (self.q, self.u))
+        self.b_most, self.bu_most = (float(np.abs(x).max(initial=0)) for x in (self.b, self.bu))
 
     def log_probabilities(self, w2: np.ndarray, w1: np.ndarray, w: np.ndarray) -> np.ndarray:
         """A context that many tokens share is normalised once per slab of tokens."""
@@ -396,73 +427,81 @@ class Scorer:
         return out / np.log(10)
 
     def _slab(self, w2: np.ndarray, w1: np.ndarray, w: np.ndarray) -> np.ndarray:
-        words, found = self.words, np.empty(len(w))
+        words, n = self.words, self.words.end + 1
+        contexts = w2 * n + w1
+        order = np.argsort(contexts)
+        contexts, w2, w1, w = contexts[order], w2[order], w1[order], w[order]
         cls = words.classes_at(w)
-        contexts, of_token = np.unique(w2 * (words.end + 1) + w1, return_inverse=True)
-        order = np.argsort(of_token, kind="stable")
-        first = np.r_[0, np.cumsum(np.bincount(of_token, minlength=len(contexts)))]
-        for a in range(0, len(contexts), self.ROWS):
-            b = min(a + self.ROWS, len(contexts))
-            before2, before1 = np.divmod(contexts[a:b], words.end + 1)
-            r = self.a1[before1] + self.a2[before2]
-            logits = r @ self.q.T + self.b
-            top = logits.max(axis=1, keepdims=True)
-            logits -= top
-            tokens = order[first[a] : first[b]]
-            rows, c = of_token[tokens] - a, cls[tokens]
-            picked = logits[rows, c]
-            np.exp(logits, out=logits)
-            found[tokens] = picked - np.log(logits.sum(axis=1))[rows]
-            by_class = np.argsort(c, kind="stable")
-            by_class = by_class[(c[by_class] >= words.first_group) & (c[by_class] < words.first_shape)]
-            heads = np.flatnonzero(np.r_[True, c[by_class][1:] != c[by_class][:-1]]) if len(by_class) else []
-            for i, j in zip(heads, [*heads[1:], len(by_class)]):  # the words of one class at a time
-                at = by_class[i:j]
-                group = c[at[0]] - words.first_group
-                members = words.members[group, : words.sizes[group]]
-                found[tokens[at]] += log_picked(r[rows[at]] @ self.u[members].T + self.bu[members], words.place[w[tokens[at]]])
-        return found
-
-
-def score_chunk(docs: pa.Table, vocabulary: pa.Table, words: Words, rows: np.ndarray) -> pa.Table:
+        heads = np.r_[True, contexts[1:] != contexts[:-1]]
+        of_token = np.cumsum(heads) - 1
+        first = np.r_[np.flatnonzero(heads), len(w)]
+        found = np.empty(len(w))
+        for a in range(0, len(first) - 1, self.ROWS):  # the class, once for every context
+            b = min(a + self.ROWS, len(first) - 1)
+            r = self.a1[w1[first[a:b]]] + self.a2[w2[first[a:b]]]
+            logits = r @ self.q.T
+            logits += self.b
+            tokens = slice(first[a], first[b])
+            rows = of_token[tokens] - a
+            found[tokens] = logits[rows, cls[tokens]]
+            found[tokens] -= log_sums(logits, self.largest(r, self.q_norm, self.b_most))[rows]
+        grouped = np.flatnonzero((cls >= words.first_group) & (cls < words.first_shape))
+        grouped = grouped[np.argsort(cls[grouped].astype(np.int16), kind="stable")]
+        ends = np.r_[0, np.cumsum(np.bincount(cls[grouped] - words.first_group, minlength=words.n_groups))]
+        for group in np.flatnonzero(np.diff(ends)):  # the words of one class at a time
+            members = words.members[group, : words.sizes[group]]
+            u, bu = self.u[members].T, self.bu[members]
+            for a in range(ends[group], ends[group + 1], self.ROWS):
+                at = grouped[a : min(a + self.ROWS, ends[group + 1])]
+                r = self.a1[w1[at]] + self.a2[w2[at]]
+                logits = r @ u
+                logits += bu
+                found[at] += logits[np.arange(len(at)), words.place[w[at]]]
+                found[at] -= log_sums(logits, self.largest(r, self.u_norm, self.bu_most))
+        out = np.empty(len(w))
+        out[order] = found
+        return out
+
+    @staticmethod
+    def largest(r: np.ndarray, norm: float, bias: float) -> float:
+        """A bound of the logits of contexts ``r`` under vectors and biases no longer than these."""
+        return float(np.sqrt(np.einsum("nd,nd->n", r, r).max())) * norm + bias
+
+
+def score_chunk(docs: pa.Table, others: pa.Table, words: Words, rows: np.ndarray) -> pa.Table:
+    """Scores of a chunk's texts; ``others`` has the training counts of its words that differ from those within the chunk."""
     scorer = worker_cache(f"lm:{hash((words.tokens, rows.tobytes()))}", lambda: Scorer(words, rows))
-    listed = vocabulary.column("word").to_pylist()
-    c = vocabulary.column("c").to_numpy()
-    at = {w: i for i, w in enumerate(listed)}
-    own = {w: i for i, w in enumerate(words.words)}
-    n = len(words.words)
-    contexts = np.fromiter((own[w] if w in own else n + shape(w) for w in listed), np.int64, len(listed))
+    n = docs.num_rows
+    flat, counts = words_of(docs.column("text").combine_chunks())
+    flat = flat.dictionary_encode()
+    ids, listed = flat.indices.to_numpy(), flat.dictionary
+    learned = ~docs.column("held_out").to_numpy().astype(bool)
+    c = np.bincount(ids[np.repeat(learned, counts)], minlength=len(listed))
+    c[pc.index_in(others.column("word").combine_chunks(), value_set=listed).to_numpy(zero_copy_only=False)] = others.column("c").to_numpy()
+    contexts = contexts_of(listed, {w: i for i, w in enumerate(words.words)})
     smooth = np.log10(words.tokens + words.distinct + 1.0)
     base = np.log10(c + 1.0) - smooth
-    end_base = float(np.log10(words.texts + 1.0) - smooth)
-    rare = contexts >= n
+    rare = contexts >= len(words.words)
     inside = np.zeros(len(listed))
-    inside[rare] = np.log10(c[rare] + 1.0) - words.log_mass[contexts[rare] - n]
-    out = {k: [] for k in ("n_tokens", "n_known", "base_score", "score")}
-    streams, places, sums = [], [], []
-    for text in docs.column("text").to_pylist():
-        found = words_of(text)
-        ids = np.fromiter(map(at.__getitem__, found), np.int64, len(found))
-        streams.append(np.r_[words.end, words.end, contexts[ids], words.end])
-        places.append((places[-1] if places else 0) + len(streams[-1]))
-        out["n_tokens"].append(len(ids) + 1)
-        out["n_known"].append(int((c[ids] > 0).sum()) + (words.texts > 0))
-        out["base_score"].append(float(base[ids].sum()) + end_base)
-        sums.append(float(inside[ids].sum()))
-    if streams:
-        flat = np.concatenate(streams)
-        ends = np.array(places)
-        starts = np.r_[0, ends[:-1]]
-        is_token = np.ones(len(flat), bool)
-        is_token[starts] = is_token[starts + 1] = False
-        t = np.flatnonzero(is_token)
-        scored = np.zeros(len(flat))
-        scored[t] = scorer.log_probabilities(flat[t - 2], flat[t - 1], flat[t])
-        out["score"] = (np.add.reduceat(scored, starts) + np.array(sums)).tolist()
-    n = docs.num_rows
-    return pa.table({"doc_id": docs.column("doc_id"), "held_out": docs.column("held_out"), "n_tokens": pa.array(out["n_tokens"], pa.int64()),
-                     "n_known": pa.array(out["n_known"], pa.int64()), "train_tokens": pa.array([words.tokens] * n, pa.int64()),
-                     "base_score": pa.array(out["base_score"], pa.float64()), "score": pa.array(out["score"], pa.float64())})
+    inside[rare] = np.log10(c[rare] + 1.0) - words.log_mass[contexts[rare] - len(words.words)]
+    ends = np.r_[0, np.cumsum(counts)]
+    n_known, base_score, score = np.zeros(n, np.int64), np.zeros(n), np.zeros(n)
+    i = 0
+    while i < n:  # texts of about SLAB words together
+        j = max(i + 1, int(np.searchsorted(ends, ends[i] + scorer.SLAB, "right")) - 1)
+        used, sizes = ids[ends[i] : ends[j]], counts[i:j]
+        of_text = np.repeat(np.arange(j - i), sizes)
+        n_known[i:j] = np.bincount(of_text, c[used] > 0, j - i)
+        base_score[i:j] = np.bincount(of_text, base[used], j - i)
+        stream, t = laid_out(contexts[used], sizes, words.end)
+        scored = scorer.log_probabilities(stream[t - 2], stream[t - 1], stream[t])
+        score[i:j] = np.bincount(np.repeat(np.arange(j - i), sizes + 1), scored, j - i) + np.bincount(of_text, inside[used], j - i)
+        i = j
+    n_known += words.texts > 0
+    base_score += float(np.log10(words.texts + 1.0) - smooth)
+    return pa.table({"doc_id": docs.column("doc_id"), "held_out": docs.column("held_out"), "n_tokens": pa.array(counts + 1, pa.int64()),
+                     "n_known": pa.array(n_known, pa.int64()), "train_tokens": pa.array([words.tokens] * n, pa.int64()),
+                     "base_score": pa.array(base_score, pa.float64()), "score": pa.array(score, pa.float64())})
 
 
 def score_texts(docs: DataFrame) -> DataFrame:
@@ -476,11 +515,14 @@ def score_texts(docs: DataFrame) -> DataFrame:
     """
     prepare(docs.sparkSession)
     rows = chunked(docs)
-    vocabulary = stored(rows.select("held_out", "chunk", "text").mapInArrow(vocabulary_task, VOCABULARY))
-    totals = stored(vocabulary.groupBy("word").agg(F.sum("n").alias("c")))
-    words = known_words(totals, rows.where(~F.col("held_out")).count())
+    vocabulary = rows.select("held_out", "chunk", "text").mapInArrow(vocabulary_task, VOCABULARY)
+    # a word has at most one row per chunk; a chunk knows the counts of words that only it learns from
+    by_word = Window.partitionBy("word")
+    listed = stored(vocabulary.select("chunk", "word", "n", (F.row_number().over(by_word.orderBy("chunk")) == 1).alias("first"), F.sum("n").over(by_word).alias("c"))
+                    .where("first or c <> n").select("chunk", "word", "first", "c", (F.col("c") != F.col("n")).alias("more")))
+    words = known_words(listed.where("first").select("word", "c"), rows.where(~F.col("held_out")).count())
     parameters = trained(rows, words)
-    counted = vocabulary.select("chunk", "word").join(totals, "word").select("chunk", "word", "c")
+    counted = listed.where("more").select("chunk", "word", "c")
     # plain values, which a worker reads without this package; their size is bounded by 1 / MIN_SHARE
     shared = docs.sparkSession.sparkContext.broadcast((words.plain(), parameters))
     return (rows.groupBy("chunk").cogroup(counted.groupBy("chunk"))

@@ -558,3 +558,34 @@ def test_language_model_trains_on_every_token_of_a_large_corpus(monkeypatch):
     batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
     list(language_model.training_task(iter([batch]), words, language_model.Parameters(words).rows, 0))
     assert sum(used) == 20 * 301 + 1
+
+
+def test_language_model_chunk_needs_only_counts_of_other_chunks():
+    import numpy as np
+    import pyarrow as pa
+
+    words = lm_words()
+    texts = ["W001 w001 new new \x1cq", " w001 seen ", "", "seen　x w002"]
+    docs = pa.table({"doc_id": [1, 2, 3, 4], "held_out": [False, False, False, True], "text": texts})
+    others = pa.table({"word": ["w001", "w002", "seen"], "c": pa.array([11970, 11940, 9], pa.int64())})
+    got = language_model.score_chunk(docs, others, words, language_model.Parameters(words).rows).to_pylist()
+    c = {"w001": 11970, "w002": 11940, "seen": 9, "new new": 1, "\x1cq": 1, None: words.texts}
+    for r, t in zip(got, texts):
+        k = WORD.findall(lower(t)) + [None]
+        assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (len(k), sum(w in c for w in k), words.tokens)
+        assert math.isclose(r["base_score"], sum(math.log10((c.get(w, 0) + 1) / (words.tokens + words.distinct + 1)) for w in k), rel_tol=1e-9)
+
+
+def test_language_model_normalises_a_class_once_per_slab(monkeypatch):
+    import numpy as np
+
+    words, rng = lm_words(), np.random.default_rng(3)
+    rows = language_model.Parameters(words).rows
+    rows = rows + rng.normal(0, 0.5, rows.shape).astype(np.float32)
+    w2, w1, w = rng.integers(0, words.end + 1, (3, 50_000))
+    scorer, calls, sums = language_model.Scorer(words, rows), [], language_model.log_sums
+    monkeypatch.setattr(language_model, "log_sums", lambda logits, largest: calls.append(len(logits)) or sums(logits, largest))
+    got = scorer.log_probabilities(w2, w1, w)
+    assert len(calls) <= 2 * 50_000 / scorer.ROWS + words.n_groups + 2
+    monkeypatch.setattr(language_model, "log_sums", lambda logits, largest: sums(logits, 1e9))
+    assert np.allclose(got, scorer.log_probabilities(w2, w1, w), rtol=1e-5)
