@@ -475,6 +475,7 @@ def score_chunk(docs: pa.Table, others: pa.Table, words: Words, rows: np.ndarray
     flat, counts = words_of(docs.column("text").combine_chunks())
     flat = flat.dictionary_encode()
     ids, listed = flat.indices.to_numpy(), flat.dictionary
+    pa.default_memory_pool().release_unused()  # the words of all texts are large
     learned = ~docs.column("held_out").to_numpy().astype(bool)
     c = np.bincount(ids[np.repeat(learned, counts)], minlength=len(listed))
     c[pc.index_in(others.column("word").combine_chunks(), value_set=listed).to_numpy(zero_copy_only=False)] = others.column("c").to_numpy()
