@@ -27,6 +27,7 @@ are ever whole in one place.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -47,7 +48,7 @@ LARGEST_BATCH, STEPS = 8192, 16_000  # a step has BATCH tokens, and more from BA
 BLOCK_ROWS = 4096
 FAN_IN = (64, 1)
 CHUNK_BYTES = 24 << 20
-LONG = 4
+LONG, LENGTHS = 4, 16
 
 VOCABULARY = "chunk long, word string, n long"
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -156,16 +157,23 @@ def contexts_of(flat: pa.Array, known: dict[str, int]) -> np.ndarray:
 
 def chunked(docs: DataFrame) -> DataFrame:
     """doc_id, text, held_out and the chunk: consecutive rows of a partition, as many as
-    CHUNK_BYTES hold at the mean text length. A text of over LONG times the mean
-    is a chunk of its own (with a negative number), so no chunk has more than
-    LONG times CHUNK_BYTES of other texts."""
+    CHUNK_BYTES hold at the mean text length. Texts of over LONG times the mean
+    have chunks of their own (negative numbers), by length: those of up to LONG
+    times the one before, from as many rows as CHUNK_BYTES hold of the longest.
+    So no chunk has more than LONG times CHUNK_BYTES, or one text."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text"))
     mean = max(rows.agg(F.avg(F.octet_length("text"))).first()[0] or 0.0, 16.0)
     per_chunk = max(1, int(CHUNK_BYTES / mean))
-    row = F.monotonically_increasing_id()
-    alone = F.octet_length("text") > int(LONG * mean) + 1000
-    return rows.select("doc_id", "text", (crc_fold(F.col("doc_id"), FOLDS) == HELD_OUT).alias("held_out"),
-                       F.when(alone, -1 - row).otherwise(F.floor(row / per_chunk)).alias("chunk"))
+    row, size, longest = F.monotonically_increasing_id(), F.octet_length("text"), int(LONG * mean) + 1000
+    chunk = F.when(size <= longest, F.floor(row / per_chunk))
+    for k in range(LENGTHS):
+        longest *= LONG
+        span = CHUNK_BYTES // longest
+        if span <= 1 or k == LENGTHS - 1:
+            chunk = chunk.otherwise(-1 - (row * LENGTHS + k))
+            break
+        chunk = chunk.when(size <= longest, -1 - (F.floor(row / span) * LENGTHS + k))
+    return rows.select("doc_id", "text", (crc_fold(F.col("doc_id"), FOLDS) == HELD_OUT).alias("held_out"), chunk.alias("chunk"))
 
 
 def vocabulary_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,7 +190,7 @@ def vocabulary_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             for part in found.to_batches(max_chunksize=100_000):
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(part.num_rows, chunk)), part.column("word"), part.column("n")], schema=schema)
 
-    chunk, parts = None, []
+    unfinished = {}  # chunk and tables of the chunk begun last, for each length of texts
     for batch in batches:
         held_out, own, texts = batch.columns
         own = own.to_numpy(zero_copy_only=False)
@@ -193,14 +201,15 @@ def vocabulary_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         for i, j in zip(heads, [*heads[1:], len(own)]):
             a, b = int(ends[i]), int(ends[j])
             found = summed_up([pa.table({"word": flat.slice(a, b - a), "n": learned[a:b]})])
-            if own[i] < 0:
-                yield from listed(int(own[i]), [found])
-                continue
+            length = (-1 - int(own[i])) % LENGTHS if own[i] < 0 else -1
+            chunk, parts = unfinished.get(length, (None, []))
             if own[i] != chunk:
                 yield from listed(chunk, parts)
                 chunk, parts = int(own[i]), []
+                unfinished[length] = chunk, parts
             parts.append(found)
-    yield from listed(chunk, parts)
+    for chunk, parts in unfinished.values():
+        yield from listed(chunk, parts)
 
 
 # -- training ----------------------------------------------------------------
@@ -219,61 +228,79 @@ class Trainer:
         self.noise_cdf, self.log_noise = shares.cumsum(), np.log(NOISE * shares).astype(np.float32)
         self.class_at = words.classes_at(np.arange(words.end + 1))
         self.log_near = np.log(NEAR_NOISE / np.maximum(words.sizes, 1)).astype(np.float32)
+        self.place = np.empty(words.end + 1, np.int64)
         self.batch = words.batch()
 
-    def _ascend(self, first: int, grads: np.ndarray, uses: np.ndarray) -> None:
-        """Adagrad on the rows from ``first`` on, by their summed gradients (one column per row)."""
-        at = np.flatnonzero(uses)
-        total = grads[:, at].T / BATCH
-        rows = first + at
-        self.squares[rows] += total * total
-        self.p.rows[rows] += RATE * total / np.sqrt(self.squares[rows])
-        self.used[rows] += uses[at]
+    def _ascend(self, rows: np.ndarray, grads: np.ndarray, uses: np.ndarray) -> None:
+        """Adagrad on the given rows, by their summed gradients (one column per row)."""
+        total = (grads.T / BATCH).astype(np.float32)
+        squares = self.squares.take(rows, axis=0)
+        squares += total * total
+        self.squares[rows] = squares
+        total *= RATE
+        total /= np.sqrt(squares)
+        self.p.rows[rows] += total
+        self.used[rows] += uses
 
     def step(self, w2: np.ndarray, w1: np.ndarray, w: np.ndarray) -> None:
-        """One batch of contexts and tokens (context numbers); gradients are summed by row, coordinate by coordinate."""
+        """One batch of contexts and tokens (context numbers); gradients are summed by row, coordinate by coordinate.
+
+        Tokens are columns, and only the rows that the batch uses are touched.
+        """
         p, words, bounds, rng, d = self.p, self.words, self.p.bounds, self.rng, DIMENSIONS
-        n_context, n_class, n_word = np.diff(bounds[:4])
+        n_class = words.classes
         cls = self.class_at[w]
-        r = (p.e @ p.c1.T)[w1] + (p.e @ p.c2.T)[w2]
-        noise = np.minimum(np.searchsorted(self.noise_cdf, rng.random(NOISE)), words.classes - 1)
-        own = p.q[cls]
-        up = 1 / (1 + np.exp(np.clip(np.einsum("nd,nd->n", r, own) + p.b[cls] - self.log_noise[cls], -30, 30)))  # 1 - sigmoid for data
-        down = 1 / (1 + np.exp(-np.clip(r @ p.q[noise].T + (p.b[noise] - self.log_noise[noise]), -30, 30)))  # sigmoid for noise
-        dr = up[:, None] * own - down @ p.q[noise]
-        by_class, class_uses = summed(cls, up[:, None] * r, up, n_class), np.bincount(cls, minlength=n_class)
-        np.add.at(by_class.T, noise, -np.hstack([down.T @ r, down.sum(0)[:, None]]))
+        contexts, at = self.numbered(np.concatenate([w1, w2]))
+        at1, at2 = at[: len(w)], at[len(w) :]
+        e = p.e[contexts]
+        r = (p.c1 @ e.T).take(at1, axis=1)
+        r += (p.c2 @ e.T).take(at2, axis=1)
+        noise = np.minimum(np.searchsorted(self.noise_cdf, rng.random(NOISE)), n_class - 1)
+        bias = p.b - self.log_noise
+        dr = np.ascontiguousarray(p.q.T).take(cls, axis=1)
+        up = sigmoid(-(np.einsum("dn,dn->n", r, dr) + bias[cls]))  # 1 - sigmoid for data
+        against = np.ascontiguousarray(p.q[noise])
+        down = against @ r
+        down += bias[noise][:, None]
+        down = sigmoid(down)  # sigmoid for noise
+        dr *= up
+        dr -= against.T @ down
+        by_class, class_uses = summed(cls, up * r, up, n_class), np.bincount(cls, minlength=n_class)
+        np.subtract.at(by_class, (slice(None), noise), np.vstack([r @ down.T, down.sum(axis=1)]))
         np.add.at(class_uses, noise, 1)
         # among the words of a class: a few words of the same class, drawn evenly, are the noise
         grouped = np.flatnonzero((cls >= words.first_group) & (cls < words.first_shape))
         if len(grouped):
-            rg, wg, group = r[grouped], w[grouped], cls[grouped] - words.first_group
-            size = words.sizes[group]
+            rg, wg, group = r.take(grouped, axis=1), w[grouped], cls[grouped] - words.first_group
             log_near = self.log_near[group]
-            own = p.u[wg]
-            up = 1 / (1 + np.exp(np.clip(np.einsum("nd,nd->n", rg, own) + p.bu[wg] - log_near, -30, 30)))
-            dg = up[:, None] * own
-            places, weights = [wg], [up]
-            drawn = words.members[group[:, None], (rng.random((len(grouped), NEAR_NOISE)) * size[:, None]).astype(int)]
-            for other in drawn.T:
-                own = p.u[other]
-                down = 1 / (1 + np.exp(-np.clip(np.einsum("nd,nd->n", rg, own) + p.bu[other] - log_near, -30, 30)))
-                dg -= down[:, None] * own
-                places.append(other)
-                weights.append(-down)
-            places, weights = np.concatenate(places), np.concatenate(weights)
-            by_word = summed(places, weights[:, None] * np.tile(rg, (1 + NEAR_NOISE, 1)), weights, n_word)
-            word_uses = np.bincount(places, minlength=n_word)
-            dr[grouped] += dg
-        g1, g2 = (summed(x, dr, None, n_context) for x in (w1, w2))  # of each context word at either place
-        context = np.vstack([p.c1.T @ g1[:d] + p.c2.T @ g2[:d], np.zeros((1, n_context))])
-        context_uses = np.bincount(w1, minlength=n_context) + np.bincount(w2, minlength=n_context)
-        matrices = np.vstack([np.hstack([g1[:d] @ p.e, g2[:d] @ p.e]).reshape(d, 2, d).transpose(2, 1, 0).reshape(d, 2 * d), np.zeros((1, 2 * d))])
-        self._ascend(bounds[0], context, context_uses)
-        self._ascend(bounds[1], by_class, class_uses)
+            drawn = words.members[group[:, None], (rng.random((len(grouped), NEAR_NOISE)) * words.sizes[group][:, None]).astype(int)]
+            chosen, at = self.numbered(np.concatenate([wg, drawn.T.ravel()]))
+            u, bu = np.ascontiguousarray(p.u[chosen].T), p.bu[chosen]
+            weights, moved = np.empty((1 + NEAR_NOISE, len(wg)), np.float32), np.empty((d, 1 + NEAR_NOISE, len(wg)), np.float32)
+            dg = np.zeros((d, len(wg)), np.float32)
+            for k, own_at in enumerate(at.reshape(1 + NEAR_NOISE, len(wg))):
+                own = u.take(own_at, axis=1)
+                logit = np.einsum("dn,dn->n", rg, own) + bu[own_at] - log_near
+                weights[k] = -sigmoid(logit) if k else sigmoid(-logit)
+                own *= weights[k]
+                dg += own
+                np.multiply(rg, weights[k], out=moved[:, k])
+            by_word = summed(at, moved.reshape(d, -1), weights.ravel(), len(chosen))
+            word_uses = np.bincount(at, minlength=len(chosen))
+            dr[:, grouped] += dg
+        g1, g2 = (summed(x, dr, None, len(contexts))[:d] for x in (at1, at2))  # of each context word at either place
+        context = np.vstack([p.c1.T @ g1 + p.c2.T @ g2, np.zeros((1, len(contexts)))])
+        context_uses = np.bincount(at1, minlength=len(contexts)) + np.bincount(at2, minlength=len(contexts))
+        matrices = np.vstack([(np.vstack([g1, g2]) @ e).T, np.zeros((1, 2 * d))])
+        classes = np.flatnonzero(class_uses)
+        self._ascend(bounds[0] + contexts, context, context_uses)
+        self._ascend(bounds[1] + classes, by_class[:, classes], class_uses[classes])
         if len(grouped):
-            self._ascend(bounds[2], by_word, word_uses)
-        self._ascend(bounds[3], matrices, np.ones(2 * d))
+            self._ascend(bounds[2] + chosen, by_word, word_uses)
+        self._ascend(np.arange(bounds[3], bounds[5]), matrices, np.ones(2 * d))
+
+    def numbered(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return numbered(ids, self.place)
 
     def learn(self, stream: np.ndarray, tokens: np.ndarray) -> None:
         """Steps over the tokens at the given places of a stream, every one of them."""
@@ -282,11 +309,29 @@ class Trainer:
             self.step(stream[t - 2], stream[t - 1], stream[t])
 
 
+def sigmoid(logits: np.ndarray) -> np.ndarray:
+    """In place."""
+    np.clip(logits, -30, 30, out=logits)
+    np.negative(logits, out=logits)
+    np.exp(logits, out=logits)
+    logits += 1
+    return np.divide(1, logits, out=logits)
+
+
+def numbered(ids: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ids and each id's number among them; ``place`` has room for every id and needs no content."""
+    every = np.arange(len(ids))
+    place[ids] = every
+    distinct = ids[place[ids] == every]
+    place[distinct] = every[: len(distinct)]
+    return distinct, place[ids]
+
+
 def summed(ids: np.ndarray, vectors: np.ndarray, bias: np.ndarray | None, n: int) -> np.ndarray:
-    """Sums of vectors (and of a bias behind them) by id: one column for each of n ids."""
-    out = np.empty((vectors.shape[1] + 1, n))
-    for k, column in enumerate(np.ascontiguousarray(vectors.T, np.float64)):
-        out[k] = np.bincount(ids, weights=column, minlength=n)
+    """Sums of vectors (columns; and of a bias below them) by id: one column for each of n ids."""
+    out = np.empty((len(vectors) + 1, n))
+    for k, line in enumerate(vectors):
+        out[k] = np.bincount(ids, weights=line, minlength=n)
     out[-1] = 0 if bias is None else np.bincount(ids, weights=bias, minlength=n)
     return out
 
@@ -409,14 +454,16 @@ class Scorer:
     """log10 probabilities of tokens with a vector or of shape classes, from the two contexts before them."""
 
     ROWS, SLAB = 4096, 1 << 19
+    TABLE, BLOCK = 1 << 22, 1 << 16  # numbers in a table of exponentials, and in a block of its rows
+    FLOOR, LEAST = -42.0, 1e-9
 
     def __init__(self, words: Words, rows: np.ndarray):
         p = Parameters(words, rows)
         self.words = words
         self.a1, self.a2 = p.e @ p.c1.T, p.e @ p.c2.T
         self.q, self.b, self.u, self.bu = (np.ascontiguousarray(x) for x in (p.q, p.b, p.u, p.bu))
-        self.q_norm, self.u_norm = (float(np.sqrt((x * x).sum(axis=1).max(initial=0))) for x in (self.q, self.u))
-        self.b_most, self.bu_most = (float(np.abs(x).max(initial=0)) for x in (self.b, self.bu))
+        self.place = np.empty(words.end + 1, np.int64)
+        self.known = {w: i for i, w in enumerate(words.words)}
 
     def log_probabilities(self, w2: np.ndarray, w1: np.ndarray, w: np.ndarray) -> np.ndarray:
         """A context that many tokens share is normalised once per slab of tokens."""
@@ -433,35 +480,83 @@ class Scorer:
         contexts, w2, w1, w = contexts[order], w2[order], w1[order], w[order]
         cls = words.classes_at(w)
         heads = np.r_[True, contexts[1:] != contexts[:-1]]
-        of_token = np.cumsum(heads) - 1
-        first = np.r_[np.flatnonzero(heads), len(w)]
-        found = np.empty(len(w))
-        for a in range(0, len(first) - 1, self.ROWS):  # the class, once for every context
-            b = min(a + self.ROWS, len(first) - 1)
-            r = self.a1[w1[first[a:b]]] + self.a2[w2[first[a:b]]]
-            logits = r @ self.q.T
-            logits += self.b
-            tokens = slice(first[a], first[b])
-            rows = of_token[tokens] - a
-            found[tokens] = logits[rows, cls[tokens]]
-            found[tokens] -= log_sums(logits, self.largest(r, self.q_norm, self.b_most))[rows]
+        first = np.flatnonzero(heads)
+        found = self.logits(w2, w1, self.q, self.b, cls)  # the class, normalised once for every context
+        found -= self.log_normalisers(w2[first], w1[first], self.q, self.b)[np.cumsum(heads) - 1]
         grouped = np.flatnonzero((cls >= words.first_group) & (cls < words.first_shape))
         grouped = grouped[np.argsort(cls[grouped].astype(np.int16), kind="stable")]
         ends = np.r_[0, np.cumsum(np.bincount(cls[grouped] - words.first_group, minlength=words.n_groups))]
+        w2, w1 = w2[grouped], w1[grouped]
+        within = self.logits(w2, w1, self.u, self.bu, w[grouped])
         for group in np.flatnonzero(np.diff(ends)):  # the words of one class at a time
-            members = words.members[group, : words.sizes[group]]
-            u, bu = self.u[members].T, self.bu[members]
-            for a in range(ends[group], ends[group + 1], self.ROWS):
-                at = grouped[a : min(a + self.ROWS, ends[group + 1])]
-                r = self.a1[w1[at]] + self.a2[w2[at]]
-                logits = r @ u
-                logits += bu
-                found[at] += logits[np.arange(len(at)), words.place[w[at]]]
-                found[at] -= log_sums(logits, self.largest(r, self.u_norm, self.bu_most))
+            members, at = words.members[group, : words.sizes[group]], slice(ends[group], ends[group + 1])
+            within[at] -= self.log_normalisers(w2[at], w1[at], self.u[members], self.bu[members])
+        found[grouped] += within
         out = np.empty(len(w))
         out[order] = found
         return out
 
+    def logits(self, w2: np.ndarray, w1: np.ndarray, vectors: np.ndarray, biases: np.ndarray, own: np.ndarray) -> np.ndarray:
+        """``r . v + b`` of every pair of contexts with its own vector and bias."""
+        found = np.empty(len(own))
+        first, second, last = np.empty((3, self.ROWS, DIMENSIONS), np.float32)
+        for a in range(0, len(own), self.ROWS):
+            part, m = slice(a, a + self.ROWS), min(self.ROWS, len(own) - a)
+            r = self.a1.take(w1[part], axis=0, out=first[:m], mode="clip")
+            r += self.a2.take(w2[part], axis=0, out=second[:m], mode="clip")
+            found[part] = np.einsum("nd,nd->n", r, vectors.take(own[part], axis=0, out=last[:m], mode="clip"))
+        found += biases[own]
+        return found
+
+    def log_normalisers(self, w2: np.ndarray, w1: np.ndarray, vectors: np.ndarray, biases: np.ndarray) -> np.ndarray:
+        """Logarithm of the sum of ``exp(r . v + b)`` over all vectors, for pairs of contexts.
+
+        As ``r`` is a sum of two, ``exp(r . v + b)`` is a product of one number
+        of each context. Where pairs have contexts in common, these are taken
+        once per context, scaled to a largest of 1 and to none below
+        exp(FLOOR). A sum of their products of LEAST and more is as exact as
+        float32 is; the others are taken from the logits.
+        """
+        (used1, at1), (used2, at2) = numbered(w1, self.place), numbered(w2, self.place)
+        total, width = None, max(1, self.TABLE // max(len(used1), len(used2), 1))
+        for k in range(0, len(vectors), width):
+            v, b = vectors[k : k + width], biases[k : k + width]
+            rows = max(1, self.BLOCK // len(v))
+            left, right = np.empty((2, min(rows, len(w1)), len(v)), np.float32)
+            found, direct = np.empty(len(w1)), np.arange(len(w1))
+            if len(used1) + len(used2) <= len(w1):
+                e1, top1 = self.exponentials(self.a1[used1], v, b)
+                e2, top2 = self.exponentials(self.a2[used2], v, None)
+                for a in range(0, len(w1), rows):
+                    part, m = slice(a, a + rows), min(rows, len(w1) - a)
+                    x = e1.take(at1[part], axis=0, out=left[:m], mode="clip")
+                    found[part] = np.einsum("nd,nd->n", x, e2.take(at2[part], axis=0, out=right[:m], mode="clip"))
+                direct = np.flatnonzero(found < self.LEAST)
+                found[direct] = 1
+                found = np.log(found)
+                found += top1[at1]
+                found += top2[at2]
+            if len(direct):
+                v_norm, b_most = float(np.sqrt((v * v).sum(axis=1).max())), float(np.abs(b).max())
+            for a in range(0, len(direct), rows):
+                at = direct[a : a + rows]
+                r = self.a1[w1[at]] + self.a2[w2[at]]
+                logits = np.matmul(r, v.T, out=left[: len(at)])
+                logits += b
+                found[at] = log_sums(logits, self.largest(r, v_norm, b_most))
+            total = found if total is None else np.logaddexp(total, found)
+        return total
+
+    def exponentials(self, halves: np.ndarray, vectors: np.ndarray, biases: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        """exp of each row's logits, relative to the row's largest, and that largest."""
+        logits = halves @ vectors.T
+        if biases is not None:
+            logits += biases
+        top = logits.max(axis=1)
+        logits -= top[:, None]
+        np.maximum(logits, self.FLOOR, out=logits)
+        return np.exp(logits, out=logits), top
+
     @staticmethod
     def largest(r: np.ndarray, norm: float, bias: float) -> float:
         """A bound of the logits of contexts ``r`` under vectors and biases no longer than these."""
@@ -470,8 +565,12 @@ class Scorer:
 
 def score_chunk(docs: pa.Table, others: pa.Table, words: Words, rows: np.ndarray) -> pa.Table:
     """Scores of a chunk's texts; ``others`` has the training counts of its words that differ from those within the chunk."""
-    scorer = worker_cache(f"lm:{hash((words.tokens, rows.tobytes()))}", lambda: Scorer(words, rows))
-    n = docs.num_rows
+    return scored_chunk(docs, others, Scorer(words, rows))
+
+
+def scored_chunk(docs: pa.Table, others: pa.Table, scorer: Scorer) -> pa.Table:
+    """``score_chunk`` with the scorer at hand, which takes as long to make as many short chunks take."""
+    words, n = scorer.words, docs.num_rows
     flat, counts = words_of(docs.column("text").combine_chunks())
     flat = flat.dictionary_encode()
     ids, listed = flat.indices.to_numpy(), flat.dictionary
@@ -479,7 +578,7 @@ def score_chunk(docs: pa.Table, others: pa.Table, words: Words, rows: np.ndarray
     learned = ~docs.column("held_out").to_numpy().astype(bool)
     c = np.bincount(ids[np.repeat(learned, counts)], minlength=len(listed))
     c[pc.index_in(others.column("word").combine_chunks(), value_set=listed).to_numpy(zero_copy_only=False)] = others.column("c").to_numpy()
-    contexts = contexts_of(listed, {w: i for i, w in enumerate(words.words)})
+    contexts = contexts_of(listed, scorer.known)
     smooth = np.log10(words.tokens + words.distinct + 1.0)
     base = np.log10(c + 1.0) - smooth
     rare = contexts >= len(words.words)
@@ -526,5 +625,9 @@ def score_texts(docs: DataFrame) -> DataFrame:
     counted = listed.where("more").select("chunk", "word", "c")
     # plain values, which a worker reads without this package; their size is bounded by 1 / MIN_SHARE
     shared = docs.sparkSession.sparkContext.broadcast((words.plain(), parameters))
-    return (rows.groupBy("chunk").cogroup(counted.groupBy("chunk"))
-            .applyInArrow(lambda left, right: score_chunk(left, right, Words(*shared.value[0]), shared.value[1]), SCORES))
+    name = f"lm:{uuid.uuid4().hex}"
+
+    def scored(left, right):
+        return scored_chunk(left, right, worker_cache(name, lambda: Scorer(Words(*shared.value[0]), shared.value[1])))
+
+    return rows.groupBy("chunk").cogroup(counted.groupBy("chunk")).applyInArrow(scored, SCORES)

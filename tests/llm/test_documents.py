@@ -589,3 +589,91 @@ def test_language_model_normalises_a_class_once_per_slab(monkeypatch):
     assert len(calls) <= 2 * 50_000 / scorer.ROWS + words.n_groups + 2
     monkeypatch.setattr(language_model, "log_sums", lambda logits, largest: sums(logits, 1e9))
     assert np.allclose(got, scorer.log_probabilities(w2, w1, w), rtol=1e-5)
+
+
+def test_language_model_long_texts_share_chunks(spark, monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(language_model, "CHUNK_BYTES", 400_000)
+    texts = ["w%d v%d " % (i % 7, i) + "w " * (4000 if i % 10 == 0 else 30_000 if i % 55 == 0 else 50) for i in range(600)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(1)
+    chunked = language_model.chunked(df).collect()
+    long = {r["chunk"] for r in chunked if r["chunk"] < 0}
+    sizes = collections.Counter()
+    for r in chunked:
+        sizes[r["chunk"]] += len(r["text"])
+    assert len(long) <= sum(len(t) > 7000 for t in texts) / 2 and max(sizes.values()) <= language_model.LONG * 400_000
+    columns = [pa.array(x) for x in zip(*((r["held_out"], r["chunk"], r["text"]) for r in chunked))]
+    batch = pa.RecordBatch.from_arrays(columns, names=["held_out", "chunk", "text"])
+    listed = [r for b in language_model.vocabulary_task(iter([batch.slice(0, 250), batch.slice(250)])) for r in b.to_pylist()]
+    expected = collections.Counter()
+    for r in chunked:
+        for w in r["text"].split():
+            expected[r["chunk"], w] += not r["held_out"]
+    assert len(listed) == len(expected) and {(r["chunk"], r["word"]): r["n"] for r in listed} == expected
+    c = collections.Counter(w for r in chunked if not r["held_out"] for w in [*r["text"].split(), None])
+    for r in language_model.score_texts(df).collect():
+        base = sum(math.log10((c[w] + 1) / (sum(c.values()) + len(c) + 1)) for w in [*texts[r["doc_id"]].split(), None])
+        assert math.isclose(r["base_score"], base, rel_tol=1e-9)
+
+
+@pytest.mark.parametrize("spread, table", [(0.3, 1 << 22), (0.3, 3000), (4.0, 1 << 22), (4.0, 3000)])
+def test_language_model_normaliser_of_products(monkeypatch, spread, table):
+    """Products of exponentials give the sums that the logits give, also where they underflow (the larger spread)."""
+    import numpy as np
+
+    words, rng = lm_words(), np.random.default_rng(5)
+    rows = language_model.Parameters(words).rows
+    scorer = language_model.Scorer(words, rows + rng.normal(0, spread, rows.shape).astype(np.float32))
+    monkeypatch.setattr(scorer, "TABLE", table)
+    taken, log_sums = [], language_model.log_sums
+    monkeypatch.setattr(language_model, "log_sums", lambda logits, largest: taken.append(len(logits)) or log_sums(logits, largest))
+    w2, w1 = rng.integers(0, words.end + 1, (2, 20_000))
+    logits = (scorer.a1[w1] + scorer.a2[w2]).astype(float) @ scorer.q.T.astype(float) + scorer.b
+    top = logits.max(axis=1)
+    got = scorer.log_normalisers(w2, w1, scorer.q, scorer.b)
+    assert np.allclose(got, top + np.log(np.exp(logits - top[:, None]).sum(axis=1)), rtol=1e-5, atol=1e-4)
+    assert (sum(taken) == 0) == (spread < 1)
+    few = scorer.log_normalisers(w2[:5], w1[:5], scorer.q, scorer.b)
+    assert np.allclose(few, got[:5], rtol=1e-5, atol=1e-4)
+
+
+def test_language_model_step_adds_up_gradients():
+    """A step against the same gradients added token by token."""
+    import numpy as np
+
+    words, d = lm_words(), language_model.DIMENSIONS
+    rng = np.random.default_rng(6)
+    start = language_model.Parameters(words).rows
+    start = (start + rng.normal(0, 0.2, start.shape)).astype(np.float32)
+    w2, w1, w = rng.integers(0, words.end + 1, (3, 700))
+    trainer = language_model.Trainer(words, start, 9)
+    trainer.step(w2, w1, w)
+    draws, p = np.random.default_rng(9), language_model.Parameters(words, start.astype(float))
+    noise = np.minimum(np.searchsorted(trainer.noise_cdf, draws.random(language_model.NOISE)), words.classes - 1)
+    cls = words.classes_at(w)
+    grouped = (cls >= words.first_group) & (cls < words.first_shape)
+    group = cls[grouped] - words.first_group
+    drawn = iter(words.members[group[:, None], (draws.random((grouped.sum(), language_model.NEAR_NOISE)) * words.sizes[group][:, None]).astype(int)])
+    grads, uses = np.zeros(start.shape), np.zeros(len(start))
+    context, classes, own, matrix = p.bounds[:4]
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+    for a, b, x, c, near in zip(w2, w1, w, cls, grouped):
+        r, dr = p.c1 @ p.e[b] + p.c2 @ p.e[a], np.zeros(d)
+        pairs = [(classes + c, trainer.log_noise[c], 1), *((classes + k, trainer.log_noise[k], 0) for k in noise)]
+        if near:
+            pairs += [(own + k, trainer.log_near[c - words.first_group], first) for k, first in ((x, 1), *((k, 0) for k in next(drawn)))]
+        for row, log_noise, true in pairs:
+            weight = true - sigmoid(start[row, :d].astype(float) @ r + start[row, d] - log_noise)
+            grads[row] += weight * np.append(r, 1)
+            dr += weight * start[row, :d]
+            uses[row] += true or row >= own
+        for one, m, at in ((b, p.c1, matrix), (a, p.c2, matrix + d)):
+            grads[context + one, :d] += m.T @ dr
+            grads[at : at + d, :d] += np.outer(dr, p.e[one])
+            uses[context + one] += 1
+    uses[matrix:] = 1
+    np.add.at(uses, classes + noise, 1)
+    total = grads / language_model.BATCH
+    assert (trainer.used == uses).all()
+    assert np.allclose(trainer.p.rows, start + language_model.RATE * total / np.sqrt(1e-3 + total * total), atol=1e-5)
